@@ -5,13 +5,13 @@ often and how densely word stems (the first seven and the first five characters)
 rates and an L1 term leave few weights other than zero; those are small enough to send to every task, and
 their number is bounded by the width of the hash space.
 
-Cases: a null or empty text gets the score of the bias alone; ties and repeated rows get equal scores; with
-no labelled rows every score is 0.5 and nothing is called toxic only if the threshold lies above it, so an
-untrained model predicts 0; extra columns are ignored.
+Cases: a null or empty text gets the score of the bias alone; ties and repeated rows get equal scores; with no
+labelled rows every score is 0.5 and predicted is 0, and the filter keeps all rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -20,40 +20,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import for_training, held_out, staged, table
-from .words import chain, hashes, mix
+from .words import WordTable, chain, mix
 
 #: Width of the space of word and pair features, and of each of the levels of stem features.
 GRAM_BITS, STEM_BITS, LEVELS = 20, 18, 4
 WIDTH = (1 << GRAM_BITS) + LEVELS * (1 << STEM_BITS)
 
 _WORDS = re.compile(r"\w+")
+SKIP = np.uint64(0x5BD1E995)
 
 
-def gram_ids(words: list[str]) -> np.ndarray:
+def word_table() -> WordTable:
+    return WordTable(lambda w: w, lambda w: w[:7], lambda w: w[:5])
+
+
+def gram_ids(h: np.ndarray) -> np.ndarray:
     """Buckets of words, neighbouring pairs, and pairs with one word between, in order of place."""
-    h = hashes(words)
-    grams = np.concatenate([mix(h), chain(h, (0, 1)), mix(chain(h, (0, 2)) ^ np.uint64(0x5BD1E995))])
+    grams = np.concatenate([mix(h), chain(h, (0, 1)), mix(chain(h, (0, 2)) ^ SKIP)])
     return (grams >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
 
 
-def stem_ids(words: list[str]) -> np.ndarray:
-    stems = np.concatenate([mix(hashes([w[:7] for w in words])), mix(hashes([w[:5] for w in words]) ^ np.uint64(0x27D4EB2F))])
+def stem_ids(seven: np.ndarray, five: np.ndarray) -> np.ndarray:
+    stems = np.concatenate([mix(seven), mix(five ^ np.uint64(0x27D4EB2F))])
     return (stems >> np.uint64(64 - STEM_BITS)).astype(np.int64)
 
 
+def reached(counts: np.ndarray, n_words) -> list[np.ndarray]:
+    """Levels that counts of stems reach: seen; twice or more; four times or more; one word in forty or more (and twice)."""
+    return [counts >= 1, counts >= 2, counts >= 4, (counts >= 2) & (counts * 40 >= n_words)]
+
+
 def levels_of(ids: np.ndarray, counts: np.ndarray, n_words: int) -> np.ndarray:
-    """Coordinates that the counts of stems reach: seen; twice or more; four times or more; one word in forty or more (and twice)."""
-    base, step = 1 << GRAM_BITS, 1 << STEM_BITS
-    reached = [ids, ids[counts >= 2], ids[counts >= 4], ids[(counts >= 2) & (counts * 40 >= n_words)]]
-    return np.concatenate([base + k * step + x for k, x in enumerate(reached)])
+    """The coordinates of stems that occur so often among so many words."""
+    return np.concatenate([(1 << GRAM_BITS) + (k << STEM_BITS) + ids[there] for k, there in enumerate(reached(counts, n_words))])
 
 
-def coordinates(text: str | None) -> np.ndarray:
+def coordinates(text: str | None, known: WordTable) -> np.ndarray:
     """All coordinates of a whole text, each once."""
     words = _WORDS.findall((text or "").lower())
     if not words:
         return np.zeros(0, np.int64)
-    return np.concatenate([np.unique(gram_ids(words)), levels_of(*np.unique(stem_ids(words), return_counts=True), len(words))])
+    h, seven, five = known.look_up(words)
+    return np.concatenate([np.unique(gram_ids(h)), levels_of(*np.unique(stem_ids(seven, five), return_counts=True), len(words))])
 
 
 def ftrl(rows, alpha: float = 0.08, beta: float = 1.0, l1: float = 1.5, l2: float = 1.0, epochs: int = 3) -> tuple[np.ndarray, np.ndarray, float]:
@@ -87,8 +95,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
     def hashed(batches):
+        known = word_table()
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "x": [coordinates(t) for t in pdf["text"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "x": [coordinates(t, known) for t in pdf["text"]]})
 
     def learn(batches):
         rows = [r for pdf in batches for r in zip(pdf["x"], pdf["y"], strict=True)]
@@ -105,20 +114,44 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -
     return {"k": found["k"][~bias].to_numpy(), "w": found["w"][~bias].to_numpy(), "bias": float(found["w"][bias].iloc[0])}
 
 
-def score_texts(texts, dense: np.ndarray, stems: np.ndarray, bias: float) -> np.ndarray:
-    """Scores of whole texts; ``stems`` marks the stem buckets that have a weight on any level."""
-    out = np.zeros(len(texts))
-    for i, t in enumerate(texts):
-        words = _WORDS.findall((t or "").lower())
-        if not words:
-            out[i] = bias
-            continue
-        g = gram_ids(words)
-        g = g[dense[g] != 0]
-        s = stem_ids(words)
-        s = s[stems[s]]
-        out[i] = bias + dense[np.unique(g)].sum() + dense[levels_of(*np.unique(s, return_counts=True), len(words))].sum()
-    return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+def score_texts(texts, dense: np.ndarray, stems: np.ndarray, bias: float, words_at_once: int = 500_000) -> np.ndarray:
+    """Scores of whole texts; ``stems`` marks the stem buckets that have a weight on any level.
+
+    The words of many texts are looked up in one array; the few that reach a weight are then counted by text."""
+    known, done, held, n = word_table(), [], [], 0
+
+    def flush():
+        lens = np.array([len(w) for w in held], np.int64)
+        at = np.repeat(np.arange(len(held)), lens)
+        h, seven, five = known.look_up(list(itertools.chain.from_iterable(held)))
+        total = np.full(len(held), bias)
+        for ids, gap in ((mix(h), 0), (chain(h, (0, 1)), 1), (mix(chain(h, (0, 2)) ^ SKIP), 2)):
+            k = (ids >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+            kept = np.flatnonzero((dense[k] != 0) & (at[: len(k)] == at[gap : gap + len(k)]))
+            grams.append((at[kept] << GRAM_BITS) | k[kept])
+        seen = np.unique(np.concatenate(grams))
+        grams.clear()
+        total += np.bincount(seen >> GRAM_BITS, dense[seen & ((1 << GRAM_BITS) - 1)], len(held))
+        k = stem_ids(seven, five)
+        two = np.concatenate([at, at])
+        kept = np.flatnonzero(stems[k])
+        seen, counts = np.unique((two[kept] << STEM_BITS) | k[kept], return_counts=True)
+        doc, k = seen >> STEM_BITS, seen & ((1 << STEM_BITS) - 1)
+        for level, there in enumerate(reached(counts, lens[doc])):
+            total += np.bincount(doc[there], dense[(1 << GRAM_BITS) + (level << STEM_BITS) + k[there]], len(held))
+        done.append(total)
+        held.clear()
+
+    grams: list[np.ndarray] = []
+    for t in texts:
+        held.append(_WORDS.findall((t or "").lower()))
+        n += len(held[-1])
+        if n >= words_at_once:
+            flush()
+            n = 0
+    if held:
+        flush()
+    return 1 / (1 + np.exp(-np.clip(np.concatenate(done or [np.zeros(0)]), -30, 30)))
 
 
 def score_toxicity(docs: DataFrame, model: dict) -> DataFrame:

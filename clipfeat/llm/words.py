@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from itertools import count, islice
+
 import numpy as np
 import xxhash
 
@@ -42,3 +45,31 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     """Hashes of the word shingles in their order, repeats included; a shorter text is one shingle, an empty one has none."""
     h = hashes(words)
     return chain(h, tuple(range(min(size, len(words))))) if len(words) else h
+
+
+class WordTable:
+    """Numbers words as they come and keeps, for each, hashes of some forms of it; so a word that comes often is hashed once.
+
+    It starts afresh when it holds ``limit`` words, so its memory is bounded whatever the texts."""
+
+    def __init__(self, *forms, limit: int = 400_000):
+        self.forms, self.limit = forms, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index, self.size = defaultdict(count().__next__), 0
+        self.columns = [np.zeros(1024, np.uint64) for _ in self.forms]
+
+    def look_up(self, words: list) -> list[np.ndarray]:
+        """For each form the hashes of all words, in order."""
+        if self.size > self.limit:
+            self._clear()
+        ids = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        if new := len(self.index) - self.size:
+            fresh = list(islice(reversed(self.index), new))[::-1]
+            for k, form in enumerate(self.forms):
+                if len(self.index) > len(self.columns[k]):
+                    self.columns[k] = np.concatenate([self.columns[k], np.zeros(max(new, len(self.columns[k])), np.uint64)])
+                self.columns[k][self.size : len(self.index)] = hashes([form(w) for w in fresh])
+            self.size = len(self.index)
+        return [c[ids] for c in self.columns]
