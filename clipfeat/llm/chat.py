@@ -142,3 +142,23 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     return read_back(format_conversations(rows.unionByName(probe)))
+
+
+SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+    length(text) + len(regexp_extract_all(text, '\\')) + len(regexp_extract_all(text, '<<SYS>>|<</SYS>>|<s>|</s>|\[INST\]|\[/INST\]|\[ANS\]|\[ROLE\]|\[TEXT\]|\[/ROLE\]'))
+      + CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 18 WHEN 'assistant' THEN 12
+        ELSE 24 + length(role) + len(regexp_extract_all(role, '\\')) + len(regexp_extract_all(role, '<<SYS>>|<</SYS>>|<s>|</s>|\[INST\]|\[/INST\]|\[ANS\]|\[ROLE\]|\[TEXT\]|\[/ROLE\]')) END AS chars
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  bool_and(CASE WHEN before IS NULL THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user' WHEN before = 'user' THEN role = 'assistant' ELSE false END) AS valid
+FROM turns GROUP BY conv_id
+"""

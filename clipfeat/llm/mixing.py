@@ -82,7 +82,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Texts stay whole: the document at a source's cut is in if at least half of it lies inside the budget; empty
     documents are in while the budget lasts. Rows are joined with their copies by doc_id, so of repeated doc_ids
     each row gets the copies of the first."""
-    plan = mix(sized(docs), targets(staged(sized(docs), "mix-sizes")))
+    sizes = staged(sized(docs), "mix-sizes")
+    plan = mix(sizes, targets(sizes))
     more = F.when(F.col("size") > 0, ((F.col("taken") - F.col("epochs") * F.col("size")) * 2 >= F.col("size")).cast("int")).otherwise((F.col("before") < F.col("rest")).cast("int"))
     copies = plan.select(F.col("doc_id").alias("_id"), (F.col("epochs") + more).cast("int").alias("_copies"))
     copies = copies.groupBy("_id").agg(F.max("_copies").alias("_copies")).filter("_copies > 0")

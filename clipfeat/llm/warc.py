@@ -216,3 +216,15 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to archives in the shared folder, archives to records, segments to payloads."""
     archives = write_archives(table(spark, sf_dir, "pages"), new_dir(spark, "warc"))
     return reassembled(read_archives(archives)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
+
+
+SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
+k AS (SELECT sha, max(page_id) AS keeper FROM p GROUP BY sha)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(sha, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < keeper THEN keeper END AS refers_to, CAST(NULL AS VARCHAR) AS error
+FROM p JOIN k USING (sha)
+"""
