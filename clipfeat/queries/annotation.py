@@ -91,16 +91,16 @@ def _written(spark, d):
     return spark.read.text(path)
 
 
-@query(f"WITH {LABELLED} SELECT video_id, count(*) AS n, round(sum(e), 4) AS ends FROM labelled GROUP BY video_id")
+@query(f"WITH {LABELLED} SELECT video_id, count(*) AS n, round(sum(e), 6) AS ends FROM labelled GROUP BY video_id")
 def write_annotations(spark, d):
-    rows = _written(spark, d).select(F.from_json("value", f"video_id long, {text.ANNOTATION[7:-1]}").alias("v")).select("v.*")
-    return rows.select("video_id", F.size("annotations").cast("long").alias("n"), F.round(F.aggregate("annotations", F.lit(0.0), lambda s, a: s + a["segment"][1]), 4).alias("ends"))
+    rows = _written(spark, d).select(F.from_json("value", f"struct<video_id:long,{text.ANNOTATION[7:-1]}>").alias("v")).select("v.*")
+    return rows.select("video_id", F.size("annotations").cast("long").alias("n"), F.round(F.aggregate("annotations", F.lit(0.0), lambda s, a: s + a["segment"][1]), 6).alias("ends"))
 
 
 @query(f"WITH {LABELLED} SELECT CAST(video_id AS VARCHAR) AS video_id, k_pos AS pos, label FROM (SELECT *, CAST(row_number() OVER (PARTITION BY video_id ORDER BY k) - 1 AS INTEGER) AS k_pos FROM labelled)")
 def read_annotations(spark, d):
     """A database document per video, read back as segment rows."""
-    v = F.from_json("value", f"video_id string, {text.ANNOTATION[7:-1]}")
+    v = F.from_json("value", f"struct<video_id:string,{text.ANNOTATION[7:-1]}>")
     docs = _written(spark, d).select(v.alias("v")).select(F.to_json(F.struct(F.lit("1").alias("version"), F.map_from_arrays(F.array("v.video_id"), F.array(F.struct("v.subset", "v.duration", "v.annotations"))).alias("database"))).alias("value"))
     return text.annotation_segments(text.read_annotations(docs)).select("video_id", "pos", "label")
 
