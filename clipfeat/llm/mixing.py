@@ -85,9 +85,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     sizes = staged(sized(docs), "mix-sizes")
     plan = mix(sizes, targets(sizes))
     more = F.when(F.col("size") > 0, ((F.col("taken") - F.col("epochs") * F.col("size")) * 2 >= F.col("size")).cast("int")).otherwise((F.col("before") < F.col("rest")).cast("int"))
-    copies = plan.select(F.col("doc_id").alias("_id"), (F.col("epochs") + more).cast("int").alias("_copies"))
-    copies = copies.groupBy("_id").agg(F.max("_copies").alias("_copies")).filter("_copies > 0")
-    return docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"])).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])
+    copies = plan.select(F.col("doc_id").alias("id"), (F.col("epochs") + more).cast("int").alias("copies"))
+    copies = copies.groupBy("id").agg(F.max("copies").alias("copies")).filter("copies > 0")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("name")).join(copies, F.col("name").eqNullSafe(F.col("id")))
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

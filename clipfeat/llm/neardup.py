@@ -166,7 +166,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, prints: int = 4) -
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` with the smallest doc_id of their class, one row each; all columns stay. Rows without a doc_id stay."""
     classes = near_duplicates(docs, similarity)
-    keep = classes.filter("id = component_id").select(F.col("id").alias("_kept"), F.col("text_key").alias("_kept_text"))
-    named = docs.filter("doc_id is not null").withColumn("_text_key", F.md5(F.coalesce("text", F.lit(""))))
-    kept = named.join(keep, (named["doc_id"] == keep["_kept"]) & (named["_text_key"] == keep["_kept_text"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key").unionByName(docs.filter("doc_id is null"))
+    keep = classes.filter("id = component_id").select(F.col("id").alias("kept"), F.col("text_key").alias("kept_text"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("name"), F.md5(F.coalesce("text", F.lit(""))).alias("key"))
+    named = rows.join(keep, (F.col("name") == F.col("kept")) & (F.col("key") == F.col("kept_text")), "left_semi").dropDuplicates(["name", "key"])
+    return named.select("row.*").unionByName(docs.filter("doc_id is null"))
