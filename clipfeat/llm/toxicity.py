@@ -67,7 +67,7 @@ def coordinates(text: str | None, known: WordTable) -> np.ndarray:
 def ftrl(rows, alpha: float = 0.08, beta: float = 1.0, l1: float = 1.5, l2: float = 1.0, epochs: int = 3) -> tuple[np.ndarray, np.ndarray, float]:
     """(coordinates, weights, bias) from rows of (coordinates, label), visited in the given order."""
     z, n = np.zeros(WIDTH + 1), np.zeros(WIDTH + 1)
-    rows = [(np.append(np.asarray(x, np.int64), WIDTH), float(y)) for x, y in rows]
+    rows = [(np.append(np.asarray(x, np.int32), np.int32(WIDTH)), float(y)) for x, y in rows]
     free = lambda x, zz: np.where(x == WIDTH, 0.0, l1)  # noqa: E731, ARG005  # the bias is not thinned out
 
     def weights(x):
@@ -97,7 +97,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -
     def hashed(batches):
         known = word_table()
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "x": [coordinates(t, known) for t in pdf["text"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "x": [coordinates(t, known).astype(np.int32) for t in pdf["text"]]})
 
     def learn(batches):
         rows = [r for pdf in batches for r in zip(pdf["x"], pdf["y"], strict=True)]
@@ -105,7 +105,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -
             kept, w, bias = ftrl(rows)
             yield pd.DataFrame({"k": np.append(kept, WIDTH), "w": np.append(w, bias)})
 
-    sample = docs.select("doc_id", "text").join(known, "doc_id").mapInPandas(hashed, "doc_id long, y int, x array<long>")
+    # at most max_rows small rows (some 16 bytes each) go to every task, so the texts stay where they are
+    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").mapInPandas(hashed, "doc_id long, y int, x array<int>")
     sample = staged(sample, "toxicity-sample").withColumn("order", F.xxhash64("doc_id", F.lit(7)))
     found = sample.repartition(1).sortWithinPartitions("order", "doc_id", F.size("x")).select("x", "y").mapInPandas(learn, "k long, w double").toPandas()
     if not len(found):
