@@ -13,6 +13,7 @@ import os
 import re
 import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ class Encoder:
     piece is encoded once for as long as it is remembered; texts with other white space after a space, or with the look
     of a special token, are encoded whole. The memory of pieces is bounded."""
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -77,11 +78,17 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One for each Python worker, which Spark uses for many tasks: the pieces it remembers stay."""
+    return Encoder(path)
+
+
 def write_shards(docs: DataFrame, tokenizer: str, path: str, shard_tokens: int = 4_000_000) -> DataFrame:
     """Write all documents below ``path`` in ascending doc_id; returns the manifest (part, seq, path, n_docs, n_tokens)."""
 
     def run(batches):
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = _encoder(tokenizer), TaskContext.get().partitionId()
         seq, ids, names, lens, n = 0, [], [], [], 0
 
         def flush():
