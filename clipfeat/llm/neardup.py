@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .components import linked
@@ -78,8 +79,8 @@ def fingerprint_classes(rows: DataFrame) -> DataFrame:
     """``rows`` (doc_id, fp) with component_id: the smallest doc_id that links of three bits or fewer reach."""
     rows = staged(rows, "fingerprints")
     distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "distinct-fingerprints")
-    within = lambda pairs: pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 3)
-    comp = linked(_keyed(distinct, "fp", keys_within_three), within)
+    close = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 3
+    comp = linked(_keyed(distinct, "fp", keys_within_three), close("id_a", "id_b"), lambda pairs: pairs.filter(close("a", "b")))
     comp = distinct.join(comp, distinct["fp"] == comp["id"], "left").select("fp", "smallest", F.coalesce("comp", "fp").alias("comp"))
     named = comp.groupBy("comp").agg(F.min("smallest").alias("component_id"))
     return rows.join(comp.select("fp", "comp").join(named, "comp").select("fp", "component_id"), "fp")
@@ -114,7 +115,7 @@ def signatures(docs: DataFrame, prints: int = 4) -> DataFrame:
 
 
 def text_keys(sigs: DataFrame, prints: int = 4) -> DataFrame:
-    """(key, id): pairs of codewords of each fingerprint, together with a band of the text's size. Texts of a similarity of
+    """(key, id, fp): pairs of codewords of each fingerprint, together with a band of the text's size. Texts of a similarity of
     0.8 or more differ in size by a quarter at most, so a text near the edge of a band is in both bands."""
 
     def run(batches):
@@ -125,13 +126,31 @@ def text_keys(sigs: DataFrame, prints: int = 4) -> DataFrame:
                 low = np.floor(np.log2(n)).astype(np.int64)
                 high = np.floor(np.log2(n * 1.25 + 1e-6)).astype(np.int64)
                 for k in range(prints):
-                    places, keys = keys_of_pairs(part[f"fp{k}"].to_numpy(np.int64))
+                    fp = part[f"fp{k}"].to_numpy(np.int64)
+                    places, keys = keys_of_pairs(fp)
                     keys = keys | k << 26
                     both = high[places] > low[places]
                     key = np.concatenate([keys | low[places] << 30, keys[both] | high[places][both] << 30])
-                    yield pd.DataFrame({"key": key, "id": np.concatenate([ids[places], ids[places][both]])})
+                    places = np.concatenate([places, places[both]])
+                    yield pd.DataFrame({"key": key, "id": ids[places], "fp": fp[places]})
 
-    return sigs.mapInPandas(run, "key long, id long")
+    return sigs.mapInPandas(run, "key long, id long, fp long")
+
+
+def prefix_pairs(sets: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of (id, shingles) of different comp in ``members`` that can have the similarity; none that has it is lost.
+
+    With each set in the order of how few sets hold a shingle, two sets that are similar share one among the first few of each
+    (a set of n can miss a fifth of its shingles at most), and at the first one that they share there must be enough left in
+    both. So what is common to many sets, which comes late, makes no pairs by itself."""
+    each = sets.join(members, "id").select("id", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    held = each.groupBy("s").agg(F.count(F.lit(1)).alias("sets"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    rows = each.join(held, "s").withColumn("at", F.row_number().over(W.partitionBy("id").orderBy("sets", "s")))
+    rows = staged(rows.filter((F.col("low") < F.col("high")) & (F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n")) + 1)).select("s", "id", "comp", "n", "at"), "prefixes")
+    x, y = (rows.select("s", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "comp", "n", "at")]) for k in "ab")
+    left = 1 + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    enough = left * (1 + similarity) >= similarity * (F.col("n_a") + F.col("n_b")) - 1e-9
+    return x.join(y, "s").filter((F.col("comp_a") < F.col("comp_b")) & enough).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, prints: int = 4) -> DataFrame:
@@ -146,6 +165,14 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, prints: int = 4) -
         for pdf in batches:
             yield pd.DataFrame({"id": pdf["id"], "shingles": [np.unique(shingle_hashes(w, 5)).view(np.int64) for w in word_lists(pdf["text"])]})
 
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return staged(texts.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInPandas(shingled, "id long, shingles array<long>"), "shingles")
+
+    def exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        x, y = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+        both = pairs.join(x, "a").join(y, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
+        return both.filter(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
+
     def verify(pairs: DataFrame) -> DataFrame:
         sig = sigs.drop("text_key")
         a, b = (sig.select(*[F.col(c).alias(f"{c}_{s}") for c in sig.columns]) for s in "ab")
@@ -153,13 +180,13 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, prints: int = 4) -
         sizes = F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
         likely = pairs.join(a, pairs["a"] == a["id_a"]).join(b, F.col("b") == b["id_b"]).filter(sizes & (bits <= 18 * prints)).select("a", "b")
         likely = staged(likely, "likely-pairs")
-        ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-        sets = staged(texts.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInPandas(shingled, "id long, shingles array<long>"), "shingles")
-        x, y = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-        both = likely.join(x, "a").join(y, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-        return both.filter(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
+        return exact(likely, sets_of(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()))
+
+    def thorough(members: DataFrame) -> DataFrame:
+        return exact(prefix_pairs(sets := sets_of(members.select("id")), members, similarity), sets)
 
-    comp = linked(text_keys(sigs, prints), verify)
+    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= 16
+    comp = linked(text_keys(sigs, prints), near, verify, thorough)
     return sigs.join(comp, "id", "left").select("text_key", "id", F.coalesce("comp", "id").alias("component_id"))
 
 

@@ -2,6 +2,7 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from clipfeat.llm import neardup
 from clipfeat.llm.components import components, linked
@@ -38,17 +39,57 @@ def test_components(spark):
     assert got == classes(ids, [p for p in links if p[0] != p[1]])
 
 
-def test_linked_loses_no_link(spark):
+@pytest.mark.parametrize("step", [10, 40])
+def test_linked_loses_no_link(spark, step):
+    """Small buckets are compared pair by pair, big ones by stars and then between components."""
     random.seed(2)
     values = {i: random.randrange(60) for i in range(120)}
-    rows = [(v // 10, i) for i, v in values.items()]
+    rows = [(v // step, i) for i, v in values.items()]
     verify = lambda p: p.filter("abs(a % 40 - b % 40) <= 1")
-    got = {r.id: r.comp for r in linked(spark.createDataFrame(rows, "key long, id long"), verify).collect()}
-    near = [(a, b) for ka, a in rows for kb, b in rows if ka == kb and a < b and abs(a % 40 - b % 40) <= 1]
-    want = {i: c for i, c in classes(values, near).items()}
+    near = F.abs(F.col("id_a") % 40 - F.col("id_b") % 40) <= 2
+    got = {r.id: r.comp for r in linked(spark.createDataFrame(rows, "key long, id long"), near, verify).collect()}
+    links = [(a, b) for ka, a in rows for kb, b in rows if ka == kb and a < b and abs(a % 40 - b % 40) <= 1]
+    want = classes(values, links)
     assert all(got.get(i, i) == c for i, c in want.items())
 
 
+def test_prefix_pairs_lose_no_pair(spark):
+    random.seed(6)
+    base = [random.randrange(10**6) for _ in range(60)]
+    sets = {}
+    for i in range(150):
+        s = set(base)
+        for _ in range(random.randrange(0, 12)):
+            s.discard(random.choice(base))
+            s.add(random.choice([random.randrange(10**6), random.randrange(8)]))
+        sets[i] = s
+    rows = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id long, shingles array<long>")
+    members = spark.createDataFrame([(i, i - i % 3) for i in sets], "id long, comp long")
+    got = {(min(r), max(r)) for r in neardup.prefix_pairs(rows, members, 0.8).collect()}
+    sim = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    want = {(a, b) for a in sets for b in sets if a < b and a - a % 3 != b - b % 3 and sim(a, b) >= 0.8}
+    assert len(want) > 300 and want <= got
+
+
+def test_a_big_group_of_near_copies(spark):
+    """Copies of one text, most of them within reach of it and some not: as brute force has it."""
+    random.seed(8)
+    base = [f"word{random.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for _ in range(random.randrange(0, 7)):
+            w[random.randrange(150)] = f"edit{random.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    got = {r.id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: shingles(t) for i, t in rows if i in got}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = classes(sets, links)
+    assert len(links) > 300 and len(set(want.values())) > 1
+    assert sum(got[i] == want[i] for i in got) >= 0.97 * len(got)
+    assert all(want[a] == want[b] for a in got for b in got if got[a] == got[b])
+
+
 @pytest.mark.parametrize("make", [documents, empty])
 def test_fingerprints_and_classes(spark, make):
     docs = make(spark)
