@@ -97,13 +97,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def signatures(docs: DataFrame, prints: int = 4) -> DataFrame:
     """(id, n, fp0, fp1, ...): for each distinct text its smallest doc_id, its number of distinct five-word shingles, and
-    several SimHashes of its three-word shingles. Only these small rows are shuffled, not the texts."""
+    several SimHashes of its distinct three-word shingles: like the similarity that decides, they don't see how often a
+    passage comes in a text. Only these small rows are shuffled, not the texts."""
 
     def run(batches):
         for pdf in batches:
             out = []
             for w in word_lists(pdf["text"]):
-                h = shingle_hashes(w, 3)
+                h = np.unique(shingle_hashes(w, 3))
                 fps = [majority(mix(h ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1))) for k in range(prints)]
                 out.append((len(np.unique(shingle_hashes(w, 5))), *fps))
             yield pd.concat([pdf[["doc_id", "text_key"]].reset_index(drop=True), pd.DataFrame(out, columns=["n", *names])], axis=1)

@@ -138,6 +138,22 @@ def test_near_duplicates_hold_similar_texts_and_no_others(spark):
     assert sum(got[a] == got[b] for a, b in pairs) >= 0.95 * len(pairs) and len(pairs) > 20
 
 
+def test_repeated_lines_do_not_part_similar_texts(spark):
+    """The same line once or many times: nearly equal sets, so the fingerprints are close and the texts are one class."""
+    random.seed(9)
+    word = lambda: "".join(random.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for i in range(0, 60, 2):
+        base, line = [word() for _ in range(200)], [word() for _ in range(12)]
+        rows += [(i, " ".join(base + line)), (i + 1, " ".join(base + line * random.choice([5, 10, 20])))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fps = {r.id: [r[f"fp{k}"] for k in range(4)] for r in neardup.signatures(docs).collect()}
+    bits = [sum(((a ^ b) % 2**64).bit_count() for a, b in zip(fps[i], fps[i + 1], strict=True)) for i in range(0, 60, 2)]
+    assert max(bits) <= 72
+    got = {r.id: r.component_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(60)}
+
+
 @pytest.mark.parametrize("make", [documents, empty])
 def test_one_of_each_keeps_columns_and_rows(spark, make):
     docs = make(spark)
