@@ -33,41 +33,42 @@ def components(links: DataFrame) -> DataFrame:
 BIG = 16
 
 
-def linked(keys: DataFrame, near: Column, verify: Callable[[DataFrame], DataFrame], thorough: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def linked(keys: DataFrame, near: Column, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(id, comp) of the ids that are linked, directly or over others, among those that share a key in ``keys`` (key, id, ...).
 
     ``verify`` takes candidate pairs (a, b) and returns those that are links; ``near`` is a cheap test over the columns of two
     records (id_a, id_b, ...) that every link passes. In a small bucket all pairs are candidates. In a big one each id is held
-    against the smallest; ids linked so far are one component, and a link inside a component changes nothing. What is left of
-    the big buckets, links between different components, is found by ``thorough``: it gets all ids of big buckets (id, comp) and
-    returns every link between different components, so two such ids need not be compared in a small bucket either. Without
-    it, the big buckets that still hold two components are compared pair by pair. No link between components is lost, and a
-    big bucket of alike records costs as many comparisons as it has records."""
+    against the smallest; ids linked so far are one component, and a link inside a component changes nothing. The big buckets
+    that still hold two components are compared pair by pair. No link between components is lost, and a big bucket of alike
+    records costs as many comparisons as it has records."""
     columns = [c for c in keys.columns if c != "key"]
     side = lambda df, s, more=(): df.select("key", *[F.col(c).alias(f"{c}_{s}") for c in (*columns, *more)])
     spans = keys.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).filter("first < last")
-    shared = keys.join(spans.select("key", "first", "n"), "key")
-    if thorough:  # an id has as many rows as keys, so these windows are small
-        shared = shared.withColumn("top", F.max("n").over(W.partitionBy("id")))
-    shared = staged(shared, "buckets")
+    shared = staged(keys.join(spans.select("key", "first", "n"), "key"), "buckets")
     small, big = shared.filter(F.col("n") < BIG), shared.filter(F.col("n") >= BIG)
-    compared = (F.col("top_a") < BIG) | (F.col("top_b") < BIG) if thorough else F.lit(True)
-    more = ("top",) if thorough else ()
-    pairs = side(small, "a", more).join(side(small, "b", more), "key").filter((F.col("id_a") < F.col("id_b")) & near & compared).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    pairs = side(small, "a").join(side(small, "b"), "key").filter((F.col("id_a") < F.col("id_b")) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     stars = big.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     found = components(verify(pairs.union(stars).distinct()))
-    if thorough:
-        members = staged(big.select("id").distinct().join(found, "id", "left").select("id", F.coalesce("comp", "id").alias("comp")), "members")
-        if members.isEmpty():
-            return found
-        links = thorough(members)
-    else:
-        rest = staged(big.select("key", *columns).join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "rest")
-        mixed = rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
-        rest = staged(rest.join(mixed, "key"), "mixed")
-        if rest.isEmpty():
-            return found
-        x, y = side(rest, "a", ("comp",)), side(rest, "b", ("comp",))
-        links = verify(x.join(y, "key").filter((F.col("comp_a") < F.col("comp_b")) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
-    links = staged(links, "more-links")
+    rest = staged(big.select("key", *columns).join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "rest")
+    mixed = rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
+    rest = staged(rest.join(mixed, "key"), "mixed")
+    if rest.isEmpty():
+        return found
+    x, y = side(rest, "a", ("comp",)), side(rest, "b", ("comp",))
+    links = staged(verify(x.join(y, "key").filter((F.col("comp_a") < F.col("comp_b")) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()), "more-links")
+    return components(found.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(links.select("a", "b")))
+
+
+def linked_throughout(ids: DataFrame, keys: DataFrame, near: Column, verify: Callable[[DataFrame], DataFrame], thorough: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(id, comp) of the ``ids`` (id) that are linked, directly or over others, whether they share a key in ``keys`` or not.
+
+    The keys only save work: in each bucket every id is held against the smallest, and what ``near`` and ``verify`` let through
+    is one component. ``thorough`` then gets all ids with their component (id, comp) and returns every link between different
+    components, so no link is lost by its keys, by ``near`` or by the size of a bucket."""
+    columns = [c for c in keys.columns if c != "key"]
+    first = F.first(F.struct(*columns)).over(W.partitionBy("key").orderBy("id").rowsBetween(W.unboundedPreceding, 0))
+    stars = keys.select(*[F.col(c).alias(f"{c}_a") for c in columns], first.alias("first")).select("*", *[F.col(f"first.{c}").alias(f"{c}_b") for c in columns])
+    found = components(verify(stars.filter((F.col("id_a") != F.col("id_b")) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()))
+    members = staged(ids.join(found, "id", "left").select("id", F.coalesce("comp", "id").alias("comp")), "members")
+    links = staged(thorough(members), "more-links")
     return components(found.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(links.select("a", "b")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .components import linked
+from .components import linked, linked_throughout
 from .golay import keys_of_pairs, keys_within_three
 from .shared import staged, table
 from .words import mix, shingle_hashes, word_lists
@@ -138,16 +138,70 @@ def text_keys(sigs: DataFrame, prints: int = 4) -> DataFrame:
     return sigs.mapInPandas(run, "key long, id long, fp long")
 
 
-def prefix_pairs(sets: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
+#: Places of the table of common shingles, a byte each, and how many of them make a block.
+PLACES, BLOCK = 1 << 22, 1 << 12
+
+
+def common_shingles(sets: DataFrame, read=iter) -> np.ndarray:
+    """For each place (a shingle's lowest bits) about the logarithm of how many sets hold its most common shingle; 0 where none is
+    seen twice in some texts of a task. Of a fixed size; it only orders shingles, so its errors cost time and no result."""
+
+    def repeated(parts):
+        held = np.sort(np.concatenate([np.zeros(0, np.int64), *parts]))
+        starts = np.flatnonzero(np.diff(held, prepend=held[:1] - 1))
+        n = np.diff(starts, append=len(held))
+        return pd.DataFrame({"s": held[starts[n > 1]], "n": n[n > 1]})
+
+    def counted(batches):
+        parts, size = [], 0
+        for pdf in read(batches):
+            parts += [np.asarray(s, np.int64) for s in pdf["shingles"]]
+            size += sum(map(len, pdf["shingles"]))
+            if size > 2_000_000:
+                yield repeated(parts)
+                parts, size = [], 0
+        yield repeated(parts)
+
+    def packed(key, pdf):
+        block = np.zeros(BLOCK, np.uint8)
+        block[pdf["place"].to_numpy(np.int64) % BLOCK] = np.log2(pdf["n"].to_numpy(np.float64)) + 1
+        return pd.DataFrame({"block": [key[0]], "levels": [block.tobytes()]})
+
+    rows = sets.mapInPandas(counted, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    rows = rows.groupBy(F.col("s").bitwiseAND(F.lit(PLACES - 1)).alias("place")).agg(F.max("n").alias("n"))
+    rows = rows.withColumn("block", F.floor(F.col("place") / BLOCK).cast("long")).groupBy("block").applyInPandas(packed, "block long, levels binary")
+    table = np.zeros((PLACES // BLOCK, BLOCK), np.uint8)
+    for r in rows.toLocalIterator():
+        table[r.block] = np.frombuffer(bytes(r.levels), np.uint8)
+    return table.reshape(-1)
+
+
+def prefix_pairs(sets: DataFrame, members: DataFrame, similarity: float, read=iter) -> DataFrame:
     """(a, b): all pairs of (id, shingles) of different comp in ``members`` that can have the similarity; none that has it is lost.
 
-    With each set in the order of how few sets hold a shingle, two sets that are similar share one among the first few of each
-    (a set of n can miss a fifth of its shingles at most), and at the first one that they share there must be enough left in
-    both. So what is common to many sets, which comes late, makes no pairs by itself."""
-    each = sets.join(members, "id").select("id", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    held = each.groupBy("s").agg(F.count(F.lit(1)).alias("sets"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    rows = each.join(held, "s").withColumn("at", F.row_number().over(W.partitionBy("id").orderBy("sets", "s")))
-    rows = staged(rows.filter((F.col("low") < F.col("high")) & (F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n")) + 1)).select("s", "id", "comp", "n", "at"), "prefixes")
+    With each set in one order, that of the levels of ``common_shingles`` and then of the hashes, two sets that are similar share
+    a shingle among the first few of each (a set of n can miss a fifth of its shingles at most), and at the first one that they
+    share there must be enough left in both. So what is common to many sets, which comes late, makes no pairs by itself. Only
+    those first few are shuffled, once, and most of them are held by one set. ``read`` makes batches of (id, shingles) of those of
+    ``sets``, in the same worker."""
+    levels = common_shingles(sets, read)
+
+    def prefixes(batches):
+        for pdf in read(batches):
+            for at in range(0, len(pdf), 500):
+                part, out = pdf.iloc[at : at + 500], []
+                for i, s in zip(part["id"], part["shingles"], strict=True):
+                    s = np.asarray(s, np.int64)
+                    first = s[np.lexsort((s, levels[s & (PLACES - 1)]))][: len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1]
+                    out.append((np.full(len(first), i, np.int64), np.full(len(first), len(s), np.int32), np.arange(1, len(first) + 1, dtype=np.int32), first))
+                yield pd.DataFrame(dict(zip(("id", "n", "at", "s"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+
+    def shared(rows: DataFrame, column: str) -> DataFrame:
+        whole = W.partitionBy("s")
+        return rows.withColumn("low", F.min(column).over(whole)).withColumn("high", F.max(column).over(whole)).filter("low < high").drop("low", "high")
+
+    rows = shared(sets.mapInPandas(prefixes, "id long, n int, at int, s long"), "id")
+    rows = staged(shared(staged(rows, "shared-shingles").join(members, "id"), "comp"), "prefixes")
     x, y = (rows.select("s", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "comp", "n", "at")]) for k in "ab")
     left = 1 + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     enough = left * (1 + similarity) >= similarity * (F.col("n_a") + F.col("n_b")) - 1e-9
@@ -157,14 +211,21 @@ def prefix_pairs(sets: DataFrame, members: DataFrame, similarity: float) -> Data
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, prints: int = 4) -> DataFrame:
     """(text_key, id, component_id): one row per distinct text; the class is named by its smallest doc_id.
 
-    Candidates share two codewords of a fingerprint; the number of differing bits of all fingerprints drops most that are
-    not alike, and the exact similarity of the sets of five-word shingles decides."""
+    First, texts that share two codewords of a fingerprint and differ in few bits of all fingerprints are held against one
+    another; that leaves less to the second step, which finds every other link by the rarest shingles of all texts. In both
+    the exact similarity of the sets of five-word shingles decides."""
     sigs = staged(signatures(docs, prints), "signatures")
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
 
     def shingled(batches):
         for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "shingles": [np.unique(shingle_hashes(w, 5)).view(np.int64) for w in word_lists(pdf["text"])]})
+            for at in range(0, len(pdf), 500):
+                part = pdf.iloc[at : at + 500]
+                yield pd.DataFrame({"id": part["id"], "shingles": [np.unique(shingle_hashes(w, 5)).view(np.int64) for w in word_lists(part["text"])]})
+
+    def once(batches):  # most copies of a text go here, the smallest doc_id of all stays
+        for pdf in batches:
+            yield from shingled([pdf.sort_values("id").drop_duplicates("text")])
 
     def sets_of(ids: DataFrame) -> DataFrame:
         return staged(texts.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInPandas(shingled, "id long, shingles array<long>"), "shingles")
@@ -184,10 +245,11 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, prints: int = 4) -
         return exact(likely, sets_of(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()))
 
     def thorough(members: DataFrame) -> DataFrame:
-        return exact(prefix_pairs(sets := sets_of(members.select("id")), members, similarity), sets)
+        pairs = staged(prefix_pairs(texts, members, similarity, once), "prefix-pairs")
+        return exact(pairs, sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
 
     near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= 16
-    comp = linked(text_keys(sigs, prints), near, verify, thorough)
+    comp = linked_throughout(sigs.select("id"), text_keys(sigs, prints), near, verify, thorough)
     return sigs.join(comp, "id", "left").select("text_key", "id", F.coalesce("comp", "id").alias("component_id"))
 
 
