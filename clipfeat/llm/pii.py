@@ -1,10 +1,10 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
 Emails, addresses of machines, card and phone numbers are found by pattern; they are the protected entities. The words
-near them are weighed by what they disclose: with the documents that hold the word, the entity, or the word near the
-entity counted over the whole corpus, the pointwise mutual information of word and entity divided by the entity's
+of their documents are weighed by what they disclose: with the documents that hold the word, the entity, or both counted
+over the whole corpus, wherever in a document they are, the pointwise mutual information of word and entity divided by the entity's
 information says which part of the entity the word gives away. From ``generalise`` on a word is replaced by a mark of its
-kind, from ``remove`` on it goes; a pair counts only if ``support`` different texts hold it, since what one text says of
+kind, from ``remove`` on it goes, at every place in the documents that hold the entity; a pair counts only if ``support`` different texts hold it, since what one text says of
 itself discloses nothing about others.
 
 Cases: a null or empty text has no span; matches that fail their check are dropped and not tried again; repeated rows get
@@ -32,7 +32,6 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
-NEAR = 64
 _TERM = r"\p{L}{4,}"
 
 
@@ -85,60 +84,73 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return rows.withColumn("base", F.array_sort(F.concat(*spans))).drop(*[f"_{k}" for k in KINDS], *[f"_{k}_gaps" for k in KINDS])
 
 
-def _near_terms(text: Column, base: Column) -> Column:
-    """(entity, term, start, end) of the words of four letters or more within ``NEAR`` characters of each span and in no span.
-    Words that the edge of this context may cut are left out."""
+def _parts(text: Column, base: Column) -> Column:
+    """(at, part): what is left of a text between its spans."""
+    parts = "array<struct<at:int,part:string>>"
+    part = lambda low, high: F.array(F.struct(low.alias("at"), F.substr(text, low + 1, high - low).alias("part"))).cast(parts)
+    step = lambda a, s: F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] > a["at"], F.concat(a["parts"], part(a["at"], s["start"]))).otherwise(a["parts"]).alias("parts"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(parts).alias("parts"))
+    return F.aggregate(base, start, step, lambda a: F.concat(a["parts"], part(a["at"], F.length(text))))
 
-    def around(s):
-        low = F.greatest(F.lit(0), s["start"] - NEAR)
-        left, right = F.substr(text, low + 1, s["start"] - low), F.substr(text, s["end"] + 1, F.lit(NEAR))
 
-        def terms(part, offset, cut_left, cut_right):
-            hits, gaps = _placed(part, _TERM)
-            found = F.transform(hits, lambda w, i: F.struct(F.concat_ws(":", s["kind"], F.lower(s["value"])).alias("entity"), F.lower(w).alias("term"), (offset + _starts(hits, gaps, i)).alias("start"), (offset + _starts(hits, gaps, i) + F.length(w)).alias("end")))
-            return F.filter(found, lambda t: ~(cut_left & (t["start"] == offset)) & ~(cut_right & (t["end"] == offset + F.length(part))))
+def _words(parts: Column) -> Column:
+    """The distinct terms of a text outside its spans."""
+    return F.array_distinct(F.flatten(F.transform(parts, lambda p: F.transform(F.regexp_extract_all(p["part"], F.lit(_TERM), F.lit(0)), F.lower))))
 
-        no = F.lit(False)
-        return F.concat(terms(left, low, low > 0, no), terms(right, s["end"], no, s["end"] + NEAR < F.length(text)))
 
-    free = lambda t: ~F.exists(base, lambda s: (t["start"] < s["end"]) & (t["end"] > s["start"]))
-    return F.array_distinct(F.filter(F.flatten(F.transform(base, around)), free))
+def _term_spans(parts: Column, actions: Column) -> Column:
+    """Every occurrence of the terms in the map ``actions`` outside the spans of a text."""
 
+    def found(p):
+        hits, gaps = _placed(p["part"], _TERM)
+        risky = F.filter(F.transform(hits, lambda w, i: F.struct(w.alias("w"), i.alias("i"), F.element_at(actions, F.lower(w)).alias("action"))), lambda t: t["action"].isNotNull())
 
-def disclosures(docs: DataFrame, found: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
-    """(entity, term, disclosed, action) of the words that give away too much, from counts over all documents."""
+        def span(t):
+            start = p["at"] + _starts(hits, gaps, t["i"])
+            return F.struct(start.alias("start"), F.lit(len(KINDS)).alias("rank"), (start + F.length(t["w"])).alias("end"), F.lit("term").alias("kind"), t["action"].alias("value"))
+
+        return F.transform(risky, span)
+
+    return F.flatten(F.transform(parts, found)).cast(_SPAN)
+
+
+def disclosures(docs: DataFrame, found: DataFrame, held: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
+    """(entity, term, disclosed, action) of the words that give away too much, from counts over all documents.
+
+    An entity of fewer than ``support`` texts has no pair that counts, so its words are not looked at."""
     n = docs.count()
-    seen = found.filter(F.size("near") > 0).select("text_key", F.explode(F.array_distinct(F.transform("near", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p"))
-    by_text = seen.groupBy("p.entity", "p.term", "text_key").agg(F.count(F.lit(1)).alias("docs"))
-    pairs = by_text.groupBy("entity", "term").agg(F.sum("docs").alias("n_pair"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
+    entities = held.groupBy("entity").agg(F.sum("docs").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
+    often = held.join(entities.filter(F.col("texts") >= support).select("entity"), "entity")
+    texts = found.filter(F.size("words") > 0).select("text_key", "words").dropDuplicates(["text_key"])
+    pairs = often.join(texts, "text_key").select("entity", "docs", F.explode("words").alias("term"))
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("docs").alias("n_pair"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
     pairs = staged(pairs, "pii-pairs")
-    entities = found.select(F.explode(F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term"))
     words = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     known = F.log2(F.lit(float(max(n, 2))) / F.col("n_entity"))
     mutual = F.log2(F.col("n_pair") * F.lit(float(max(n, 2))) / (F.col("n_term") * F.col("n_entity")))
-    out = pairs.join(entities, "entity").join(words, "term").withColumn("disclosed", F.when(known > 0, mutual / known).otherwise(F.lit(0.0)))
+    out = pairs.join(entities.select("entity", "n_entity"), "entity").join(words, "term").withColumn("disclosed", F.when(known > 0, mutual / known).otherwise(F.lit(0.0)))
     return out.filter(F.col("disclosed") >= generalise).select("entity", "term", "disclosed", F.when(F.col("disclosed") >= remove, "remove").otherwise("generalise").alias("action"))
 
 
 def find_personal_data(docs: DataFrame, generalise: float = 0.7, remove: float = 0.9, support: int = 3) -> DataFrame:
-    """(doc_id, text_key, base, terms): the spans by pattern, and those of words that disclose too much near them.
+    """(doc_id, text_key, base, terms): the spans by pattern, and those of words that disclose too much of an entity of their text.
 
-    One pass over the texts finds the spans and the words near them, one more counts words; only spans, words and counts
-    are shuffled. Counts are summed before each shuffle, so a common word or entity is one row per task."""
+    One pass over the texts finds the spans and the words of the texts that have any, one more counts words. Counts are summed
+    before each shuffle, so a common word or entity is one row per task."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = base_spans(docs).withColumn("text_key", F.md5("text"))
-    found = base.select("doc_id", "text_key", "base", F.when(F.size("base") > 0, _near_terms(F.col("text"), F.col("base"))).otherwise(F.array().cast("array<struct<entity:string,term:string,start:int,end:int>>")).alias("near"))
-    found = staged(found, "pii-spans")
-    risky = staged(disclosures(docs, found, generalise, remove, support), "pii-terms")
-    near = found.filter(F.size("near") > 0).select("text_key", F.explode("near").alias("t")).select("text_key", "t.*").distinct()
-    terms = near.join(risky, ["entity", "term"]).groupBy("text_key", "start", "end").agg(F.max("action").alias("action"))
-    span = F.struct(F.col("start"), F.lit(len(KINDS)).alias("rank"), F.col("end"), F.lit("term").alias("kind"), F.col("action").alias("value"))
-    terms = terms.groupBy("text_key").agg(F.array_sort(F.collect_list(span)).cast(_SPAN).alias("terms"))
-    with_terms = found.filter(F.size("near") > 0).select("doc_id", "text_key", "base").join(terms, "text_key", "left")
-    rest = found.filter(F.size("near") == 0).select("doc_id", "text_key", "base", F.lit(None).cast(_SPAN).alias("terms"))
+    parts = F.when(F.size("base") > 0, _parts(F.col("text"), F.col("base"))).otherwise(F.array().cast("array<struct<at:int,part:string>>"))
+    found = staged(base.select("doc_id", "text_key", "base", parts.alias("parts")).withColumn("words", _words(F.col("parts"))), "pii-spans")
+    held = found.select("text_key", F.explode(F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))).alias("entity"))
+    held = staged(held.groupBy("entity", "text_key").agg(F.count(F.lit(1)).alias("docs")), "pii-entities")
+    risky = staged(disclosures(docs, found, held, generalise, remove, support), "pii-terms")
+    actions = held.join(risky, "entity").groupBy("text_key", "term").agg(F.max("action").alias("action"))
+    actions = actions.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions"))
     none = F.array().cast(_SPAN)
-    return with_terms.select("doc_id", "text_key", "base", F.coalesce("terms", none).alias("terms")).union(rest.withColumn("terms", F.coalesce("terms", none)))
+    with_terms = found.filter(F.size("base") > 0).select("doc_id", "text_key", "base", "parts").join(actions, "text_key", "left")
+    with_terms = with_terms.select("doc_id", "text_key", "base", F.when(F.col("actions").isNotNull(), F.array_sort(_term_spans(F.col("parts"), F.col("actions")))).otherwise(none).alias("terms"))
+    return with_terms.union(found.filter(F.size("base") == 0).select("doc_id", "text_key", "base", none.alias("terms")))
 
 
 def listed(spans: Column) -> Column:

@@ -84,6 +84,17 @@ def test_terms_that_give_an_entity_away(spark):
     assert not rows[90].terms and not rows[91].terms and not rows[12].terms
 
 
+def test_terms_far_from_their_entity(spark):
+    """A nickname hundreds of characters away is found, at each of its places; a common word is not."""
+    far = " ".join(["common"] * 60)
+    docs = [(i, f"Zorblatt {far} ann@x.org {far} zorblatt, zorblatts zorblatt{i}") for i in range(5)] + [(10 + i, f"{far} {i}") for i in range(40)]
+    rows = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, text in docs[:5]:
+        want = [(m.start(), m.end()) for m in re.finditer(r"(?i)zorblatts?", text)]
+        assert len(want) == 4 and [(s.start, s.end) for s in rows[i].terms] == want
+    assert not any(rows[i].terms for i, _ in docs[5:])
+
+
 def test_sanitised(spark):
     span = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
     rows = spark.createDataFrame([("write bob at a@b.co now", [(6, 4, 9, "term", "remove"), (13, 0, 19, "email", ""), (14, 3, 16, "phone", "")]), ("none", [])], f"text string, spans {span}")
