@@ -95,6 +95,25 @@ def batches(spark, d):
     return clips.batches(frames(spark, d), 7, ["frame_idx"], limit=60).groupBy("video_id", "batch_id").agg(F.count(F.lit(1)).alias("n"), F.min("frame_idx").alias("first_frame"))
 
 
+@query("""WITH t AS (SELECT doc_id AS video_id, n_chars AS total, CAST(greatest(0, floor((n_chars - 16) / 8.0)) + 1 AS BIGINT) AS n FROM documents WHERE n_chars > 0),
+c AS (SELECT *, unnest(range(0, n, 30)) AS first_clip FROM t)
+SELECT video_id, first_clip // 30 AS chunk_id, first_clip, least(30, n - first_clip) AS n_clips, first_clip * 8 AS first_frame,
+  least((least(30, n - first_clip) - 1) * 8 + 16, total - first_clip * 8) AS n_frames FROM c""")
+def clip_chunks_whole(spark, d):
+    return clips.chunk_plan(media(spark, d), 16, 8, 30)
+
+
+@query(f"WITH {FRAMES} SELECT video_id, frame_idx // 7 AS batch_id, count(*) AS n, min(frame_idx) AS first_frame FROM frames GROUP BY ALL")
+def batches_whole(spark, d):
+    return clips.batches(frames(spark, d), 7, ["frame_idx"]).groupBy("video_id", "batch_id").agg(F.count(F.lit(1)).alias("n"), F.min("frame_idx").alias("first_frame"))
+
+
+@query("SELECT doc_id AS video_id, CAST(greatest(0, floor((CAST(trunc(n_chars / 7.0 * 16) AS BIGINT) - 16) / 8.0)) + 1 AS BIGINT) AS n_clips FROM documents")
+def expected_clips_whole(spark, d):
+    rows = media(spark, d).withColumn("duration", F.col("total") / 7.0)
+    return rows.select("video_id", fw.expected_clips("duration").cast("long").alias("n_clips"))
+
+
 @query(f"""WITH {FRAMES}, k AS (SELECT *, CAST(floor((pts - min(pts) OVER (PARTITION BY video_id)) * (1 / 3600e0) + 0.5) AS BIGINT) AS tick FROM frames),
 l AS (SELECT video_id, tick, arg_max(frame_idx, pts) AS frame_idx, arg_max(value, pts) AS value FROM k GROUP BY video_id, tick),
 m AS (SELECT *, coalesce(lead(tick) OVER (PARTITION BY video_id ORDER BY tick) - 1, tick) AS till FROM l)

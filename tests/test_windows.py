@@ -137,3 +137,18 @@ def test_map_items_keeps_what_came_before_an_error(spark):
 
     got = sorted(tuple(r) for r in encode.map_items(spark.createDataFrame([(1,), (2,)], "item long"), fn, "long").collect())
     assert got == [(1, 0, 1, None), (1, 1, 10, None), (2, 0, 2, None), (2, 1, None, "ValueError('no')")]
+
+
+def test_whole_queries_drop_nothing(spark, sf_dir):
+    """The registered queries without a limit keep all clips and rows of the tables."""
+    import duckdb
+
+    from clipfeat.queries import registered
+
+    q = registered()[0]
+    count = lambda sql: duckdb.sql(sql).fetchall()[0][0]
+    clips = f"SELECT CAST(sum(greatest(0, floor((n_chars - 16) / 8.0)) + 1) AS BIGINT), max(n_chars) FROM '{sf_dir}/documents.parquet' WHERE n_chars > 0"
+    want, longest = duckdb.sql(clips).fetchall()[0]
+    assert longest > 8100 and q["clip_chunks_whole"](spark, sf_dir).agg({"n_clips": "sum"}).first()[0] == want
+    assert q["batches_whole"](spark, sf_dir).agg({"n": "sum"}).first()[0] == count(f"SELECT count(*) FROM '{sf_dir}/events.parquet'")
+    assert q["expected_clips_whole"](spark, sf_dir).agg({"n_clips": "max"}).first()[0] > 400
