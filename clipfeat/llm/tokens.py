@@ -9,14 +9,17 @@ an empty table writes no shard and gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import os
-import re
+import string
 import uuid
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -27,54 +30,120 @@ from .wavelet import pack, unpack
 
 END = 0
 
-#: Where white space follows a space, a piece of text between spaces may be encoded otherwise on its own.
-_UNSURE = re.compile(r" \s|<\||\0")
-_MARKS = ".,;:!?)"
+#: White space that may be a token together with what follows it: such a text is encoded whole. Elsewhere each run of white
+#: space is a single character, two line feeds before a word, or a line feed and a word's space.
+_OTHER = r"\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_UNSURE = rf"[ {_OTHER}][ \n{_OTHER}]|\n[{_OTHER}]|\n[ \n{_OTHER}][ \n{_OTHER}]|\n[ \n{_OTHER}]\z|<\||\x00"
+_MARKS = string.punctuation
+#: Byte-level models write a visible byte of Latin-1 as that character and the others as those from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_LETTERS = {b: b for b in _VISIBLE} | {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_SPACE = chr(_LETTERS[32])
 
 
 class Encoder:
     """Byte-level BPE by the tokenizers library.
 
-    The pre-tokenizer always parts a text before a single space that a word follows, so a text is cut there and each
-    piece is encoded once for as long as it is remembered; texts with other white space after a space, or with the look
-    of a special token, are encoded whole. The memory of pieces is bounded."""
+    The pre-tokenizer always parts a text before a single space that a word follows and around a single line feed, so a text
+    is cut there and each piece is encoded once for as long as it is remembered. Arrow cuts a batch and numbers its distinct
+    pieces; only those are looked up, and NumPy puts the ids together. Texts with other white space after white space, or with
+    the look of a special token, are encoded whole. The memory of pieces is bounded."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        from tokenizers import Tokenizer, decoders
+
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        #: A piece that the pre-tokenizer leaves whole goes straight to the model, its bytes written as the model's letters.
+        self.direct = self.tokenizer.model.tokenize if isinstance(self.tokenizer.decoder, decoders.ByteLevel) else None
+        self.known: dict[str, int] = {}
+        self.size = 0
+        self.starts, self.lens, self.seen, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, "<u4")
+
+    def _forget(self) -> None:
+        """Keep the half that most batches had; what comes once, mostly the larger part, goes."""
+        kept = np.sort(np.argsort(-self.seen[: len(self.known)], kind="stable")[: self.limit // 2])
+        names, lens, seen = list(self.known), self.lens[kept], self.seen[kept] // 2
+        ends = np.cumsum(lens)
+        self.size = int(ends[-1]) if len(ends) else 0
+        self.flat[: self.size] = self.flat[np.repeat(self.starts[kept] - (ends - lens), lens) + np.arange(self.size)]
+        self.known = {names[k]: i for i, k in enumerate(kept.tolist())}
+        self.starts[: len(kept)], self.lens[: len(kept)], self.seen[: len(kept)] = ends - lens, lens, seen
+
+    def _whole(self, piece: str) -> list[int]:
+        """The ids of a piece that is one token to the pre-tokenizer."""
+        if piece.isascii():
+            text = _SPACE + piece[1:] if piece[0] == " " else piece
+        else:
+            text = piece.encode().decode("latin-1").translate(_LETTERS)
+        return [t.id for t in self.direct(text)]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces that are not known. Letters and the marks after them are tokens apart, so marks are added to known words."""
-        bare = {p: w for p in pieces if (w := p.rstrip(_MARKS)) != p and w[w[:1] == " " :].isalpha()}
-        need = [p for p in {*pieces, *bare.values()} - bare.keys() | {p[len(w) :] for p, w in bare.items()} if p not in self.known]
-        for k in range(0, len(need), 2_000):
-            part = need[k : k + 2_000]
-            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ends = np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part))) * 4
-            raw = np.array(found.ids, "<u4").tobytes()
-            self.known.update((p, raw[a:b]) for p, a, b in zip(part, [0, *ends.tolist()], ends.tolist(), strict=False))
-        for p, w in bare.items():
-            self.known[p] = self.known[w] + self.known[p[len(w) :]]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each whole text."""
+        """Encode pieces that are not known. Letters, digits and the marks after them are tokens apart to the pre-tokenizer."""
+        found, rest, parts = {}, [], {"": []}
+        for p in pieces:
+            core = p.rstrip(_MARKS)
+            bare = core[core[:1] == " " :]
+            if self.direct and (bare.isalpha() or bare.isdecimal()):
+                tail = p[len(core) :]
+                for x in (core, tail):
+                    if x not in parts:
+                        parts[x] = self._whole(x)
+                found[p] = parts[core] + parts[tail]
+            else:
+                rest.append(p)
+        for k in range(0, len(rest), 2_000):
+            part = rest[k : k + 2_000]
+            got = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ends = np.cumsum(np.bincount(np.array(got.word_ids, np.int64), minlength=len(part))).tolist()
+            found.update((p, got.ids[a:b]) for p, a, b in zip(part, [0, *ends], ends, strict=False))
+        lens = np.fromiter(map(len, found.values()), np.int64, len(found))
+        first, used = len(self.known), self.size + int(lens.sum())
+        self.known.update(zip(found, range(first, first + len(found)), strict=True))
+        if len(self.known) > len(self.starts):
+            more = np.zeros(len(self.known), np.int64)
+            self.starts, self.lens, self.seen = (np.concatenate([x, more]) for x in (self.starts, self.lens, self.seen))
+        if used > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(used, "<u4")])
+        self.flat[self.size : used] = np.fromiter(itertools.chain.from_iterable(found.values()), "<u4", used - self.size)
+        self.lens[first : len(self.known)] = lens
+        self.seen[first : len(self.known)] = 0
+        self.starts[first : len(self.known)] = self.size + np.cumsum(lens) - lens
+        self.size = used
+
+    def _pieces(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of texts that may be cut."""
+        cut = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0"), "\0")
+        pieces = cut.flatten().dictionary_encode()
+        if len(self.known) > self.limit:
+            self._forget()
+        names = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if fresh := [p for p in names if p not in self.known]:
+            self._learn(fresh)
+        place = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        self.seen[place] += 1
+        place = place[pieces.indices.to_numpy()]
+        lens = self.lens[place]
+        ends = np.cumsum(lens)
+        ids = self.flat[np.repeat(self.starts[place] - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)]
+        of_text = np.concatenate([np.zeros(1, np.int64), ends])[np.asarray(cut.offsets) - cut.offsets[0].as_py()].tolist()
+        return [ids[a:b] for a, b in itertools.pairwise(of_text)]
+
+    def encode(self, texts: list[str], at_once: int = 2_000_000) -> list[np.ndarray]:
+        """The ids of each whole text, some MB of text at a time."""
         out: list = [None] * len(texts)
-        for first in range(0, len(texts), 256):
-            if len(self.known) > self.limit:
-                self.known = {"": b""}
-            self.known.setdefault("", b"")
-            pieces = {}
-            for i in range(first, min(first + 256, len(texts))):
-                if _UNSURE.search(texts[i]):
-                    out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4")
-                else:
-                    pieces[i] = texts[i].replace(" ", "\0 ").split("\0")
-            if fresh := set().union(*pieces.values()).difference(self.known):
-                self._learn(list(fresh))
-            for i, p in pieces.items():
-                out[i] = np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4")
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + at_once, "right")))
+            part = pa.array(texts[first:last], pa.string())
+            unsure = pc.match_substring_regex(part, _UNSURE)
+            for i in (first + np.flatnonzero(unsure)).tolist():
+                out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4")
+            sure = (first + np.flatnonzero(pc.invert(unsure))).tolist()
+            for i, x in zip(sure, self._pieces(part.take(pa.array(np.array(sure, np.int64) - first))), strict=True):
+                out[i] = x
+            first = last
         return out
 
 
