@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import staged, table
 
 ESCAPE = "\\"
 
@@ -103,7 +103,7 @@ def format_conversations(rows: DataFrame, template: Template | None = None) -> D
 
 
 def read_back(formatted: DataFrame, template: Template | None = None) -> DataFrame:
-    """Digests of each conversation, from formatted turns in order: roles and texts are parsed from the formatted text."""
+    """Digests of each conversation, from a table of formatted turns: roles and texts are parsed from the formatted text."""
     t = template or Template()
     kind = formatted.schema["conv_id"].dataType.simpleString()
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"]
@@ -134,14 +134,15 @@ def read_back(formatted: DataFrame, template: Template | None = None) -> DataFra
         if held:
             yield pd.DataFrame([closed(held)], columns=names)
 
-    return formatted.mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")
+    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
+    return ordered.mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One shuffle of the turns; formatting and reading back stream behind it in the same tasks."""
+    """One shuffle of the turns and formatting behind it into a table; that table is read, put in order and parsed."""
     probe = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    return read_back(format_conversations(rows.unionByName(probe)))
+    return read_back(staged(format_conversations(rows.unionByName(probe)), "formatted"))
 
 
 SQL = r"""

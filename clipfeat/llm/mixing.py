@@ -12,7 +12,7 @@ source of size 0 has target 0; an empty table gives no rows; extra columns are i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,10 +24,15 @@ RANGE_ROWS = 20_000
 _KEYS = 1 << 60
 
 
+def random_key(doc_id: Column) -> Column:
+    """60 bits of the MD5 of a doc_id."""
+    digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("null")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, key): the words of each whole text, and a key from an MD5 of doc_id."""
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("key"))
+    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), random_key(F.col("doc_id")).alias("key"))
 
 
 def targets(sizes: DataFrame, share: float = 1.0, cap: int = 3) -> DataFrame:
@@ -76,19 +81,29 @@ def mix(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     return rows.withColumns({"epochs": epochs, "rest": rest, "taken": epochs * F.col("size") + part})
 
 
+#: Sources whose plan is sent to every task; with more of them the plan is joined by a shuffle of the documents.
+MOST_SOURCES = 100_000
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix, with the columns of ``docs``: one copy for each epoch that takes a document.
 
     Texts stay whole: the document at a source's cut is in if at least half of it lies inside the budget; empty
-    documents are in while the budget lasts. Rows are joined with their copies by doc_id, so of repeated doc_ids
-    each row gets the copies of the first."""
+    documents are in while the budget lasts. What a source takes beyond whole epochs is the beginning of its random order, so
+    one small row per source (epochs, and the last key and doc_id that are in) tells each document its copies, and texts
+    don't move. Rows that share a doc_id are in or out together."""
     sizes = staged(sized(docs), "mix-sizes")
     plan = mix(sizes, targets(sizes))
-    more = F.when(F.col("size") > 0, ((F.col("taken") - F.col("epochs") * F.col("size")) * 2 >= F.col("size")).cast("int")).otherwise((F.col("before") < F.col("rest")).cast("int"))
-    copies = plan.select(F.col("doc_id").alias("id"), (F.col("epochs") + more).cast("int").alias("copies"))
-    copies = copies.groupBy("id").agg(F.max("copies").alias("copies")).filter("copies > 0")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("name")).join(copies, F.col("name").eqNullSafe(F.col("id")))
-    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    more = F.when(F.col("size") > 0, (F.col("taken") - F.col("epochs") * F.col("size")) * 2 >= F.col("size")).otherwise(F.col("before") < F.col("rest"))
+    cuts = plan.groupBy("source").agg(F.first("epochs").alias("_epochs"), F.max(F.when(more, F.struct("key", "doc_id"))).alias("_cut"))
+    cuts = staged(cuts.withColumnRenamed("source", "_source"), "mix-cuts")
+    if cuts.count() <= MOST_SOURCES:
+        cuts = F.broadcast(cuts)
+    name = F.col("row.doc_id")
+    rows = docs.select(F.struct("*").alias("row")).join(cuts, F.col("row.source").eqNullSafe(F.col("_source")))
+    inside = F.coalesce(F.struct(random_key(name).alias("key"), name.alias("doc_id")) <= F.col("_cut"), F.lit(False))
+    copies = (F.col("_epochs") + inside.cast("long")).cast("int")
+    return rows.withColumn("_copies", copies).filter("_copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import for_training, held_out, staged, table
+from .shared import held_out, label_sample, staged, table
 
 FEATURES = (
     "log_chars", "log_words", "word_len", "word_len_std", "upper", "digits", "symbols", "marks", "shouts", "distinct",
@@ -155,11 +155,6 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-f))
 
 
-def bounded_sample(rows: DataFrame, max_rows: int) -> DataFrame:
-    """At most ``max_rows`` rows, those of the smallest hashes of doc_id: the same rows in every run."""
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-
-
 def score_quality(features: DataFrame, model: dict) -> DataFrame:
     """(doc_id, score) from a feature table."""
     shared = features.sparkSession.sparkContext.broadcast(model)
@@ -173,10 +168,13 @@ def score_quality(features: DataFrame, model: dict) -> DataFrame:
 
 
 def train_quality(features: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> dict:
-    """Fit on at most ``max_rows`` labelled rows outside the held-out fold (a documented bound: about 3 MB of numbers).
-    A document with several labels counts as its highest; a null label is none."""
-    known = labels.filter(for_training() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("y"))
-    rows = bounded_sample(features.join(known, "doc_id"), max_rows).toPandas().sort_values(["doc_id", *FEATURES])
+    """Fit on at most ``max_rows`` labelled documents outside the held-out fold (a documented bound: about 3 MB of numbers).
+
+    The chosen labels, of that bound, go to the feature table, so features don't move; of rows that share a doc_id the one of
+    the least features counts."""
+    known = label_sample(labels, "quality", max_rows)
+    rows = features.join(F.broadcast(known), "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct(*FEATURES)).alias("x")).select("doc_id", "y", "x.*")
+    rows = rows.toPandas().sort_values("doc_id")
     return fit(rows[list(FEATURES)].to_numpy(np.float64), rows["y"].to_numpy(np.float64))
 
 

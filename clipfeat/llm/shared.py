@@ -1,11 +1,12 @@
 """Where intermediate tables and files of these operators live.
 
 Everything goes below ``spark.checkpoint.dir``, the folder that the driver and all executors share.
-The setting is read from the session; only where it is unset (tests, a laptop) a folder is made.
+The setting is read from the session; only where it is unset on a single machine (tests, a laptop) a folder is made.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a fresh local one where the setting is absent."""
+    """The folder named by spark.checkpoint.dir; in local mode a fresh one where the setting is absent, on a cluster an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="clipfeat-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -63,3 +66,18 @@ def for_training():
 
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def label_sample(labels: DataFrame, column: str, max_rows: int) -> DataFrame:
+    """(doc_id, y): at most ``max_rows`` labelled documents outside the held-out fold, those of the smallest hashes of doc_id,
+    so the same ones in every run. A document with several labels counts as its highest; a null label is none.
+
+    A threshold on the hash, from the number of labels, leaves about as many rows as are wanted before they are sorted, so no
+    task sends more than its share whatever the number of labels. The result is a small table: 16 bytes a row."""
+    known = labels.filter(for_training() & F.col(column).isNotNull()).groupBy("doc_id").agg(F.max(column).cast("int").alias("y"))
+    known = known.withColumn("hash", F.xxhash64("doc_id"))
+    n = known.count()
+    if n > max_rows:
+        wanted = (max_rows + 8 * max_rows**0.5) / n
+        known = known.filter(F.col("hash") <= F.lit(min((1 << 63) - 1, int(wanted * (1 << 64)) - (1 << 63))))
+    return staged(known.orderBy("hash", "doc_id").limit(max_rows).select("doc_id", "y"), f"{column}-labels")

@@ -304,7 +304,7 @@ def tiff_pages(df: DataFrame, media: str = "media", keep: tuple[str, ...] = ())
                     for p in read_tiff(bytes(data)):
                         rows.append((*kept, p.index, p.width, p.height, p.samples, p.compression, p.predictor, p.tiled, p.pixels, None))
                         size += len(p.pixels)
-                        if size > 8_000_000:
+                        if size > 2_000_000:
                             yield pd.DataFrame(rows, columns=names)
                             rows, size = [], 0
                 except (ValueError, KeyError, IndexError, struct.error, zlib.error) as e:
@@ -320,9 +320,11 @@ def texts_as_tiff(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            raw = [(t or "").encode() for t in pdf["text"]]
-            media = [write_tiff(b.ljust(max(1, -(-len(b) // ROW_BYTES)) * ROW_BYTES, b" ")) for b in raw]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_bytes": [len(b) for b in raw], "media": media})
+            for at in range(0, len(pdf), 200):
+                part = pdf.iloc[at : at + 200]
+                raw = [(t or "").encode() for t in part["text"]]
+                media = [write_tiff(b.ljust(max(1, -(-len(b) // ROW_BYTES)) * ROW_BYTES, b" ")) for b in raw]
+                yield pd.DataFrame({"doc_id": part["doc_id"], "n_bytes": [len(b) for b in raw], "media": media})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_bytes long, media binary")

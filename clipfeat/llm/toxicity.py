@@ -16,10 +16,11 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import for_training, held_out, staged, table
+from .shared import held_out, label_sample, staged, table
 from .words import WordTable, chain, mix
 
 #: Width of the space of word and pair features, and of each of the levels of stem features.
@@ -64,58 +65,73 @@ def coordinates(text: str | None, known: WordTable) -> np.ndarray:
     return np.concatenate([np.unique(gram_ids(h)), levels_of(*np.unique(stem_ids(seven, five), return_counts=True), len(words))])
 
 
-def ftrl(rows, alpha: float = 0.08, beta: float = 1.0, l1: float = 1.5, l2: float = 1.0, epochs: int = 3) -> tuple[np.ndarray, np.ndarray, float]:
-    """(coordinates, weights, bias) from rows of (coordinates, label), visited in the given order."""
-    z, n = np.zeros(WIDTH + 1), np.zeros(WIDTH + 1)
-    rows = [(np.append(np.asarray(x, np.int32), np.int32(WIDTH)), float(y)) for x, y in rows]
-    free = lambda x, zz: np.where(x == WIDTH, 0.0, l1)  # noqa: E731, ARG005  # the bias is not thinned out
-
-    def weights(x):
-        zz, lim = z[x], free(x, z)
-        return np.where(np.abs(zz) <= lim, 0.0, -(zz - np.sign(zz) * lim) / ((beta + np.sqrt(n[x])) / alpha + l2))
-
-    for _ in range(epochs):
-        for x, y in rows:
-            w = weights(x)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y
-            sigma = (np.sqrt(n[x] + g * g) - np.sqrt(n[x])) / alpha
-            z[x] += g - sigma * w
-            n[x] += g * g
-    every = np.arange(WIDTH + 1)
-    w = weights(every)
-    kept = np.flatnonzero(w[:WIDTH])
-    return kept, w[kept], float(w[WIDTH])
-
-
-def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> dict:
-    """Fit on at most ``max_rows`` labelled rows outside the held-out fold. The sample's whole texts are turned into
-    coordinates on the executors and one task learns from them in turn; only weights other than zero come back.
-    A document with several labels counts as its highest; a null label is none."""
-    known = labels.filter(for_training() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("y"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+class Ftrl:
+    """The learner: sums of gradients and of their squares by coordinate, and the weights that follow from them."""
+
+    def __init__(self, alpha: float = 0.08, beta: float = 1.0, l1: float = 1.5, l2: float = 1.0):
+        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+        self.z, self.n = np.zeros(WIDTH + 1), np.zeros(WIDTH + 1)
+
+    def weights(self, x: np.ndarray) -> np.ndarray:
+        """Zero until a coordinate's sum passes the L1 bound; the bias, which is the last one, is not thinned out."""
+        z, bound = self.z[x], np.where(x == WIDTH, 0.0, self.l1)
+        return np.where(np.abs(z) <= bound, 0.0, -(z - np.sign(z) * bound) / ((self.beta + np.sqrt(self.n[x])) / self.alpha + self.l2))
+
+    def learn(self, x: np.ndarray, y: float) -> None:
+        """One row of distinct coordinates, and its label."""
+        x = np.append(x, WIDTH)
+        w = self.weights(x)
+        g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y
+        root = np.sqrt(self.n[x])
+        self.z[x] += g - (np.sqrt(self.n[x] + g * g) - root) / self.alpha * w
+        self.n[x] += g * g
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, float]:
+        """(coordinates, weights, bias), weights of zero left out."""
+        w = self.weights(np.arange(WIDTH + 1))
+        kept = np.flatnonzero(w[:WIDTH])
+        return kept, w[kept], float(w[WIDTH])
+
+
+def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, epochs: int = 3) -> dict:
+    """Fit on at most ``max_rows`` labelled documents outside the held-out fold. The sample's whole texts are turned into
+    coordinates on the executors; one task then learns from them, row by row, ``epochs`` times. The rows are sorted on disk and
+    stream through that task, which holds a batch of them and two numbers for each coordinate; only weights other than zero
+    come back."""
+    known = label_sample(labels, "toxic", max_rows)
 
     def hashed(batches):
-        known = word_table()
+        words = word_table()
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "x": [coordinates(t, known).astype(np.int32) for t in pdf["text"]]})
+            for at in range(0, len(pdf), 500):
+                part = pdf.iloc[at : at + 500]
+                yield pd.DataFrame({"doc_id": part["doc_id"], "y": part["y"], "x": [coordinates(t, words).astype(np.int32) for t in part["text"]]})
 
     def learn(batches):
-        rows = [r for pdf in batches for r in zip(pdf["x"], pdf["y"], strict=True)]
-        if rows:
-            kept, w, bias = ftrl(rows)
-            yield pd.DataFrame({"k": np.append(kept, WIDTH), "w": np.append(w, bias)})
+        learner = Ftrl()
+        seen = False
+        for batch in batches:
+            rows, y = batch.column("x"), batch.column("y").to_numpy()
+            seen |= len(y) > 0
+            values, ends = rows.values.to_numpy(), rows.offsets.to_numpy()
+            for k in range(len(y)):
+                learner.learn(values[ends[k] : ends[k + 1]], float(y[k]))
+        if seen:
+            kept, w, bias = learner.result()
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(kept, WIDTH)), pa.array(np.append(w, bias))], ["k", "w"])
 
     # at most max_rows small rows (some 16 bytes each) go to every task, so the texts stay where they are
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").mapInPandas(hashed, "doc_id long, y int, x array<int>")
     sample = staged(sample, "toxicity-sample").withColumn("order", F.xxhash64("doc_id", F.lit(7)))
-    found = sample.repartition(1).sortWithinPartitions("order", "doc_id", F.size("x")).select("x", "y").mapInPandas(learn, "k long, w double").toPandas()
+    rows = sample.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).repartition(1)
+    found = rows.sortWithinPartitions("epoch", "order", "doc_id", F.size("x")).select("x", "y").mapInArrow(learn, "k long, w double").toPandas()
     if not len(found):
         return {"k": np.zeros(0, np.int64), "w": np.zeros(0), "bias": None}
     bias = found["k"] == WIDTH
     return {"k": found["k"][~bias].to_numpy(), "w": found["w"][~bias].to_numpy(), "bias": float(found["w"][bias].iloc[0])}
 
 
-def score_texts(texts, dense: np.ndarray, stems: np.ndarray, bias: float, words_at_once: int = 500_000) -> np.ndarray:
+def score_texts(texts, dense: np.ndarray, stems: np.ndarray, bias: float, words_at_once: int = 200_000) -> np.ndarray:
     """Scores of whole texts; ``stems`` marks the stem buckets that have a weight on any level.
 
     The words of many texts are looked up in one array; the few that reach a weight are then counted by text."""

@@ -77,13 +77,17 @@ def page_records(name: str, page_id, url: str, payload: bytes, refers_to, is_rev
     return out
 
 
-def parse_records(data: bytes):
-    """(headers with lower-case names, block) of each record of an archive of gzip members."""
-    while data:
-        member = zlib.decompressobj(31)
-        raw = member.decompress(data)
-        data = member.unused_data
-        head, _, rest = raw.partition(CRLF * 2)
+def parse_records(data: bytes, step: int = 8192):
+    """(headers with lower-case names, block) of each record of an archive of gzip members.
+
+    A member is fed to its decompressor in small steps, so what it leaves over is at most a step, not the rest of the archive."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof and at < len(view):
+            parts.append(member.decompress(view[at : at + step]))
+            at += min(step, len(view) - at) - len(member.unused_data)
+        head, _, rest = b"".join(parts).partition(CRLF * 2)
         headers = dict((k.strip().lower(), v.strip()) for k, _, v in (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:]))
         yield headers, rest[: int(headers.get("content-length", 0))]
 
