@@ -2,10 +2,14 @@
 
 Emails, addresses of machines, card and phone numbers are found by pattern; they are the protected entities. The words
 of their documents are weighed by what they disclose: with the documents that hold the word, the entity, or both counted
-over the whole corpus, wherever in a document they are, the pointwise mutual information of word and entity divided by the entity's
-information says which part of the entity the word gives away. From ``generalise`` on a word is replaced by a mark of its
-kind, from ``remove`` on it goes, at every place in the documents that hold the entity; a pair counts only if ``support`` different texts hold it, since what one text says of
-itself discloses nothing about others.
+over the whole corpus, wherever in a document they are, the pointwise mutual information of word and entity divided by the
+entity's information says which part of the entity the word gives away. From ``generalise`` on a word is replaced by a mark
+of its kind, from ``remove`` on it goes, at every place in the documents that hold the entity; a pair counts only if
+``support`` different texts hold it, since what one text says of itself discloses nothing about others. Words are the runs
+of ``term``, by default of letters and digits, of any length; counts and thresholds weed them out, no distance does.
+
+The places of matches are running sums of the lengths between and of them, taken in blocks, and texts are cut by blocks of
+characters, so the work on a text grows with its length also where it holds very many spans.
 
 Cases: a null or empty text has no span; matches that fail their check are dropped and not tried again; repeated rows get
 equal spans; ties of start are in the order email, ip, card, phone, term; an empty table gives no rows; extra columns are
@@ -14,6 +18,8 @@ ignored; a null doc_id is a document like any other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +38,10 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
-_TERM = r"\p{L}{4,}"
+#: A word of the corpus that may be weighed: any run of letters and digits, whatever its length.
+TERM = r"[\p{L}\p{N}]+"
+#: Elements of an array, and characters of a text, that are taken at once.
+_BLOCK, _CHARS = 64, 512
 
 
 def _seems(text: Column, kind: str) -> Column:
@@ -50,25 +59,55 @@ def _passes(value: Column, kind: str) -> Column:
     }[kind]
 
 
-def _placed(text: Column, pattern: str) -> tuple[Column, Column]:
-    """The matches of a pattern, and the lengths of the gaps before, between and after them."""
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.transform(F.split(text, pattern, -1), F.length)
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
 
 
-def _starts(hits: Column, gaps: Column, i: Column) -> Column:
-    """Where match ``i`` starts: after the gaps up to it and the matches before it."""
-    add = lambda a, x: a + x
-    return F.aggregate(F.slice(gaps, 1, i + 1), F.lit(0), add) + F.aggregate(F.slice(hits, 1, i), F.lit(0), lambda a, x: a + F.length(x))
+def _running(values: Column, zero: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """``op`` over each element and those before it, for an ``op`` that may be grouped at will. Blocks first, then over the
+    blocks: no array grows by one element at a time beyond the number of blocks."""
 
+    def along(part):
+        grown = F.aggregate(part, F.array(zero), lambda a, v: F.concat(a, F.array(op(F.element_at(a, -1), v))))
+        return F.slice(grown, F.lit(2), F.size(part))
 
-def _spans(kind: str, rank: int) -> Column:
-    hits, gaps = F.col(f"_{kind}"), F.col(f"_{kind}_gaps")
+    def joined(inner):
+        before = along(F.transform(inner, lambda p: F.coalesce(F.try_element_at(p, F.lit(-1)), zero)))
+        return _bound(F.concat(F.array(zero), before), lambda z: F.flatten(F.transform(inner, lambda p, i: F.transform(p, lambda v: op(z[i], v)))))
+
+    def blocks(x):
+        last = F.greatest(F.lit(0), F.floor((F.size(x) - 1) / _BLOCK).cast("int"))
+        return F.transform(F.sequence(F.lit(0), last), lambda b: along(F.slice(x, b * _BLOCK + 1, F.lit(_BLOCK))))
+
+    return _bound(values, lambda x: _bound(blocks(x), joined))
+
+
+def _cutter(text: Column, body: Callable[[Callable], Column]) -> Column:
+    """``body`` of a function that cuts [start, end) out of ``text``, at a cost of what it cuts and no more."""
+    blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{_CHARS}}}"), F.lit(0))
+
+    def cut(held, start, end):
+        first = F.floor(start / _CHARS).cast("int")
+        some = F.slice(held, first + 1, F.greatest(F.lit(0), F.floor((end - 1) / _CHARS).cast("int") - first + 1))
+        return F.when(start < end, F.substr(F.array_join(some, ""), start - first * _CHARS + 1, end - start)).otherwise(F.lit(""))
+
+    return _bound(blocks, lambda held: body(lambda start, end: cut(held, start, end)))
 
-    def span(v, i):
-        start = _starts(hits, gaps, i)
-        return F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(v)).alias("end"), F.lit(kind).alias("kind"), v.alias("value"))
 
-    found = F.filter(F.transform(hits, span), lambda s: _passes(s["value"], kind))
+def _ends(hits: Column, gaps: Column) -> Column:
+    """Where each match ends, from the matches and the lengths of the gaps before, between and after them."""
+    return _running(F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, v: g + F.length(v)), F.lit(0), lambda a, x: a + x)
+
+
+def _gaps(text: Column, pattern: str) -> Column:
+    return F.transform(F.split(text, pattern, -1), F.length)
+
+
+def _spans(kind: str, rank: int) -> Column:
+    hits, gaps = F.col(f"_{kind}"), F.col(f"_{kind}_gaps")
+    span = lambda v, end: F.struct((end - F.length(v)).alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), v.alias("value"))
+    found = F.filter(F.zip_with(hits, _ends(hits, gaps), span), lambda s: _passes(s["value"], kind))
     return F.when(F.size(hits) > 0, found).otherwise(F.array().cast(_SPAN)).cast(_SPAN)
 
 
@@ -77,55 +116,49 @@ def base_spans(docs: DataFrame) -> DataFrame:
     text, none = F.col("text"), F.array().cast("array<string>")
     rows = docs
     for kind in KINDS:
-        hits, gaps = _placed(text, PATTERNS[kind])
+        hits = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
         rows = rows.withColumn(f"_{kind}", F.when(_seems(text, kind), hits).otherwise(none))
-        rows = rows.withColumn(f"_{kind}_gaps", F.when(F.size(f"_{kind}") > 0, gaps).otherwise(F.array().cast("array<int>")))
+        rows = rows.withColumn(f"_{kind}_gaps", F.when(F.size(f"_{kind}") > 0, _gaps(text, PATTERNS[kind])).otherwise(F.array().cast("array<int>")))
     spans = [_spans(kind, rank) for rank, kind in enumerate(KINDS)]
     return rows.withColumn("base", F.array_sort(F.concat(*spans))).drop(*[f"_{k}" for k in KINDS], *[f"_{k}_gaps" for k in KINDS])
 
 
-def _parts(text: Column, base: Column) -> Column:
-    """(at, part): what is left of a text between its spans."""
-    parts = "array<struct<at:int,part:string>>"
-    part = lambda low, high: F.array(F.struct(low.alias("at"), F.substr(text, low + 1, high - low).alias("part"))).cast(parts)
-    step = lambda a, s: F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] > a["at"], F.concat(a["parts"], part(a["at"], s["start"]))).otherwise(a["parts"]).alias("parts"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(parts).alias("parts"))
-    return F.aggregate(base, start, step, lambda a: F.concat(a["parts"], part(a["at"], F.length(text))))
-
+def _replaced(text: Column, spans: Column, mark: Callable[[Column, Column], Column]) -> Column:
+    """``text`` with ``mark(span, before)`` in the place of its spans, which are in order; before is where the spans ahead of this
+    one end, at most. Spans that overlap make one place."""
 
-def _words(parts: Column) -> Column:
-    """The distinct terms of a text outside its spans."""
-    return F.array_distinct(F.flatten(F.transform(parts, lambda p: F.transform(F.regexp_extract_all(p["part"], F.lit(_TERM), F.lit(0)), F.lower))))
+    def pieces(cut):
+        def body(until):
+            each = F.transform(spans, lambda s, i: _bound(until[i], lambda before: F.concat(cut(before, s["start"]), mark(s, before))))
+            return F.concat(F.array_join(each, ""), cut(F.element_at(until, -1), F.length(text)))
 
+        return _bound(F.concat(F.array(F.lit(0)), _running(F.transform(spans, lambda s: s["end"]), F.lit(0), lambda a, x: F.greatest(a, x))), body)
 
-def _term_spans(parts: Column, actions: Column) -> Column:
-    """Every occurrence of the terms in the map ``actions`` outside the spans of a text."""
+    return _cutter(text, pieces)
 
-    def found(p):
-        hits, gaps = _placed(p["part"], _TERM)
-        risky = F.filter(F.transform(hits, lambda w, i: F.struct(w.alias("w"), i.alias("i"), F.element_at(actions, F.lower(w)).alias("action"))), lambda t: t["action"].isNotNull())
 
-        def span(t):
-            start = p["at"] + _starts(hits, gaps, t["i"])
-            return F.struct(start.alias("start"), F.lit(len(KINDS)).alias("rank"), (start + F.length(t["w"])).alias("end"), F.lit("term").alias("kind"), t["action"].alias("value"))
+def _masked(text: Column, spans: Column) -> Column:
+    """``text`` with a zero character for each one inside a span, so that places stay the same."""
+    return _replaced(text, spans, lambda s, before: F.repeat(F.lit("\0"), F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], before))))
 
-        return F.transform(risky, span)
 
-    return F.flatten(F.transform(parts, found)).cast(_SPAN)
+def _words(text: Column, term: str) -> Column:
+    """The distinct words of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(term), F.lit(0)), F.lower))
 
 
-def disclosures(docs: DataFrame, found: DataFrame, held: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
+def disclosures(docs: DataFrame, found: DataFrame, held: DataFrame, generalise: float, remove: float, support: int, term: str) -> DataFrame:
     """(entity, term, disclosed, action) of the words that give away too much, from counts over all documents.
 
     An entity of fewer than ``support`` texts has no pair that counts, so its words are not looked at."""
     n = docs.count()
     entities = held.groupBy("entity").agg(F.sum("docs").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
     often = held.join(entities.filter(F.col("texts") >= support).select("entity"), "entity")
-    texts = found.filter(F.size("words") > 0).select("text_key", "words").dropDuplicates(["text_key"])
+    texts = found.filter("masked is not null").select("text_key", "masked").dropDuplicates(["text_key"]).select("text_key", _words(F.col("masked"), term).alias("words"))
     pairs = often.join(texts, "text_key").select("entity", "docs", F.explode("words").alias("term"))
     pairs = pairs.groupBy("entity", "term").agg(F.sum("docs").alias("n_pair"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
     pairs = staged(pairs, "pii-pairs")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term"))
+    words = docs.select(F.explode(_words(F.col("text"), term)).alias("term"))
     words = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     known = F.log2(F.lit(float(max(n, 2))) / F.col("n_entity"))
     mutual = F.log2(F.col("n_pair") * F.lit(float(max(n, 2))) / (F.col("n_term") * F.col("n_entity")))
@@ -133,23 +166,35 @@ def disclosures(docs: DataFrame, found: DataFrame, held: DataFrame, generalise:
     return out.filter(F.col("disclosed") >= generalise).select("entity", "term", "disclosed", F.when(F.col("disclosed") >= remove, "remove").otherwise("generalise").alias("action"))
 
 
-def find_personal_data(docs: DataFrame, generalise: float = 0.7, remove: float = 0.9, support: int = 3) -> DataFrame:
+def term_spans(found: DataFrame, actions: DataFrame, term: str) -> DataFrame:
+    """(text_key, terms): every place of the words in ``actions`` (text_key, term, action) in their texts, each text once.
+
+    Words meet their actions by text and word in a join, so a text of many words and many actions costs their sum."""
+    texts = found.filter("masked is not null").join(actions.select("text_key").distinct(), "text_key", "left_semi").select("text_key", "masked").dropDuplicates(["text_key"])
+    texts = texts.select("text_key", F.regexp_extract_all("masked", F.lit(term), F.lit(0)).alias("hits"), _gaps(F.col("masked"), term).alias("gaps"))
+    words = texts.select("text_key", F.explode(F.zip_with("hits", _ends(F.col("hits"), F.col("gaps")), lambda v, end: F.struct(v.alias("word"), end.alias("end")))).alias("w"))
+    words = words.select("text_key", F.lower("w.word").alias("term"), (F.col("w.end") - F.length("w.word")).alias("start"), F.col("w.end").alias("end")).join(actions, ["text_key", "term"])
+    span = F.struct("start", F.lit(len(KINDS)).alias("rank"), "end", F.lit("term").alias("kind"), F.col("action").alias("value"))
+    return words.groupBy("text_key").agg(F.array_sort(F.collect_list(span)).cast(_SPAN).alias("terms"))
+
+
+def find_personal_data(docs: DataFrame, generalise: float = 0.7, remove: float = 0.9, support: int = 3, term: str = TERM) -> DataFrame:
     """(doc_id, text_key, base, terms): the spans by pattern, and those of words that disclose too much of an entity of their text.
 
-    One pass over the texts finds the spans and the words of the texts that have any, one more counts words. Counts are summed
-    before each shuffle, so a common word or entity is one row per task."""
+    One pass over the texts finds the spans and masks them in the texts that have any, one more counts words. Counts are
+    summed before each shuffle, so a common word or entity is one row per task."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = base_spans(docs).withColumn("text_key", F.md5("text"))
-    parts = F.when(F.size("base") > 0, _parts(F.col("text"), F.col("base"))).otherwise(F.array().cast("array<struct<at:int,part:string>>"))
-    found = staged(base.select("doc_id", "text_key", "base", parts.alias("parts")).withColumn("words", _words(F.col("parts"))), "pii-spans")
+    masked = F.when(F.size("base") > 0, _masked(F.col("text"), F.col("base")))
+    found = staged(base.select("doc_id", "text_key", "base", masked.alias("masked")), "pii-spans")
     held = found.select("text_key", F.explode(F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))).alias("entity"))
     held = staged(held.groupBy("entity", "text_key").agg(F.count(F.lit(1)).alias("docs")), "pii-entities")
-    risky = staged(disclosures(docs, found, held, generalise, remove, support), "pii-terms")
-    actions = held.join(risky, "entity").groupBy("text_key", "term").agg(F.max("action").alias("action"))
-    actions = actions.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions"))
+    risky = staged(disclosures(docs, found, held, generalise, remove, support, term), "pii-terms")
+    actions = staged(held.join(risky, "entity").groupBy("text_key", "term").agg(F.max("action").alias("action")), "pii-actions")
+    terms = term_spans(found, actions, term)
     none = F.array().cast(_SPAN)
-    with_terms = found.filter(F.size("base") > 0).select("doc_id", "text_key", "base", "parts").join(actions, "text_key", "left")
-    with_terms = with_terms.select("doc_id", "text_key", "base", F.when(F.col("actions").isNotNull(), F.array_sort(_term_spans(F.col("parts"), F.col("actions")))).otherwise(none).alias("terms"))
+    with_terms = found.filter(F.size("base") > 0).select("doc_id", "text_key", "base").join(terms, "text_key", "left")
+    with_terms = with_terms.select("doc_id", "text_key", "base", F.coalesce("terms", none).alias("terms"))
     return with_terms.union(found.filter(F.size("base") == 0).select("doc_id", "text_key", "base", none.alias("terms")))
 
 
@@ -159,13 +204,10 @@ def listed(spans: Column) -> Column:
 
 
 def sanitised(text: Column, spans: Column) -> Column:
-    """``text`` with its spans replaced: a mark of the kind, or nothing where a word is to be removed. Of spans that overlap the
-    first is replaced."""
-    free = F.filter(spans, lambda s, i: ~F.exists(F.slice(spans, 1, i), lambda q: q["end"] > s["start"]))
+    """``text`` with its spans, which are in order, replaced: a mark of the kind, or nothing where a word is to be removed. Of
+    spans that overlap the first gives the mark, and what any of them holds goes."""
     mark = lambda s: F.when((s["kind"] == "term") & (s["value"] == "remove"), F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda a, s: F.struct(s["end"].alias("at"), F.concat(a["out"], F.substr(text, a["at"] + 1, s["start"] - a["at"]), mark(s)).alias("out"))
-    return F.aggregate(free, start, step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
+    return _replaced(text, spans, lambda s, before: F.when(s["start"] >= before, mark(s)).otherwise(F.lit("")))
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

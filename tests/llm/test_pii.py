@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter, defaultdict
 from math import log2
 
 import pytest
@@ -80,7 +81,7 @@ def test_terms_that_give_an_entity_away(spark):
     assert log2(n_p * n / (n_t * n_e)) / log2(n / n_e) > 0.9
     for i in range(5):
         text = dict(docs)[i]
-        assert {text[s.start : s.end] for s in rows[i].terms} == {"zorblatt", "wrote", "from"} and {s.value for s in rows[i].terms} == {"remove"}
+        assert {text[s.start : s.end] for s in rows[i].terms} == {"zorblatt", "wrote", "from", "in"} and {s.value for s in rows[i].terms} == {"remove"}
     assert not rows[90].terms and not rows[91].terms and not rows[12].terms
 
 
@@ -90,11 +91,83 @@ def test_terms_far_from_their_entity(spark):
     docs = [(i, f"Zorblatt {far} ann@x.org {far} zorblatt, zorblatts zorblatt{i}") for i in range(5)] + [(10 + i, f"{far} {i}") for i in range(40)]
     rows = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     for i, text in docs[:5]:
-        want = [(m.start(), m.end()) for m in re.finditer(r"(?i)zorblatts?", text)]
-        assert len(want) == 4 and [(s.start, s.end) for s in rows[i].terms] == want
+        want = [(m.start(), m.end()) for m in re.finditer(r"(?i)zorblatts?\b", text)]
+        assert len(want) == 3 and [(s.start, s.end) for s in rows[i].terms] == want
     assert not any(rows[i].terms for i, _ in docs[5:])
 
 
+def test_short_words_and_handles(spark):
+    """Words of two letters, of two ideographs, and with digits are weighed like any other; a pattern narrows them."""
+    docs = [(i, f"Bo 田中 jdoe42 and text {i} ann@x.org") for i in range(4)] + [(10 + i, f"and text {i}") for i in range(30)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    words = lambda rows: [{dict(docs)[r.doc_id][s.start : s.end] for s in r.terms} for r in rows.collect() if r.doc_id < 10]
+    assert words(pii.find_personal_data(frame)) == [{"Bo", "田中", "jdoe42"}] * 4
+    assert words(pii.find_personal_data(frame, term=r"\p{L}{4,}")) == [{"jdoe"}] * 4
+
+
+def test_many_spans_in_one_text(spark):
+    """Places and replacements in a text of some MB that is all addresses: the work grows with the length."""
+    texts = {k: " ".join(f"a{i}é@b.co +1 (234) 567-{i % 9000 + 1000}" for i in range(n)) for k, n in enumerate([1, 63, 64, 65, 129, 40_000])}
+    rows = pii.base_spans(spark.createDataFrame(list(texts.items()), "i long, text string")).select("i", "base", pii.sanitised(F.col("text"), F.col("base")).alias("out"))
+    for r in rows.collect():
+        assert [(s.start, s["rank"], s.end, s.kind) for s in r.base] == naive(texts[r.i])
+        assert r.out == replaced(texts[r.i], naive(texts[r.i]))
+
+
+def replaced(text, spans):
+    out, at = [], 0
+    for a, _, b, kind in spans:
+        if a >= at:
+            out += [text[at:a], f"[{kind.upper()}]"]
+        at = max(at, b)
+    return "".join(out) + text[at:]
+
+
+def naive_terms(docs, generalise=0.7, remove=0.9, support=3):
+    """Spans of terms by document, from counts over all documents; ``docs``: (doc_id, text)."""
+    words = lambda t: {w.lower() for w in re.findall(r"[^\W_]+", t)}
+    masked, entities = {}, {}
+    for i, t in docs:
+        t = t or ""
+        spans = naive(t)
+        entities[i] = {f"{k}:{t[a:b].lower()}" for a, _, b, k in spans}
+        chars = list(t)
+        for a, _, b, _ in spans:
+            chars[a:b] = "\0" * (b - a)
+        masked[i] = "".join(chars)
+    n_term, n_entity, n_pair, of_text = Counter(), Counter(), Counter(), defaultdict(set)
+    for i, t in docs:
+        n_term.update(words(t or ""))
+        n_entity.update(entities[i])
+        for e in entities[i]:
+            for w in words(masked[i]):
+                n_pair[e, w] += 1
+                of_text[e, w].add(t)
+    n, action = len(docs), {}
+    for (e, w), k in n_pair.items():
+        known = log2(n / n_entity[e])
+        share = log2(k * n / (n_term[w] * n_entity[e])) / known if known > 0 else 0
+        if len(of_text[e, w]) >= support and share >= generalise:
+            action[e, w] = "remove" if share >= remove else "generalise"
+    out = {}
+    for i, _ in docs:
+        acts = {w: max(a for (e, x), a in action.items() if x == w and e in entities[i]) for w in {x for (e, x) in action if e in entities[i]}}
+        out[i] = [(m.start(), m.end(), acts[m[0].lower()]) for m in re.finditer(r"[^\W_]+", masked[i]) if m[0].lower() in acts]
+    return out
+
+
+def test_terms_of_a_whole_table(spark, sf_dir):
+    """Every document and two changed copies of it, so that entities come in several texts: as brute force has it, at the shipped
+    thresholds and at lower ones that mark more."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    table = table.select(F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"), "doc_id", "text").select((F.col("doc_id") * 3 + F.col("k")).alias("doc_id"), F.concat("text", F.repeat(F.lit(" Copy"), F.col("k"))).alias("text"))
+    docs = [(r.doc_id, r.text) for r in table.collect()]
+    for limits in ((0.7, 0.9, 3), (0.2, 0.5, 2)):
+        got = {r.doc_id: [(s.start, s.end, s.value) for s in r.terms] for r in pii.find_personal_data(table, *limits).collect()}
+        assert got == naive_terms(docs, *limits)
+    assert sum(map(len, got.values())) > 1000
+
+
 def test_sanitised(spark):
     span = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
     rows = spark.createDataFrame([("write bob at a@b.co now", [(6, 4, 9, "term", "remove"), (13, 0, 19, "email", ""), (14, 3, 16, "phone", "")]), ("none", [])], f"text string, spans {span}")
