@@ -1,18 +1,26 @@
-"""The extraction jobs: plan, window, encode, verify, store, record."""
+"""The extraction jobs: plan, window, encode, verify, store, record.
+
+A run of a shard writes below names of its own, so shards at work side by side, or a run that is started again, never touch
+each other's files. What can't be read or encoded fails its video, with a ledger line, and nothing else."""
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.windows import CLIP_FRAMES, CLIP_STRIDE
-from ..operators.audio import audio_windows
-from ..operators.clips import chunk_plan
+from ..functions.vectors import is_finite
+from ..functions.windows import CLIP_FRAMES, CLIP_STRIDE, SAMPLE_RATE
+from ..operators.audio import audio_windows, resample_blocks, silence_fallback
 from ..operators.encode import Factory, encode_audio, encode_clips, gather_chunks
 from ..operators.frames import resize_frames
-from ..operators.qa import finite_check
 from ..operators.worklist import existing_ids, first_pending, pending_ids, shard_ids
-from ..sources.store import append_ledger, read_features, write_features
+from ..sources.store import append_ledger, probe_wav, read_features, read_ledger, read_wav, write_features
+
+#: A work list of up to so many ids is sent to every task; a larger one meets the frames or files by a shuffle.
+SMALL_LIST = 1_000_000
 
 
 def work_list(ids: DataFrame, media: DataFrame, done: DataFrame, num_shards: int = 1, shard_id: int = 0, limit: int | None = None, overwrite: bool = False) -> DataFrame:
@@ -23,35 +31,74 @@ def work_list(ids: DataFrame, media: DataFrame, done: DataFrame, num_shards: int
     return left if limit is None else first_pending(left, limit)
 
 
-def _store(features: DataFrame, planned: DataFrame, path: str, ledger: str, shard_id: int) -> DataFrame:
-    """Write the new vectors once, then check and record them from the store; a failed video's vectors are not read by anyone who
-    asks the ledger, and its next run replaces them."""
-    staging = f"{path}/staging"
-    features.write.mode("overwrite").parquet(staging)
-    found = features.sparkSession.read.parquet(staging)
-    status = planned.select("video_id").distinct().join(finite_check(found), "video_id", "left")
-    rows = status.select(
-        "video_id", F.lit(shard_id).alias("shard_id"), F.coalesce("status", F.lit("failed")).alias("status"),
-        F.when(F.col("status").isNull(), "no windows").when(F.col("status") == "failed", "not finite").alias("error"),
+def _of(rows: DataFrame, work: DataFrame) -> DataFrame:
+    ids = work.select("video_id")
+    return rows.join(F.broadcast(ids) if ids.count() <= SMALL_LIST else ids, "video_id", "left_semi")
+
+
+def _store(features: DataFrame, planned: DataFrame, path: str, ledger: str, modality: str, shard_id: int) -> DataFrame:
+    """Write what the encoder gave once, below a name of this run; then judge each video by it, store the vectors of good ones and
+    record all. The ledger comes last: a run that ends before is not read by anyone, and its videos are still pending.
+
+    ``planned``: (video_id, silent)."""
+    name = f"{time.time_ns():020d}-{shard_id}-{uuid.uuid4().hex[:8]}"
+    staging = f"{path}/staging/{name}"
+    features.write.parquet(staging)
+    found = features.sparkSession.read.schema(features.schema).parquet(staging)
+    good = F.col("error").isNull() & is_finite("feature")
+    error = F.min(F.when(F.col("error").isNotNull(), F.struct("step", "error")))["error"]
+    per = found.groupBy("video_id").agg(F.count_if(good).alias("windows"), F.bool_and(good).alias("good"), error.alias("error"))
+    rows = planned.groupBy("video_id").agg(F.bool_or("silent").alias("silent")).join(per, "video_id", "left").select(
+        "video_id", F.lit(modality).alias("modality"), F.lit(shard_id).alias("shard_id"), F.lit(name).alias("run"),
+        F.when(F.col("good"), "ok").otherwise("failed").alias("status"),
+        F.when(F.col("windows").isNull(), "no windows").when(~F.col("good"), F.coalesce("error", F.lit("not finite"))).alias("error"),
+        F.when(F.col("good"), F.col("windows")).otherwise(F.lit(0)).alias("windows"), "silent",
     )
-    write_features(found.join(rows.filter("status = 'ok'").select("video_id"), "video_id", "left_semi"), f"{path}/store")
-    append_ledger(rows.withColumn("modality", F.lit(None).cast("string")), ledger)
-    return rows
+    rows.write.parquet(f"{staging}-status")
+    rows = features.sparkSession.read.schema(rows.schema).parquet(f"{staging}-status")
+    kept = _of(found.drop("error"), rows.filter("status = 'ok'"))
+    write_features(kept, f"{path}/store/run={name}")
+    silent = rows.filter("silent").withColumn("status", F.lit("silent")).withColumn("error", F.lit(None).cast("string")).withColumn("windows", F.lit(0).cast("long"))
+    lines = rows.unionByName(silent).drop("silent")
+    append_ledger(lines.drop("run"), f"{ledger}/run={name}")
+    return lines
+
+
+def extract_visual(work: DataFrame, frames: DataFrame, factory: Factory, path: str, ledger: str, size: int = 256, num_frames: int = CLIP_FRAMES, stride: int = CLIP_STRIDE, clips_per_chunk: int = 16, shard_id: int = 0, limit: int | None = None) -> DataFrame:
+    """Frames of the videos in ``work`` to features; returns the ledger rows of this run."""
+    chunks = gather_chunks(resize_frames(_of(frames, work), size), num_frames, stride, clips_per_chunk, limit)
+    features = encode_clips(chunks, factory, num_frames, stride, clips_per_chunk)
+    return _store(features, work.select("video_id", F.lit(False).alias("silent")), path, ledger, "visual", shard_id)
+
 
+def extract_audio(work: DataFrame, files: DataFrame, factory: Factory, path: str, ledger: str, window: int, hop: int, shard_id: int = 0, rate: int = SAMPLE_RATE, block: int = 1 << 16) -> DataFrame:
+    """WAV files of the videos in ``work`` to features; returns the ledger rows of this run.
 
-def extract_visual(work: DataFrame, frames: DataFrame, factory: Factory, path: str, ledger: str, size: int = 256, num_frames: int = CLIP_FRAMES, stride: int = CLIP_STRIDE, clips_per_chunk: int = 16, shard_id: int = 0) -> DataFrame:
-    """Frames of the videos in ``work`` to features; returns the ledger rows."""
-    mine = frames.join(work.select("video_id"), "video_id", "left_semi")
-    totals = mine.groupBy("video_id").agg(F.count(F.lit(1)).alias("total"))
-    chunks = gather_chunks(resize_frames(mine, size), chunk_plan(totals, num_frames, stride, clips_per_chunk))
-    return _store(encode_clips(chunks, factory, num_frames, stride), work, path, ledger, shard_id)
+    ``files``: (video_id, path, duration), with a null path where a video has no audio track. Headers are read first: videos
+    without a track or without samples get silence of their duration, so that their steps match the visual side, and a line
+    of status silent besides ok or failed. The other files are read in blocks, resampled from their own rate and cut."""
+    mine = _of(files.select(F.col("video_id").cast("string").alias("video_id"), "path", "duration"), work.select(F.col("video_id").cast("string")))
+    probed = probe_wav(mine.filter("path is not null").select("video_id", "path"))
+    staged = f"{path}/staging/{uuid.uuid4().hex}-headers"
+    mine.select("video_id", "duration").join(probed, "video_id", "left").write.parquet(staged)
+    headers = files.sparkSession.read.parquet(staged)
+    empty = F.col("error").isNull() & (F.coalesce("frames", F.lit(0)) == 0)
+    sound = read_wav(headers.filter(~empty & F.col("error").isNull()).select("video_id", "path"), block)
+    silence = silence_fallback(headers.select("video_id", "duration", (~empty).alias("has_audio")), rate, block)
+    blocks = resample_blocks(sound, "sample_rate", rate, block).unionByName(silence.drop("silent").withColumn("error", F.lit(None).cast("string")))
+    unread = headers.filter("error is not null").select("video_id", F.lit("audio").alias("modality"), F.lit(0).cast("long").alias("step"), F.lit(None).cast("array<float>").alias("feature"), "error")
+    features = encode_audio(audio_windows(blocks, window, hop), factory).unionByName(unread)
+    planned = work.select(F.col("video_id").cast("string")).join(headers.filter(empty).select("video_id", F.lit(True).alias("silent")), "video_id", "left")
+    return _store(features, planned.select("video_id", F.coalesce("silent", F.lit(False)).alias("silent")), path, ledger, "audio", shard_id)
 
 
-def extract_audio(work: DataFrame, blocks: DataFrame, factory: Factory, path: str, ledger: str, window: int, hop: int, shard_id: int = 0) -> DataFrame:
-    """Blocks of waves at the right rate, of the videos in ``work``, to features; returns the ledger rows."""
-    mine = blocks.join(work.select("video_id"), "video_id", "left_semi")
-    return _store(encode_audio(audio_windows(mine, window, hop), factory), work, path, ledger, shard_id)
+def summary(lines: DataFrame, seconds: float) -> DataFrame:
+    """By shard, from the ledger rows of a run: videos ok, failed and silent, windows, and windows per second of its ``seconds``."""
+    of = lambda s: F.count_if(F.col("status") == s)
+    per = lines.groupBy("modality", "shard_id").agg(of("ok").alias("n_ok"), of("failed").alias("n_failed"), of("silent").alias("n_silent"), F.sum("windows").alias("windows"))
+    return per.withColumn("windows_per_sec", F.try_divide("windows", F.lit(float(seconds))))
 
 
-def stored(work: DataFrame, path: str) -> DataFrame:
-    return read_features(work.sparkSession, f"{path}/store")
+def stored(work: DataFrame, path: str, ledger: str) -> DataFrame:
+    """The vectors of each video's last good run."""
+    return read_features(work.sparkSession, f"{path}/store", read_ledger(work.sparkSession, ledger))

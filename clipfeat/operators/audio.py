@@ -1,7 +1,12 @@
-"""Waveforms: PCM, resampling, windows, layer norm, silence. Waves are blocks (video_id, block_id, sample_offset, samples)."""
+"""Waveforms: PCM, resampling, windows, layer norm, silence.
+
+Waves are blocks (video_id, block_id, sample_offset, samples), in any order; a block that could not be read may have null samples
+and an ``error``, which goes along to the output blocks and windows that would need it. What an output block or a group of
+windows needs follows from offsets alone, so samples are shuffled once in each step and never joined."""
 
 from __future__ import annotations
 
+from functools import lru_cache
 from math import gcd
 
 import numpy as np
@@ -10,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.windows import SAMPLE_RATE, num_windows
+from .groups import gathered, sorted_groups
 
 LAYER_NORM_EPS = 1e-5
 
@@ -37,7 +43,12 @@ def to_blocks(waves: DataFrame, block: int) -> DataFrame:
     return rows.select("video_id", "block_id", (F.col("block_id").cast("long") * block).alias("sample_offset"), F.slice("samples", F.col("block_id") * block + 1, F.lit(block)).alias("samples"))
 
 
-def resample_filter(up: int, down: int, zeros: int = 64, beta: float = 14.769656459379492, rolloff: float = 0.9475937167399596) -> tuple[np.ndarray, int]:
+#: The window's shape and the pass band of a public resampler's best Kaiser filter.
+KAISER_BETA, ROLLOFF = 14.769656459379492, 0.9475937167399596
+
+
+@lru_cache(maxsize=16)
+def resample_filter(up: int, down: int, zeros: int = 64, beta: float = KAISER_BETA, rolloff: float = ROLLOFF) -> tuple[np.ndarray, int]:
     """(taps by phase, half-width in input samples) of a Kaiser-windowed sinc that changes the rate by up/down."""
     cut = rolloff * min(1.0, up / down)
     half = int(np.ceil(zeros / cut))
@@ -52,40 +63,68 @@ def resample_filter(up: int, down: int, zeros: int = 64, beta: float = 14.769656
 
 def resample(samples: np.ndarray, first: int, up: int, down: int, begin: int, end: int, taps: np.ndarray, half: int) -> np.ndarray:
     """Output samples [begin, end) from input samples that start at index ``first``; input outside is zero. Places are integers."""
-    place = np.arange(begin, end, dtype=np.int64) * down
-    base, phase = place // up, place % up
     padded = np.concatenate([np.zeros(half), samples, np.zeros(half + 1)])
-    index = base[:, None] - first + np.arange(2 * half + 1)
-    inside = (index >= 0) & (index < len(padded))
-    return (np.where(inside, padded[np.clip(index, 0, len(padded) - 1)], 0) * taps[phase]).sum(axis=1).astype(np.float32)
-
-
-def resample_blocks(blocks: DataFrame, orig_rate: int, rate: int = SAMPLE_RATE, block: int = 1 << 16, zeros: int = 64) -> DataFrame:
-    """Blocks at another rate. Each block is sent, whole or as the part at its edges, to the output blocks that need it, so block
-    borders give what one pass over the whole wave would give; no task holds a whole wave."""
+    out = np.empty(max(0, end - begin), np.float32)
+    for at in range(begin, end, 8192):  # a bounded number of products at a time
+        place = np.arange(at, min(end, at + 8192), dtype=np.int64) * down
+        index = (place // up)[:, None] - first + np.arange(2 * half + 1)
+        inside = (index >= 0) & (index < len(padded))
+        out[at - begin : at - begin + len(place)] = (np.where(inside, padded[np.clip(index, 0, len(padded) - 1)], 0) * taps[place % up]).sum(axis=1)
+    return out
+
+
+def _with_error(blocks: DataFrame) -> DataFrame:
+    """Blocks that hold samples or an error, of videos with an id."""
+    rows = blocks if "error" in blocks.columns else blocks.withColumn("error", F.lit(None).cast("string"))
+    return rows.filter(F.col("video_id").isNotNull() & ((F.size("samples") > 0) | F.col("error").isNotNull()))
+
+
+def _wave(rows: pd.DataFrame, kind) -> tuple[int, np.ndarray]:
+    """(offset, samples) of neighbouring blocks in order; raises what one of them could not be read for, or if some are missing."""
+    if len(bad := rows["error"].dropna()):
+        raise ValueError(bad.iloc[0])
+    parts = [np.asarray(v, kind) for v in rows["samples"]]
+    starts = rows["sample_offset"].to_numpy()
+    if not np.array_equal(starts[1:], starts[0] + np.cumsum([len(p) for p in parts[:-1]], dtype=np.int64)):
+        raise ValueError("blocks are missing or repeated")
+    return int(starts[0]), np.concatenate(parts)
+
+
+def resample_blocks(blocks: DataFrame, orig_rate: int | str, rate: int = SAMPLE_RATE, block: int = 1 << 16, zeros: int = 64) -> DataFrame:
+    """Blocks at another rate, from ``orig_rate``, which is a number or the name of a column. Each block is sent to the output
+    blocks that need it, so block borders give what one pass over the whole wave would give; no task holds a whole wave."""
     if orig_rate == rate:
         return blocks
-    g = gcd(orig_rate, rate)
-    up, down = rate // g, orig_rate // g
-    taps, half = resample_filter(up, down, zeros)
-    size = F.size("samples")
-    last = blocks.groupBy("video_id").agg(F.max(F.col("sample_offset") + size).alias("total"))
-    out_total = F.ceil(F.col("total") * up / down).cast("long")
-    lo = F.greatest(F.lit(0), F.floor((F.col("sample_offset") - half - 1) * up / down / block)).cast("long")
-    hi = F.least(F.floor((out_total - 1) / block), F.floor((F.col("sample_offset") + size + half + 1) * up / down / block)).cast("long")
-    rows = blocks.join(last.withColumn("out_total", out_total), "video_id").filter("total > 0").withColumn("out_block", F.explode(F.sequence(lo, hi)))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("sample_offset")
-        video, k, total = pdf["video_id"].iloc[0], int(pdf["out_block"].iloc[0]), int(pdf["out_total"].iloc[0])
-        first = int(pdf["sample_offset"].iloc[0])
-        x = np.concatenate([np.asarray(v, np.float64) for v in pdf["samples"]])
-        begin, end = k * block, min((k + 1) * block, total)
-        y = resample(x, first, up, down, begin, end, taps, half)
-        return pd.DataFrame({"video_id": [video], "block_id": [k], "sample_offset": [begin], "samples": [y]})
+    rows = _with_error(blocks).withColumn("_rate", F.lit(orig_rate) if isinstance(orig_rate, int) else F.col(orig_rate))
+    names = ["video_id", "block_id", "sample_offset", "samples", "error"]
+    stay = (F.col("_rate") == rate) | F.col("_rate").isNull()
+    size, ratio = F.coalesce(F.greatest(F.size("samples"), F.lit(0)), F.lit(0)), F.lit(float(rate)) / F.col("_rate")
+    half = F.ceil(zeros / (ROLLOFF * F.least(F.lit(1.0), ratio)))
+    lo = F.greatest(F.lit(0), F.floor((F.col("sample_offset") - half - 1) * ratio / block)).cast("long")
+    hi = F.floor((F.col("sample_offset") + size + half + 1) * ratio / block).cast("long")
+    sent = rows.filter(~stay).withColumn("out_block", F.explode(F.sequence(lo, hi))).select("video_id", "out_block", "sample_offset", "samples", "error", "_rate")
+
+    def run(batches):
+        def each():
+            for (video, k), group in sorted_groups(batches, ["video_id", "out_block"]):
+                begin, orig = int(k) * block, int(group["_rate"].iloc[0])
+                g = gcd(orig, rate)
+                up, down = rate // g, orig // g
+                try:
+                    first, x = _wave(group, np.float64)
+                    end = min(begin + block, -(-(first + len(x)) * up // down))  # the group ends with the wave, or beyond what it needs
+                    y, error = resample(x, first, up, down, begin, end, *resample_filter(up, down, zeros)), None
+                except ValueError as e:
+                    y, error = None, str(e)
+                if error or len(y):
+                    yield pd.DataFrame({"video_id": [video], "block_id": [int(k)], "sample_offset": [begin], "samples": [y], "error": [error]})
+
+        yield from gathered(each(), 16)
 
     kind = blocks.schema["video_id"].dataType.simpleString()
-    return rows.groupBy("video_id", "out_block").applyInPandas(run, f"video_id {kind}, block_id int, sample_offset long, samples array<float>")
+    ordered = sent.repartition("video_id", "out_block").sortWithinPartitions("video_id", "out_block", "sample_offset")
+    out = ordered.mapInPandas(run, f"video_id {kind}, block_id int, sample_offset long, samples array<float>, error string")
+    return out if isinstance(orig_rate, int) else out.unionByName(rows.filter(stay).select(*names))
 
 
 def silence_fallback(videos: DataFrame, rate: int = SAMPLE_RATE, block: int = 1 << 16) -> DataFrame:
@@ -113,32 +152,41 @@ def window_spans(totals: DataFrame, window: int, hop: int) -> DataFrame:
 
 
 def audio_windows(blocks: DataFrame, window: int, hop: int, normalize: bool = True, per_group: int = 64) -> DataFrame:
-    """(video_id, step, samples): hopping windows over a wave's blocks.
+    """(video_id, step, samples, error): hopping windows over a wave's blocks; null samples where a block is missing or has an error.
 
     Windows are made in groups of some neighbours; a block goes to each group that it overlaps, so a group, not a wave, is what a
-    task holds. A wave shorter than a window is repeated to fill one."""
-    size = F.size("samples")
-    total = blocks.groupBy("video_id").agg(F.max(F.col("sample_offset") + size).alias("total"))
+    task holds. A wave shorter than a window is repeated to fill one. Rows without a video_id are left out."""
     span = hop * per_group
-    last = F.floor((num_windows("total", window, hop) - 1) / per_group)
+    rows = _with_error(blocks)
+    size = F.greatest(F.size("samples"), F.lit(1))
     lo = F.greatest(F.lit(0), F.ceil((F.col("sample_offset") - (span - hop + window) + 1) / span)).cast("long")
-    hi = F.least(last, F.floor((F.col("sample_offset") + size - 1) / span)).cast("long")
-    rows = blocks.join(total, "video_id").filter(size > 0).filter(lo <= hi).withColumn("part", F.explode(F.sequence(lo, hi)))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("sample_offset")
-        video, part, n = pdf["video_id"].iloc[0], int(pdf["part"].iloc[0]), int(pdf["total"].iloc[0])
-        x, first = np.concatenate([np.asarray(v, np.float32) for v in pdf["samples"]]), int(pdf["sample_offset"].iloc[0])
-        if n < window:
-            w, steps = np.tile(x, -(-window // n))[None, :window], [0]
-        else:
-            count = max(0, (n - window) // hop) + 1
-            steps = list(range(part * per_group, min(count, (part + 1) * per_group)))
-            w = np.stack([x[k * hop - first : k * hop - first + window] for k in steps])
-        return pd.DataFrame({"video_id": video, "step": steps, "samples": list(layer_norm(w) if normalize else w)})
+    hi = F.greatest(lo, F.floor((F.col("sample_offset") + size - 1) / span)).cast("long")
+    rows = rows.withColumn("part", F.explode(F.sequence(lo, hi))).select("video_id", "part", "sample_offset", "samples", "error")
+
+    def run(batches):
+        def each():
+            for (video, part), group in sorted_groups(batches, ["video_id", "part"]):
+                begin = int(part) * per_group
+                try:
+                    first, x = _wave(group, np.float32)
+                    if first > begin * hop:
+                        raise ValueError("blocks are missing or repeated")
+                    end = first + len(x)  # the group ends with the wave, or beyond what it needs
+                    if end < window and not part:
+                        w, steps = np.tile(x, -(-window // end))[None, :window], [0]
+                    else:
+                        steps = list(range(begin, min(begin + per_group, max(0, (end - window) // hop + 1))))
+                        w = np.stack([x[k * hop - first : k * hop - first + window] for k in steps]) if steps else np.zeros((0, window), np.float32)
+                    if steps:
+                        yield pd.DataFrame({"video_id": video, "step": steps, "samples": list(layer_norm(w) if normalize else w), "error": None})
+                except ValueError as e:
+                    yield pd.DataFrame({"video_id": [video], "step": [begin], "samples": [None], "error": [str(e)]})
+
+        yield from gathered(each(), 256)
 
     kind = blocks.schema["video_id"].dataType.simpleString()
-    return rows.groupBy("video_id", "part").applyInPandas(run, f"video_id {kind}, step long, samples array<float>")
+    ordered = rows.repartition("video_id", "part").sortWithinPartitions("video_id", "part", "sample_offset")
+    return ordered.mapInPandas(run, f"video_id {kind}, step long, samples array<float>, error string")
 
 
 def layer_norm_long(rows: DataFrame) -> DataFrame:

@@ -69,15 +69,17 @@ def cut_range(frames: DataFrame, start_sec: float, length_sec: float, fps: int)
     return trim_frames(frames.filter(F.col("frame_idx") < int((start_sec + length_sec) * fps)), start_sec, fps)
 
 
-def resample_fps(frames: DataFrame, fps: float, pts: str = "pts", id_col: str = "video_id") -> DataFrame:
+def resample_fps(frames: DataFrame, fps: float, pts: str = "pts", id_col: str = "video_id", index: str = "frame_idx") -> DataFrame:
     """Frames at a constant rate: (id, tick, <the other columns>).
 
     A source frame's tick is its time since the first one times the rate, rounded; an output tick shows the latest source
-    frame at or before it, so frames are dropped or repeated."""
+    frame at or before it, so frames are dropped or repeated. Which frame each tick shows is settled on (id, index, time) alone;
+    pixels then meet the ticks by (id, index), in one shuffle, so a long video is many tasks' work. Frames are known by
+    their id and index, which must be unique."""
     per = W.partitionBy(id_col)
-    rows = frames.withColumn("tick", F.floor((F.col(pts) - F.min(pts).over(per)) * fps + 0.5).cast("long"))
-    kept = [c for c in frames.columns if c not in (id_col, pts)]
-    rows = rows.groupBy(id_col, "tick").agg(F.max_by(F.struct(pts, *kept), pts).alias("_f"))
+    rows = frames.select(id_col, index, pts).withColumn("tick", F.floor((F.col(pts) - F.min(pts).over(per)) * fps + 0.5).cast("long"))
+    rows = rows.groupBy(id_col, "tick").agg(F.max_by(index, F.struct(pts, index)).alias(index))
     following = F.lead("tick").over(per.orderBy("tick"))
-    rows = rows.withColumn("_to", F.coalesce(following - 1, F.col("tick")))
-    return rows.select(id_col, F.explode(F.sequence("tick", "_to")).alias("tick"), "_f.*")
+    shown = rows.withColumn("_to", F.coalesce(following - 1, F.col("tick")))
+    kept = [c for c in frames.columns if c != id_col]
+    return frames.join(shown, [id_col, index]).select(id_col, F.explode(F.sequence("tick", "_to")).alias("tick"), *kept)

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import cosine, dot, l2_normalize, sum_squares
+from ..functions.vectors import cosine, l2_normalize, sum_squares
 
 
 def align_modalities(features: DataFrame, left: str = "visual", right: str = "audio") -> DataFrame:
@@ -66,9 +66,8 @@ def vector_means(rows: DataFrame, keys: list[str], vector: str = "feature") -> D
 
 
 def wide_vector_means(rows: DataFrame, keys: list[str], vector: str = "feature") -> DataFrame:
-    """``vector_means`` for wide vectors: each task adds up its own groups with NumPy, then the partial sums meet.
-
-    Within a task a group's partial sum is one row per Arrow batch, so a group of any size sends few rows."""
+    """``vector_means`` for wide vectors: each task adds up its own groups with NumPy, one element of a partial sum is a row, and
+    those are added by group and place, so a group of any size is a number per place and task and no row grows with it."""
     schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys) + ", n long, total array<double>"
 
     def partial(batches):
@@ -79,11 +78,10 @@ def wide_vector_means(rows: DataFrame, keys: list[str], vector: str = "feature")
                 out.append((*key, len(m), m.sum(axis=0)))
             yield pd.DataFrame(out, columns=[*keys, "n", "total"])
 
-    sums = rows.select(*keys, vector).mapInPandas(partial, schema)
-    add = F.reduce if hasattr(F, "reduce") else F.aggregate
-    got = sums.groupBy(*keys).agg(F.sum("n").alias("n"), F.collect_list("total").alias("_t"))
-    total = add(F.slice("_t", 2, F.size("_t")), F.col("_t")[0], lambda s, x: F.zip_with(s, x, lambda p, q: p + q))
-    return got.select(*keys, "n", F.transform(total, lambda x: x / F.col("n")).alias("mean"))
+    each = rows.select(*keys, vector).mapInPandas(partial, schema).select(*keys, "n", F.posexplode("total").alias("_i", "_x"))
+    per = each.groupBy(*keys, "_i").agg(F.sum("n").alias("n"), F.sum("_x").alias("_x"))
+    got = per.groupBy(*keys).agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("_i", "_x"))).alias("_v"))
+    return got.select(*keys, "n", F.transform("_v", lambda p: p["_x"] / F.col("n")).alias("mean"))
 
 
 def pool_clips(frames: DataFrame) -> DataFrame:
@@ -91,15 +89,22 @@ def pool_clips(frames: DataFrame) -> DataFrame:
     return vector_means(frames, ["video_id", "clip_idx"])
 
 
-def space_similarity(features: DataFrame, group: str = "modality") -> DataFrame:
+#: Groups that are compared with one another, at most; each is one mean vector.
+MOST_GROUPS = 1_000
+
+
+def space_similarity(features: DataFrame, group: str = "modality", wide: bool = False) -> DataFrame:
     """(left, right, mean_vector_cosine, mean_pairwise_cosine) of each two groups and of each with itself.
 
-    The mean cosine of all pairs is the dot product of the mean unit vectors, so no pair is ever formed; the joined side has
-    one row per group."""
-    means = vector_means(features, [group])
-    units = vector_means(features.select(group, l2_normalize("feature").alias("feature")), [group]).select(group, F.col("mean").alias("unit"))
-    m = means.select(group, "mean").join(units, group)
-    # one row per set: a handful, held in one array and paired there
-    every = m.agg(F.array_sort(F.collect_list(F.struct(group, "mean", "unit"))).alias("sets"))
-    pairs = every.select("sets", F.explode("sets").alias("a")).select("a", F.explode("sets").alias("b")).filter(F.col("a")[group] <= F.col("b")[group])
-    return pairs.select(F.col("a")[group].alias("left"), F.col("b")[group].alias("right"), cosine(F.col("a")["mean"], F.col("b")["mean"]).alias("mean_vector_cosine"), dot(F.col("a")["unit"], F.col("b")["unit"]).alias("mean_pairwise_cosine"))
+    The mean cosine of all pairs is the dot product of the mean unit vectors, so no pair of vectors is ever formed; groups, of which
+    there may be ``MOST_GROUPS``, meet place by place, as one row for each place of a mean. ``wide`` sums vectors with NumPy."""
+    means = wide_vector_means if wide else vector_means
+    places = lambda df, name: means(df, [group]).select(group, F.posexplode("mean").alias("_i", name))
+    m = places(features, "m").join(places(features.select(group, l2_normalize("feature").alias("feature")), "u"), [group, "_i"])
+    if features.select(group).distinct().count() > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups of {group}")
+    a, b = (m.select("_i", F.col(group).alias(name), F.col("m").alias(f"m_{name}"), F.col("u").alias(f"u_{name}")) for name in ("left", "right"))
+    sums = a.join(b, "_i").filter(F.col("left") <= F.col("right")).groupBy("left", "right").agg(
+        F.sum(F.col("m_left") * F.col("m_right")).alias("mm"), F.sum(F.col("m_left") * F.col("m_left")).alias("ll"), F.sum(F.col("m_right") * F.col("m_right")).alias("rr"), F.sum(F.col("u_left") * F.col("u_right")).alias("uu")
+    )
+    return sums.select("left", "right", F.try_divide("mm", F.sqrt("ll") * F.sqrt("rr")).alias("mean_vector_cosine"), F.col("uu").alias("mean_pairwise_cosine"))

@@ -1,6 +1,7 @@
 """Running encoders over chunks of frames and windows of samples, and linear heads over features.
 
-An encoder is a factory: called once in each Python worker, it returns a function from a batch of arrays to (n, dim) vectors."""
+An encoder is a factory: called once in each task, it returns a function from a batch of arrays to (n, dim) vectors. What
+goes wrong with a chunk or a window is a row with its error and no vector; all else goes on. A factory that fails stops the job."""
 
 from __future__ import annotations
 
@@ -11,7 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.vectors import l2_norm
 from .frames import normalize_block
+from .groups import gathered, sorted_groups
 
 Encoder = Callable[[np.ndarray], np.ndarray]
 Factory = Callable[[], Encoder]
@@ -40,47 +43,100 @@ def unfold(block: np.ndarray, m: int, num_frames: int, stride: int) -> np.ndarra
     return np.moveaxis(view, -1, 1)
 
 
-def gather_chunks(frames: DataFrame, plan: DataFrame) -> DataFrame:
-    """(video_id, chunk_id, first_clip, n_clips, height, width, pixels): frames (resized) sent to the chunks that hold them.
+def gather_chunks(frames: DataFrame, num_frames: int, stride: int, clips_per_chunk: int, limit: int | None = None) -> DataFrame:
+    """(video_id, chunk_id, frame_idx, height, width, pixels): frames sent to the chunks of clips that need them, chunks whole in a
+    task and in order.
 
-    Rows meet by video and chunk, so a long video is many tasks, and only the frames at the borders of chunks go twice. A chunk
-    holds ``clips_per_chunk`` clips at most, which bounds the list."""
-    spans = plan.select("video_id", "chunk_id", "first_clip", "n_clips", F.explode(F.sequence("first_frame", F.col("first_frame") + F.col("n_frames") - 1)).alias("frame_idx"))
-    rows = frames.select("video_id", "frame_idx", "height", "width", "pixels").join(spans, ["video_id", "frame_idx"])
-    rows = rows.groupBy("video_id", "chunk_id", "first_clip", "n_clips").agg(F.first("height").alias("height"), F.first("width").alias("width"), F.array_sort(F.collect_list(F.struct("frame_idx", "pixels"))).alias("_p"))
-    return rows.withColumn("pixels", F.transform("_p", lambda p: p["pixels"])).drop("_p")
+    A frame's chunks follow from its index alone, so pixels are shuffled once and nothing is joined; only the frames at the
+    borders of chunks go twice. A long video is many chunks and so many tasks. Rows without a video_id are left out."""
+    f = F.col("frame_idx")
+    high = F.floor(f / stride)
+    low = F.least(high, F.greatest(F.lit(0), F.ceil((f - (num_frames - 1)) / stride)))
+    if limit is not None:
+        high = F.least(high, F.lit(limit - 1))
+    chunks = F.sequence(F.floor(low / clips_per_chunk), F.floor(high / clips_per_chunk))
+    rows = frames.filter((low <= high) & F.col("video_id").isNotNull()).withColumn("chunk_id", F.explode(chunks))
+    if limit is not None:  # a video's last clip ends here
+        rows = rows.filter(f < (limit - 1) * stride + num_frames)
+    return rows.select("video_id", "chunk_id", "frame_idx", "height", "width", "pixels").repartition("video_id", "chunk_id").sortWithinPartitions("video_id", "chunk_id", "frame_idx")
 
 
-def encode_clips(chunks: DataFrame, factory: Factory, num_frames: int, stride: int, modality: str = "visual") -> DataFrame:
-    """(video_id, modality, step, feature) of each clip. A block is cut into clips by strides, without copies."""
+def _block(rows: pd.DataFrame, first: int) -> np.ndarray:
+    """The normalized frames of a chunk, which must be numbered from ``first`` without a gap and be of one size."""
+    if not np.array_equal(rows["frame_idx"].to_numpy(), np.arange(first, first + len(rows))):
+        raise ValueError("frames are missing or repeated")
+    h, w = int(rows["height"].iloc[0]), int(rows["width"].iloc[0])
+    if any(p is None or len(p) != h * w * 3 for p in rows["pixels"]):
+        raise ValueError(f"a frame does not have {h * w * 3} bytes")
+    return normalize_block(np.stack([np.frombuffer(bytes(p), np.uint8).reshape(h, w, 3) for p in rows["pixels"]]))
+
+
+def encode_clips(chunks: DataFrame, factory: Factory, num_frames: int, stride: int, clips_per_chunk: int, modality: str = "visual") -> DataFrame:
+    """(video_id, modality, step, feature, error) of each clip in what ``gather_chunks`` gives. A block is cut into clips by
+    strides, without copies; a chunk that fails gives one row, of its first clip and with its error."""
 
     def run(batches):
         encode = factory()
-        for pdf in batches:
-            for video, first, m, h, w, pixels in pdf[["video_id", "first_clip", "n_clips", "height", "width", "pixels"]].itertuples(index=False, name=None):
-                block = normalize_block(np.stack([np.frombuffer(bytes(p), np.uint8).reshape(h, w, 3) for p in pixels]))
-                vectors = np.asarray(encode(unfold(block, m, num_frames, stride)), np.float32)[:m]
-                yield pd.DataFrame({"video_id": video, "modality": modality, "step": np.arange(first, first + len(vectors)), "feature": list(vectors)})
+
+        def each():
+            for (video, chunk), rows in sorted_groups(batches, ["video_id", "chunk_id"]):
+                first = int(chunk) * clips_per_chunk
+                m = min(clips_per_chunk, max(0, (len(rows) - num_frames) // stride + 1)) or int(chunk == 0)
+                if not m:  # the frames after the last complete clip
+                    continue
+                try:
+                    vectors = np.asarray(encode(unfold(_block(rows, first * stride), m, num_frames, stride)), np.float32)[:m]
+                    yield pd.DataFrame({"video_id": video, "modality": modality, "step": np.arange(first, first + len(vectors)), "feature": list(vectors), "error": None})
+                except Exception as e:  # whatever a chunk does to the encoder belongs to its video
+                    yield pd.DataFrame({"video_id": [video], "modality": [modality], "step": [first], "feature": [None], "error": [repr(e)]})
+
+        yield from gathered(each())
 
     kind = chunks.schema["video_id"].dataType.simpleString()
-    return chunks.mapInPandas(run, f"video_id {kind}, modality string, step long, feature array<float>")
+    return chunks.mapInPandas(run, f"video_id {kind}, modality string, step long, feature array<float>, error string")
 
 
 def encode_audio(windows: DataFrame, factory: Factory, batch_size: int = 64, modality: str = "audio") -> DataFrame:
-    """(video_id, modality, step, feature) of each window, of unit length."""
+    """(video_id, modality, step, feature, error) of each window, of unit length. If a batch fails its windows are tried one by
+    one, and those that fail alone have an error."""
 
     def run(batches):
         encode = factory()
+
+        def vectors(samples):
+            if any(x is None for x in samples):
+                raise ValueError("samples are missing")
+            v = np.asarray(encode(np.stack([np.asarray(x, np.float32) for x in samples])), np.float64)
+            norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
+            return list(np.divide(v, norm, out=v, where=norm > 0).astype(np.float32))
+
+        def one(x):
+            try:
+                return vectors([x])[0], None
+            except Exception as e:  # whatever a window does to the encoder belongs to its video
+                return None, repr(e)
+
         for pdf in batches:
+            out, errors = [], []
+            if "error" in pdf:
+                known = pdf["error"].notna()
+                if known.any():
+                    bad = pdf[known]
+                    yield pd.DataFrame({"video_id": bad["video_id"].to_numpy(), "modality": modality, "step": bad["step"].to_numpy(), "feature": pd.Series([None] * len(bad), dtype=object), "error": bad["error"].to_numpy()})
+                    pdf = pdf[~known]
             for at in range(0, len(pdf), batch_size):
-                part = pdf.iloc[at : at + batch_size]
-                v = np.asarray(encode(np.stack([np.asarray(x, np.float32) for x in part["samples"]])), np.float64)
-                norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
-                v = np.divide(v, norm, out=v, where=norm > 0).astype(np.float32)
-                yield pd.DataFrame({"video_id": part["video_id"].to_numpy(), "modality": modality, "step": part["step"].to_numpy(), "feature": list(v)})
+                part = pdf["samples"].iloc[at : at + batch_size]
+                try:
+                    out += vectors(part)
+                    errors += [None] * len(part)
+                except Exception:
+                    for v, e in map(one, part):
+                        out.append(v)
+                        errors.append(e)
+            yield pd.DataFrame({"video_id": pdf["video_id"].to_numpy(), "modality": modality, "step": pdf["step"].to_numpy(), "feature": pd.Series(out, dtype=object), "error": pd.Series(errors, dtype=object)})
 
     kind = windows.schema["video_id"].dataType.simpleString()
-    return windows.mapInPandas(run, f"video_id {kind}, modality string, step long, feature array<float>")
+    return windows.mapInPandas(run, f"video_id {kind}, modality string, step long, feature array<float>, error string")
 
 
 def map_items(items: DataFrame, fn: Callable[[object], Iterable[object]], output: str, item: str = "item") -> DataFrame:
@@ -104,9 +160,11 @@ def map_items(items: DataFrame, fn: Callable[[object], Iterable[object]], output
 
 
 def topk_classes(clips: DataFrame, weight: np.ndarray, bias: np.ndarray, classes: DataFrame, k: int = 5) -> DataFrame:
-    """(<columns but the feature>, rank, class_id, name, probability): the k likeliest classes of a linear head with softmax.
+    """(<columns but the feature>, norm, rank, class_id, name, probability): the k likeliest classes of a linear head with softmax,
+    and the feature's norm.
 
     ``weight`` (classes, dim) goes to each task; its size is that of the head. Ties go to the smaller class."""
+    clips = clips.withColumn("norm", l2_norm("feature"))
     kept = [c for c in clips.columns if c != "feature"]
     schema = ", ".join(f"`{c}` {clips.schema[c].dataType.simpleString()}" for c in kept) + ", rank int, class_id int, probability double"
     head = clips.sparkSession.sparkContext.broadcast((np.asarray(weight, np.float64), np.asarray(bias, np.float64)))

@@ -40,13 +40,19 @@ def resize_crop(image: np.ndarray, size: int = CROP, mode: str = "round") -> np.
 
 
 def resize_frames(frames: DataFrame, size: int = CROP, mode: str = "round") -> DataFrame:
-    """Frames of ``size`` by ``size`` RGB pixels, a few at a time; columns other than the pixels' stay."""
+    """Frames of ``size`` by ``size`` RGB pixels, a few at a time; columns other than the pixels' stay. A frame that does not have
+    the bytes of its size gets null pixels, for the encoder to report."""
+
+    def one(p, h, w):
+        if p is None or pd.isna(h) or pd.isna(w) or h <= 0 or w <= 0 or len(p) != h * w * 3:
+            return None
+        return resize_crop(np.frombuffer(bytes(p), np.uint8).reshape(int(h), int(w), 3), size, mode).tobytes()
 
     def run(batches):
         for pdf in batches:
             for at in range(0, len(pdf), 16):
                 part = pdf.iloc[at : at + 16].copy()
-                part["pixels"] = [resize_crop(np.frombuffer(bytes(p), np.uint8).reshape(h, w, 3), size, mode).tobytes() for p, h, w in zip(part["pixels"], part["height"], part["width"], strict=True)]
+                part["pixels"] = [one(*x) for x in zip(part["pixels"], part["height"], part["width"], strict=True)]
                 part["height"] = part["width"] = size
                 yield part
 

@@ -5,6 +5,8 @@ before anything is joined, so vectors never move."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -77,11 +79,12 @@ def worst_videos(joined: DataFrame, n: int = 5) -> DataFrame:
 
 
 def qa_examples(joined: DataFrame, most: dict[str, int] | None = None) -> DataFrame:
-    """(status, pos, video_id): the first ids of each status that is not valid."""
-    most = most or {"missing": 10, "bad": 5}
-    rows = joined.filter(F.col("status").isin(*most)).withColumn("pos", F.row_number().over(W.partitionBy("status").orderBy("video_id")))
-    limit = F.create_map(*[F.lit(x) for kv in most.items() for x in kv])
-    return rows.filter(F.col("pos") <= limit[F.col("status")]).select("status", "pos", "video_id")
+    """(status, pos, video_id): the first ids of each status that is not valid. For each status every task sends its first few."""
+    parts = []
+    for status, n in (most or {"missing": 10, "bad": 5}).items():
+        first = joined.filter(F.col("status") == status).select("status", "video_id").orderBy("video_id").limit(n)
+        parts.append(first.select("status", F.row_number().over(W.partitionBy("status").orderBy("video_id")).alias("pos"), "video_id"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def storage_budget(videos: DataFrame, strides: tuple[int, ...] = (4, 8), num_frames: int = 16, dim: int = 1536) -> DataFrame:

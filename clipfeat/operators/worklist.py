@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.names import SUFFIXES, done_line_to_id, parse_feature_name
@@ -39,17 +42,40 @@ def ids_of_feature_files(names: DataFrame, modality: str) -> DataFrame:
     return parsed.filter(F.col("p.modality") == modality).select("p.video_id")
 
 
+#: Ids in a range, about, and how many of each range's ids come to the driver to find where ranges begin.
+RANGE_IDS, SAMPLED = 100_000, 20
+
+
+def _ranges(ids: DataFrame, id_col: str) -> list:
+    """Where ranges of about ``RANGE_IDS`` distinct ids begin, from an even sample by hash: ``SAMPLED`` ids of each range."""
+    n = ids.count()
+    if n <= RANGE_IDS:
+        return []
+    share = SAMPLED / RANGE_IDS
+    sample = ids.filter(F.xxhash64(id_col) < F.lit(int(share * (1 << 64)) - (1 << 63)))
+    return [r[0] for r in sample.orderBy(id_col).collect()][::SAMPLED][1:]
+
+
 def shard_ids(ids: DataFrame, num_shards: int, shard_id: int | None = None, id_col: str = "video_id") -> DataFrame:
     """Sorted distinct ids dealt out in turn: (id, position, shard); only one shard's if ``shard_id`` is given.
 
-    Ids are sorted by ranges over all tasks; each task then numbers its own from the count of those before, so no task sees
-    more than its range."""
+    Ids are dealt to ranges, numbered inside each and from the sums of the ranges before, one row each, so no task sees more than
+    its range. The ranges are settled first, so a task that runs again numbers as before."""
     if num_shards < 1 or shard_id is not None and not 0 <= shard_id < num_shards:
         raise ValueError(f"shard {shard_id} of {num_shards}")
-    rows = ids.select(id_col).distinct()
-    kind = rows.schema[id_col].dataType.simpleString()
-    numbered = rows.repartitionByRange(id_col).sortWithinPartitions(id_col).rdd.zipWithIndex().map(lambda x: (x[0][0], x[1]))
-    out = numbered.toDF(f"`{id_col}` {kind}, position long").withColumn("shard", (F.col("position") % num_shards).cast("int"))
+    rows = ids.select(id_col).filter(F.col(id_col).isNotNull()).distinct()
+    starts = _ranges(rows, id_col)
+
+    @F.pandas_udf("int")
+    def range_of(values: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.array(starts, object), values.to_numpy(object), side="right")).astype("int32")
+
+    rows = rows.withColumn("_range", range_of(id_col) if starts else F.lit(0))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    sums = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    inside = F.row_number().over(W.partitionBy("_range").orderBy(id_col))
+    out = rows.withColumn("_at", inside - 1).join(F.broadcast(sums), "_range").select(id_col, (F.col("_first") + F.col("_at")).cast("long").alias("position"))
+    out = out.withColumn("shard", (F.col("position") % num_shards).cast("int"))
     return out if shard_id is None else out.filter(F.col("shard") == shard_id)
 
 

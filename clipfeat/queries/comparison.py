@@ -65,9 +65,9 @@ def assemble_video(spark, d):
     return qa.assembled(features(spark, d).filter("not (video_id % 9 = 4 and step = 2)"))
 
 
-@query(f"WITH {FEATURES} SELECT video_id, modality, round(avg({NORM.format('feature')}), 6) AS norm FROM features WHERE step < 5 GROUP BY ALL")
+@query(f"WITH {FEATURES} SELECT video_id, modality, round(avg({NORM.format('feature')}), 6) AS norm FROM features WHERE step < 50 GROUP BY ALL")
 def feature_norms(spark, d):
-    return qa.feature_norms(features(spark, d), 5).withColumn("norm", r6("norm"))
+    return qa.feature_norms(features(spark, d)).withColumn("norm", r6("norm"))
 
 
 @query(f"WITH {FEATURES} SELECT modality, count(DISTINCT video_id) AS videos FROM features GROUP BY modality")
@@ -147,11 +147,12 @@ def pool_clip_mean_wide(spark, d):
     return _weighted(compare.wide_vector_means(_frame_vectors(spark, d), ["video_id", "clip_idx"]))
 
 
-@query(f"WITH {FEATURES} SELECT modality, count(*) AS n, 0::BIGINT AS repeated FROM features GROUP BY modality")
+@query(f"WITH {FEATURES} SELECT modality, count(*) AS n, round(sum(list_sum(feature)), 3) AS total, 0::BIGINT AS repeated FROM features GROUP BY modality")
 def merge_stores(spark, d):
     m = compare.merge_stores(("audio", audio_features(spark, d)), ("visual", visual_features(spark, d)))
     twice = compare.repeated_rows(m).groupBy("modality").agg(F.count(F.lit(1)).alias("repeated"))
-    return m.groupBy("modality").agg(F.count(F.lit(1)).alias("n")).join(twice, "modality", "left").select("modality", "n", F.coalesce("repeated", F.lit(0)).alias("repeated"))
+    total = F.round(F.sum(F.aggregate("feature", F.lit(0.0), lambda a, x: a + x)), 3)
+    return m.groupBy("modality").agg(F.count(F.lit(1)).alias("n"), total.alias("total")).join(twice, "modality", "left").select("modality", "n", "total", F.coalesce("repeated", F.lit(0)).alias("repeated"))
 
 
 @query("""WITH e AS (SELECT vec_id, CASE WHEN vec_id % 10 = 0 THEN list_transform(CAST(embedding AS DOUBLE[]), lambda x: 0e0) ELSE CAST(embedding AS DOUBLE[]) END AS a, CAST(embedding AS DOUBLE[]) AS b FROM embeddings)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..operators import audio, clips, encode
+from ..operators import audio, encode
 from . import query
 from .standins import FRAMES, frames, r6, table
-from .windows import _waves
+from .windows import WINDOWS, _waves
 
 
 def _pixel_frames(spark, d):
@@ -21,25 +21,25 @@ def _pixel_frames(spark, d):
 @query(f"""WITH {FRAMES}, t AS (SELECT video_id, count(*) AS total FROM frames GROUP BY video_id), n AS (SELECT *, CAST(greatest(0, floor((total - 16) / 8.0)) + 1 AS BIGINT) AS n FROM t),
 p AS (SELECT video_id, step, unnest(range(16)) AS pos, total FROM (SELECT *, unnest(range(n)) AS step FROM n)),
 x AS (SELECT p.video_id, step, greatest(0, least(255, floor(value))) AS g FROM p JOIN frames f ON f.video_id = p.video_id AND f.frame_idx = least(step * 8 + pos, total - 1))
-SELECT video_id, step, round(avg((g - 122.771e0) / 68.5e0 + (g - 116.746e0) / 66.632e0 + (g - 104.094e0) / 70.323e0) / 3, 4) AS mean FROM x GROUP BY ALL""")
+SELECT video_id, step, round(avg((g - 122.771e0) / 68.5e0 + (g - 116.746e0) / 66.632e0 + (g - 104.094e0) / 70.323e0) / 3, 4) AS mean, NULL::VARCHAR AS error FROM x GROUP BY ALL""")
 def encode_clips(spark, d):
     """Chunks of frames through an encoder that gives the mean of its input."""
     f = _pixel_frames(spark, d)
-    totals = f.groupBy("video_id").agg(F.count(F.lit(1)).alias("total"))
-    chunks = encode.gather_chunks(f, clips.chunk_plan(totals, 16, 8, 3))
+    chunks = encode.gather_chunks(f, 16, 8, 3)
     mean = lambda: lambda x: x.reshape(len(x), -1).mean(axis=1, keepdims=True)
-    return encode.encode_clips(chunks, mean, 16, 8).select("video_id", "step", F.round(F.col("feature")[0].cast("double"), 4).alias("mean"))
+    return encode.encode_clips(chunks, mean, 16, 8, 3).select("video_id", "step", F.round(F.col("feature")[0].cast("double"), 4).alias("mean"), "error")
 
 
-@query(f"""WITH {FRAMES}, t AS (SELECT video_id, count(*) AS total FROM frames GROUP BY video_id)
-SELECT video_id, unnest(range(CAST(greatest(0, floor((total - 16) / 8.0)) + 1 AS BIGINT))) AS step, 64 AS dim, 1e0 AS norm FROM t""")
+@query(f"""WITH {FRAMES}, {WINDOWS}, n AS (SELECT video_id, step, pos, CAST((value - avg(value) OVER w) / sqrt(var_pop(value) OVER w + 1e-5) AS FLOAT)::DOUBLE AS x FROM x WINDOW w AS (PARTITION BY video_id, step)),
+v AS (SELECT video_id, step, d, CAST(sum(x * cos(pos * (d + 1))) AS FLOAT)::DOUBLE AS v FROM n, (SELECT unnest(range(64)) AS d) GROUP BY ALL),
+u AS (SELECT video_id, step, d, CAST(CASE WHEN sum(v * v) OVER w > 0 THEN v / sqrt(sum(v * v) OVER w) ELSE v END AS FLOAT)::DOUBLE AS u FROM v WINDOW w AS (PARTITION BY video_id, step))
+SELECT video_id, step, count(*) AS dim, round(sum(u * (d % 7 + 1)), 4) AS weighted, NULL::VARCHAR AS error FROM u GROUP BY ALL""")
 def encode_audio(spark, d):
-    """Audio windows through the projection encoder; vectors have unit length."""
+    """Audio windows through the projection encoder; every element of the unit vectors counts in the sum."""
     w = audio.audio_windows(_waves(spark, d), 16, 8)
     e = encode.encode_audio(w, encode.projection_encoder(64))
-    from ..functions.vectors import l2_norm
-
-    return e.select("video_id", "step", F.size("feature").alias("dim"), F.round(l2_norm("feature"), 4).alias("norm"))
+    each = F.transform("feature", lambda x, i: x.cast("double") * (i % 7 + 1))
+    return e.select("video_id", "step", F.size("feature").cast("long").alias("dim"), F.round(F.aggregate(each, F.lit(0.0), lambda a, x: a + x), 4).alias("weighted"), "error")
 
 
 @query("""SELECT doc_id AS item, unnest(range(CASE WHEN doc_id % 10 = 7 THEN 2 ELSE doc_id % 3 END)) AS seq, NULL::VARCHAR AS error FROM documents
@@ -63,9 +63,10 @@ _HEAD = [[((c * 7 + i * 3) % 11 - 5) / 10 for i in range(64)] for c in range(12)
 l AS (SELECT vec_id, c, list_dot_product(CAST(embedding AS DOUBLE[]), w) + b AS z FROM embeddings, h),
 p AS (SELECT vec_id, c, exp(z - max(z) OVER (PARTITION BY vec_id)) AS e FROM l), q AS (SELECT vec_id, c, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM p),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, c) AS rank FROM q)
-SELECT vec_id, CAST(rank AS INTEGER) AS rank, CAST(c AS INTEGER) AS class_id, 'class ' || c AS name, round(p, 6) AS probability FROM r WHERE rank <= 5""")
+SELECT vec_id, CAST(rank AS INTEGER) AS rank, CAST(c AS INTEGER) AS class_id, 'class ' || c AS name, round(p, 6) AS probability, round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS norm
+FROM r JOIN embeddings USING (vec_id) WHERE rank <= 5""")
 def topk_classes(spark, d):
     classes = table(spark, d, "embeddings").select(F.col("label").alias("class_id")).distinct().unionByName(spark.range(12).select(F.col("id").cast("int").alias("class_id"))).distinct().withColumn("name", F.concat(F.lit("class "), F.col("class_id").cast("string")))
     rows = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("feature"))
     out = encode.topk_classes(rows, np.array(_HEAD), np.arange(12) / 100, classes)
-    return out.select("vec_id", "rank", "class_id", "name", r6("probability").alias("probability"))
+    return out.select("vec_id", "rank", "class_id", "name", r6("probability").alias("probability"), r6("norm").alias("norm"))

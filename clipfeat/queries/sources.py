@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..sources import media, store
 from . import query
 from .standins import FEATURES, features, scratch, table
+from .windows import pcm_digest, weighted_samples
 
 
 def _touch(rows, directory: str):
@@ -39,7 +40,7 @@ def media_ids(spark, d):
     return media.media_ids(media.list_files(spark, where), ".mp4", "Y").select("video_id", F.col("length"))
 
 
-@query(f"WITH {FEATURES} SELECT CAST(video_id AS VARCHAR) AS video_id, modality, count(*) AS t, round(sum(feature[3]), 4) AS third FROM features GROUP BY ALL")
+@query(f"WITH {FEATURES} SELECT CAST(video_id AS VARCHAR) AS video_id, modality, count(*) AS t, round(sum(CAST(feature[3] AS FLOAT)::DOUBLE), 4) AS third FROM features GROUP BY ALL")
 def read_features_npy(spark, d):
     """The feature store exported as .npy files, listed and read back."""
     where = scratch(spark, "npy")
@@ -57,7 +58,8 @@ def write_features(spark, d):
     return store.read_features(spark, where).groupBy("modality").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("feature")[2]), 4).alias("third"))
 
 
-@query("SELECT 'w' || doc_id AS video_id, CAST(ceil((octet_length(encode(text)) // 4) / 1000.0) AS BIGINT) AS blocks, octet_length(encode(text)) // 4 AS n, 8000 AS sample_rate FROM documents WHERE octet_length(encode(text)) >= 4")
+@query(f"""SELECT 'w' || doc_id AS video_id, CAST(ceil((octet_length(encode(text)) // 4) / 1000.0) AS BIGINT) AS blocks, octet_length(encode(text)) // 4 AS n, 8000 AS sample_rate, {pcm_digest()} AS weighted
+FROM (SELECT doc_id, text, hex(encode(text)) AS h FROM documents) WHERE octet_length(encode(text)) >= 4""")
 def read_wav(spark, d):
     """The bytes of each text as a stereo WAV file, read back in blocks."""
     raw = F.encode("text", "UTF-8")
@@ -82,4 +84,4 @@ def read_wav(spark, d):
     where = scratch(spark, "wav")
     _touch(rows.select("name", wav("raw").alias("data")), where)
     blocks = store.read_wav(media.list_files(spark, where).select("name", "path"), block=1000, prefix="Y", tasks=8)
-    return blocks.groupBy("video_id").agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.size("samples").cast("long")).alias("n"), F.max("sample_rate").alias("sample_rate"))
+    return blocks.groupBy("video_id").agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.size("samples").cast("long")).alias("n"), F.max("sample_rate").alias("sample_rate"), F.sum(weighted_samples(F.col("samples"), F.col("sample_offset"))).alias("weighted"))

@@ -14,11 +14,19 @@ from .windows import _clips_sql
 STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _stream(spark, rows, files: int = 1):
-    """``rows`` written as a table and read as a stream."""
+#: Batches of a stream, and files that a batch reads, each in a task of its own.
+BATCHES, FILES = 5, 4
+
+
+def _stream(spark, rows, key: str, order):
+    """``rows`` written in ``BATCHES`` parts, by the number that ``order`` gives, one after another and each as several files by
+    ``key``; read as a stream that takes as many files at a time, so that state goes from batch to batch."""
     path = scratch(spark, "stream-in")
-    rows.coalesce(files).write.parquet(path)
-    return spark.readStream.schema(rows.schema).parquet(path)
+    numbered = rows.withColumn("_part", F.greatest(F.lit(0), F.least(F.lit(BATCHES - 1), order)).cast("int")).persist()
+    for k in range(BATCHES):
+        numbered.filter(F.col("_part") == k).drop("_part").repartition(FILES, key).write.mode("append").parquet(path)
+    numbered.unpersist()
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 def _run(spark, stream, mode: str = "append"):
@@ -34,7 +42,8 @@ def _run(spark, stream, mode: str = "append"):
 def stream_clip_windows(spark, d):
     rows = frames(spark, d)
     last = F.col("frame_idx") == F.max("frame_idx").over(W.partitionBy("video_id"))
-    out = _run(spark, windows.stream_clips(_stream(spark, rows.select("video_id", "frame_idx", "value", last.alias("last"))), 16, 8))
+    rows = rows.select("video_id", "frame_idx", "value", last.alias("last"))
+    out = _run(spark, windows.stream_clips(_stream(spark, rows, "video_id", F.floor(F.col("frame_idx") / 14)), 16, 8)).filter("error is null")
     return out.groupBy("video_id", "clip_idx").agg(F.count(F.lit(1)).alias("n"), F.min("frame_idx").alias("first_frame"), F.max("frame_idx").alias("last_frame"), F.sum(F.col("pos") * F.col("frame_idx")).alias("mix"), r6(F.avg("value")).alias("mean"))
 
 
@@ -44,7 +53,10 @@ SELECT user_id AS video_id, CAST(start AS BIGINT) AS start, count(*) AS n, round
 def event_time_clips(spark, d):
     """Windows of two days that move by one, with exactly seven events."""
     rows = table(spark, d, "events").select(F.col("user_id").alias("video_id"), F.col("ts").cast("timestamp").alias("ts"), "value")
-    out = _run(spark, windows.event_time_clips(_stream(spark, rows), "2 days", "1 day", 7, "1 hour"))
+    day = F.unix_seconds("ts") / 86400
+    span = rows.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
+    part = F.floor((day - F.lit(span["low"] or 0.0)) / F.lit(((span["high"] or 0.0) - (span["low"] or 0.0) or 1.0) / BATCHES))
+    out = _run(spark, windows.event_time_clips(_stream(spark, rows, "video_id", part), "2 days", "1 day", 7, "1 hour"))
     return out.select("video_id", F.unix_seconds("start").alias("start"), "n", r6("mean").alias("mean"))
 
 
@@ -61,7 +73,7 @@ def assemble_messages(spark, d):
 
 @query(ASSEMBLED)
 def stream_assemble(spark, d):
-    return _run(spark, asm.stream_assemble(_stream(spark, messages(spark, d))))
+    return _run(spark, asm.stream_assemble(_stream(spark, messages(spark, d), "video_id", F.col("seq"))))
 
 
 @query("SELECT doc_id AS video_id, 2::BIGINT AS runs FROM documents WHERE n_chars % 10 = 3 UNION ALL SELECT doc_id, 1 FROM documents WHERE n_chars % 10 <> 3")
@@ -71,7 +83,7 @@ def stream_resume(spark, d):
     src, out, ledger, check = (scratch(spark, n) for n in ("items", "out", "ledger", "check"))
     work = lambda df: df.select("video_id", F.when(F.col("n_chars") % 10 == 3, "failed").otherwise("ok").alias("status"))
     for _ in range(2):
-        docs.coalesce(1).write.mode("append").parquet(src)
-        items = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        docs.repartition(FILES, "video_id").write.mode("append").parquet(src)
+        items = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", FILES).parquet(src)
         resume.resumable(items, work, out, ledger, check).awaitTermination()
     return spark.read.parquet(out).groupBy("video_id").agg(F.count(F.lit(1)).alias("runs"))

@@ -16,12 +16,18 @@ def num_windows(spark, d):
     return media(spark, d).withColumn("n_clips", fw.num_windows("total", 16, 8))
 
 
-@query("""SELECT doc_id AS video_id, CAST(least(greatest(0, floor((CAST(trunc(n_chars / 7.0 * 16) AS BIGINT) - 16) / 8.0)) + 1, 400) AS BIGINT) AS n_clips,
+@query("""SELECT doc_id AS video_id, CAST(greatest(0, floor((CAST(trunc(n_chars / 7.0 * 16) AS BIGINT) - 16) / 8.0)) + 1 AS BIGINT) AS n_clips,
   CAST(greatest(0, floor((coalesce(CAST(trunc(CASE WHEN n_chars % 5 > 0 THEN n_chars / 7e0 END * 16) AS BIGINT), 0) - 16) / 4.0)) + 1 AS BIGINT) AS n_null FROM documents""")
 def expected_clips(spark, d):
     rows = media(spark, d).withColumn("duration", F.col("total") / 7.0)
     null = F.when(F.col("total") % 5 > 0, F.col("duration"))
-    return rows.select("video_id", fw.expected_clips("duration", max_clips=400).cast("long").alias("n_clips"), fw.expected_clips(null, stride=4).alias("n_null"))
+    return rows.select("video_id", fw.expected_clips("duration").cast("long").alias("n_clips"), fw.expected_clips(null, stride=4).alias("n_null"))
+
+
+@query("SELECT doc_id AS video_id, CAST(least(greatest(0, floor((CAST(trunc(n_chars / 7.0 * 16) AS BIGINT) - 16) / 8.0)) + 1, 400) AS BIGINT) AS n_clips FROM documents")
+def limit_expected_clips(spark, d):
+    rows = media(spark, d).withColumn("duration", F.col("total") / 7.0)
+    return rows.select("video_id", fw.expected_clips("duration", max_clips=400).cast("long").alias("n_clips"))
 
 
 @query("SELECT doc_id AS video_id, CAST(greatest(0, floor((n_chars / 7e0 * 16 - 16) / 8)) + 1 AS BIGINT) AS expected FROM documents")
@@ -82,36 +88,30 @@ def clip_windows_short(spark, d):
     return _clips(frames(spark, d, "error"), 16, 20)
 
 
-@query("""WITH t AS (SELECT doc_id AS video_id, n_chars AS total, least(CAST(greatest(0, floor((n_chars - 16) / 8.0)) + 1 AS BIGINT), 1000) AS n FROM documents WHERE n_chars > 0),
+@query("""WITH t AS (SELECT doc_id AS video_id, n_chars AS total, CAST(greatest(0, floor((n_chars - 16) / 8.0)) + 1 AS BIGINT) AS n FROM documents WHERE n_chars > 0),
 c AS (SELECT *, unnest(range(0, n, 30)) AS first_clip FROM t)
 SELECT video_id, first_clip // 30 AS chunk_id, first_clip, least(30, n - first_clip) AS n_clips, first_clip * 8 AS first_frame,
   least((least(30, n - first_clip) - 1) * 8 + 16, total - first_clip * 8) AS n_frames FROM c""")
 def clip_chunks(spark, d):
-    return clips.chunk_plan(media(spark, d), 16, 8, 30, limit=1000)
-
-
-@query(f"WITH {FRAMES} SELECT video_id, frame_idx // 7 AS batch_id, count(*) AS n, min(frame_idx) AS first_frame FROM frames WHERE frame_idx < 60 GROUP BY ALL")
-def batches(spark, d):
-    return clips.batches(frames(spark, d), 7, ["frame_idx"], limit=60).groupBy("video_id", "batch_id").agg(F.count(F.lit(1)).alias("n"), F.min("frame_idx").alias("first_frame"))
+    return clips.chunk_plan(media(spark, d), 16, 8, 30)
 
 
-@query("""WITH t AS (SELECT doc_id AS video_id, n_chars AS total, CAST(greatest(0, floor((n_chars - 16) / 8.0)) + 1 AS BIGINT) AS n FROM documents WHERE n_chars > 0),
+@query("""WITH t AS (SELECT doc_id AS video_id, n_chars AS total, least(CAST(greatest(0, floor((n_chars - 16) / 8.0)) + 1 AS BIGINT), 1000) AS n FROM documents WHERE n_chars > 0),
 c AS (SELECT *, unnest(range(0, n, 30)) AS first_clip FROM t)
 SELECT video_id, first_clip // 30 AS chunk_id, first_clip, least(30, n - first_clip) AS n_clips, first_clip * 8 AS first_frame,
   least((least(30, n - first_clip) - 1) * 8 + 16, total - first_clip * 8) AS n_frames FROM c""")
-def clip_chunks_whole(spark, d):
-    return clips.chunk_plan(media(spark, d), 16, 8, 30)
+def limit_chunks(spark, d):
+    return clips.chunk_plan(media(spark, d), 16, 8, 30, limit=1000)
 
 
 @query(f"WITH {FRAMES} SELECT video_id, frame_idx // 7 AS batch_id, count(*) AS n, min(frame_idx) AS first_frame FROM frames GROUP BY ALL")
-def batches_whole(spark, d):
+def batches(spark, d):
     return clips.batches(frames(spark, d), 7, ["frame_idx"]).groupBy("video_id", "batch_id").agg(F.count(F.lit(1)).alias("n"), F.min("frame_idx").alias("first_frame"))
 
 
-@query("SELECT doc_id AS video_id, CAST(greatest(0, floor((CAST(trunc(n_chars / 7.0 * 16) AS BIGINT) - 16) / 8.0)) + 1 AS BIGINT) AS n_clips FROM documents")
-def expected_clips_whole(spark, d):
-    rows = media(spark, d).withColumn("duration", F.col("total") / 7.0)
-    return rows.select("video_id", fw.expected_clips("duration").cast("long").alias("n_clips"))
+@query(f"WITH {FRAMES} SELECT video_id, frame_idx // 7 AS batch_id, count(*) AS n, min(frame_idx) AS first_frame FROM frames WHERE frame_idx < 60 GROUP BY ALL")
+def limit_batches(spark, d):
+    return clips.batches(frames(spark, d), 7, ["frame_idx"], limit=60).groupBy("video_id", "batch_id").agg(F.count(F.lit(1)).alias("n"), F.min("frame_idx").alias("first_frame"))
 
 
 @query(f"""WITH {FRAMES}, k AS (SELECT *, CAST(floor((pts - min(pts) OVER (PARTITION BY video_id)) * (1 / 3600e0) + 0.5) AS BIGINT) AS tick FROM frames),
@@ -139,15 +139,18 @@ def _waves(spark, d, kind=None):
     return blocks.select("video_id", "block_id", (F.col("block_id").cast("long") * 10).alias("sample_offset"), F.transform("v", lambda x: x["value"].cast("float")).alias("samples"))
 
 
-def _audio_sql(base: str) -> str:
-    return f"""WITH {base}, t AS (SELECT video_id, count(*) AS total, CAST(greatest(0, floor((count(*) - 16) / 8.0)) + 1 AS BIGINT) AS n FROM frames GROUP BY video_id),
+#: The samples of each window, from frames.
+WINDOWS = """t AS (SELECT video_id, count(*) AS total, CAST(greatest(0, floor((count(*) - 16) / 8.0)) + 1 AS BIGINT) AS n FROM frames GROUP BY video_id),
 p AS (SELECT video_id, total, step, unnest(range(16)) AS pos FROM (SELECT video_id, total, unnest(range(n)) AS step FROM t)),
-x AS (SELECT p.video_id, step, pos, CAST(value AS FLOAT)::DOUBLE AS value FROM p JOIN frames f ON f.video_id = p.video_id AND f.frame_idx = (step * 8 + pos) % total)
-SELECT video_id, step, count(*) AS n, round(sum(value * (pos + 1)), 4) AS weighted FROM x GROUP BY ALL"""
+x AS (SELECT p.video_id, step, pos, CAST(value AS FLOAT)::DOUBLE AS value FROM p JOIN frames f ON f.video_id = p.video_id AND f.frame_idx = (step * 8 + pos) % total)"""
+
+
+def _audio_sql(base: str) -> str:
+    return f"""WITH {base}, {WINDOWS} SELECT video_id, step, count(*) AS n, round(sum(value * (pos + 1)), 4) AS weighted FROM x GROUP BY ALL"""
 
 
 def _audio(blocks):
-    w = audio.audio_windows(blocks, 16, 8, normalize=False, per_group=3)
+    w = audio.audio_windows(blocks, 16, 8, normalize=False)
     return w.select("video_id", "step", F.size("samples").cast("long").alias("n"), F.round(F.aggregate(F.transform("samples", lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda s, x: s + x), 4).alias("weighted"))
 
 
@@ -177,23 +180,55 @@ def silence_fallback(spark, d):
     return s.groupBy("video_id").agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.size(F.filter("samples", lambda x: x == 0)).cast("long")).alias("zeros"))
 
 
-@query("""SELECT doc_id AS video_id, octet_length(encode(text)) // 4 AS n FROM documents""")
+def pcm_digest() -> str:
+    """SQL: a weighted sum of the stereo samples (left and right added) in the bytes of a text, from its hexadecimal digits ``h``."""
+    half = lambda at: f"(CAST('0x' || c[{at + 2}:{at + 3}] || c[{at}:{at + 1}] AS INTEGER) + 32768) % 65536 - 32768"
+    return f"CAST(coalesce(list_sum(list_transform(regexp_extract_all(h, '.{{8}}'), lambda c, i: ((i - 1) % 7 + 1) * ({half(1)} + {half(5)}))), 0) AS BIGINT)"
+
+
+def weighted_samples(samples, first, scale: int = 1 << 16):
+    """The sum of samples, as whole numbers of 1/scale, times 1 to 7 in turn from the place ``first`` on."""
+    each = F.transform(samples, lambda x, i: (x.cast("double") * scale).cast("long") * ((first + i) % 7 + 1))
+    return F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+@query(f"SELECT doc_id AS video_id, octet_length(encode(text)) // 4 AS n, {pcm_digest()} AS weighted FROM (SELECT doc_id, text, hex(encode(text)) AS h FROM documents)")
 def pcm_to_mono(spark, d):
-    """The bytes of each text as 16-bit stereo PCM."""
+    """The bytes of each text as 16-bit stereo PCM; every sample counts in the sum."""
     rows = table(spark, d, "documents").select(F.col("doc_id").alias("video_id"), audio.pcm_to_mono(2)(F.encode("text", "UTF-8")).alias("samples"))
-    return rows.select("video_id", F.size("samples").cast("long").alias("n"))
+    return rows.select("video_id", F.size("samples").cast("long").alias("n"), weighted_samples(F.col("samples"), F.lit(0)).alias("weighted"))
 
 
-@query(f"WITH {FRAMES} SELECT video_id, CAST(ceil(count(*) * 2 / 3.0) AS BIGINT) AS n FROM frames GROUP BY video_id")
-def resample_audio(spark, d):
-    """Each user's values resampled from 24 kHz to 16 kHz."""
-    out = audio.resample_blocks(_waves(spark, d), 24_000, 16_000, block=16, zeros=8)
-    return out.groupBy("video_id").agg(F.sum(F.size("samples").cast("long")).alias("n"))
+BESSEL = "list_sum(list_transform(range(60), lambda k: exp(2 * (k * ln({0} / 2) - lgamma(k + 1)))))"
 
 
-@query("SELECT doc_id AS video_id, 0::BIGINT AS frame_idx, 16 AS height, 16 AS width, 768 AS bytes FROM documents")
+@query(f"""WITH {FRAMES}, f AS (SELECT 0.9475937167399596e0 * 2 / 3 AS cut, 14.769656459379492e0 AS beta), h AS (SELECT *, CAST(ceil(64 / cut) AS BIGINT) AS half FROM f),
+g AS (SELECT phase, tap_at, tap_at - phase / 2e0 AS x, h.* FROM h, (SELECT unnest([0, 1]) AS phase), (SELECT unnest(range(-200, 201)) AS tap_at) WHERE abs(tap_at) <= half),
+taps AS (SELECT phase, tap_at, CASE WHEN abs(x * cut) > 64 THEN 0e0 ELSE cut * (CASE WHEN x = 0 THEN 1e0 ELSE sin(pi() * cut * x) / (pi() * cut * x) END)
+  * {BESSEL.format('greatest(1e-9, beta * sqrt(greatest(0, 1 - (x * cut / 64) * (x * cut / 64))))')} / {BESSEL.format('beta')} END AS tap FROM g),
+o AS (SELECT video_id, unnest(range(CAST(ceil(count(*) * 2 / 3.0) AS BIGINT))) AS j FROM frames GROUP BY video_id),
+y AS (SELECT o.video_id, j, CAST(sum(CAST(value AS FLOAT)::DOUBLE * tap) AS FLOAT)::DOUBLE AS y FROM o JOIN frames USING (video_id) JOIN taps ON phase = (j * 3) % 2 AND tap_at = frame_idx - (j * 3) // 2 GROUP BY o.video_id, j)
+SELECT video_id, count(*) AS n, round(sum(y * (j % 7 + 1)), 2) AS weighted FROM y GROUP BY video_id""")
+def resample_audio(spark, d):
+    """Each user's values resampled from 24 kHz to 16 kHz; every output sample counts in the sum."""
+    out = audio.resample_blocks(_waves(spark, d), 24_000, 16_000)
+    each = F.transform("samples", lambda x, i: x.cast("double") * ((F.col("sample_offset") + i) % 7 + 1))
+    return out.groupBy("video_id").agg(F.sum(F.size("samples").cast("long")).alias("n"), F.round(F.sum(F.aggregate(each, F.lit(0.0), lambda a, x: a + x)), 2).alias("weighted"))
+
+
+@query("""WITH i AS (SELECT doc_id, regexp_extract_all(list_aggregate(list_transform(range(36), lambda k: md5(text || k)), 'string_agg', ''), '..') AS p FROM documents),
+axes AS (SELECT o, (o + 0.5e0) * 12 / 16 - 0.5e0 AS y, (o + 2 + 0.5e0) * 16 / 21 - 0.5e0 AS x FROM (SELECT unnest(range(16)) AS o)),
+rows AS (SELECT o AS r, CAST(greatest(0, least(11, floor(y))) AS INTEGER) AS y0, CAST(greatest(0, least(11, floor(y) + 1)) AS INTEGER) AS y1, CAST(y - floor(y) AS FLOAT) AS fy FROM axes),
+cols AS (SELECT o AS c, CAST(greatest(0, least(15, floor(x))) AS INTEGER) AS x0, CAST(greatest(0, least(15, floor(x) + 1)) AS INTEGER) AS x1, CAST(x - floor(x) AS FLOAT) AS fx FROM axes),
+v AS (SELECT doc_id, (r * 16 + c) * 3 + k AS place, fx, fy, CAST(CAST('0x' || p[(y0 * 16 + x0) * 3 + k + 1] AS INTEGER) AS FLOAT) AS a, CAST(CAST('0x' || p[(y1 * 16 + x0) * 3 + k + 1] AS INTEGER) AS FLOAT) AS b,
+  CAST(CAST('0x' || p[(y0 * 16 + x1) * 3 + k + 1] AS INTEGER) AS FLOAT) AS e, CAST(CAST('0x' || p[(y1 * 16 + x1) * 3 + k + 1] AS INTEGER) AS FLOAT) AS f FROM i, rows, cols, (SELECT unnest(range(3)) AS k)),
+w AS (SELECT doc_id, place, fx, a * (1::FLOAT - fy) + b * fy AS l, e * (1::FLOAT - fy) + f * fy AS h FROM v),
+z AS (SELECT doc_id, place, least(255, CAST(floor(l * (1::FLOAT - fx) + h * fx + 0.5::FLOAT) AS BIGINT)) AS level FROM w)
+SELECT doc_id AS video_id, 0::BIGINT AS frame_idx, 16 AS height, 16 AS width, count(*) AS bytes, CAST(sum(level * (place % 7 + 1)) AS BIGINT) AS weighted FROM z GROUP BY doc_id""")
 def resize_crop(spark, d):
-    """A small image from the MD5 of each text, resized."""
+    """A small image from MD5 sums of each text, resized and cropped; every level counts in the sum."""
     pixels = F.unhex(F.concat(*[F.md5(F.concat("text", F.lit(str(k)))) for k in range(36)]))
     rows = table(spark, d, "documents").select(F.col("doc_id").alias("video_id"), F.lit(0).cast("long").alias("frame_idx"), F.lit(0.0).alias("pts"), F.lit(12).alias("height"), F.lit(16).alias("width"), pixels.alias("pixels"))
-    return fr.resize_frames(rows, 16).select("video_id", "frame_idx", "height", "width", F.length("pixels").alias("bytes"))
+    out = fr.resize_frames(rows, 16)
+    levels = F.transform(F.regexp_extract_all(F.hex("pixels"), F.lit(".."), F.lit(0)), lambda x, i: F.conv(x, 16, 10).cast("long") * (i % 7 + 1))
+    return out.select("video_id", "frame_idx", "height", "width", F.length("pixels").cast("long").alias("bytes"), F.aggregate(levels, F.lit(0).cast("long"), lambda a, x: a + x).alias("weighted"))

@@ -20,21 +20,20 @@ def _have(spark, d):
 
 
 def _lines(spark, d):
-    """Ledger lines of every third id, written in various ways."""
+    """A ledger line for every id, written in various ways."""
     i = F.col("doc_id").cast("string")
     name = F.concat(F.lit("v_"), i)
-    forms = [name, F.concat(name, F.lit(".mp4")), F.concat(F.lit("dir\\sub\\"), name, F.lit(".wav")), F.concat(F.lit("\"/x/"), name, F.lit("_one_peace_audio.npy\"")), F.concat(name, F.lit("\tbroken pipe")), F.concat(F.lit("  "), name, F.lit(" "))]
+    forms = [name, F.concat(name, F.lit(".mp4")), F.concat(F.lit("dir\\sub\\"), name, F.lit(".wav")), F.concat(F.lit("\"/x/"), name, F.lit(f'{names.SUFFIXES["audio"]}"')), F.concat(name, F.lit("\tbroken pipe")), F.concat(F.lit("  "), name, F.lit(" "))]
     line = F.lit(None).cast("string")
     for k, f in enumerate(forms):
         line = F.when(F.col("doc_id") % 6 == k, f).otherwise(line)
-    rows = table(spark, d, "documents").filter("doc_id % 3 = 0 or doc_id % 5 = 0").select(line.alias("value"))
-    return rows
+    return table(spark, d, "documents").select("doc_id", line.alias("value"))
 
 
 ID = "'v_' || doc_id"
 
 
-@query(f"SELECT {ID} AS video_id FROM documents WHERE doc_id % 3 = 0 OR doc_id % 5 = 0")
+@query(f"SELECT {ID} AS video_id FROM documents")
 def done_line_to_id(spark, d):
     return _lines(spark, d).select(names.done_line_to_id("value", names.SUFFIXES["audio"]).alias("video_id"))
 
@@ -47,7 +46,7 @@ def done_urls(spark, d):
 @query(f"SELECT DISTINCT {ID} AS video_id FROM documents WHERE doc_id % 7 = 0 OR doc_id % 3 = 0 OR doc_id % 5 = 0")
 def done_ids(spark, d):
     stored = _ids(spark, d).filter("cast(substring(video_id, 3) as long) % 7 = 0")
-    return worklist.done_ids(stored, _lines(spark, d), "audio")
+    return worklist.done_ids(stored, _lines(spark, d).filter("doc_id % 3 = 0 or doc_id % 5 = 0").select("value"), "audio")
 
 
 @query(f"SELECT {ID} AS video_id FROM documents WHERE doc_id % 4 <> 1")
@@ -85,7 +84,7 @@ def run_summary(spark, d):
     return s.withColumn("windows_per_sec", F.round("windows_per_sec", 6)).withColumn("wait_share", F.round("wait_share", 6))
 
 
-@query(f"SELECT {ID} AS video_id, m AS modality, {ID} || CASE m WHEN 'visual' THEN '_one_peace_video_finetune.npy' ELSE '_one_peace_audio.npy' END AS name, {ID} AS back, m AS back_modality FROM documents, (SELECT unnest(['visual', 'audio']) AS m)")
+@query(f"SELECT {ID} AS video_id, m AS modality, {ID} || CASE m WHEN 'visual' THEN '{names.SUFFIXES['visual']}' ELSE '{names.SUFFIXES['audio']}' END AS name, {ID} AS back, m AS back_modality FROM documents, (SELECT unnest(['visual', 'audio']) AS m)")
 def feature_name(spark, d):
     rows = _ids(spark, d).withColumn("modality", F.explode(F.array(F.lit("visual"), F.lit("audio")))).withColumn("name", names.feature_name("video_id", "modality"))
     return rows.withColumn("p", names.parse_feature_name("name")).select("video_id", "modality", "name", F.col("p.video_id").alias("back"), F.col("p.modality").alias("back_modality"))

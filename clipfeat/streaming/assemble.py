@@ -1,8 +1,8 @@
 """Videos from messages (video_id, seq, kind, n, error): start, chunk, end.
 
 A video is done when its end comes without an error and it has windows; a failed chunk or an end with an error fails it, later
-chunks are then ignored; an end without a start fails. State is a few counters, and goes with the end; vectors are not kept in
-it, they are written as they come."""
+chunks are then ignored; an end without a start fails. State is a few counters, and goes with the end, or when nothing has come
+for a given time; vectors are not kept in it, they are written as they come."""
 
 from __future__ import annotations
 
@@ -14,39 +14,55 @@ from pyspark.sql.streaming import StatefulProcessor
 
 
 class Assembly(StatefulProcessor):
+    """``idle_ms``: how long a video may send nothing before it fails with "no end" and its state goes; None: for ever."""
+
+    def __init__(self, idle_ms: int | None = None):
+        self.idle_ms = idle_ms
+
     def init(self, handle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("state", "started boolean, windows long, error string")
 
     def handleInputRows(self, key, rows, timerValues):
         started, windows, error = tuple(self.state.get()) if self.state.exists() else (False, 0, None)
         out = []
-        for pdf in rows:
-            for kind, n, err in pdf.sort_values("seq")[["kind", "n", "error"]].itertuples(index=False, name=None):
-                err = err if isinstance(err, str) else None
-                if kind == "start":
-                    started, windows, error = True, 0, None
-                elif kind == "chunk":
-                    if error is None and err is None:
-                        windows += int(n)
-                    error = error or err
-                elif kind == "end":
-                    error = error or err or (None if started else "end without start") or (None if windows else "no windows")
-                    out.append((key[0], "failed" if error else "ok", 0 if error else windows, error))
-                    started, windows, error = False, 0, None
-        if started or windows or error:
+        for kind, n, err in pd.concat(list(rows)).sort_values("seq")[["kind", "n", "error"]].itertuples(index=False, name=None):
+            err = err if isinstance(err, str) else None
+            if kind == "start":
+                started, windows, error = True, 0, None
+            elif kind == "chunk":
+                if error is None and err is None:
+                    windows += int(n)
+                error = error or err
+            elif kind == "end":
+                error = error or err or (None if started else "end without start") or (None if windows else "no windows")
+                out.append((key[0], "failed" if error else "ok", 0 if error else windows, error))
+                started, windows, error = False, 0, None
+        open_ = bool(started or windows or error)
+        if open_:
             self.state.update((started, windows, error))
         else:
             self.state.clear()
+        if self.idle_ms is not None:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            if open_:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
         yield pd.DataFrame(out, columns=["video_id", "status", "windows", "error"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.state.clear()
+        yield pd.DataFrame([(key[0], "failed", 0, "no end")], columns=["video_id", "status", "windows", "error"])
+
     def close(self) -> None:
         pass
 
 
-def stream_assemble(messages: DataFrame, id_type: str = "long") -> DataFrame:
-    """(video_id, status, windows, error), a row for each end."""
+def stream_assemble(messages: DataFrame, idle_ms: int | None = None) -> DataFrame:
+    """(video_id, status, windows, error), a row for each end, and one for each video that sent nothing for ``idle_ms``."""
+    kind = messages.schema["video_id"].dataType.simpleString()
     return messages.groupBy("video_id").transformWithStateInPandas(
-        statefulProcessor=Assembly(), outputStructType=f"video_id {id_type}, status string, windows long, error string", outputMode="Append", timeMode="None"
+        statefulProcessor=Assembly(idle_ms), outputStructType=f"video_id {kind}, status string, windows long, error string", outputMode="Append", timeMode="None" if idle_ms is None else "ProcessingTime"
     )
 
 

@@ -12,49 +12,87 @@ class ClipBuffer(StatefulProcessor):
     """Keeps a video's frames from the start of its next clip on, and sends a clip when its last frame is there.
 
     A row with ``last = true`` ends the video: a video too short for a clip then gives one, its last frame repeated. Frames of a
-    video come in order; what is kept is at most a clip and a stride."""
+    video come in order, over any number of batches; what is kept is at most a clip and a stride. A clip of which frames have not
+    come when later ones are there gives one row with an error, and the clips after it go on. With ``idle_ms`` a video
+    from which nothing has come for that long ends as if its last frame were there."""
 
-    def __init__(self, num_frames: int, stride: int):
-        self.num_frames, self.stride = num_frames, stride
+    def __init__(self, num_frames: int, stride: int, names: list[str], payload: str, idle_ms: int | None = None):
+        self.num_frames, self.stride, self.names, self.payload, self.idle_ms = num_frames, stride, names, payload, idle_ms
 
     def init(self, handle) -> None:
-        self.frames = handle.getListState("frames", "frame_idx long, value double")
-        self.place = handle.getValueState("place", "next_clip long, seen long")
+        self.handle = handle
+        self.frames = handle.getListState("frames", f"frame_idx long, {self.payload}")
+        self.place = handle.getValueState("place", "next_clip long, short boolean")
+
+    def _take(self, video, clip: int, frames: list[tuple], until: int) -> tuple[list[tuple], int, list[tuple]]:
+        """Send the clips that end before frame ``until``; returns the rows, the next clip and the frames that are still needed."""
+        out, none = [], (None,) * len(self.names)
+        while clip * self.stride + self.num_frames <= until:
+            first = clip * self.stride
+            held = [f for f in frames if first <= f[0] < first + self.num_frames]
+            if [f[0] for f in held] == list(range(first, first + self.num_frames)):
+                out += [(video, clip, p, *f, None) for p, f in enumerate(held)]
+            else:
+                out.append((video, clip, None, None, *none, f"{len(held)} of {self.num_frames} frames"))
+            clip += 1
+            frames = [f for f in frames if f[0] >= clip * self.stride]
+        return out, clip, frames
+
+    def _end(self, video, clip: int, frames: list[tuple]) -> list[tuple]:
+        self.frames.clear()
+        self.place.clear()
+        if clip or not frames:
+            return []
+        return [(video, 0, p, *f, None) for p, f in enumerate(frames + [frames[-1]] * (self.num_frames - len(frames)))]
+
+    def _held(self) -> tuple[list[tuple], int]:
+        frames = [tuple(f) for f in self.frames.get()] if self.frames.exists() else []
+        return frames, self.place.get()[0] if self.place.exists() else 0
+
+    def _rows(self, out: list[tuple]) -> pd.DataFrame:
+        rows = pd.DataFrame(out, columns=["video_id", "clip_idx", "pos", "frame_idx", *self.names, "error"])
+        return rows.astype({c: "Int64" for c in ("clip_idx", "pos", "frame_idx")})
 
     def handleInputRows(self, key, rows, timerValues):
-        frames = list(self.frames.get()) if self.frames.exists() else []
-        clip, seen = tuple(self.place.get()) if self.place.exists() else (0, 0)
-        out, done = [], False
-        for pdf in rows:
-            for frame_idx, value, last in pdf[["frame_idx", "value", "last"]].sort_values("frame_idx").itertuples(index=False, name=None):
-                seen += 1
-                if frame_idx >= clip * self.stride:
-                    frames.append((int(frame_idx), float(value)))
-                if frame_idx == clip * self.stride + self.num_frames - 1:
-                    out += [(key[0], clip, p, i, v) for p, (i, v) in enumerate(frames)]
-                    clip += 1
-                    frames = [f for f in frames if f[0] >= clip * self.stride]
-                done |= bool(last)
-        if done:
-            if clip == 0 and frames:
-                padded = frames + [frames[-1]] * (self.num_frames - len(frames))
-                out += [(key[0], 0, p, i, v) for p, (i, v) in enumerate(padded)]
-            self.frames.clear()
-            self.place.clear()
+        frames, clip = self._held()
+        new = pd.concat(list(rows)).sort_values("frame_idx")
+        columns = [new["frame_idx"].astype(int).tolist(), *(new[c].tolist() for c in self.names)]
+        frames += [f for f in zip(*columns, strict=True) if f[0] >= clip * self.stride]
+        until = max([f[0] + 1 for f in frames], default=0)
+        out, clip, frames = self._take(key[0], clip, frames, until)
+        if new["last"].any():
+            out += self._end(key[0], clip, frames)
         else:
-            self.frames.put([tuple(f) for f in frames])
-            self.place.update((clip, seen))
-        yield pd.DataFrame(out, columns=["video_id", "clip_idx", "pos", "frame_idx", "value"])
+            if frames:
+                self.frames.put(frames)
+            else:
+                self.frames.clear()
+            self.place.update((clip, clip == 0))
+        if self.idle_ms is not None:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            if not new["last"].any():
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        yield self._rows(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        frames, clip = self._held()
+        yield self._rows(self._end(key[0], clip, frames))
 
     def close(self) -> None:
         pass
 
 
-def stream_clips(frames: DataFrame, num_frames: int, stride: int, id_type: str = "long") -> DataFrame:
-    """(video_id, clip_idx, pos, frame_idx, value) from a stream of (video_id, frame_idx, value, last)."""
+def stream_clips(frames: DataFrame, num_frames: int, stride: int, idle_ms: int | None = None) -> DataFrame:
+    """(video_id, clip_idx, pos, frame_idx, <the other columns>, error) from a stream of (video_id, frame_idx, last, ...); pixels or
+    whatever else a frame holds go along."""
+    kinds = {f.name: f.dataType.simpleString() for f in frames.schema if f.name not in ("video_id", "frame_idx", "last")}
+    payload = ", ".join(f"`{c}` {k}" for c, k in kinds.items())
     return frames.groupBy("video_id").transformWithStateInPandas(
-        statefulProcessor=ClipBuffer(num_frames, stride), outputStructType=f"video_id {id_type}, clip_idx long, pos long, frame_idx long, value double", outputMode="Append", timeMode="None"
-    )
+        statefulProcessor=ClipBuffer(num_frames, stride, list(kinds), payload, idle_ms),
+        outputStructType=f"video_id {frames.schema['video_id'].dataType.simpleString()}, clip_idx long, pos long, frame_idx long, {payload}, error string",
+        outputMode="Append", timeMode="None" if idle_ms is None else "ProcessingTime",
+    )
 
 
 def event_time_clips(frames: DataFrame, window: str, slide: str, num_frames: int, delay: str) -> DataFrame:

@@ -95,19 +95,138 @@ def test_bad_features(spark):
     assert {r.video_id: r.status for r in qa.finite_check(f).collect()} == {"ok": "ok", "nan": "failed", "dim": "ok", "one": "ok"}
 
 
-def test_extract_visual(spark, tmp_path):
+def test_probe_logs_of_other_kinds(spark):
+    logs = [
+        "Input #0\r\n  Duration: N/A, bitrate: N/A\r\n    Stream #0:0: Audio: pcm_s16le ([1][0][0][0] / 0x0001), 8000 Hz, mono, s16, 128 kb/s\r\n",
+        "  Duration: 01:00:00.00, start: 0.04, bitrate: 9 kb/s\n  Stream #0:0[0x1](eng): Video: h264 (High) (avc1 / 0x31637661), yuv420p(tv, bt709), 1280x720, 30 fps\n  Stream #0:1: Subtitle: mov_text\n",
+        "  title: Video: 12x34, at 5 Hz\n  Stream #0:0: Video: mjpeg, 90x90 [SAR 1:1 DAR 1:1]\n  Stream #0:1: Video: h264, 640x360\n",
+    ]
+    rows = spark.createDataFrame([(x,) for x in logs], "l string").select(names.parse_probe("l").alias("p")).select("p.*")
+    assert [tuple(r) for r in rows.collect()] == [(None, None, None, 8000), (3600.0, 1280, 720, None), (None, 90, 90, None)]
+
+
+def test_shards_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(worklist, "RANGE_IDS", 60)
+    ids = spark.createDataFrame([(f"v{i * 7919 % 5000:05}",) for i in range(5000)] + [(None,)], "video_id string")
+    got = {r.video_id: (r.position, r.shard) for r in worklist.shard_ids(ids, 7).collect()}
+    assert got == {f"v{i:05}": (i, i % 7) for i in range(5000)}
+
+
+def test_space_similarity_of_wide_vectors(spark):
+    rng = np.random.default_rng(3)
+    rows = [(g, rng.normal(size=300).tolist()) for g in ("a", "b", "c") for _ in range(5)]
+    f = spark.createDataFrame(rows, "modality string, feature array<double>")
+    from clipfeat.operators import compare
+
+    flat = {(r.left, r.right): (r.mean_vector_cosine, r.mean_pairwise_cosine) for r in compare.space_similarity(f).collect()}
+    wide = {(r.left, r.right): (r.mean_vector_cosine, r.mean_pairwise_cosine) for r in compare.space_similarity(f, wide=True).collect()}
+    assert len(flat) == 6 and all(np.allclose(flat[k], wide[k]) for k in flat)
+    a, b = (np.array([v for g, v in rows if g == x]) for x in "ab")
+    unit = lambda m: m / np.linalg.norm(m, axis=-1, keepdims=True)
+    assert np.allclose(flat["a", "b"], (unit(a.mean(0)) @ unit(b.mean(0)), (unit(a) @ unit(b).T).mean()))
+
+
+def _frames(spark, videos):
     rng = np.random.default_rng(5)
-    rows = [(v, i, 0.0, 6, 8, rng.integers(0, 256, 144, dtype=np.uint8).tobytes()) for v, n in (("_a", 20), ("b", 3)) for i in range(n)]
-    frames = spark.createDataFrame(rows, "video_id string, frame_idx long, pts double, height int, width int, pixels binary")
-    ids = spark.createDataFrame([("_a",), ("b",), ("c",), ("done",)], "video_id string")
+    rows = [(v, i, 0.0, 6, 8, rng.integers(0, 256, 144, dtype=np.uint8).tobytes()) for v, n in videos.items() for i in range(n)]
+    return spark.createDataFrame(rows, "video_id string, frame_idx long, pts double, height int, width int, pixels binary")
+
+
+def test_extract_visual(spark, tmp_path):
+    frames = _frames(spark, {"_a": 20, "b": 3, "x": 20})
+    frames = frames.withColumn("pixels", F.when((F.col("video_id") == "x") & (F.col("frame_idx") == 2), F.unhex(F.lit("00"))).otherwise(F.col("pixels")))
+    ids = spark.createDataFrame([("_a",), ("b",), ("c",), ("done",), ("x",)], "video_id string")
     work = extract.work_list(ids, ids, spark.createDataFrame([("done",)], "video_id string"))
-    ledger = extract.extract_visual(work, frames, encode.projection_encoder(8), str(tmp_path / "out"), str(tmp_path / "ledger"), size=4)
-    assert {r.video_id: (r.status, r.error) for r in ledger.collect()} == {"_a": ("ok", None), "b": ("ok", None), "c": ("failed", "no windows")}
-    assert {r.video_id: r.n for r in extract.stored(work, str(tmp_path / "out")).groupBy("video_id").agg(F.count(F.lit(1)).alias("n")).collect()} == {"_a": 1, "b": 1}
-    assert {(r.status, r.value) for r in store.ledger_lines(store.read_ledger(spark, str(tmp_path / "ledger"))).collect()} == {("ok", "_a"), ("ok", "b"), ("failed", "c\tno windows")}
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    lines = extract.extract_visual(work, frames, encode.projection_encoder(8), out, ledger, size=4)
+    got = {r.video_id: (r.status, r.error, r.windows, r.modality) for r in lines.collect()}
+    assert got.pop("x")[:1] == ("failed",)
+    assert got == {"_a": ("ok", None, 1, "visual"), "b": ("ok", None, 1, "visual"), "c": ("failed", "no windows", 0, "visual")}
+    assert {r.video_id: r.n for r in extract.stored(work, out, ledger).groupBy("video_id").agg(F.count(F.lit(1)).alias("n")).collect()} == {"_a": 1, "b": 1}
+    assert {(r.status, r.value.split("(")[0]) for r in store.ledger_lines(store.read_ledger(spark, ledger)).collect()} == {("ok", "_a"), ("ok", "b"), ("failed", "c\tno windows"), ("failed", "x\tValueError")}
+    s = extract.summary(lines, 2.0).first()
+    assert (s.n_ok, s.n_failed, s.windows, s.windows_per_sec) == (2, 2, 2, 1.0)
+
+
+def test_shards_side_by_side_and_again(spark, tmp_path):
+    """Two shards at once keep their own files; a run over the same videos replaces what readers see; a cut-off run is not read."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    frames = _frames(spark, {f"v{i}": 24 for i in range(6)})
+    ids = frames.select("video_id").distinct()
+    none = spark.createDataFrame([], "video_id string")
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+
+    def shard(k):
+        return extract.extract_visual(extract.work_list(ids, ids, none, 2, k), frames, encode.projection_encoder(8), out, ledger, size=4, shard_id=k).count()
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(shard, range(2))) == [3, 3]
+    count = lambda: {r.video_id: r.n for r in extract.stored(ids, out, ledger).groupBy("video_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert count() == {f"v{i}": 2 for i in range(6)}
+    again = ids.filter("video_id = 'v1'")
+    extract.extract_visual(again, frames.filter("frame_idx < 16"), encode.projection_encoder(8, seed=1), out, ledger, size=4)
+    assert count() == {f"v{i}": 2 if i != 1 else 1 for i in range(6)}
+    store.write_features(extract.stored(ids, out, ledger).drop("run"), f"{out}/store/run=99-0-x")
+    assert count() == {f"v{i}": 2 if i != 1 else 1 for i in range(6)}
+
+
+def _wav(path, samples, rate=16_000, width=2, channels=1):
+    import wave
+
+    with wave.open(str(path), "wb") as w:
+        w.setnchannels(channels)
+        w.setsampwidth(width)
+        w.setframerate(rate)
+        w.writeframes(samples)
+
+
+def test_extract_audio(spark, tmp_path):
+    """Sound at two rates, silence, an empty file, and broken ones: the good are stored, each of the others fails alone."""
+    tone = (np.sin(np.arange(40_000) / 5) * 9000).astype("<i2")
+    _wav(tmp_path / "a.wav", tone.tobytes())
+    _wav(tmp_path / "b.wav", tone.tobytes(), rate=8_000, channels=2)
+    _wav(tmp_path / "empty.wav", b"")
+    _wav(tmp_path / "wide.wav", tone.tobytes(), width=4)
+    (tmp_path / "broken.wav").write_bytes(b"no sound")
+    _wav(tmp_path / "cut.wav", tone.tobytes())
+    whole = (tmp_path / "cut.wav").read_bytes()
+    (tmp_path / "cut.wav").write_bytes(whole[: len(whole) // 2])
+    rows = [(v, str(tmp_path / f"{v}.wav"), 2.5) for v in ("a", "b", "empty", "wide", "broken", "cut", "gone")] + [("mute", None, 1.5), ("unknown", None, None)]
+    files = spark.createDataFrame(rows, "video_id string, path string, duration double")
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    lines = extract.extract_audio(files.select("video_id"), files, encode.projection_encoder(8), out, ledger, 16_000, 8_000, shard_id=3, block=7_000)
+    got = {}
+    for r in lines.collect():
+        got.setdefault(r.video_id, {})[r.status] = (r.error, r.windows, r.modality, r.shard_id)
+    assert got["a"] == {"ok": (None, 4, "audio", 3)} and got["b"] == {"ok": (None, 4, "audio", 3)}
+    assert got["empty"] == {"ok": (None, 4, "audio", 3), "silent": (None, 0, "audio", 3)} and got["mute"]["ok"][1] == 2
+    assert set(got["unknown"]) == {"failed", "silent"} and got["unknown"]["failed"][0] == "no windows"
+    assert all(set(got[v]) == {"failed"} and got[v]["failed"][0] for v in ("wide", "broken", "cut", "gone"))
+    assert {r.video_id for r in extract.stored(files, out, ledger).select("video_id").distinct().collect()} == {"a", "b", "empty", "mute"}
+    assert sorted(r.video_id for r in store.read_ledger(spark, ledger).filter("status = 'silent'").collect()) == ["empty", "mute", "unknown"]
+
+
+def test_damaged_features_and_done_sets(spark, tmp_path):
+    suffix, here, there = names.SUFFIXES["audio"], tmp_path / "here", tmp_path / "there"
+    here.mkdir()
+    there.mkdir()
+    np.save(here / f"_a{suffix}", np.ones((3, 2), np.float64))
+    (here / f"bad{suffix}").write_bytes(b"none")
+    np.save(here / f"flat{suffix}", np.ones(3))
+    (here / f"t{suffix}.tmp.npy").write_bytes(b"")
+    (here / "done_audio_shard0.txt").write_text("b\nc.wav\n\n", encoding="utf-8-sig")
+    (here / "failed_audio_shard0.txt").write_text("z\terror\n")
+    np.save(there / f"d{suffix}", np.ones((1, 2)))
+    (tmp_path / "more.txt").write_text(f"x/y/e{suffix}\n")
+    back = store.read_features_npy(media.list_files(spark, str(here)).select("name", "path"), 4).collect()
+    assert {r.video_id: r.error is None for r in back} == {"_a": True, "bad": False, "flat": False} and sum(r.error is None for r in back) == 3
+    with pytest.warns(UserWarning, match="nowhere"):
+        done = store.done_set(spark, [str(here)], "audio", "done_audio", [str(there), str(tmp_path / "more.txt"), str(tmp_path / "nowhere")])
+    assert {r.video_id for r in done.collect()} == {"_a", "bad", "flat", "b", "c", "d", "e"}
 
 
 def test_resample_fps_repeats_and_drops(spark):
-    rows = spark.createDataFrame([(1, 0.0, "a"), (1, 0.1, "b"), (1, 0.9, "c"), (1, 3.0, "d")], "video_id long, pts double, v string")
+    rows = spark.createDataFrame([(1, 0, 0.0, "a"), (1, 1, 0.1, "b"), (1, 2, 0.9, "c"), (1, 3, 3.0, "d")], "video_id long, frame_idx long, pts double, v string")
     got = [(r.tick, r.v) for r in clips.resample_fps(rows, 1.0).orderBy("tick").collect()]
     assert got == [(0, "b"), (1, "c"), (2, "c"), (3, "d")]

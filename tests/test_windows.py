@@ -120,14 +120,91 @@ def test_encode_is_the_same_for_any_partitioning(spark):
     rng = np.random.default_rng(2)
     rows = [(v, i, 0.0, 4, 4, rng.integers(0, 256, 48, dtype=np.uint8).tobytes()) for v, n in ((1, 5), (2, 40), (3, 16)) for i in range(n)]
     f = spark.createDataFrame(rows, "video_id long, frame_idx long, pts double, height int, width int, pixels binary")
-    totals = f.groupBy("video_id").agg(F.count(F.lit(1)).alias("total"))
     got = []
     for parts, per in ((1, 2), (8, 3)):
-        out = encode.encode_clips(encode.gather_chunks(f.repartition(parts), clips.chunk_plan(totals, 16, 8, per)), encode.projection_encoder(8), 16, 8)
+        out = encode.encode_clips(encode.gather_chunks(f.repartition(parts), 16, 8, per), encode.projection_encoder(8), 16, 8, per)
         got.append(sorted((r.video_id, r.step, tuple(np.round(r.feature, 3))) for r in out.collect()))
     assert got[0] == got[1] and [x[:2] for x in got[0]] == [(1, 0), (2, 0), (2, 1), (2, 2), (2, 3), (3, 0)]
 
 
+@pytest.mark.parametrize(("nf", "stride", "per", "limit"), [(16, 8, 3, None), (4, 6, 2, None), (5, 1, 4, 7), (16, 8, 3, 4), (4, 9, 2, 3)])
+def test_chunks_of_frames_hold_every_clip(spark, nf, stride, per, limit):
+    """Clips that are cut from chunks are those of brute force, for any number of frames."""
+    random.seed(5)
+    totals = {v: random.randrange(1, 90) for v in range(25)}
+    rows = [(v, i, 0.0, 1, 1, bytes([i, v, 0])) for v, n in totals.items() for i in range(n)]
+    f = spark.createDataFrame(rows, "video_id long, frame_idx long, pts double, height int, width int, pixels binary")
+    whole = lambda: lambda x: x[:, :, 0, 0, 0]
+    out = encode.encode_clips(encode.gather_chunks(f, nf, stride, per, limit), whole, nf, stride, per).collect()
+    level = lambda x: [round(float(y) * 68.5 + 122.771) for y in x]
+    assert not [r for r in out if r.error]
+    assert {(r.video_id, r.step): level(r.feature) for r in out} == {(v, c): x for v, n in totals.items() for c, x in enumerate_clips(n, nf, stride).items() if limit is None or c < limit}
+
+
+def test_pixels_are_shuffled_once(spark):
+    f = spark.createDataFrame([], "video_id long, frame_idx long, pts double, height int, width int, pixels binary")
+    out = encode.encode_clips(encode.gather_chunks(f, 16, 8, 4), encode.projection_encoder(8), 16, 8, 4)
+    plan = out._jdf.queryExecution().optimizedPlan().toString() + out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Aggregate" not in plan
+    ticks = clips.resample_fps(f, 2.0)._jdf.queryExecution().optimizedPlan().toString()
+    for line in ticks.split("\n"):
+        assert not ("Window" in line or "Aggregate" in line) or "pixels" not in line
+
+
+def test_what_fails_stays_with_its_video(spark):
+    """Damaged frames, gaps and an encoder that raises give an error for their video; the others are encoded."""
+    rows = [(v, i, 0.0, 2, 2, bytes([v * 20] * 12)) for v in range(6) for i in range(20)]
+    rows = [r for r in rows if (r[0], r[1]) != (1, 4)]  # a gap
+    rows = [(*r[:5], r[5][:7]) if (r[0], r[1]) == (2, 18) else r for r in rows]  # cut short
+    rows = [(*r[:5], None) if (r[0], r[1]) == (3, 0) else r for r in rows]
+    f = spark.createDataFrame(rows, "video_id long, frame_idx long, pts double, height int, width int, pixels binary")
+
+    def factory():
+        def encode_(batch):
+            if np.isclose(batch[..., 0], (80 - 122.771) / 68.5, atol=1e-4).all():
+                raise RuntimeError("no")
+            return batch.reshape(len(batch), -1)[:, :3]
+
+        return encode_
+
+    out = encode.encode_clips(encode.gather_chunks(frames.resize_frames(f, 2), 16, 4, 2), factory, 16, 4, 2).collect()
+    assert {r.video_id for r in out if r.error} == {1, 2, 3, 4}
+    assert {(r.video_id, r.step) for r in out if r.video_id in (0, 5)} == {(0, 0), (0, 1), (5, 0), (5, 1)}
+    w = spark.createDataFrame([(1, 0, [1.0, 2.0], None), (1, 1, None, "cut"), (2, 0, [3.0, 4.0], None), (3, 0, None, None)], "video_id long, step long, samples array<float>, error string")
+
+    def picky():
+        def encode_(batch):
+            if (batch == 3).any():
+                raise RuntimeError("three")
+            return batch
+
+        return encode_
+
+    got = {(r.video_id, r.step): r.error for r in encode.encode_audio(w, picky).collect()}
+    assert got == {(1, 0): None, (1, 1): "cut", (2, 0): "RuntimeError('three')", (3, 0): "ValueError('samples are missing')"}
+
+
+def test_blocks_that_are_missing(spark):
+    rows = [("a", k, k * 10, [float(x) for x in range(k * 10, k * 10 + 10)]) for k in range(6) if k != 3] + [("b", 0, 0, [1.0] * 9)]
+    blocks = spark.createDataFrame(rows, "video_id string, block_id int, sample_offset long, samples array<float>")
+    out = audio.audio_windows(blocks, 8, 4, normalize=False, per_group=2).collect()
+    assert {r.video_id for r in out if r.error} == {"a"} and [r.step for r in out if r.video_id == "b"] == [0]
+    assert all(list(r.samples) == [float(x) for x in range(r.step * 4, r.step * 4 + 8)] for r in out if r.video_id == "a" and not r.error)
+    assert {r.error for r in audio.resample_blocks(blocks, 3, 2, block=8, zeros=2).filter("error is not null").collect()} == {"blocks are missing or repeated"}
+
+
+def test_rates_by_column(spark):
+    x = np.sin(np.arange(900) / 9).astype(np.float32)
+    rows = spark.createDataFrame([("a", x.tolist(), 8000), ("b", x.tolist(), 16000), ("c", x.tolist(), 24000)], "video_id string, samples array<float>, r int")
+    blocks = audio.to_blocks(rows, 250).join(rows.select("video_id", "r"), "video_id")
+    got = {}
+    for r in audio.resample_blocks(blocks, "r", 16_000, block=128).orderBy("sample_offset").collect():
+        got.setdefault(r.video_id, []).extend(r.samples)
+    assert {v: len(y) for v, y in got.items()} == {"a": 1800, "b": 900, "c": 600} and np.array_equal(np.array(got["b"], np.float32), x)
+    one = [y for r in audio.resample_blocks(audio.to_blocks(rows.filter("r = 24000"), 900), 24_000, 16_000).collect() for y in r.samples]
+    assert np.allclose(one, got["c"], atol=1e-6)
+
+
 def test_map_items_keeps_what_came_before_an_error(spark):
     def fn(x):
         yield x
@@ -149,6 +226,6 @@ def test_whole_queries_drop_nothing(spark, sf_dir):
     count = lambda sql: duckdb.sql(sql).fetchall()[0][0]
     clips = f"SELECT CAST(sum(greatest(0, floor((n_chars - 16) / 8.0)) + 1) AS BIGINT), max(n_chars) FROM '{sf_dir}/documents.parquet' WHERE n_chars > 0"
     want, longest = duckdb.sql(clips).fetchall()[0]
-    assert longest > 8100 and q["clip_chunks_whole"](spark, sf_dir).agg({"n_clips": "sum"}).first()[0] == want
-    assert q["batches_whole"](spark, sf_dir).agg({"n": "sum"}).first()[0] == count(f"SELECT count(*) FROM '{sf_dir}/events.parquet'")
-    assert q["expected_clips_whole"](spark, sf_dir).agg({"n_clips": "max"}).first()[0] > 400
+    assert longest > 8100 and q["clip_chunks"](spark, sf_dir).agg({"n_clips": "sum"}).first()[0] == want
+    assert q["batches"](spark, sf_dir).agg({"n": "sum"}).first()[0] == count(f"SELECT count(*) FROM '{sf_dir}/events.parquet'")
+    assert q["expected_clips"](spark, sf_dir).agg({"n_clips": "max"}).first()[0] > 400
