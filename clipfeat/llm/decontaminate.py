@@ -1,10 +1,11 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 A window of an item's number of words that is similar to it shares a word shingle with it, so only windows around shared
-shingles are looked at; that loses nothing. Each such window gets a SimHash by running sums over the shingles' bits. A
-multi-index over blocks of the items' fingerprints finds every item within the radius: with eight blocks of eight bits,
-two fingerprints that differ in at most 23 bits have a block in which they differ in at most two. The exact similarity of
-the weighted shingles (a shingle's weight is how often it comes) then decides.
+shingles are looked at, and only for the items that share one there; that loses nothing. Each such window gets a SimHash by
+running sums over the shingles' bits. A multi-index over blocks of the items' fingerprints finds every one of those items
+within the radius: with eight blocks of eight bits, two fingerprints that differ in at most 23 bits have a block in which
+they differ in at most two. The exact similarity of the weighted shingles (a shingle's weight is how often it comes) then
+decides.
 
 Cases: a null or empty text has no window; an item without words matches nothing; an item of fewer than five words is one
 shingle of all its words; a text shorter than an item is one window; repeated rows and items are all reported; an empty
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import staged, table
 from .words import WordTable, chain, hashes
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 23
@@ -63,14 +64,16 @@ class BlockIndex:
         blocks = prints.astype("<u8").view(np.uint8).reshape(-1, 8)
         self.near = [np.bitwise_count(values[:, None] ^ blocks[None, :, k]) <= RADIUS // _BLOCK_BITS for k in range(8)]
 
-    def search(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, item, differing bits) of all pairs within the radius."""
-        found = []
-        for at in range(0, len(windows), 2048):
-            part = windows[at : at + 2048]
+    def search(self, windows: np.ndarray, among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, item, differing bits) of all pairs within the radius; only items ``among`` these places, if they are given."""
+        among = np.arange(len(self.prints)) if among is None else among
+        near, found = [n[:, among] for n in self.near], []
+        for at in range(0, len(windows), step := max(1, 2_000_000 // max(1, len(among)))):
+            part = windows[at : at + step]
             blocks = part.astype("<u8").view(np.uint8).reshape(-1, 8)
-            hit = reduce(np.logical_or, (self.near[k][blocks[:, k]] for k in range(8)))
+            hit = reduce(np.logical_or, (near[k][blocks[:, k]] for k in range(8)))
             w, i = np.nonzero(hit)
+            i = among[i]
             d = np.bitwise_count(part[w] ^ self.prints[i])
             ok = d <= RADIUS
             found.append((w[ok] + at, i[ok], d[ok]))
@@ -89,14 +92,21 @@ class BenchmarkIndex:
         prints = np.array([_pack((_bits(s).sum(axis=0, dtype=np.int64) * 2 > len(s))[None])[0] for s in self.shingles], np.uint64)
         #: By number of words: the items and the index of their fingerprints.
         self.by_words = {n: (k := np.flatnonzero(self.words == n), BlockIndex(prints[k])) for n in sorted(set(self.words.tolist()))}
-        #: By size of shingle: sorted hashes, and for each the items' numbers of words.
+        #: By size of shingle: sorted hashes, and for each an item that holds it, by its place among those of its number of words.
         self.known = {}
+        place = np.zeros(len(rows), np.int64)
+        for k, _ in self.by_words.values():
+            place[k] = np.arange(len(k))
         for size in sorted(set(self.sizes.tolist())):
             of = np.flatnonzero(self.sizes == size)
-            pairs = np.unique(np.array([(h, n) for k in of for n in [self.words[k]] for h in np.unique(self.shingles[k])], np.uint64).reshape(-1, 2), axis=0)
+            held = [np.unique(self.shingles[k]) for k in of]
+            item = np.repeat(of, [len(h) for h in held])
+            h = np.concatenate(held)
+            order = np.argsort(h, kind="stable")
+            h, item = h[order], item[order]
             bloom = np.zeros(1 << 20, bool)
-            bloom[pairs[:, 0] >> np.uint64(44)] = True
-            self.known[size] = (pairs[:, 0], pairs[:, 1].astype(np.int64), bloom)
+            bloom[h >> np.uint64(44)] = True
+            self.known[size] = (h, self.words[item], place[item], bloom)
 
     def leaks(self, texts, table: WordTable) -> list[tuple[int, int, int, int, int, float]]:
         """(place of the text, item_id, first word, words, differing bits, similarity): the best window of each text and item."""
@@ -106,31 +116,36 @@ class BenchmarkIndex:
         at = np.repeat(np.arange(len(lists)), lens)
         first = np.cumsum(lens) - lens
         best: dict[tuple[int, int], tuple] = {}
-        for size, (keys, words, bloom) in self.known.items():
+        for size, (keys, words, items, bloom) in self.known.items():
             s = chain(h, tuple(range(size)))
             place = np.flatnonzero(bloom[s >> np.uint64(44)] & (at[: len(s)] == at[size - 1 : size - 1 + len(s)]))
             low, high = np.searchsorted(keys, s[place], "left"), np.searchsorted(keys, s[place], "right")
             hit = high > low
             place, low, high = place[hit], low[hit], high[hit]
             each = high - low
-            place, n = np.repeat(place, each), words[np.repeat(high - np.cumsum(each), each) + np.arange(each.sum())]
-            for text, count in sorted(set(zip(at[place].tolist(), n.tolist(), strict=True))):
-                p = np.unique(place[(at[place] == text) & (n == count)])
-                self._windows(text, int(first[text]), int(lens[text]), s, size, count, p, best)
+            pair = np.repeat(high - np.cumsum(each), each) + np.arange(each.sum())
+            place, n, item = np.repeat(place, each), words[pair], items[pair]
+            order = np.lexsort((place, n, at[place]))
+            place, n, item = place[order], n[order], item[order]
+            cuts = np.flatnonzero((np.diff(at[place]) != 0) | (np.diff(n) != 0)) + 1
+            for a, b in itertools.pairwise([0, *cuts.tolist(), len(place)] if len(place) else []):
+                text = int(at[place[a]])
+                self._windows(text, int(first[text]), int(lens[text]), s, size, int(n[a]), place[a:b], item[a:b], best)
         return [(t, self.ids[k], *v[1:]) for (t, k), v in sorted(best.items())]
 
-    def _windows(self, text: int, first: int, total: int, s: np.ndarray, size: int, count: int, hits: np.ndarray, best: dict) -> None:
+    def _windows(self, text: int, first: int, total: int, s: np.ndarray, size: int, count: int, hits: np.ndarray, shared: np.ndarray, best: dict) -> None:
         items, index = self.by_words[count]
         n = min(count, total)
         m = n - size + 1
         # starts of the windows that hold a hit, as runs
         lo, hi = np.maximum(first, hits - m + 1), np.minimum(hits, first + total - n)
         for a, b in _runs(lo, hi):
+            among = np.unique(shared[np.searchsorted(hits, a) : np.searchsorted(hits, b + m - 1, "right")])
             for begin in range(a, b + 1, 8192):
                 end = min(b, begin + 8191)
                 sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(_bits(s[begin : end + m]), axis=0, dtype=np.int32)])
                 prints = _pack((sums[m:] - sums[:-m]) * 2 > m)
-                for w, i, d in zip(*(x.tolist() for x in index.search(prints)), strict=True):
+                for w, i, d in zip(*(x.tolist() for x in index.search(prints, among)), strict=True):
                     start, k = begin + w, int(items[i])
                     similarity = weighted_similarity(s[start : start + m], self.shingles[k])
                     if similarity >= SIMILARITY:
@@ -153,22 +168,24 @@ def _runs(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
 
 
 def indexes(benchmark: DataFrame, block_chars: int = 4_000_000):
-    """Indexes of the whole benchmark, one for each block of about ``block_chars`` characters, made one after another: so
-    what is sent to every task has a bound, and a larger benchmark takes more passes."""
+    """(number of blocks, index) for each block of the benchmark of about ``block_chars`` characters, made one after another: what is
+    sent to every task has a bound, and a larger benchmark takes more passes."""
     items = benchmark.select("item_id", "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-chars // block_chars))
     for k in range(n):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
-        yield BenchmarkIndex([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()])
+        yield n, BenchmarkIndex([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, start_word, n_words, bits, similarity): one row for each document and item that it holds."""
+def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = 4_000_000) -> DataFrame:
+    """(doc_id, item_id, start_word, n_words, bits, similarity): one row for each document and item that it holds.
+
+    With several blocks of the benchmark each one's rows are written before the next one's index is made, so tasks hold one."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["item_id", "start_word", "n_words", "bits", "similarity"]
 
-    def scan(index: BenchmarkIndex) -> DataFrame:
+    def scan(n: int, index: BenchmarkIndex) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches):
@@ -180,16 +197,29 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     if rows:
                         yield pd.concat([part["doc_id"].iloc[[r[0] for r in rows]].reset_index(drop=True), pd.DataFrame([r[1:] for r in rows], columns=names)], axis=1)
 
-        return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, item_id long, start_word long, n_words long, bits int, similarity double")
+        found = docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, item_id long, start_word long, n_words long, bits int, similarity double")
+        if n > 1:
+            found = staged(found, "leaks")
+            shared.destroy()
+        return found
 
-    return reduce(DataFrame.unionByName, (scan(i) for i in indexes(benchmark)))
+    return reduce(DataFrame.unionByName, (scan(n, i) for n, i in indexes(benchmark, block_chars)))
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no item of the benchmark. A filter on the text: nothing moves."""
-    for index in indexes(benchmark):
-        docs = docs.filter(_clean(docs.sparkSession.sparkContext.broadcast(index))(F.col("text")))
-    return docs
+def without_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = 4_000_000) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no item of the benchmark. With one block of the benchmark a filter on
+    the text, and nothing moves; with more, each block gives a small table of the texts that hold some of its items, by MD5."""
+    found = []
+    for n, index in indexes(benchmark, block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        clean = _clean(shared)(F.col("text"))
+        if n == 1:
+            return docs.filter(clean)
+        found.append(staged(docs.filter(~clean).select(F.md5("text").alias("key")).distinct(), "leaking-texts"))
+        shared.destroy()
+    keys = reduce(DataFrame.union, found).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.md5("text").alias("name"))
+    return rows.join(keys, F.col("name") == F.col("key"), "left_anti").select("row.*")
 
 
 def _clean(shared):

@@ -30,7 +30,10 @@ def brute(texts, items):
             if not q or n < size:
                 continue
             want = counts(q, size)
+            hits = [s for s in range(len(w) - size + 1) if tuple(w[s : s + size]) in want]
             for s in range(len(w) - n + 1):
+                if not any(s <= h <= s + n - size for h in hits):  # nothing in common
+                    continue
                 have = counts(w[s : s + n], size)
                 low = sum(min(c, have.get(g, 0)) for g, c in want.items())
                 sim = low / (sum(want.values()) + sum(have.values()) - low)
@@ -76,8 +79,20 @@ def test_blocks_guarantee_the_radius():
 def test_a_benchmark_in_blocks_gives_the_same(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()
-    pairs = lambda size: sorted((t, x[1]) for index in d.indexes(items, size) for x in index.leaks([r.text for r in docs], WordTable(lambda w: w)) for t in [x[0]])
+    pairs = lambda size: sorted((t, x[1]) for _, index in d.indexes(items, size) for x in index.leaks([r.text for r in docs], WordTable(lambda w: w)) for t in [x[0]])
     assert pairs(1500) == pairs(4_000_000) and pairs(1500)
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = lambda size: sorted(tuple(r) for r in d.find_leaks(table, items, size).collect())
+    assert rows(6000) == rows(4_000_000)
+    kept = lambda size: sorted(r.doc_id for r in d.without_leaks(table, items, size).collect())
+    assert kept(6000) == kept(4_000_000) and len(kept(6000)) < table.count()
+
+
+def test_op2_against_all_windows_of_the_table(spark, sf_dir):
+    docs, items = ([tuple(r) for r in spark.read.parquet(f"{sf_dir}/{t}.parquet").select(i, "text").collect()] for t, i in (("documents", "doc_id"), ("benchmark", "item_id")))
+    got = {(r.doc_id, r.item_id): r.similarity for r in d.op2_decontaminate(spark, sf_dir).collect()}
+    want = brute(docs, items)
+    assert want and set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
 @pytest.mark.parametrize("make", [documents, empty])
