@@ -209,12 +209,28 @@ def prefix_pairs(sets: DataFrame, members: DataFrame, similarity: float, read=it
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, prints: int = 4) -> DataFrame:
-    """(text_key, id, component_id): one row per distinct text; the class is named by its smallest doc_id.
+    """(text_key, id, component_id, stands): one row per distinct text; the class is named by its smallest doc_id, and ``stands`` marks
+    its one text of that doc_id (of several, that of the smallest MD5).
+
+    A doc_id that stands for several texts names each of them: then texts get numbers of their own and are compared under these."""
+    sigs = staged(signatures(docs, prints), "signatures")
+    if sigs.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return _text_classes(docs, sigs, similarity, prints).withColumn("stands", F.col("id") == F.col("component_id"))
+    nodes = staged(sigs.select("text_key", "id", F.monotonically_increasing_id().alias("node")), "text-numbers")
+    keyed = docs.filter("doc_id is not null").select("text", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
+    numbered = staged(keyed.join(nodes, "text_key").select(F.col("node").alias("doc_id"), "text"), "numbered-texts")
+    sigs = staged(sigs.drop("id").join(nodes.select("text_key", F.col("node").alias("id")), "text_key").select(sigs.columns), "numbered-signatures")
+    comp = _text_classes(numbered, sigs, similarity, prints).select("text_key", F.col("component_id").alias("comp")).join(nodes.drop("node"), "text_key")
+    first = comp.groupBy("comp").agg(F.min(F.struct("id", "text_key")).alias("first"))
+    return comp.join(first, "comp").select("text_key", "id", F.col("first.id").alias("component_id"), (F.col("text_key") == F.col("first.text_key")).alias("stands"))
+
+
+def _text_classes(docs: DataFrame, sigs: DataFrame, similarity: float, prints: int) -> DataFrame:
+    """(text_key, id, component_id) from ``signatures`` in which each id names one text.
 
     First, texts that share two codewords of a fingerprint and differ in few bits of all fingerprints are held against one
     another; that leaves less to the second step, which finds every other link by the rarest shingles of all texts. In both
     the exact similarity of the sets of five-word shingles decides."""
-    sigs = staged(signatures(docs, prints), "signatures")
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
 
     def shingled(batches):
@@ -256,7 +272,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, prints: int = 4) -
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` with the smallest doc_id of their class, one row each; all columns stay. Rows without a doc_id stay."""
     classes = near_duplicates(docs, similarity)
-    keep = classes.filter("id = component_id").select(F.col("id").alias("kept"), F.col("text_key").alias("kept_text"))
+    keep = classes.filter("stands").select(F.col("id").alias("kept"), F.col("text_key").alias("kept_text"))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("name"), F.md5(F.coalesce("text", F.lit(""))).alias("key"))
     named = rows.join(keep, (F.col("name") == F.col("kept")) & (F.col("key") == F.col("kept_text")), "left_semi").dropDuplicates(["name", "key"])
     return named.select("row.*").unionByName(docs.filter("doc_id is null"))

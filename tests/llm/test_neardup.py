@@ -171,6 +171,51 @@ def test_cut_and_appended_copies_are_all_found(spark):
     assert got == {i: i - 1 if i % 2 and alike(i - 1) else i for i in range(800)}
 
 
+def test_ids_that_stand_for_several_texts(spark):
+    """Texts are compared and kept as if they had ids of their own; a class has the smallest doc_id and one text stays."""
+    random.seed(12)
+    base = [[f"w{random.randrange(10**6)}" for _ in range(80)] for _ in range(6)]
+    rows = []
+    for i in range(60):
+        w = list(random.choice(base))
+        for _ in range(random.randrange(4)):
+            w[random.randrange(80)] = f"e{random.randrange(10**6)}"
+        rows.append((i % 9, " ".join(w)))
+    rows += rows[:5]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = sorted({t for _, t in rows})
+    small = {t: min(i for i, x in rows if x == t) for t in texts}
+    sets = [shingles(t) for t in texts]
+    comp = classes(range(len(texts)), [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    name = {c: min(small[texts[k]] for k in comp if comp[k] == c) for c in set(comp.values())}
+    got = neardup.near_duplicates(docs).collect()
+    key = {__import__("hashlib").md5(t.encode()).hexdigest(): k for k, t in enumerate(texts)}
+    assert {key[r.text_key]: (r.id, r.component_id) for r in got} == {k: (small[texts[k]], name[c]) for k, c in comp.items()}
+    assert len(name) < len(texts) and sorted(comp[key[r.text_key]] for r in got if r.stands) == sorted(name)
+    kept = neardup.one_of_each(docs).collect()
+    assert sorted(comp[texts.index(r.text)] for r in kept) == sorted(name)
+
+
+def test_unrelated_texts_change_no_class(spark):
+    """The same classes whether the texts are alone or among many others that share their buckets and common lines."""
+    random.seed(13)
+    line = " ".join(f"licence{k}" for k in range(30))
+    base = [[f"w{random.randrange(10**6)}" for _ in range(60)] for _ in range(30)]
+    rows = []
+    for i, b in enumerate(base):
+        for k in range(3):
+            w = list(b)
+            for _ in range(2 * k):
+                w[random.randrange(60)] = f"e{random.randrange(10**6)}"
+            rows.append((i * 3 + k, " ".join(w) + " " + line))
+    others = [(10_000 + i, " ".join(f"x{random.randrange(10**6)}" for _ in range(60)) + " " + line) for i in range(1500)]
+    of = lambda r: {x.id: x.component_id for x in neardup.near_duplicates(spark.createDataFrame(r, "doc_id long, text string")).collect() if x.id < 10_000}
+    alone = of(rows)
+    sets = {i: shingles(t) for i, t in rows}
+    assert alone == classes(sets, [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    assert of(rows + others) == alone and len(set(alone.values())) > 30
+
+
 @pytest.mark.parametrize("make", [documents, empty])
 def test_one_of_each_keeps_columns_and_rows(spark, make):
     docs = make(spark)
