@@ -5,9 +5,12 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from ..jobs import extract
 from ..operators import audio, encode
+from ..sources import store
 from . import query
-from .standins import FRAMES, frames, r6, table
+from .sources import _touch, wav_file
+from .standins import FRAMES, frames, r6, scratch, table
 from .windows import WINDOWS, _waves
 
 
@@ -42,6 +45,41 @@ def encode_audio(spark, d):
     return e.select("video_id", "step", F.size("feature").cast("long").alias("dim"), F.round(F.aggregate(each, F.lit(0.0), lambda a, x: a + x), 4).alias("weighted"), "error")
 
 
+@query(f"""WITH {FRAMES}, t AS (SELECT video_id, CAST(greatest(0, floor((count(*) - 16) / 8.0)) + 1 AS BIGINT) AS n, video_id % 17 = 3 AND count(*) > 5 AS broken FROM frames GROUP BY video_id)
+SELECT CAST(video_id AS VARCHAR) AS video_id, 'visual' AS modality, CASE WHEN broken THEN 'failed' ELSE 'ok' END AS status, CASE WHEN broken THEN 0 ELSE n END AS windows, CASE WHEN broken THEN 0 ELSE n END AS stored FROM t""")
+def extract_visual_job(spark, d):
+    """The whole visual job over all events as frames, of which some videos have a damaged one; the ledger and the store, read back."""
+    f = _pixel_frames(spark, d).withColumn("video_id", F.col("video_id").cast("string"))
+    damaged = (F.col("video_id").cast("long") % 17 == 3) & (F.col("frame_idx") == 5)
+    f = f.withColumn("pixels", F.when(damaged, F.substring("pixels", 1, 5)).otherwise(F.col("pixels")))
+    return _recorded(spark, lambda out, ledger: extract.extract_visual(f.select("video_id").distinct(), f, encode.projection_encoder(8), out, ledger, size=2))
+
+
+def _recorded(spark, job):
+    """(video_id, modality, status, windows, stored) of a job's ledger, with the vectors that readers of its store see."""
+    out, ledger = scratch(spark, "job"), scratch(spark, "job-ledger")
+    job(out, ledger)
+    lines = store.read_ledger(spark, ledger)
+    kept = store.read_features(spark, f"{out}/store", lines).groupBy("video_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = lines.join(kept, "video_id", "left").select("video_id", "modality", "status", "windows", F.when(F.col("status") == "silent", 0).otherwise(F.coalesce("n", F.lit(0))).alias("stored"))
+    return rows.withColumn("stored", F.col("stored").cast("long"))
+
+
+@query("""WITH v AS (SELECT doc_id, n_chars, doc_id % 10 AS k, CASE WHEN doc_id % 10 = 3 THEN 0 ELSE octet_length(encode(text)) // 4 END AS frames FROM documents),
+t AS (SELECT *, k <> 7 AND frames = 0 AS silent, CASE WHEN k = 7 THEN 0 WHEN frames = 0 THEN n_chars * 16 ELSE frames * 2 END AS total FROM v),
+w AS (SELECT *, CASE WHEN total > 0 THEN CAST(greatest(0, floor((total - 1600) / 800.0)) + 1 AS BIGINT) ELSE 0 END AS n FROM t)
+SELECT CAST(doc_id AS VARCHAR) AS video_id, 'audio' AS modality, CASE WHEN n > 0 THEN 'ok' ELSE 'failed' END AS status, n AS windows, n AS stored FROM w
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'audio', 'silent', 0, 0 FROM w WHERE silent""")
+def extract_audio_job(spark, d):
+    """The whole audio job: a WAV file of each text's bytes at 8 kHz, some videos without a track, some files that are no sound."""
+    i, raw, where = F.col("doc_id"), F.encode("text", "UTF-8"), scratch(spark, "sound")
+    rows = table(spark, d, "documents").select(i.cast("string").alias("video_id"), "n_chars", raw.alias("raw"), (i % 10).alias("k"))
+    name = F.concat("video_id", F.lit(".wav"))
+    _touch(rows.filter("k <> 3").select(name.alias("name"), F.when(F.col("k") == 7, F.lit(b"no sound")).otherwise(wav_file()("raw")).alias("data")), where)
+    files = rows.select("video_id", F.when(F.col("k") != 3, F.concat(F.lit(where + "/"), name)).alias("path"), (F.col("n_chars") / 1000.0).alias("duration"))
+    return _recorded(spark, lambda out, ledger: extract.extract_audio(files.select("video_id"), files, encode.projection_encoder(8), out, ledger, 1600, 800))
+
+
 @query("""SELECT doc_id AS item, unnest(range(CASE WHEN doc_id % 10 = 7 THEN 2 ELSE doc_id % 3 END)) AS seq, NULL::VARCHAR AS error FROM documents
 UNION ALL SELECT doc_id, 2, 'ValueError(''item ' || doc_id || ''')' FROM documents WHERE doc_id % 10 = 7""")
 def map_items(spark, d):

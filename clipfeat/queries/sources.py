@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import io
+import wave
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -28,6 +31,25 @@ def _touch(rows, directory: str):
     return rows.select("name", "data").mapInPandas(run, "n long").agg(F.sum("n")).first()[0]
 
 
+def wav_file(rate: int = 8000, channels: int = 2):
+    """A pandas UDF from 16-bit PCM to the bytes of a WAV file; a last incomplete frame is left out."""
+
+    @F.pandas_udf("binary")
+    def wav(pcm: pd.Series) -> pd.Series:
+        def one(b):
+            out = io.BytesIO()
+            with wave.open(out, "wb") as w:
+                w.setnchannels(channels)
+                w.setsampwidth(2)
+                w.setframerate(rate)
+                w.writeframes(bytes(b[: len(b) // (2 * channels) * 2 * channels]))
+            return out.getvalue()
+
+        return pcm.map(one)
+
+    return wav
+
+
 @query("SELECT CASE WHEN page_id % 2 = 0 THEN '_' ELSE '-' END || page_id || '.5_x' AS video_id, page_id % 7 AS length FROM pages WHERE page_id % 3 < 2")
 def media_ids(spark, d):
     """A file per page; names begin with a prefix and then often with _ or -; the others are not media."""
@@ -65,23 +87,7 @@ def read_wav(spark, d):
     raw = F.encode("text", "UTF-8")
     rows = table(spark, d, "documents").select(F.concat(F.lit("Yw"), F.col("doc_id").cast("string"), F.lit(".wav")).alias("name"), raw.alias("raw"))
 
-    @F.pandas_udf("binary")
-    def wav(pcm: pd.Series) -> pd.Series:
-        import io
-        import wave
-
-        def one(b):
-            out = io.BytesIO()
-            with wave.open(out, "wb") as w:
-                w.setnchannels(2)
-                w.setsampwidth(2)
-                w.setframerate(8000)
-                w.writeframes(bytes(b[: len(b) // 4 * 4]))
-            return out.getvalue()
-
-        return pcm.map(one)
-
     where = scratch(spark, "wav")
-    _touch(rows.select("name", wav("raw").alias("data")), where)
+    _touch(rows.select("name", wav_file()("raw").alias("data")), where)
     blocks = store.read_wav(media.list_files(spark, where).select("name", "path"), block=1000, prefix="Y", tasks=8)
     return blocks.groupBy("video_id").agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.size("samples").cast("long")).alias("n"), F.max("sample_rate").alias("sample_rate"), F.sum(weighted_samples(F.col("samples"), F.col("sample_offset"))).alias("weighted"))
