@@ -9,11 +9,13 @@ an empty table writes no shard and gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 import os
 import string
 import uuid
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -49,7 +51,7 @@ class Encoder:
     pieces; only those are looked up, and NumPy puts the ids together. Texts with other white space after white space, or with
     the look of a special token, are encoded whole. The memory of pieces is bounded."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, decoders
 
@@ -129,22 +131,25 @@ class Encoder:
         of_text = np.concatenate([np.zeros(1, np.int64), ends])[np.asarray(cut.offsets) - cut.offsets[0].as_py()].tolist()
         return [ids[a:b] for a, b in itertools.pairwise(of_text)]
 
-    def encode(self, texts: list[str], at_once: int = 2_000_000) -> list[np.ndarray]:
-        """The ids of each whole text, some MB of text at a time."""
-        out: list = [None] * len(texts)
-        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    def encode(self, texts: pa.Array, at_once: int = 1_000_000) -> Iterator[np.ndarray]:
+        """The ids of each whole text, about a MB of text at a time."""
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         first = 0
         while first < len(texts):
             last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + at_once, "right")))
-            part = pa.array(texts[first:last], pa.string())
+            part = texts.slice(first, last - first)
             unsure = pc.match_substring_regex(part, _UNSURE)
-            for i in (first + np.flatnonzero(unsure)).tolist():
-                out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4")
-            sure = (first + np.flatnonzero(pc.invert(unsure))).tolist()
-            for i, x in zip(sure, self._pieces(part.take(pa.array(np.array(sure, np.int64) - first))), strict=True):
-                out[i] = x
+            sure = iter(self._pieces(part.filter(pc.invert(unsure))))
+            for i, whole in enumerate(unsure.to_pylist()):
+                yield np.array(self.tokenizer.encode(part[i].as_py(), add_special_tokens=False).ids, "<u4") if whole else next(sure)
             first = last
-        return out
+
+
+def give_back() -> None:
+    """Return memory that is free to the system, where the C library keeps it: a worker lives on for many tasks."""
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+    pa.default_memory_pool().release_unused()
 
 
 @lru_cache(maxsize=1)
@@ -153,6 +158,9 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+MANIFEST = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
+
+
 def write_shards(docs: DataFrame, tokenizer: str, path: str, shard_tokens: int = 4_000_000) -> DataFrame:
     """Write all documents below ``path`` in ascending doc_id; returns the manifest (part, seq, path, n_docs, n_tokens)."""
 
@@ -166,15 +174,16 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, shard_tokens: int =
             arrays = {"doc_id": doc, "null": np.array([x is None for x in names], "u1"), "n_tokens": np.array(lens, "<i8")}
             name = f"{path}/{part:06d}-{seq:04d}-{uuid.uuid4().hex[:12]}.wvm"
             write_file(name, pack(np.concatenate(ids), {"tokenizer": os.path.basename(tokenizer), "end": END}, arrays))
-            row = pd.DataFrame({"part": [part], "seq": [seq], "path": [name], "n_docs": [len(names)], "n_tokens": [n]})
+            row = pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "path": [name], "n_docs": [len(names)], "n_tokens": [n]}, MANIFEST)
             seq, ids, names, lens, n = seq + 1, [], [], [], 0
+            give_back()
             return row
 
         end = np.array([END], "<u4")
-        for pdf in batches:
-            for doc_id, x in zip(pdf["doc_id"], encoder.encode(pdf["text"].tolist()), strict=True):
+        for batch in batches:
+            for doc_id, x in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text")), strict=True):
                 ids += [x, end]
-                names.append(None if pd.isna(doc_id) else int(doc_id))
+                names.append(doc_id)
                 lens.append(len(x) + 1)
                 n += len(x) + 1
                 if n >= shard_tokens:
@@ -182,9 +191,9 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, shard_tokens: int =
         if names:
             yield flush()
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return staged(rows.mapInPandas(run, "part int, seq int, path string, n_docs long, n_tokens long"), "token-manifest")
+    return staged(rows.mapInArrow(run, "part int, seq int, path string, n_docs long, n_tokens long"), "token-manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
