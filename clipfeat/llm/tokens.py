@@ -51,7 +51,7 @@ class Encoder:
     pieces; only those are looked up, and NumPy puts the ids together. Texts with other white space after white space, or with
     the look of a special token, are encoded whole. The memory of pieces is bounded."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, decoders
 
@@ -131,8 +131,8 @@ class Encoder:
         of_text = np.concatenate([np.zeros(1, np.int64), ends])[np.asarray(cut.offsets) - cut.offsets[0].as_py()].tolist()
         return [ids[a:b] for a, b in itertools.pairwise(of_text)]
 
-    def encode(self, texts: pa.Array, at_once: int = 1_000_000) -> Iterator[np.ndarray]:
-        """The ids of each whole text, about a MB of text at a time."""
+    def encode(self, texts: pa.Array, at_once: int = 2_000_000) -> Iterator[np.ndarray]:
+        """The ids of each whole text, some MB of text at a time."""
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         first = 0
         while first < len(texts):
