@@ -29,8 +29,9 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("id", "comp")
 
 
-#: Buckets of fewer records are compared pair by pair: a bounded number of pairs each.
-BIG = 16
+#: Buckets of fewer records are compared pair by pair: a bounded number of pairs each. It and the number of rounds of stars only
+#: decide how links are found, not which.
+BIG, ROUNDS = 16, 8
 
 
 def linked(keys: DataFrame, near: Column, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -38,9 +39,10 @@ def linked(keys: DataFrame, near: Column, verify: Callable[[DataFrame], DataFram
 
     ``verify`` takes candidate pairs (a, b) and returns those that are links; ``near`` is a cheap test over the columns of two
     records (id_a, id_b, ...) that every link passes. In a small bucket all pairs are candidates. In a big one each id is held
-    against the smallest; ids linked so far are one component, and a link inside a component changes nothing. The big buckets
-    that still hold two components are compared pair by pair. No link between components is lost, and a big bucket of alike
-    records costs as many comparisons as it has records."""
+    against the smallest; ids linked so far are one component, and a link inside a component changes nothing. Where a big bucket
+    still holds two components, its ids are held against one that a hash picks, and another in the next round, for as long as that
+    links something; what is left is compared pair by pair between components. No link between components is lost, and a big
+    bucket of alike records costs as many comparisons as it has records, a few times over."""
     columns = [c for c in keys.columns if c != "key"]
     side = lambda df, s, more=(): df.select("key", *[F.col(c).alias(f"{c}_{s}") for c in (*columns, *more)])
     spans = keys.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).filter("first < last")
@@ -49,11 +51,24 @@ def linked(keys: DataFrame, near: Column, verify: Callable[[DataFrame], DataFram
     pairs = side(small, "a").join(side(small, "b"), "key").filter((F.col("id_a") < F.col("id_b")) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     stars = big.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     found = components(verify(pairs.union(stars).distinct()))
-    rest = staged(big.select("key", *columns).join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "rest")
-    mixed = rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
-    rest = staged(rest.join(mixed, "key"), "mixed")
-    if rest.isEmpty():
-        return found
+
+    def mixed(found: DataFrame, name: str) -> DataFrame:
+        rest = staged(big.select("key", *columns).join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "rest")
+        keys = rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
+        return staged(rest.join(keys, "key"), name)
+
+    rest = mixed(found, "mixed")
+    for k in range(ROUNDS):
+        if rest.isEmpty():
+            return found
+        pivots = rest.groupBy("key").agg(F.min_by(F.struct(*columns, "comp"), F.xxhash64("id", F.lit(k))).alias("p"))
+        pivots = pivots.select("key", *[F.col(f"p.{c}").alias(f"{c}_b") for c in (*columns, "comp")])
+        tries = side(rest, "a", ("comp",)).join(pivots, "key").filter((F.col("comp_a") != F.col("comp_b")) & near)
+        links = staged(verify(tries.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()), "star-links")
+        if links.isEmpty():
+            break
+        found = components(found.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(links.select("a", "b")))
+        rest = mixed(found, f"mixed-{k}")
     x, y = side(rest, "a", ("comp",)), side(rest, "b", ("comp",))
     links = staged(verify(x.join(y, "key").filter((F.col("comp_a") < F.col("comp_b")) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()), "more-links")
     return components(found.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(links.select("a", "b")))
