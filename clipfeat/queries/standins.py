@@ -16,8 +16,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder where all executors can read and write."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + os.path.join(tempfile.gettempdir(), "clipfeat")
+    """A new folder where all executors can read and write, below spark.checkpoint.dir; only a session on one machine may lack that."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + os.path.join(tempfile.gettempdir(), "clipfeat")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}/{name}"
 
 
