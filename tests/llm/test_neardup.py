@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 import xxhash
@@ -171,6 +172,22 @@ def test_cut_and_appended_copies_are_all_found(spark):
     assert got == {i: i - 1 if i % 2 and alike(i - 1) else i for i in range(800)}
 
 
+def test_classes_of_the_whole_table(spark, sf_dir):
+    """Every pair of documents with a shingle in common, by brute force."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    sets, holders, links = {i: shingles(t) for i, t in docs.items()}, {}, set()
+    for i in sorted(sets):
+        common = Counter(j for s in sets[i] for j in holders.get(s, ()))
+        links |= {(j, i) for j, n in common.items() if n >= 0.8 * (len(sets[i]) + len(sets[j]) - n)}
+        for s in sets[i]:
+            holders.setdefault(s, []).append(i)
+    empty_ones = [i for i in sorted(sets) if not sets[i]]
+    want = classes(docs, [*links, *zip(empty_ones, empty_ones[1:], strict=False)])
+    small = {t: min(i for i in docs if docs[i] == t) for t in set(docs.values())}
+    got = {r.id: r.component_id for r in neardup.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()}
+    assert got == {i: want[i] for i in small.values()} and len(set(got.values())) < len(got)
+
+
 def test_ids_that_stand_for_several_texts(spark):
     """Texts are compared and kept as if they had ids of their own; a class has the smallest doc_id and one text stays."""
     random.seed(12)
