@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from itertools import count, islice
 
 import numpy as np
@@ -14,9 +15,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_lists(texts) -> list[list[bytes]]:
-    """The words of each text, A-Z in lower case; a null text has none."""
-    return [(t or "").encode().lower().split() for t in texts]
+def word_lists(texts) -> Iterator[list[bytes]]:
+    """The words of each text, A-Z in lower case, one text at a time; a null text has none."""
+    return ((t or "").encode().lower().split() for t in texts)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
