@@ -5,6 +5,8 @@ from __future__ import annotations
 from .chat import SQL as CHAT_SQL
 from .chat import op10_chat
 from .decontaminate import op2_decontaminate
+from .importance import SQL as IMPORTANCE_SQL
+from .importance import op11_importance
 from .mixing import SQL as MIXING_SQL
 from .mixing import op6_mixing
 from .neardup import op4_simhash
@@ -16,6 +18,6 @@ from .toxicity import op7_toxicity
 from .warc import SQL as WARC_SQL
 from .warc import op5_warc
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_tiff, op4_simhash, op5_warc, op6_mixing, op7_toxicity, op8_pii, op9_tokens, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_tiff, op4_simhash, op5_warc, op6_mixing, op7_toxicity, op8_pii, op9_tokens, op10_chat, op11_importance)}
 
-ORACLES = {"op5_warc": WARC_SQL, "op6_mixing": MIXING_SQL, "op10_chat": CHAT_SQL}
+ORACLES = {"op5_warc": WARC_SQL, "op6_mixing": MIXING_SQL, "op10_chat": CHAT_SQL, "op11_importance": IMPORTANCE_SQL}

@@ -51,10 +51,11 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
 class WordTable:
     """Numbers words as they come and keeps, for each, hashes of some forms of it; so a word that comes often is hashed once.
 
-    It starts afresh when it holds ``limit`` words, so its memory is bounded whatever the texts."""
+    It starts afresh when it holds ``limit`` words, so its memory is bounded whatever the texts. ``of`` makes the numbers of
+    many forms at once."""
 
-    def __init__(self, *forms, limit: int = 400_000):
-        self.forms, self.limit = forms, limit
+    def __init__(self, *forms, limit: int = 400_000, of=hashes):
+        self.forms, self.limit, self.of = forms, limit, of
         self._clear()
 
     def _clear(self) -> None:
@@ -71,6 +72,6 @@ class WordTable:
             for k, form in enumerate(self.forms):
                 if len(self.index) > len(self.columns[k]):
                     self.columns[k] = np.concatenate([self.columns[k], np.zeros(max(new, len(self.columns[k])), np.uint64)])
-                self.columns[k][self.size : len(self.index)] = hashes([form(w) for w in fresh])
+                self.columns[k][self.size : len(self.index)] = self.of([form(w) for w in fresh])
             self.size = len(self.index)
         return [c[ids] for c in self.columns]
