@@ -15,9 +15,11 @@ from .quality import op1_quality
 from .tiff import op3_tiff
 from .tokens import op9_tokens
 from .toxicity import op7_toxicity
+from .trie import SQL as TRIE_SQL
+from .trie import op12_trie
 from .warc import SQL as WARC_SQL
 from .warc import op5_warc
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_tiff, op4_simhash, op5_warc, op6_mixing, op7_toxicity, op8_pii, op9_tokens, op10_chat, op11_importance)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_tiff, op4_simhash, op5_warc, op6_mixing, op7_toxicity, op8_pii, op9_tokens, op10_chat, op11_importance, op12_trie)}
 
-ORACLES = {"op5_warc": WARC_SQL, "op6_mixing": MIXING_SQL, "op10_chat": CHAT_SQL, "op11_importance": IMPORTANCE_SQL}
+ORACLES = {"op5_warc": WARC_SQL, "op6_mixing": MIXING_SQL, "op10_chat": CHAT_SQL, "op11_importance": IMPORTANCE_SQL, "op12_trie": TRIE_SQL}
