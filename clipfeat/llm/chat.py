@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import staged, table
+from .shared import frame_of, map_frames, staged, table
 
 ESCAPE = "\\"
 
@@ -80,6 +80,10 @@ def in_order(rows: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
+def _ids(column: pd.Series) -> list:
+    return [None if c is pd.NA or c is None or c != c else c for c in column.tolist()]
+
+
 def format_conversations(rows: DataFrame, template: Template | None = None) -> DataFrame:
     """(conv_id, seq, valid, segments): one row per turn, its text pieces with their loss flags, in order of the turns."""
     t = template or Template()
@@ -89,7 +93,7 @@ def format_conversations(rows: DataFrame, template: Template | None = None) -> D
         conv, seq, state = None, -1, ""
         for pdf in batches:
             out = []
-            for c, role, text in zip(pdf["conv_id"].astype(object).where(pdf["conv_id"].notna(), None), pdf["role"], pdf["text"], strict=True):
+            for c, role, text in zip(_ids(pdf["conv_id"]), pdf["role"], pdf["text"], strict=True):
                 if seq < 0 or c != conv:
                     conv, seq, state = c, -1, ""
                 seq += 1
@@ -97,9 +101,9 @@ def format_conversations(rows: DataFrame, template: Template | None = None) -> D
                 valid = role in t.follows.get(state, ())
                 state = role
                 out.append((c, seq, valid, [{"text": s, "loss": f} for s, f in t.segments(role, text or "")]))
-            yield pd.DataFrame(out, columns=["conv_id", "seq", "valid", "segments"])
+            yield frame_of(out, ["conv_id", "seq", "valid", "segments"])
 
-    return in_order(rows).mapInPandas(run, f"conv_id {kind}, seq long, valid boolean, segments array<struct<text: string, loss: boolean>>")
+    return map_frames(in_order(rows), run, f"conv_id {kind}, seq long, valid boolean, segments array<struct<text: string, loss: boolean>>")
 
 
 def read_back(formatted: DataFrame, template: Template | None = None) -> DataFrame:
@@ -113,7 +117,7 @@ def read_back(formatted: DataFrame, template: Template | None = None) -> DataFra
         closed = lambda h: (h[0], h[1], h[2].hexdigest(), h[3], h[4].hexdigest(), h[5], h[6])
         for pdf in batches:
             out = []
-            for c, seq, valid, segments in zip(pdf["conv_id"].astype(object).where(pdf["conv_id"].notna(), None), pdf["seq"], pdf["valid"], pdf["segments"], strict=True):
+            for c, seq, valid, segments in zip(_ids(pdf["conv_id"]), pdf["seq"], pdf["valid"], pdf["segments"], strict=True):
                 if seq == 0:
                     if held:
                         out.append(closed(held))
@@ -130,12 +134,12 @@ def read_back(formatted: DataFrame, template: Template | None = None) -> DataFra
                 held[5] += len(turn)
                 held[6] &= bool(valid)
             if out:
-                yield pd.DataFrame(out, columns=names)
+                yield frame_of(out, names)
         if held:
-            yield pd.DataFrame([closed(held)], columns=names)
+            yield frame_of([closed(held)], names)
 
     ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
-    return ordered.mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")
+    return map_frames(ordered, run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

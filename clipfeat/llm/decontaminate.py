@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import staged, table
+from .shared import frame_of, map_frames, staged, table
 from .words import WordTable, chain, hashes
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 23
@@ -195,9 +195,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = 4_000_0
                     part = pdf.iloc[at : at + 1000]
                     rows = shared.value.leaks(part["text"], known)
                     if rows:
-                        yield pd.concat([part["doc_id"].iloc[[r[0] for r in rows]].reset_index(drop=True), pd.DataFrame([r[1:] for r in rows], columns=names)], axis=1)
+                        yield pd.concat([part["doc_id"].iloc[[r[0] for r in rows]].reset_index(drop=True), frame_of([r[1:] for r in rows], names)], axis=1)
 
-        found = docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, item_id long, start_word long, n_words long, bits int, similarity double")
+        found = map_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, item_id long, start_word long, n_words long, bits int, similarity double")
         if n > 1:
             found = staged(found, "leaks")
             shared.destroy()

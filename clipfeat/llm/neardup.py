@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .components import linked, linked_throughout
 from .golay import keys_of_pairs, keys_within_three
-from .shared import staged, table
+from .shared import map_frames, staged, table
 from .words import mix, shingle_hashes, word_lists
 
 SEED = 42
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": [majority(shingle_xxh64(w, size)) for w in word_lists(pdf["text"])]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, fp long")
+    return map_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, fp long")
 
 
 def _keyed(rows: DataFrame, column: str, keys) -> DataFrame:
@@ -111,7 +111,7 @@ def signatures(docs: DataFrame, prints: int = 4) -> DataFrame:
 
     names = [f"fp{k}" for k in range(prints)]
     rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
-    rows = rows.mapInPandas(run, "doc_id long, text_key string, n long, " + ", ".join(f"{c} long" for c in names))
+    rows = map_frames(rows, run, "doc_id long, text_key string, n long, " + ", ".join(f"{c} long" for c in names))
     return rows.groupBy("text_key").agg(F.min(F.struct(F.col("doc_id").alias("id"), "n", *names)).alias("s")).select("text_key", "s.*")
 
 

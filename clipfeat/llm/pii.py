@@ -30,9 +30,9 @@ KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "A-Za-z0-9._%+-"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 #: Written so that a run of characters is entered once, at its start or right after a match: long runs cost no more than their
-#: length. Only whole runs of 14 to 19 digits count as cards, so the pattern asks for those and for nothing on either side.
+#: length, and no repeated group holds a place to come back to. Only whole runs of 14 to 19 digits count as cards, so the pattern asks for those and for nothing on either side.
 PATTERNS = {
-    "email": rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]+\.[0-9]+\.[0-9]+",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",

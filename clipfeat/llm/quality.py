@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import held_out, label_sample, staged, table
+from .shared import held_out, label_sample, map_frames, staged, table
 
 FEATURES = (
     "log_chars", "log_words", "word_len", "word_len_std", "upper", "digits", "symbols", "marks", "shouts", "distinct",
@@ -64,7 +64,7 @@ def text_features(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], **{f: x[:, j] for j, f in enumerate(FEATURES)}})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, " + ", ".join(f"{f} double" for f in FEATURES))
+    return map_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def _leaves(g: np.ndarray, h: np.ndarray, depth: int, lam: float) -> np.ndarray:
@@ -164,7 +164,7 @@ def score_quality(features: DataFrame, model: dict) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": predict(shared.value, pdf[list(FEATURES)].to_numpy(np.float64))})
 
     kind = features.schema["doc_id"].dataType.simpleString()
-    return features.mapInPandas(run, f"doc_id {kind}, score double")
+    return map_frames(features, run, f"doc_id {kind}, score double")
 
 
 def train_quality(features: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> dict:

@@ -2,7 +2,7 @@
 
 ``read_tiff`` walks the image directories, decodes PackBits, LZW or deflate strips and tiles, and undoes the
 horizontal predictor. ``write_tiff`` stores bytes losslessly as 8-bit samples: pages of RGB rows of 64 pixels,
-in one of four layouts that a checksum of the bytes picks, so equal bytes give equal files.
+in one of six layouts that a checksum of the bytes picks, so equal bytes give equal files.
 
 Cases: a null medium gives no page; one that can't be read gives one row with its error and no pixels; a null
 or empty text is stored as one row of spaces; repeated rows give repeated pages; extra columns are ignored
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import frame_of, map_frames, table
 
 #: Fixed values of the format: tags, compressions, sizes of field types.
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279
@@ -30,8 +30,10 @@ PLANAR, PAGE_NUMBER, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUN
 NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 FIELD_SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 
-#: (compression, predictor, tiled) by checksum; LZW, whose encoder is slow in Python, gets one payload in sixteen.
-LAYOUTS = [(LZW, 1, False)] + [(DEFLATE, 2, True)] * 5 + [(PACKBITS, 1, False)] * 4 + [(DEFLATE, 1, False)] * 6
+#: (compression, predictor, tiled) by checksum: each codec gets as many payloads, in strips and in tiles.
+LAYOUTS = [(LZW, 1, False), (LZW, 2, True), (DEFLATE, 1, False), (DEFLATE, 2, True), (PACKBITS, 1, False), (PACKBITS, 2, True)]
+#: No codec here makes more than this many bytes of one.
+MOST_RATIO = 4096
 
 ROW_BYTES, PAGE_ROWS, STRIP_ROWS, TILE = 192, 1024, 128, 64
 
@@ -98,28 +100,29 @@ def packbits_decode(data: bytes, size: int) -> bytes:
 
 def lzw_encode(data: bytes) -> bytes:
     """Codes of 9 to 12 bits, most significant bit first; the width grows one code early."""
-    fresh = {bytes((i,)): i for i in range(256)}
-    book, width, next_code = dict(fresh), 9, 258
+    # the book has the code of what a code and a byte make together
+    book, width, next_code = {}, 9, 258
     codes, widths = [256], [9]
-    part = b""
-    for i in range(len(data)):
-        more = part + data[i : i + 1]
-        if more in book:
-            part = more
+    known, part = book.get, data[0] if data else None
+    for byte in data[1:]:
+        more = part << 8 | byte
+        if (code := known(more)) is not None:
+            part = code
             continue
-        codes.append(book[part])
+        codes.append(part)
         widths.append(width)
         book[more] = next_code
         next_code += 1
         if next_code == 4094:
             codes.append(256)
             widths.append(12)
-            book, width, next_code = dict(fresh), 9, 258
+            book.clear()
+            width, next_code = 9, 258
         elif next_code > (1 << width) - 1 and width < 12:
             width += 1
-        part = data[i : i + 1]
-    if part:
-        codes.append(book[part])
+        part = byte
+    if data:
+        codes.append(part)
         widths.append(width)
         if next_code + 1 > (1 << width) - 1 and width < 12:
             width += 1
@@ -189,7 +192,7 @@ def write_tiff(payload: bytes) -> bytes:
     """``payload``, whose length must be a positive multiple of 192, as a TIFF of RGB pages."""
     if not payload or len(payload) % ROW_BYTES:
         raise ValueError("the payload must be a positive multiple of 192 bytes")
-    layout = LAYOUTS[zlib.crc32(payload) % 16]
+    layout = LAYOUTS[zlib.crc32(payload) % len(LAYOUTS)]
     kind, predictor, tiled = layout
     encode = {DEFLATE: lambda b: zlib.compress(b, 4), PACKBITS: packbits_encode, LZW: lzw_encode}[kind]
     rows = np.frombuffer(payload, np.uint8).reshape(-1, ROW_BYTES // 3, 3)
@@ -248,12 +251,20 @@ def _pixels(data: bytes, tags: dict[int, list[int]]) -> Page:
         raise ValueError("only 8-bit samples are supported")
     if predictor not in (1, 2):
         raise ValueError(f"predictor {predictor} is not supported")
+    if min(width, height, samples) < 1:
+        raise ValueError("an image without pixels")
+    if width * height * samples > MOST_RATIO * len(data):
+        raise ValueError("an image larger than its file can hold")
     planes = samples if one(PLANAR, 1) == 2 else 1
     per = samples // planes
     tiled = TILE_OFFSETS in tags
     bw, bh = (one(TILE_WIDTH, width), one(TILE_LENGTH, height)) if tiled else (width, min(one(ROWS_PER_STRIP, height), height))
+    if min(bw, bh) < 1 or bw * bh * per > MOST_RATIO * len(data):
+        raise ValueError("strips or tiles without a proper size")
     offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[STRIP_OFFSETS], tags[STRIP_COUNTS])
     across, down = -(-width // bw), -(-height // bh)
+    if across * down * planes > min(len(offsets), len(counts)):
+        raise ValueError("strips or tiles are missing")
     image = np.zeros((height, width, samples), np.uint8)
     for k in range(across * down * planes):
         plane, rest = divmod(k, across * down)
@@ -305,14 +316,14 @@ def tiff_pages(df: DataFrame, media: str = "media", keep: tuple[str, ...] = ())
                         rows.append((*kept, p.index, p.width, p.height, p.samples, p.compression, p.predictor, p.tiled, p.pixels, None))
                         size += len(p.pixels)
                         if size > 2_000_000:
-                            yield pd.DataFrame(rows, columns=names)
+                            yield frame_of(rows, names)
                             rows, size = [], 0
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as e:
+                except (ValueError, KeyError, IndexError, OverflowError, struct.error, zlib.error) as e:
                     rows.append((*kept, -1, 0, 0, 0, 0, 0, False, None, f"{type(e).__name__}: {e}"))
             if rows:
-                yield pd.DataFrame(rows, columns=names)
+                yield frame_of(rows, names)
 
-    return df.select(*keep, F.col(media).alias("_media")).mapInPandas(run, schema)
+    return map_frames(df.select(*keep, F.col(media).alias("_media")), run, schema)
 
 
 def texts_as_tiff(docs: DataFrame) -> DataFrame:
@@ -327,7 +338,7 @@ def texts_as_tiff(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": part["doc_id"], "n_bytes": [len(b) for b in raw], "media": media})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_bytes long, media binary")
+    return map_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_bytes long, media binary")
 
 
 def image_features(pages: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -361,14 +372,14 @@ def image_features(pages: DataFrame, keep: tuple[str, ...]) -> DataFrame:
                 held[2].update(pixels)
                 held[3] = (held[3] + bytes(pixels[-16:]))[-16:]
                 held[4] += np.bincount(a >> 5, minlength=8)
-                held[5] += a.reshape(-1, 3).sum(axis=0, dtype=np.int64)
+                held[5] += [a[c::3].sum(dtype=np.int64) for c in range(3)]
                 held[6] = [held[6][0] + 1, held[6][1] + height]
             if rows:
-                yield pd.DataFrame(rows, columns=names)
+                yield frame_of(rows, names)
         if held:
-            yield pd.DataFrame([finished()], columns=names)
+            yield frame_of([finished()], names)
 
-    return pages.mapInPandas(run, schema)
+    return map_frames(pages, run, schema)
 
 
 def op3_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:

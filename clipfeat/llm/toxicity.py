@@ -6,7 +6,8 @@ rates and an L1 term leave few weights other than zero; those are small enough t
 their number is bounded by the width of the hash space.
 
 Cases: a null or empty text gets the score of the bias alone; ties and repeated rows get equal scores; with no
-labelled rows every score is 0.5 and predicted is 0, and the filter keeps all rows; extra columns are ignored.
+labelled rows every score is 0 and predicted is 0, and the filter keeps all rows; of labelled rows that share a doc_id the one
+of the fewest and smallest coordinates is learned; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import held_out, label_sample, staged, table
+from .shared import held_out, label_sample, map_frames, staged, table
 from .words import WordTable, chain, mix
 
 #: Width of the space of word and pair features, and of each of the levels of stem features.
@@ -122,6 +123,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, e
 
     # at most max_rows small rows (some 16 bytes each) go to every task, so the texts stay where they are
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").mapInPandas(hashed, "doc_id long, y int, x array<int>")
+    # one row for each doc_id, so the task that learns gets no more rows than were asked for
+    sample = sample.groupBy("doc_id", "y").agg(F.min(F.struct(F.size("x").alias("n"), "x")).alias("first")).select("doc_id", "y", "first.x")
     sample = staged(sample, "toxicity-sample").withColumn("order", F.xxhash64("doc_id", F.lit(7)))
     rows = sample.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).repartition(1)
     found = rows.sortWithinPartitions("epoch", "order", "doc_id", F.size("x")).select("x", "y").mapInArrow(learn, "k long, w double").toPandas()
@@ -185,8 +188,8 @@ def score_toxicity(docs: DataFrame, model: dict) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     if model["bias"] is None:
-        return docs.select("doc_id", F.lit(0.5).alias("score"), F.lit(0).alias("predicted"))
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, score double").withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+        return docs.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    return map_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, score double").withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
 def not_toxic(docs: DataFrame, model: dict, threshold: float = 0.3) -> DataFrame:

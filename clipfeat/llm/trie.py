@@ -133,8 +133,8 @@ def refined(seqs: DataFrame, turns: DataFrame) -> list[DataFrame]:
     root = seqs.agg(F.min("rep").alias("conv_id"), *sums, ended(0)).filter("n_seqs > 0")
     root = root.withColumns({"depth": F.lit(0), "parent_conv_id": F.lit(None).cast("long"), "chars": F.lit(0).cast("long")}).select(*NODE)
     rounds = [staged(root, "trie-round-0")]
-    top = rounds[0].filter("n_seqs > 1").select(F.col("conv_id").alias("class"))
-    active = seqs.crossJoin(F.broadcast(top)).filter("n_turns > 0")  # one row
+    top = rounds[0].first()  # one row
+    active = seqs.filter(F.col("n_turns") > 0).withColumn("class", F.lit(top["conv_id"] if top else None).cast("long")).filter(F.lit(bool(top and top["n_seqs"] > 1)))
     d = 0
     while not active.isEmpty():
         d += 1

@@ -22,9 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import new_dir, read_file, staged, table, write_file
+from .shared import frame_of, map_frames, new_dir, read_file, staged, table, write_file
 
 CRLF = b"\r\n"
+#: How a gzip member begins.
+MEMBER = b"\x1f\x8b\x08"
 
 
 def digest_of(payload: bytes) -> str:
@@ -78,18 +80,29 @@ def page_records(name: str, page_id, url: str, payload: bytes, refers_to, is_rev
 
 
 def parse_records(data: bytes, step: int = 8192):
-    """(headers with lower-case names, block) of each record of an archive of gzip members.
+    """(headers with lower-case names, block, error) of each record of an archive of gzip members.
 
-    A member is fed to its decompressor in small steps, so what it leaves over is at most a step, not the rest of the archive."""
+    A member is fed to its decompressor in small steps, so what it leaves over is at most a step, not the rest of the archive.
+    A damaged one gives a record without headers, and reading goes on at the next place that looks like the start of a member."""
     view, at = memoryview(data), 0
     while at < len(view):
-        member, parts = zlib.decompressobj(31), []
-        while not member.eof and at < len(view):
-            parts.append(member.decompress(view[at : at + step]))
-            at += min(step, len(view) - at) - len(member.unused_data)
-        head, _, rest = b"".join(parts).partition(CRLF * 2)
-        headers = dict((k.strip().lower(), v.strip()) for k, _, v in (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:]))
-        yield headers, rest[: int(headers.get("content-length", 0))]
+        member, parts, began = zlib.decompressobj(31), [], at
+        try:
+            while not member.eof and at < len(view):
+                parts.append(member.decompress(view[at : at + step]))
+                at += min(step, len(view) - at) - len(member.unused_data)
+            if not member.eof:
+                raise ValueError("the archive is cut short")
+            head, _, rest = b"".join(parts).partition(CRLF * 2)
+            headers = dict((k.strip().lower(), v.strip()) for k, _, v in (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:]))
+            length = int(headers.get("content-length", 0))
+            if length > len(rest):
+                raise ValueError("the record is cut short")
+            yield headers, rest[:length], None
+        except (ValueError, zlib.error) as e:
+            yield {}, b"", f"{type(e).__name__}: {e}"
+            at = data.find(MEMBER, began + 1)
+            at = len(view) if at < 0 else at
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, segment: int = 4096, archive_bytes: int = 8_000_000) -> DataFrame:
@@ -109,7 +122,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, segment: int
         task, n, held, size = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}", 0, [], 0
         for pdf in batches:
             for page_id, url, html, keeper, revisit in pdf[["page_id", "url", "html", "keeper", "revisit"]].itertuples(index=False, name=None):
-                page_id, keeper = (None if pd.isna(x) else int(x) for x in (page_id, keeper))
+                page_id, keeper = (None if x is None or x is pd.NA else int(x) for x in (page_id, keeper))
                 for r in page_records(f"urn:page:{page_id}:{task}:{n}", page_id, url, html.encode(), keeper, revisit, segment):
                     held.append(r)
                     size += len(r)
@@ -122,31 +135,40 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, segment: int
             write_file(name := f"{path}/{task}-{n}.warc.gz", b"".join(held))
             yield pd.DataFrame({"path": [name], "bytes": [size]})
 
-    return staged(rows.mapInPandas(run, "path string, bytes long"), "archives")
+    return staged(map_frames(rows, run, "path string, bytes long"), "archives")
 
 
 def read_archives(paths: DataFrame) -> DataFrame:
-    """(origin, segment, type, page, refers_to, digest, total, block): one row per record of the archives in ``paths``.path."""
+    """(origin, segment, type, page, refers_to, digest, total, block, error): one row per record of the archives in ``paths``.path."""
+
+    def fields(h):
+        total, page = h.get("warc-segment-total-length"), h.get("warc-page-id")
+        refers = h.get("warc-refers-to", "").strip("<>").split(":")
+        refers = refers[2] if len(refers) > 2 and refers[2] != "None" else None
+        return int(h.get("warc-segment-number", 1)), h.get("warc-type"), str(int(page)) if page else None, refers and str(int(refers)), h.get("warc-payload-digest"), int(total) if total else None
 
     def run(batches):
-        names = ["origin", "segment", "type", "page", "refers_to", "digest", "total", "block"]
+        names = ["origin", "segment", "type", "page", "refers_to", "digest", "total", "block", "error"]
         for pdf in batches:
             for path in pdf["path"]:
                 out, size = [], 0
-                for h, block in parse_records(read_file(path)):
-                    origin = h.get("warc-segment-origin-id") or h.get("warc-record-id")
-                    total = h.get("warc-segment-total-length")
-                    refers = h.get("warc-refers-to", "").strip("<>").split(":")
-                    out.append((origin, int(h.get("warc-segment-number", 1)), h.get("warc-type"), h.get("warc-page-id") or None, refers[2] if len(refers) > 2 else None, h.get("warc-payload-digest"), int(total) if total else None, block))
+                for k, (h, block, error) in enumerate(parse_records(read_file(path))):
+                    # a record that can't name itself is one of its own
+                    origin = h.get("warc-segment-origin-id") or h.get("warc-record-id") or f"{path}#{k}"
+                    try:
+                        found = fields(h)
+                    except ValueError as e:
+                        found, error = (1, None, None, None, None, None), error or f"a damaged header: {e}"
+                    out.append((origin, *found, block, error))
                     size += len(block)
                     if size > 4_000_000:
-                        yield pd.DataFrame(out, columns=names)
+                        yield frame_of(out, names)
                         out, size = [], 0
                 if out:
-                    yield pd.DataFrame(out, columns=names)
+                    yield frame_of(out, names)
 
     spread = paths.repartition(max(1, paths.sparkSession.sparkContext.defaultParallelism), "path")
-    return spread.mapInPandas(run, "origin string, segment int, type string, page string, refers_to string, digest string, total long, block binary")
+    return map_frames(spread, run, "origin string, segment int, type string, page string, refers_to string, digest string, total long, block binary, error string")
 
 
 def _payload(block: bytes) -> tuple[bytes, int]:
@@ -169,7 +191,11 @@ def reassembled(records: DataFrame) -> DataFrame:
         def finished():
             error, payload, size = None, None, None
             try:
+                if held["error"]:
+                    raise ValueError(held["error"])
                 numbers, blocks, total = held["numbers"], held["blocks"], held["total"]
+                if "type" not in held:
+                    raise ValueError("the first segment is missing")
                 if numbers != list(range(1, len(numbers) + 1)):
                     raise ValueError("segments are missing or repeated")
                 block = b"".join(blocks)
@@ -182,26 +208,27 @@ def reassembled(records: DataFrame) -> DataFrame:
                 error = str(e)
             page, refers = held.get("page"), held.get("refers_to")
             digest = (held.get("digest") or "").rpartition(":")[2] or None
-            return (int(page) if page else None, size, digest, held.get("type"), int(refers) if refers and refers != "None" else None, payload if held.get("type") == "response" else None, error)
+            return (int(page) if page else None, size, digest, held.get("type"), int(refers) if refers else None, payload if held.get("type") == "response" else None, error)
 
+        names_in = ["origin", "segment", "type", "page", "refers_to", "digest", "total", "block", "error"]
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload", "error"]
 
         def frame(rows):
-            df = pd.DataFrame(rows, columns=names)
-            return df.astype({c: "Int64" for c in ("page_id", "payload_bytes", "refers_to")})
+            return frame_of(rows, names)
 
         for pdf in batches:
             out, size = [], 0
-            for origin, segment, kind, page, refers, digest, total, block in pdf.itertuples(index=False, name=None):
+            for origin, segment, kind, page, refers, digest, total, block, error in pdf[names_in].itertuples(index=False, name=None):
                 if held and held["origin"] != origin:
                     out.append(finished())
                     held = {}
-                held = held or {"origin": origin, "numbers": [], "blocks": [], "total": None}
+                held = held or {"origin": origin, "numbers": [], "blocks": [], "total": None, "error": None}
+                held["error"] = held["error"] or error
                 if kind != "continuation":
                     held.update(type=kind, page=page, refers_to=refers, digest=digest)
                 held["numbers"].append(segment)
                 held["blocks"].append(bytes(block))
-                if pd.notna(total):
+                if total is not None and total is not pd.NA:
                     held["total"] = int(total)
                 size += len(block)
                 if size > 4_000_000 and out:
@@ -212,8 +239,9 @@ def reassembled(records: DataFrame) -> DataFrame:
         if held:
             yield frame([finished()])
 
+    records = records if "error" in records.columns else records.withColumn("error", F.lit(None).cast("string"))
     ordered = records.repartition("origin").sortWithinPartitions("origin", "segment")
-    return ordered.mapInPandas(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, error string")
+    return map_frames(ordered, run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, error string")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,3 +110,27 @@ def test_op3(spark, sf_dir):
         media = tiff.write_tiff(data.ljust(max(1, -(-len(data) // 192)) * 192))
         assert (x.media_bytes, x.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
         assert same.setdefault(r.text, x.feature) == x.feature
+
+
+def test_damaged_images(spark):
+    """Images with a changed byte give pages or an error, never a failed job."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(6):
+        data = tiff.write_tiff((b"some text %d " % k * 200)[: 192 * 10])
+        rows += [(k, bytearray(data))] + [(k, data[:a] + bytes([b]) + data[a + 1 :]) for a, b in zip(rng.integers(0, len(data), 300).tolist(), rng.integers(0, 256, 300).tolist(), strict=True)]
+    df = spark.createDataFrame([(k, bytes(d)) for k, d in rows], "doc_id long, media binary")
+    pages = tiff.tiff_pages(df, "media", ("doc_id",))
+    assert pages.filter("error is not null").count() > 20 and pages.filter("error is null").count() > 600
+    assert tiff.image_features(pages, ("doc_id",)).count() >= len(rows)
+
+
+@pytest.mark.parametrize("width,height,pixels", [(5, 7, 35), (1, 1, 1)])
+def test_features_of_gray_images(spark, width, height, pixels):
+    rows = spark.createDataFrame([(1, 0, height, bytes(range(pixels)))], "doc_id long, page int, height int, pixels binary")
+    assert tiff.image_features(rows, ("doc_id",)).first()["payload_bytes"] == pixels
+
+
+def test_codecs_are_dealt_evenly():
+    kinds = [k for k, _, _ in tiff.LAYOUTS]
+    assert len({kinds.count(k) for k in kinds}) == 1 and len(set(kinds)) == 3

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from clipfeat.llm import warc
-from clipfeat.llm.shared import new_dir
+from clipfeat.llm.shared import new_dir, read_file, write_file
 
 from ..oracle import rows_of, sql_rows
 
@@ -19,7 +19,7 @@ def test_chunked_framing(data, size):
 
 def test_segments_of_a_record():
     payload = bytes(range(256)) * 40
-    parts = [p for r in warc.page_records("urn:x", 5, "http://a/", payload, None, False, 1000) for p in warc.parse_records(r)]
+    parts = [p for r in warc.page_records("urn:x", 5, "http://a/", payload, None, False, 1000) for *p, error in warc.parse_records(r) if error is None]
     assert [h["warc-type"] for h, _ in parts] == ["response"] + ["continuation"] * (len(parts) - 1)
     block = b"".join(b for _, b in parts)
     assert int(parts[-1][0]["warc-segment-total-length"]) == len(block) and all(len(b) <= 1000 for _, b in parts)
@@ -76,3 +76,26 @@ def test_damage_is_told(spark, broken):
 
 def test_op5(spark, sf_dir):
     assert rows_of(warc.op5_warc(spark, sf_dir).toPandas()) == sql_rows(warc.SQL, sf_dir)
+
+
+def test_damaged_archives(spark):
+    """Every archive with one changed byte is read to its end; what was hit has an error, what was not is whole."""
+    path = new_dir(spark, "warc")
+    texts = {k: f"page {k} " * (20 if k % 3 else 400) for k in range(9)}
+    (name,) = [r["path"] for r in warc.write_archives(pages(spark, list(texts.items())).coalesce(1), path, segment=900).filter("bytes > 0").collect()]
+    data, names = read_file(name), []
+    for at in range(0, len(data), max(1, len(data) // 150)):
+        write_file(f"{path}/hit-{at}.warc.gz", data[:at] + bytes([data[at] ^ 0x5B]) + data[at + 1 :])
+        names.append(f"{path}/hit-{at}.warc.gz")
+    write_file(f"{path}/cut.warc.gz", data[: len(data) // 2])
+    records = warc.read_archives(spark.createDataFrame([(n,) for n in [*names, f"{path}/cut.warc.gz"]], "path string").repartition(4))
+    told, whole = {}, {}
+    for n in names[:: len(names) // 12] + [f"{path}/cut.warc.gz"]:
+        one = warc.read_archives(spark.createDataFrame([(n,)], "path string"))
+        for r in warc.reassembled(one).collect():
+            told[n] = told.get(n, 0) + (r["error"] is not None)
+            if r["error"] is None:
+                whole[n] = whole.get(n, 0) + 1
+                assert r["payload"].decode() == texts[r["page_id"]]
+    assert records.filter("error is not null").count() > 50
+    assert told[f"{path}/cut.warc.gz"] and sum(v > 0 for v in told.values()) > 5 and min(whole.get(n, 0) for n in told if "cut" not in n) >= 5
