@@ -62,7 +62,3 @@ def parse_probe(log) -> Column:
         (unit(1, "long") * 3600 + unit(2, "long") * 60 + unit(3, "double")).alias("duration"),
         F.try_element_at(size, F.lit(1)).try_cast("int").alias("width"), F.try_element_at(size, F.lit(2)).try_cast("int").alias("height"), rate.try_cast("int").alias("sample_rate"),
     )
-
-
-def suffix_pattern(suffix: str) -> str:
-    return f"^(.*){re.escape(suffix)}$"

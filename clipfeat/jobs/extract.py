@@ -16,6 +16,7 @@ from ..functions.windows import CLIP_FRAMES, CLIP_STRIDE, SAMPLE_RATE
 from ..operators.audio import audio_windows, resample_blocks, silence_fallback
 from ..operators.encode import Factory, encode_audio, encode_clips, gather_chunks
 from ..operators.frames import resize_frames
+from ..operators.qa import frame_spans
 from ..operators.worklist import existing_ids, first_pending, pending_ids, shard_ids
 from ..sources.store import append_ledger, probe_wav, read_features, read_ledger, read_wav, write_features
 
@@ -40,19 +41,29 @@ def _store(features: DataFrame, planned: DataFrame, path: str, ledger: str, moda
     """Write what the encoder gave once, below a name of this run; then judge each video by it, store the vectors of good ones and
     record all. The ledger comes last: a run that ends before is not read by anyone, and its videos are still pending.
 
-    ``planned``: (video_id, silent)."""
+    A video is good if each of its vectors is finite, if its steps count from 0 without a gap or a repeat, and if they are as
+    many as planned. ``planned``: (video_id, silent, steps, problem); steps is null where the number isn't known beforehand, and a
+    problem is what already speaks against a video."""
     name = f"{time.time_ns():020d}-{shard_id}-{uuid.uuid4().hex[:8]}"
     staging = f"{path}/staging/{name}"
     features.write.parquet(staging)
     found = features.sparkSession.read.schema(features.schema).parquet(staging)
     good = F.col("error").isNull() & is_finite("feature")
     error = F.min(F.when(F.col("error").isNotNull(), F.struct("step", "error")))["error"]
-    per = found.groupBy("video_id").agg(F.count_if(good).alias("windows"), F.bool_and(good).alias("good"), error.alias("error"))
-    rows = planned.groupBy("video_id").agg(F.bool_or("silent").alias("silent")).join(per, "video_id", "left").select(
+    count = F.count(F.lit(1))
+    per = found.groupBy("video_id").agg(
+        count.alias("windows"), F.bool_and(good).alias("good"), error.alias("error"), F.countDistinct("step").alias("steps_there"), F.coalesce(F.max("step") + 1, F.lit(0)).alias("until"),
+    )
+    plan = planned.groupBy("video_id").agg(F.bool_or("silent").alias("silent"), F.max("steps").alias("steps"), F.min("problem").alias("problem"))
+    whole = (F.col("steps_there") == F.col("windows")) & (F.col("until") == F.col("windows")) & (F.col("windows") == F.coalesce("steps", "windows"))
+    said = F.concat_ws(" ", "windows", F.lit("windows,"), "steps_there", F.lit("of"), F.greatest("until", "steps"), F.lit("steps"))
+    rows = plan.join(per, "video_id", "left").withColumn("error", F.coalesce(
+        F.when(F.col("error").isNotNull(), F.col("error")), "problem", F.when(F.col("windows").isNull(), "no windows").when(~F.col("good"), "not finite").when(~whole, said),
+    ))
+    rows = rows.select(
         "video_id", F.lit(modality).alias("modality"), F.lit(shard_id).alias("shard_id"), F.lit(name).alias("run"),
-        F.when(F.col("good"), "ok").otherwise("failed").alias("status"),
-        F.when(F.col("windows").isNull(), "no windows").when(~F.col("good"), F.coalesce("error", F.lit("not finite"))).alias("error"),
-        F.when(F.col("good"), F.col("windows")).otherwise(F.lit(0)).alias("windows"), "silent",
+        F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("status"), "error",
+        F.when(F.col("error").isNull(), F.col("windows")).otherwise(F.lit(0)).alias("windows"), "silent",
     )
     rows.write.parquet(f"{staging}-status")
     rows = features.sparkSession.read.schema(rows.schema).parquet(f"{staging}-status")
@@ -65,10 +76,18 @@ def _store(features: DataFrame, planned: DataFrame, path: str, ledger: str, moda
 
 
 def extract_visual(work: DataFrame, frames: DataFrame, factory: Factory, path: str, ledger: str, size: int = 256, num_frames: int = CLIP_FRAMES, stride: int = CLIP_STRIDE, clips_per_chunk: int = 16, shard_id: int = 0, limit: int | None = None) -> DataFrame:
-    """Frames of the videos in ``work`` to features; returns the ledger rows of this run."""
-    chunks = gather_chunks(resize_frames(_of(frames, work), size), num_frames, stride, clips_per_chunk, limit)
+    """Frames of the videos in ``work`` to features; returns the ledger rows of this run.
+
+    The indexes of a video's frames, which are read without their pixels, say how many clips it must give and whether frames are
+    missing or repeated, also where no clip would show it: chunks that were lost as a whole, and frames between clips where the
+    stride is longer than a clip."""
+    mine = _of(frames, work)
+    spans = frame_spans(mine, num_frames, stride, limit)
+    problem = F.when((F.col("missing") > 0) | (F.col("repeated") > 0) | (F.col("unnumbered") > 0), F.concat_ws(" ", "missing", F.lit("frames missing,"), "repeated", F.lit("repeated,"), "unnumbered", F.lit("without a number")))
+    planned = work.select("video_id").join(spans.select("video_id", "steps", problem.alias("problem")), "video_id", "left").withColumn("silent", F.lit(False))
+    chunks = gather_chunks(resize_frames(mine, size), num_frames, stride, clips_per_chunk, limit)
     features = encode_clips(chunks, factory, num_frames, stride, clips_per_chunk)
-    return _store(features, work.select("video_id", F.lit(False).alias("silent")), path, ledger, "visual", shard_id)
+    return _store(features, planned, path, ledger, "visual", shard_id)
 
 
 def extract_audio(work: DataFrame, files: DataFrame, factory: Factory, path: str, ledger: str, window: int, hop: int, shard_id: int = 0, rate: int = SAMPLE_RATE, block: int = 1 << 16) -> DataFrame:
@@ -89,7 +108,8 @@ def extract_audio(work: DataFrame, files: DataFrame, factory: Factory, path: str
     unread = headers.filter("error is not null").select("video_id", F.lit("audio").alias("modality"), F.lit(0).cast("long").alias("step"), F.lit(None).cast("array<float>").alias("feature"), "error")
     features = encode_audio(audio_windows(blocks, window, hop), factory).unionByName(unread)
     planned = work.select(F.col("video_id").cast("string")).join(headers.filter(empty).select("video_id", F.lit(True).alias("silent")), "video_id", "left")
-    return _store(features, planned.select("video_id", F.coalesce("silent", F.lit(False)).alias("silent")), path, ledger, "audio", shard_id)
+    nothing = [F.lit(None).cast("long").alias("steps"), F.lit(None).cast("string").alias("problem")]
+    return _store(features, planned.select("video_id", F.coalesce("silent", F.lit(False)).alias("silent"), *nothing), path, ledger, "audio", shard_id)
 
 
 def summary(lines: DataFrame, seconds: float) -> DataFrame:

@@ -143,14 +143,6 @@ def layer_norm(windows: np.ndarray) -> np.ndarray:
     return ((x - mean) / np.sqrt(x.var(axis=1, keepdims=True) + LAYER_NORM_EPS)).astype(np.float32)
 
 
-def window_spans(totals: DataFrame, window: int, hop: int) -> DataFrame:
-    """(video_id, step, first, tiled) of the windows over (video_id, total): the tail is dropped, a shorter wave is one tiled window,
-    an empty one gives none."""
-    rows = totals.filter("total > 0").withColumn("n", num_windows("total", window, hop))
-    rows = rows.withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    return rows.select("video_id", "step", (F.col("step") * hop).alias("first"), (F.col("total") < window).alias("tiled"))
-
-
 def audio_windows(blocks: DataFrame, window: int, hop: int, normalize: bool = True, per_group: int = 64) -> DataFrame:
     """(video_id, step, samples, error): hopping windows over a wave's blocks; null samples where a block is missing or has an error.
 

@@ -89,22 +89,24 @@ def pool_clips(frames: DataFrame) -> DataFrame:
     return vector_means(frames, ["video_id", "clip_idx"])
 
 
-#: Groups that are compared with one another, at most; each is one mean vector.
-MOST_GROUPS = 1_000
+#: Groups of a block, about: of so many with as many, place by place, a task makes its sums.
+BLOCK_GROUPS = 1_000
 
 
 def space_similarity(features: DataFrame, group: str = "modality", wide: bool = False) -> DataFrame:
     """(left, right, mean_vector_cosine, mean_pairwise_cosine) of each two groups and of each with itself.
 
-    The mean cosine of all pairs is the dot product of the mean unit vectors, so no pair of vectors is ever formed; groups, of which
-    there may be ``MOST_GROUPS``, meet place by place, as one row for each place of a mean. ``wide`` sums vectors with NumPy."""
+    The mean cosine of all pairs is the dot product of the mean unit vectors, so no pair of vectors is ever formed; groups
+    meet place by place, as one row for each place of a mean, in blocks by a hash of the group, so that with many groups the work of a
+    place is many tasks. ``wide`` sums vectors with NumPy."""
     means = wide_vector_means if wide else vector_means
     places = lambda df, name: means(df, [group]).select(group, F.posexplode("mean").alias("_i", name))
     m = places(features, "m").join(places(features.select(group, l2_normalize("feature").alias("feature")), "u"), [group, "_i"])
-    if features.select(group).distinct().count() > MOST_GROUPS:
-        raise ValueError(f"more than {MOST_GROUPS} groups of {group}")
-    a, b = (m.select("_i", F.col(group).alias(name), F.col("m").alias(f"m_{name}"), F.col("u").alias(f"u_{name}")) for name in ("left", "right"))
-    sums = a.join(b, "_i").filter(F.col("left") <= F.col("right")).groupBy("left", "right").agg(
+    blocks = max(1, -(-features.select(group).distinct().count() // BLOCK_GROUPS))
+    own, other = F.pmod(F.xxhash64(group), F.lit(blocks)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    sides = (("left", own, other), ("right", other, own))
+    a, b = (m.select("_i", F.col(group).alias(name), F.col("m").alias(f"m_{name}"), F.col("u").alias(f"u_{name}"), x.alias("_x"), y.alias("_y")) for name, x, y in sides)
+    sums = a.join(b, ["_i", "_x", "_y"]).filter(F.col("left") <= F.col("right")).groupBy("left", "right").agg(
         F.sum(F.col("m_left") * F.col("m_right")).alias("mm"), F.sum(F.col("m_left") * F.col("m_left")).alias("ll"), F.sum(F.col("m_right") * F.col("m_right")).alias("rr"), F.sum(F.col("u_left") * F.col("u_right")).alias("uu")
     )
     return sums.select("left", "right", F.try_divide("mm", F.sqrt("ll") * F.sqrt("rr")).alias("mean_vector_cosine"), F.col("uu").alias("mean_pairwise_cosine"))

@@ -22,11 +22,17 @@ def feature_norms(features: DataFrame, steps: int = NORM_STEPS) -> DataFrame:
     return features.filter(F.col("step") < steps).groupBy("video_id", "modality").agg(F.avg(l2_norm("feature")).alias("norm"))
 
 
+def _contiguous():
+    """Steps count from 0 without a gap or a repeat."""
+    n = F.count(F.lit(1))
+    return F.coalesce((F.min("step") == 0) & (F.max("step") + 1 == n) & (F.countDistinct("step") == n), F.lit(False))
+
+
 def summarize(features: DataFrame, dim: int, steps: int = NORM_STEPS) -> DataFrame:
     """(video_id, modality, t, bad_shape, finite, contiguous, norm) in one pass over the vectors."""
     return features.groupBy("video_id", "modality").agg(
         F.count(F.lit(1)).alias("t"), F.bool_or(F.coalesce(F.size("feature") != dim, F.lit(True))).alias("bad_shape"), F.bool_and(is_finite("feature")).alias("finite"),
-        (F.max("step") + 1 == F.count(F.lit(1))).alias("contiguous"), F.avg(F.when(F.col("step") < steps, l2_norm("feature"))).alias("norm"),
+        _contiguous().alias("contiguous"), F.avg(F.when(F.col("step") < steps, l2_norm("feature"))).alias("norm"),
     )
 
 
@@ -42,9 +48,27 @@ def finite_check(features: DataFrame) -> DataFrame:
 
 def assembled(features: DataFrame) -> DataFrame:
     """(video_id, modality, t, contiguous): steps count from 0 without a gap or a repeat."""
-    return features.groupBy("video_id", "modality").agg(
-        F.count(F.lit(1)).alias("t"), ((F.max("step") + 1 == F.count(F.lit(1))) & (F.countDistinct("step") == F.count(F.lit(1)))).alias("contiguous")
-    )
+    return features.groupBy("video_id", "modality").agg(F.count(F.lit(1)).alias("t"), _contiguous().alias("contiguous"))
+
+
+def frame_spans(frames: DataFrame, num_frames: int, stride: int, limit: int | None = None) -> DataFrame:
+    """(video_id, frames, missing, repeated, unnumbered, steps): what there is of each video, from the indexes of its frames alone,
+    and the clips that a whole video of that length gives. Frames beyond the last clip of a ``limit`` don't count.
+
+    Indexes are counted one by one, so that a repeated frame can't stand in for a missing one; no pixel is read."""
+    index = F.col("frame_idx")
+    rows = frames.select("video_id", "frame_idx").filter("video_id is not null")
+    if limit is not None:
+        rows = rows.filter(index.isNull() | (index < (limit - 1) * stride + num_frames))
+    rows = rows.groupBy("video_id", "frame_idx").agg(F.count(F.lit(1)).alias("n"))
+    known = index.isNotNull()
+    per = rows.groupBy("video_id").agg(
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("frames"), F.count_if(known & (index >= 0)).alias("_there"), F.coalesce(F.max("frame_idx") + 1, F.lit(0)).alias("_length"),
+        F.coalesce(F.sum(F.when(~known | (index < 0), F.col("n"))), F.lit(0)).alias("unnumbered"), F.coalesce(F.sum(F.when(known, F.col("n") - 1)), F.lit(0)).alias("repeated"),
+    )
+    n = num_windows("_length", num_frames, stride)
+    n = n if limit is None else F.least(n, F.lit(limit).cast("long"))
+    return per.select("video_id", "frames", (F.greatest(F.lit(0), F.col("_length")) - F.col("_there")).alias("missing"), "repeated", "unnumbered", F.when(F.col("_length") > 0, n).otherwise(F.lit(0)).alias("steps"))
 
 
 def count_features(features: DataFrame) -> DataFrame:
@@ -92,7 +116,3 @@ def storage_budget(videos: DataFrame, strides: tuple[int, ...] = (4, 8), num_fra
     rows = videos.select("total", F.explode(F.array(*[F.lit(s) for s in strides])).alias("stride"))
     n = F.greatest(F.lit(0), F.floor((F.col("total") - num_frames) / F.col("stride"))) + 1
     return rows.groupBy("stride").agg(F.sum(n).cast("long").alias("clips")).withColumn("bytes", F.col("clips") * dim * 4)
-
-
-def planned_clips(videos: DataFrame, num_frames: int = 16, stride: int = 8) -> DataFrame:
-    return videos.withColumn("n_clips", num_windows("total", num_frames, stride))

@@ -11,7 +11,7 @@ from . import query
 from .standins import SEGMENTS, categories, r6, scratch, segment_features, segment_media, segments
 
 CATS = "cats AS (SELECT DISTINCT CAST(p_size AS VARCHAR) AS id, 'dish ' || p_size AS name FROM part WHERE p_size <= 40)"
-LABELLED = f"{SEGMENTS}, {CATS}, labelled AS (SELECT judged.*, coalesce(name, 'recipe ' || recipe_type) AS label FROM judged LEFT JOIN cats ON id = recipe_type WHERE outcome = 'kept')"
+LABELLED = f"{SEGMENTS}, {CATS}, labelled AS (SELECT judged.*, coalesce(name, 'recipe ' || coalesce(recipe_type, 'None')) AS label FROM judged LEFT JOIN cats ON id = recipe_type WHERE outcome = 'kept')"
 
 
 def _judged(spark, d):

@@ -55,6 +55,27 @@ def extract_visual_job(spark, d):
     return _recorded(spark, lambda out, ledger: extract.extract_visual(f.select("video_id").distinct(), f, encode.projection_encoder(8), out, ledger, size=2))
 
 
+_GAPS = " UNION ALL ".join(
+    f"""SELECT CAST(video_id AS VARCHAR) AS video_id, {s} AS stride, CASE WHEN lost > 0 AND until > there THEN 'failed' ELSE 'ok' END AS status,
+  CASE WHEN lost > 0 AND until > there THEN 0 ELSE CAST(greatest(0, floor((there - 16) / {s}.0)) + 1 AS BIGINT) END AS windows FROM t WHERE there > 0"""
+    for s in (4, 16, 20)
+)
+
+
+@query(f"""WITH {FRAMES}, k AS (SELECT *, video_id % 5 = 2 AND frame_idx >= 32 AND frame_idx < 64 OR video_id % 7 = 3 AND frame_idx = 17 AS gone FROM frames),
+t AS (SELECT video_id, count(*) FILTER (gone) AS lost, count(*) FILTER (NOT gone) AS there, max(frame_idx) FILTER (NOT gone) + 1 AS until FROM k GROUP BY video_id) {_GAPS}""")
+def extract_visual_gaps(spark, d):
+    """The visual job where videos have lost frames: whole chunks, and a frame that lies between two clips at a stride of 20."""
+    f = _pixel_frames(spark, d)
+    lost = (F.col("video_id") % 5 == 2) & F.col("frame_idx").between(32, 63) | (F.col("video_id") % 7 == 3) & (F.col("frame_idx") == 17)
+    f = f.filter(~lost).withColumn("video_id", F.col("video_id").cast("string"))
+    parts = []
+    for stride in (4, 16, 20):
+        job = lambda out, ledger: extract.extract_visual(f.select("video_id").distinct(), f, encode.projection_encoder(8), out, ledger, size=2, stride=stride, clips_per_chunk=2)  # noqa: B023, E731
+        parts.append(_recorded(spark, job).select("video_id", F.lit(stride).alias("stride"), "status", F.col("stored").alias("windows")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def _recorded(spark, job):
     """(video_id, modality, status, windows, stored) of a job's ledger, with the vectors that readers of its store see."""
     out, ledger = scratch(spark, "job"), scratch(spark, "job-ledger")

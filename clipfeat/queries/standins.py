@@ -46,14 +46,14 @@ SHORT = FRAMES.replace("FROM events)", "FROM events WHERE event_type = 'error')"
 
 
 def segments(spark, d) -> DataFrame:
-    """Line items as segments of orders; has_video and has_feature stand for files that exist."""
+    """Line items as segments of orders, some without a category; has_video and has_feature stand for files that exist."""
     li, o, p = (table(spark, d, t) for t in ("lineitem", "orders", "part"))
     rows = li.join(o, li.l_orderkey == o.o_orderkey).join(p, p.p_partkey == li.l_partkey)
     order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     return rows.select(
         F.col("l_orderkey").alias("video_id"), F.concat_ws("_", "l_orderkey", F.row_number().over(order)).alias("seg_id"),
         F.when(F.col("o_orderkey") % 4 == 0, "validation").otherwise("training").alias("subset"), (F.col("o_totalprice") / 1000).alias("duration"),
-        F.array(F.col("l_quantity") * 10, F.col("l_quantity") * 10 + F.col("l_discount") * 1000).alias("segment"), F.col("p_size").cast("string").alias("recipe_type"),
+        F.array(F.col("l_quantity") * 10, F.col("l_quantity") * 10 + F.col("l_discount") * 1000).alias("segment"), F.when(F.col("p_size") % 10 != 7, F.col("p_size")).cast("string").alias("recipe_type"),
         F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("sentence"), (F.col("o_custkey") % 10 != 0).alias("has_video"), (F.col("o_orderkey") % 7 != 0).alias("has_feature"),
         (F.col("l_suppkey") % 4 == 0).alias("other_subset"),
     )
@@ -62,7 +62,7 @@ def segments(spark, d) -> DataFrame:
 SEGMENTS = """segs AS (
   SELECT l_orderkey AS video_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS k,
     CASE WHEN o_orderkey % 4 = 0 THEN 'validation' ELSE 'training' END AS subset, o_totalprice / 1000 AS duration, l_quantity * 10 AS seg_start,
-    l_quantity * 10 + l_discount * 1000 AS seg_end, CAST(p_size AS VARCHAR) AS recipe_type, o_custkey % 10 <> 0 AS has_video, o_orderkey % 7 <> 0 AS has_feature,
+    l_quantity * 10 + l_discount * 1000 AS seg_end, CASE WHEN p_size % 10 <> 7 THEN CAST(p_size AS VARCHAR) END AS recipe_type, o_custkey % 10 <> 0 AS has_video, o_orderkey % 7 <> 0 AS has_feature,
     l_suppkey % 4 = 0 AS other_subset, 'line ' || l_linenumber AS sentence
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey),
 judged AS (SELECT *, least(seg_end, duration) AS e, CASE WHEN NOT has_video THEN 'no_video' WHEN NOT has_feature THEN 'no_feature'
