@@ -8,76 +8,110 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 
+#: Rows that are sent on at once.
+_ROWS = 4096
+
+
 class ClipBuffer(StatefulProcessor):
-    """Keeps a video's frames from the start of its next clip on, and sends a clip when its last frame is there.
+    """Keeps a video's frames from the start of its next clip on, by their indexes, and sends a clip when all its frames are there.
+
+    A row with ``last = true`` ends the video, with or without a frame of its own: a video too short for a clip then gives one,
+    its last frame repeated. Frames of a video come in order from batch to batch, in any order within one; a frame that comes
+    twice counts once, and frames of clips that were sent already are left out. A clip of which frames have not come when a batch
+    has brought later ones gives one row with an error, and the clips after it go on; so does a row without an index, which
+    belongs to no clip. With ``idle_ms`` a video from which nothing has come for that long ends as if its last frame were there.
 
-    A row with ``last = true`` ends the video: a video too short for a clip then gives one, its last frame repeated. Frames of a
-    video come in order, over any number of batches; what is kept is at most a clip and a stride. A clip of which frames have not
-    come when later ones are there gives one row with an error, and the clips after it go on. With ``idle_ms`` a video
-    from which nothing has come for that long ends as if its last frame were there."""
+    Frames are looked up by index and dropped by range, once each, so a batch takes time in proportion to its frames, and clips
+    are sent while the batch is read: what is held is what no complete clip could use yet. Between batches that is at most a clip
+    and a stride, and it is one value of the state, read and written once a batch: a state entry for each frame would
+    be a message to the state store for each frame."""
 
     def __init__(self, num_frames: int, stride: int, names: list[str], payload: str, idle_ms: int | None = None):
         self.num_frames, self.stride, self.names, self.payload, self.idle_ms = num_frames, stride, names, payload, idle_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.frames = handle.getListState("frames", f"frame_idx long, {self.payload}")
-        self.place = handle.getValueState("place", "next_clip long, short boolean")
+        self.state = handle.getValueState("video", f"next_clip long, frames array<struct<frame_idx: long, {self.payload}>>")
 
-    def _take(self, video, clip: int, frames: list[tuple], until: int) -> tuple[list[tuple], int, list[tuple]]:
-        """Send the clips that end before frame ``until``; returns the rows, the next clip and the frames that are still needed."""
-        out, none = [], (None,) * len(self.names)
-        while clip * self.stride + self.num_frames <= until:
+    def _held(self) -> tuple[int, dict]:
+        got = self.state.get()
+        return (got[0], {f[0]: tuple(f)[1:] for f in got[1]}) if got else (0, {})
+
+    def _send(self, video, clip: int, frames: dict, until: int | None = None):
+        """Rows of the clips that are complete, one after another; with ``until`` also an error for each one that ends before that
+        frame and isn't. Returns the next clip."""
+        none = (None,) * len(self.names)
+        while True:
             first = clip * self.stride
-            held = [f for f in frames if first <= f[0] < first + self.num_frames]
-            if [f[0] for f in held] == list(range(first, first + self.num_frames)):
-                out += [(video, clip, p, *f, None) for p, f in enumerate(held)]
+            indexes = range(first, first + self.num_frames)
+            if all(i in frames for i in indexes):
+                for p, i in enumerate(indexes):
+                    yield (video, clip, p, i, *frames[i], None)
+            elif until is not None and first + self.num_frames <= until:
+                yield (video, clip, None, None, *none, f"{sum(i in frames for i in indexes)} of {self.num_frames} frames")
             else:
-                out.append((video, clip, None, None, *none, f"{len(held)} of {self.num_frames} frames"))
+                return clip
+            for i in range(first, first + self.stride):
+                frames.pop(i, None)
             clip += 1
-            frames = [f for f in frames if f[0] >= clip * self.stride]
-        return out, clip, frames
-
-    def _end(self, video, clip: int, frames: list[tuple]) -> list[tuple]:
-        self.frames.clear()
-        self.place.clear()
-        if clip or not frames:
-            return []
-        return [(video, 0, p, *f, None) for p, f in enumerate(frames + [frames[-1]] * (self.num_frames - len(frames)))]
 
-    def _held(self) -> tuple[list[tuple], int]:
-        frames = [tuple(f) for f in self.frames.get()] if self.frames.exists() else []
-        return frames, self.place.get()[0] if self.place.exists() else 0
-
-    def _rows(self, out: list[tuple]) -> pd.DataFrame:
-        rows = pd.DataFrame(out, columns=["video_id", "clip_idx", "pos", "frame_idx", *self.names, "error"])
-        return rows.astype({c: "Int64" for c in ("clip_idx", "pos", "frame_idx")})
+    def _end(self, video, clip: int, frames: dict):
+        self.state.clear()
+        if not clip and frames:
+            there = sorted(frames)
+            for p, i in enumerate(there + [there[-1]] * (self.num_frames - len(there))):
+                yield (video, 0, p, i, *frames[i], None)
+
+    def _all(self, video, rows):
+        clip, frames = self._held()
+        until, last = max(frames, default=-1) + 1, False
+        for pdf in rows:
+            columns = [pdf["frame_idx"].tolist(), pdf["last"].tolist(), *(pdf[c].tolist() for c in self.names)]
+            for i, end, *payload in zip(*columns, strict=True):
+                last |= end is not None and bool(end)
+                if i is None or i != i:
+                    if not end:
+                        yield (video, None, None, None, *(None,) * len(self.names), "a frame without an index")
+                    continue
+                i = int(i)
+                until = max(until, i + 1)
+                if i >= clip * self.stride:
+                    frames.setdefault(i, tuple(payload))
+            clip = yield from self._send(video, clip, frames)
+        clip = yield from self._send(video, clip, frames, until)
+        if last:
+            yield from self._end(video, clip, frames)
+        else:
+            self.state.update((clip, [(i, *frames[i]) for i in sorted(frames)]))
+        return last
+
+    def _frames(self, rows):
+        """Rows as frames of some thousand; returns what the rows return."""
+        names, out, done = ["video_id", "clip_idx", "pos", "frame_idx", *self.names, "error"], [], None
+        while True:
+            try:
+                out.append(next(rows))
+            except StopIteration as e:
+                done = e.value
+                break
+            if len(out) >= _ROWS:
+                yield pd.DataFrame(out, columns=names, dtype=object)
+                out = []
+        if out:
+            yield pd.DataFrame(out, columns=names, dtype=object)
+        return done
 
     def handleInputRows(self, key, rows, timerValues):
-        frames, clip = self._held()
-        new = pd.concat(list(rows)).sort_values("frame_idx")
-        columns = [new["frame_idx"].astype(int).tolist(), *(new[c].tolist() for c in self.names)]
-        frames += [f for f in zip(*columns, strict=True) if f[0] >= clip * self.stride]
-        until = max([f[0] + 1 for f in frames], default=0)
-        out, clip, frames = self._take(key[0], clip, frames, until)
-        if new["last"].any():
-            out += self._end(key[0], clip, frames)
-        else:
-            if frames:
-                self.frames.put(frames)
-            else:
-                self.frames.clear()
-            self.place.update((clip, clip == 0))
+        last = yield from self._frames(self._all(key[0], rows))
         if self.idle_ms is not None:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
-            if not new["last"].any():
+            if not last:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        yield self._rows(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        frames, clip = self._held()
-        yield self._rows(self._end(key[0], clip, frames))
+        clip, frames = self._held()
+        yield from self._frames(self._end(key[0], clip, frames))
 
     def close(self) -> None:
         pass

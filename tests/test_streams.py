@@ -2,6 +2,7 @@
 
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +61,48 @@ def test_a_missing_frame_spoils_its_clips_alone(spark, tmp_path):
     assert {r.clip_idx for r in got if r.error} == {1} and {r.clip_idx for r in got if not r.error} == {0, 2, 3, 4}
 
 
+def test_frames_in_any_order_within_a_batch(spark, tmp_path):
+    rows = [frame("a", i, 40) for i in range(40)]
+    batches = [[*reversed(rows[:21]), ("a", None, None, "lost", False), ("b", None, None, "end", True)], [*rows[15:30:2], *rows[21:30], rows[22]], [*rows[30:39], ("a", 39, bytes([39]), "a39", None), ("a", None, None, None, True)]]
+    got = run(spark, tmp_path, batches, FRAME, lambda s: windows.stream_clips(s, 16, 8)).collect()
+    clips_of = {(r.clip_idx, r.pos): (r.frame_idx, r.note) for r in got if not r.error}
+    assert clips_of == {(c, p): (8 * c + p, f"a{8 * c + p}") for c in range(4) for p in range(16)}
+    assert [r.error for r in got if r.error] == ["a frame without an index"] and len(got) == 65
+
+
+class _Value:
+    """What the state of one key does, in memory."""
+
+    def __init__(self):
+        self.value = None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+@pytest.mark.parametrize("num_frames,stride", [(16, 8), (16, 20), (5, 1)])
+def test_time_grows_with_the_frames(num_frames, stride):
+    """60,000 frames of one video in one batch: all clips, with few frames held, in time in proportion."""
+    took = {}
+    for n in (15_000, 60_000):
+        buffer = windows.ClipBuffer(num_frames, stride, ["value"], "value double")
+        buffer.state = _Value()
+        parts = [pd.DataFrame({"frame_idx": range(a, min(n, a + 5000)), "value": 0.5, "last": False}) for a in range(0, n, 5000)]
+        began, rows = time.process_time(), 0
+        for pdf in buffer.handleInputRows(("v",), iter(parts), None):
+            rows += len(pdf)
+        took[n] = time.process_time() - began
+        assert rows == ((n - num_frames) // stride + 1) * num_frames
+        assert len(buffer.state.value[1]) < num_frames + stride
+    assert took[60_000] < 8 * took[15_000] + 0.2
+
+
 @pytest.mark.parametrize("idle", [None, 1])
 def test_videos_that_never_end(spark, tmp_path, idle):
     """With a time limit their state goes in a later batch: a short video gives its clip, an open one its failure."""
