@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..jobs.annotate import annotate
 from ..operators import annotate as op
-from ..sources import text
+from ..sources import documents, text
 from . import query
 from .standins import SEGMENTS, categories, r6, scratch, segment_features, segment_media, segments
 
@@ -115,3 +115,35 @@ def read_segments(spark, d):
     part = lambda x: docs.filter(F.col("subset") == x).select("value")
     rows = text.read_segments(part("training"), part("validation"))
     return rows.select("seg_id", "video_id", "subset", r6("duration").alias("duration"), r6(F.col("segment")[1]).alias("seg_end"), "recipe_type")
+
+
+def _segment_documents(spark, d):
+    """The entries of a document of each subset, written at its places by many tasks and read by ranges."""
+    s, where = segments(spark, d), scratch(spark, "documents")
+    entry = F.struct(F.col("video_id").cast("string").alias("video_id"), "duration", "segment", "recipe_type", "sentence")
+    for x in op.SUBSETS:
+        documents.write_document(s.filter(F.col("subset") == x), "seg_id", entry, f"{where}/{x}.json")
+    return [documents.document_entries(spark, f"{where}/{x}.json", range_bytes=1 << 20) for x in op.SUBSETS]
+
+
+@query(f"WITH {SEGMENTS} SELECT video_id || '_' || k AS seg_id, CAST(video_id AS VARCHAR) AS video_id, subset, round(duration, 6) AS duration, round(seg_end, 6) AS seg_end, recipe_type FROM segs")
+def read_segments_document(spark, d):
+    rows = documents.segments_of(*_segment_documents(spark, d))
+    return rows.select("seg_id", "video_id", "subset", r6("duration").alias("duration"), r6(F.col("segment")[1]).alias("seg_end"), "recipe_type")
+
+
+@query(f"WITH {SEGMENTS} SELECT DISTINCT CAST(video_id AS VARCHAR) AS video_id FROM segs")
+def ids_from_document(spark, d):
+    training, validation = _segment_documents(spark, d)
+    return documents.ids_of(training.unionByName(validation))
+
+
+@query(f"WITH {LABELLED} SELECT CAST(video_id AS VARCHAR) AS video_id, count(*) AS n, round(sum(e), 6) AS ends, string_agg(label, ';' ORDER BY k) AS labels FROM labelled GROUP BY video_id")
+def write_annotation_document(spark, d):
+    """All annotations as one document by many tasks, read back as a database."""
+    rows = annotate(segments(spark, d), segment_media(segments(spark, d)), segment_features(segments(spark, d)), categories(spark, d))["annotations"]
+    path = f"{scratch(spark, 'documents')}/annotations.json"
+    documents.write_document(rows, "video_id", F.struct("subset", "duration", "annotations"), path, {"version": "1", "label_mode": "recipe"})
+    back = documents.annotations_of(documents.document_entries(spark, path, range_bytes=1 << 20))
+    ends = F.round(F.aggregate("annotations", F.lit(0.0), lambda s, a: s + a["segment"][1]), 6)
+    return back.select("video_id", F.size("annotations").cast("long").alias("n"), ends.alias("ends"), F.array_join(F.transform("annotations", lambda a: a["label"]), ";").alias("labels"))
