@@ -8,7 +8,8 @@ import wave
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..sources import media, store
+from ..sources import media, npy, store
+from ..streaming.resume import resumable
 from . import query
 from .standins import FEATURES, features, scratch, table
 from .windows import pcm_digest, weighted_samples
@@ -73,6 +74,29 @@ def read_features_npy(spark, d):
     return back.groupBy("video_id", "modality").agg(F.count(F.lit(1)).alias("t"), F.round(F.sum(F.col("feature")[2].cast("double")), 4).alias("third"))
 
 
+@query(f"WITH {FEATURES} SELECT CAST(video_id AS VARCHAR) AS video_id, modality, count(*) AS t, round(sum((step + 1) * CAST(feature[3] AS FLOAT)::DOUBLE), 4) AS third FROM features GROUP BY ALL")
+def write_features_npy(spark, d):
+    """The feature store through the .npy sink, which moves files in place when all tasks are done; listed and read back."""
+    where = scratch(spark, "npy")
+    npy.write_npy(features(spark, d).withColumn("video_id", F.col("video_id").cast("string")), where)
+    back = store.read_features_npy(media.list_files(spark, where, ext=".npy").select("name", "path"), tasks=8)
+    return back.groupBy("video_id", "modality").agg(F.count(F.lit(1)).alias("t"), F.round(F.sum((F.col("step") + 1) * F.col("feature")[2].cast("double")), 4).alias("third"))
+
+
+@query("SELECT 'v' || page_id AS video_id, page_id % 7 AS length, 1::BIGINT AS times FROM pages WHERE page_id % 3 <> 2")
+def stream_media(spark, d):
+    """A file per page, in two goes with a stream over the folder after each: every medium is worked on once, other files never."""
+    p, i = table(spark, d, "pages"), F.col("page_id")
+    name = F.concat(F.lit("Yv"), i.cast("string"), F.when(i % 3 == 2, ".txt").otherwise(".mp4"))
+    where, out, ledger, check = (scratch(spark, n) for n in ("media", "out", "ledger", "check"))
+    rows = p.select("page_id", name.alias("name"), F.encode(F.repeat(F.lit("x"), (i % 7).cast("int")), "UTF-8").alias("data"))
+    for part in ("page_id % 2 = 0", "page_id % 2 = 1"):
+        _touch(rows.filter(part), where)
+        files = media.media_ids(media.stream_files(spark, where, prefix="Y", ext=".mp4", settle=0), ".mp4", "Y").select("video_id", "length")
+        resumable(files, lambda df: df.withColumn("status", F.lit("ok")), out, ledger, check).awaitTermination()
+    return spark.read.parquet(out).groupBy("video_id", "length").agg(F.count(F.lit(1)).alias("times"))
+
+
 @query(f"WITH {FEATURES} SELECT modality, count(*) AS n, round(sum(feature[3]), 4) AS third FROM features GROUP BY ALL")
 def write_features(spark, d):
     where = scratch(spark, "features")
