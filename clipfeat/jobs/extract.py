@@ -90,7 +90,7 @@ def extract_visual(work: DataFrame, frames: DataFrame, factory: Factory, path: s
     return _store(features, planned, path, ledger, "visual", shard_id)
 
 
-def extract_audio(work: DataFrame, files: DataFrame, factory: Factory, path: str, ledger: str, window: int, hop: int, shard_id: int = 0, rate: int = SAMPLE_RATE, block: int = 1 << 16) -> DataFrame:
+def extract_audio(work: DataFrame, files: DataFrame, factory: Factory, path: str, ledger: str, window: int, hop: int, shard_id: int = 0, rate: int = SAMPLE_RATE, block: int = 1 << 16, res_type: str = "kaiser_best") -> DataFrame:
     """WAV files of the videos in ``work`` to features; returns the ledger rows of this run.
 
     ``files``: (video_id, path, duration), with a null path where a video has no audio track. Headers are read first: videos
@@ -104,7 +104,7 @@ def extract_audio(work: DataFrame, files: DataFrame, factory: Factory, path: str
     empty = F.col("error").isNull() & (F.coalesce("frames", F.lit(0)) == 0)
     sound = read_wav(headers.filter(~empty & F.col("error").isNull()).select("video_id", "path"), block)
     silence = silence_fallback(headers.select("video_id", "duration", (~empty).alias("has_audio")), rate, block)
-    blocks = resample_blocks(sound, "sample_rate", rate, block).unionByName(silence.drop("silent").withColumn("error", F.lit(None).cast("string")))
+    blocks = resample_blocks(sound, "sample_rate", rate, block, res_type=res_type).unionByName(silence.drop("silent").withColumn("error", F.lit(None).cast("string")))
     unread = headers.filter("error is not null").select("video_id", F.lit("audio").alias("modality"), F.lit(0).cast("long").alias("step"), F.lit(None).cast("array<float>").alias("feature"), "error")
     features = encode_audio(audio_windows(blocks, window, hop), factory).unionByName(unread)
     planned = work.select(F.col("video_id").cast("string")).join(headers.filter(empty).select("video_id", F.lit(True).alias("silent")), "video_id", "left")

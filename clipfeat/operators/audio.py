@@ -43,13 +43,16 @@ def to_blocks(waves: DataFrame, block: int) -> DataFrame:
     return rows.select("video_id", "block_id", (F.col("block_id").cast("long") * block).alias("sample_offset"), F.slice("samples", F.col("block_id") * block + 1, F.lit(block)).alias("samples"))
 
 
-#: The window's shape and the pass band of a public resampler's best Kaiser filter.
-KAISER_BETA, ROLLOFF = 14.769656459379492, 0.9475937167399596
+#: Zero crossings on a side, the window's shape and the pass band of the Kaiser filters of a public resampler.
+FILTERS = {"kaiser_best": (64, 14.769656459379492, 0.9475937167399596), "kaiser_fast": (16, 8.555504641634386, 0.85)}
 
 
 @lru_cache(maxsize=16)
-def resample_filter(up: int, down: int, zeros: int = 64, beta: float = KAISER_BETA, rolloff: float = ROLLOFF) -> tuple[np.ndarray, int]:
-    """(taps by phase, half-width in input samples) of a Kaiser-windowed sinc that changes the rate by up/down."""
+def resample_filter(up: int, down: int, zeros: int | None = None, name: str = "kaiser_best") -> tuple[np.ndarray, int]:
+    """(taps by phase, half-width in input samples) of a Kaiser-windowed sinc that changes the rate by up/down; ``zeros`` in place of the
+    filter's own number makes it shorter or longer."""
+    own, beta, rolloff = FILTERS[name]
+    zeros = zeros or own
     cut = rolloff * min(1.0, up / down)
     half = int(np.ceil(zeros / cut))
     at = np.arange(-half, half + 1)
@@ -63,13 +66,20 @@ def resample_filter(up: int, down: int, zeros: int = 64, beta: float = KAISER_BE
 
 def resample(samples: np.ndarray, first: int, up: int, down: int, begin: int, end: int, taps: np.ndarray, half: int) -> np.ndarray:
     """Output samples [begin, end) from input samples that start at index ``first``; input outside is zero. Places are integers."""
-    padded = np.concatenate([np.zeros(half), samples, np.zeros(half + 1)])
-    out = np.empty(max(0, end - begin), np.float32)
-    for at in range(begin, end, 8192):  # a bounded number of products at a time
-        place = np.arange(at, min(end, at + 8192), dtype=np.int64) * down
-        index = (place // up)[:, None] - first + np.arange(2 * half + 1)
-        inside = (index >= 0) & (index < len(padded))
-        out[at - begin : at - begin + len(place)] = (np.where(inside, padded[np.clip(index, 0, len(padded) - 1)], 0) * taps[place % up]).sum(axis=1)
+    if end <= begin:
+        return np.empty(0, np.float32)
+    place, last = begin * down // up, (end - 1) * down // up
+    low, high = place - half, last + half + 1  # the input that is needed
+    x = np.zeros(high - low)
+    a, b = max(low, first), min(high, first + len(samples))
+    if a < b:
+        x[a - low : b - low] = samples[a - first : b - first]
+    out = np.empty(end - begin, np.float32)
+    # outputs that lie up apart have the same taps, and their inputs lie down apart: one product of a strided view for each phase
+    for j in range(begin, min(end, begin + up)):
+        n = -(-(end - j) // up)
+        view = np.lib.stride_tricks.as_strided(x[j * down // up - place :], (n, 2 * half + 1), (down * x.itemsize, x.itemsize))
+        out[j - begin :: up] = view @ taps[j * down % up]
     return out
 
 
@@ -90,16 +100,18 @@ def _wave(rows: pd.DataFrame, kind) -> tuple[int, np.ndarray]:
     return int(starts[0]), np.concatenate(parts)
 
 
-def resample_blocks(blocks: DataFrame, orig_rate: int | str, rate: int = SAMPLE_RATE, block: int = 1 << 16, zeros: int = 64) -> DataFrame:
+def resample_blocks(blocks: DataFrame, orig_rate: int | str, rate: int = SAMPLE_RATE, block: int = 1 << 16, zeros: int | None = None, res_type: str = "kaiser_best") -> DataFrame:
     """Blocks at another rate, from ``orig_rate``, which is a number or the name of a column. Each block is sent to the output
-    blocks that need it, so block borders give what one pass over the whole wave would give; no task holds a whole wave."""
+    blocks that need it, so block borders give what one pass over the whole wave would give; no task holds a whole wave. ``res_type`` names the filter."""
+    own, _, rolloff = FILTERS[res_type]
+    zeros = zeros or own
     if orig_rate == rate:
         return blocks
     rows = _with_error(blocks).withColumn("_rate", F.lit(orig_rate) if isinstance(orig_rate, int) else F.col(orig_rate))
     names = ["video_id", "block_id", "sample_offset", "samples", "error"]
     stay = (F.col("_rate") == rate) | F.col("_rate").isNull()
     size, ratio = F.coalesce(F.greatest(F.size("samples"), F.lit(0)), F.lit(0)), F.lit(float(rate)) / F.col("_rate")
-    half = F.ceil(zeros / (ROLLOFF * F.least(F.lit(1.0), ratio)))
+    half = F.ceil(zeros / (rolloff * F.least(F.lit(1.0), ratio)))
     lo = F.greatest(F.lit(0), F.floor((F.col("sample_offset") - half - 1) * ratio / block)).cast("long")
     hi = F.floor((F.col("sample_offset") + size + half + 1) * ratio / block).cast("long")
     sent = rows.filter(~stay).withColumn("out_block", F.explode(F.sequence(lo, hi))).select("video_id", "out_block", "sample_offset", "samples", "error", "_rate")
@@ -113,7 +125,7 @@ def resample_blocks(blocks: DataFrame, orig_rate: int | str, rate: int = SAMPLE_
                 try:
                     first, x = _wave(group, np.float64)
                     end = min(begin + block, -(-(first + len(x)) * up // down))  # the group ends with the wave, or beyond what it needs
-                    y, error = resample(x, first, up, down, begin, end, *resample_filter(up, down, zeros)), None
+                    y, error = resample(x, first, up, down, begin, end, *resample_filter(up, down, zeros, res_type)), None
                 except ValueError as e:
                     y, error = None, str(e)
                 if error or len(y):

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.vectors import cosine, l2_normalize, sum_squares
+from .select import exact_medians
 
 
 def align_modalities(features: DataFrame, left: str = "visual", right: str = "audio") -> DataFrame:
@@ -52,9 +55,12 @@ def feature_diff(pairs: DataFrame) -> DataFrame:
 
 
 def cosine_summary(pairs: DataFrame, above: float = 0.9) -> DataFrame:
-    """By variant, from (variant, video_id, a, b): mean, median, least mean cosine of a video, and how many lie above ``above``."""
-    per = pairs.groupBy("variant", "video_id").agg(F.avg(cosine("a", "b")).alias("c"))
-    return per.groupBy("variant").agg(F.count(F.lit(1)).alias("n"), F.avg("c").alias("mean"), F.median("c").alias("median"), F.min("c").alias("min"), F.count_if(F.col("c") > above).alias("above"))
+    """By variant, from (variant, video_id, a, b): mean, median, least mean cosine of a video, and how many lie above ``above``. The
+    median is selected by counts, so a variant of any number of videos is never one task."""
+    per = pairs.groupBy("variant", "video_id").agg(F.avg(cosine("a", "b")).alias("c")).persist()
+    sums = per.groupBy("variant").agg(F.count(F.lit(1)).alias("n"), F.avg("c").alias("mean"), F.min("c").alias("min"), F.count_if(F.col("c") > above).alias("above"))
+    medians = exact_medians(per, "variant", "c").withColumnRenamed("variant", "_variant")
+    return sums.join(medians, F.col("variant").eqNullSafe(F.col("_variant")), "left").select("variant", "n", "mean", "median", "min", "above")
 
 
 def vector_means(rows: DataFrame, keys: list[str], vector: str = "feature") -> DataFrame:
@@ -65,23 +71,49 @@ def vector_means(rows: DataFrame, keys: list[str], vector: str = "feature") -> D
     return out.select(*keys, "n", F.transform("_v", lambda p: p["_m"]).alias("mean"))
 
 
+#: Sums of a group that meet in the last step of a tree, at most; groups of which a task holds the sums at a time.
+FANOUT, GROUPS_HELD = 32, 2_000
+
+
 def wide_vector_means(rows: DataFrame, keys: list[str], vector: str = "feature") -> DataFrame:
-    """``vector_means`` for wide vectors: each task adds up its own groups with NumPy, one element of a partial sum is a row, and
-    those are added by group and place, so a group of any size is a number per place and task and no row grows with it."""
-    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys) + ", n long, total array<double>"
-
-    def partial(batches):
-        for pdf in batches:
-            out = []
-            for key, part in pdf.groupby(keys, dropna=False, sort=False):
-                m = np.stack([np.asarray(v, np.float64) for v in part[vector]])
-                out.append((*key, len(m), m.sum(axis=0)))
-            yield pd.DataFrame(out, columns=[*keys, "n", "total"])
-
-    each = rows.select(*keys, vector).mapInPandas(partial, schema).select(*keys, "n", F.posexplode("total").alias("_i", "_x"))
-    per = each.groupBy(*keys, "_i").agg(F.sum("n").alias("n"), F.sum("_x").alias("_x"))
-    got = per.groupBy(*keys).agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("_i", "_x"))).alias("_v"))
-    return got.select(*keys, "n", F.transform("_v", lambda p: p["_x"] / F.col("n")).alias("mean"))
+    """``vector_means`` for wide vectors: each task adds up its own groups with NumPy, and the sums of tasks are added in a tree, so what
+    is shuffled is a vector for each group and task at first and fewer at each level, and no place of a vector is a row."""
+    schema = "".join(f"`{k}` {rows.schema[k].dataType.simpleString()}, " for k in keys) + "n long, total array<double>"
+    column = rows.select(*keys, F.lit(1).cast("long").alias("n"), F.col(vector).cast("array<double>").alias("total")).filter("total is not null")
+
+    def added(batches):
+        """One row for each group of a task; a task that sees very many groups sends what it has and goes on."""
+        held: dict = {}
+
+        def frame():
+            columns = zip(*((*k, n, x) for k, (n, x) in held.items()), strict=True)
+            out = pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds)
+            held.clear()
+            return out
+
+        for batch in batches:
+            totals = batch.column("total")
+            flat, ends = totals.values.to_numpy(zero_copy_only=False), totals.offsets.to_numpy()
+            names = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True)) if keys else [()] * batch.num_rows
+            counts = batch.column("n").to_numpy()
+            by_group: dict = {}
+            for at, key in enumerate(names):
+                by_group.setdefault(key, []).append(at)
+            for key, these in by_group.items():
+                part = np.stack([flat[ends[a] : ends[a + 1]] for a in these]).sum(axis=0)
+                n, x = held.get(key, (0, 0.0))
+                held[key] = (n + int(counts[these].sum()), x + part)
+            if len(held) > GROUPS_HELD:
+                yield frame()
+        if held:
+            yield frame()
+
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+    # a tree: what each task adds up, then some sums of each group by a salt, then one
+    level = column.mapInArrow(added, schema)
+    level = level.withColumn("_salt", F.spark_partition_id() % FANOUT).repartition(*keys, "_salt").drop("_salt").mapInArrow(added, schema)
+    level = (level.repartition(*keys) if keys else level.coalesce(1)).mapInArrow(added, schema)
+    return level.select(*keys, "n", F.transform("total", lambda x: x / F.col("n")).alias("mean"))
 
 
 def pool_clips(frames: DataFrame) -> DataFrame:

@@ -9,8 +9,11 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
+from pyspark.sql.types import StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..functions.vectors import l2_norm
 from .frames import normalize_block
@@ -139,21 +142,48 @@ def encode_audio(windows: DataFrame, factory: Factory, batch_size: int = 64, mod
     return windows.mapInPandas(run, f"video_id {kind}, modality string, step long, feature array<float>, error string")
 
 
+def _outputs(fn: Callable[[object], Iterable[object]], x):
+    """(seq, output, error) of an item, as they come."""
+    seq = -1
+    try:
+        for seq, y in enumerate(fn(x)):
+            yield seq, y, None
+    except Exception as e:  # whatever the user's function raises belongs to its item
+        yield seq + 1, None, repr(e)
+
+
+def register_mapper(spark: SparkSession, name: str, fn: Callable[[object], Iterable[object]], output: str):
+    """``map_items`` for SQL: ``SELECT t.id, m.* FROM t, LATERAL name(t.id) m`` gives (item, seq, output, error) for each output of
+    each item. The type of item is that of the argument; outputs are sent on as they come."""
+    kind = StructType.fromDDL(f"output {output}")["output"].dataType
+
+    class Mapper:
+        @staticmethod
+        def analyze(item: AnalyzeArgument) -> AnalyzeResult:
+            return AnalyzeResult(StructType().add("item", item.dataType).add("seq", "long").add("output", kind).add("error", "string"))
+
+        def eval(self, item):
+            for row in _outputs(fn, item):
+                yield (item, *row)
+
+    return spark.udtf.register(name, udtf(Mapper))
+
+
 def map_items(items: DataFrame, fn: Callable[[object], Iterable[object]], output: str, item: str = "item") -> DataFrame:
     """(item, seq, output, error): ``fn`` gives any number of outputs for an item, in order; an item's failure is one row with its
     error, after the outputs that came before it, and stops nothing else."""
 
     def run(batches):
+        frame = lambda rows: pd.DataFrame(rows, columns=["item", "seq", "output", "error"])
         for pdf in batches:
             rows = []
             for x in pdf["item"]:
-                seq = -1
-                try:
-                    for seq, y in enumerate(fn(x)):
-                        rows.append((x, seq, y, None))
-                except Exception as e:  # whatever the user's function raises belongs to its item
-                    rows.append((x, seq + 1, None, repr(e)))
-            yield pd.DataFrame(rows, columns=["item", "seq", "output", "error"])
+                for row in _outputs(fn, x):
+                    rows.append((x, *row))
+                    if len(rows) >= 500:
+                        yield frame(rows)
+                        rows = []
+            yield frame(rows)
 
     kind = items.schema[item].dataType.simpleString()
     return items.select(F.col(item).alias("item")).mapInPandas(run, f"item {kind}, seq long, output {output}, error string")

@@ -42,16 +42,18 @@ def ids_of_feature_files(names: DataFrame, modality: str) -> DataFrame:
     return parsed.filter(F.col("p.modality") == modality).select("p.video_id")
 
 
-#: Ids in a range, about, and how many of each range's ids come to the driver to find where ranges begin.
-RANGE_IDS, SAMPLED = 100_000, 20
+#: Ids in a range, about; how many of each range's ids come to the driver to find where ranges begin; ranges, at most: with more ids
+#: the ranges grow, and what comes to the driver doesn't.
+RANGE_IDS, SAMPLED, MOST_RANGES = 100_000, 20, 10_000
 
 
 def _ranges(ids: DataFrame, id_col: str) -> list:
-    """Where ranges of about ``RANGE_IDS`` distinct ids begin, from an even sample by hash: ``SAMPLED`` ids of each range."""
+    """Where ranges of about ``RANGE_IDS`` distinct ids begin, from an even sample by hash: ``SAMPLED`` ids of each range, and of no
+    more than ``MOST_RANGES`` ranges."""
     n = ids.count()
     if n <= RANGE_IDS:
         return []
-    share = SAMPLED / RANGE_IDS
+    share = SAMPLED / max(RANGE_IDS, n / MOST_RANGES)
     sample = ids.filter(F.xxhash64(id_col) < F.lit(int(share * (1 << 64)) - (1 << 63)))
     return [r[0] for r in sample.orderBy(id_col).collect()][::SAMPLED][1:]
 

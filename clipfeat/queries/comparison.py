@@ -179,3 +179,23 @@ def cast_precision(spark, d):
     near = lambda a, b, rel: F.forall(F.zip_with(a, b, lambda x, y: F.abs(x - y) <= F.abs(x) * rel + 1e-7), lambda t: t)
     e = spark.read.parquet(f"{d}/embeddings.parquet").withColumn("h", v.round_trip("fp16")("embedding")).withColumn("b", v.round_trip("bf16")("embedding"))
     return e.select("vec_id", near("embedding", "h", 2.0**-11).alias("fp16_near"), near("embedding", "b", 2.0**-8).alias("bf16_near"), (v.to_float32(F.col("embedding").cast("array<double>")) == F.col("embedding")).alias("same"))
+
+
+def _rounded(x: str, kept: int, least: int) -> str:
+    """SQL: ``x`` with ``kept`` bits after the first one, half to even, and no unit below 2 to the ``least``."""
+    power = f"CASE WHEN abs({x}) < 1e-300 THEN {least} ELSE floor(log2(abs({x}))) END"
+    exact = f"({power} + CASE WHEN pow(2e0, {power} + 1) <= abs({x}) THEN 1 WHEN pow(2e0, {power}) > abs({x}) THEN -1 ELSE 0 END)"
+    unit = f"pow(2e0, greatest({exact} - {kept}, {least}))"
+    return f"round_even({x} / {unit}, 0) * {unit}"
+
+
+@query(f"""WITH e AS (SELECT vec_id, list_concat(CAST(embedding AS DOUBLE[]), [1 + (2 * (vec_id % 1000) + 1) / 2048e0, 1 + (2 * (vec_id % 100) + 1) / 256e0, -(vec_id % 50) / pow(2e0, 25), 0e0]) AS v FROM embeddings)
+SELECT vec_id, CAST(list_sum(list_transform(v, lambda x, i: CAST({_rounded('x', 10, -24)} * pow(2e0, 40) AS BIGINT) * (i % 7 + 1))) AS BIGINT) AS fp16,
+  CAST(list_sum(list_transform(v, lambda x, i: CAST({_rounded('x', 7, -133)} * pow(2e0, 40) AS BIGINT) * (i % 7 + 1))) AS BIGINT) AS bf16 FROM e""")
+def half_precisions(spark, d):
+    """Every element after a round trip through half precisions, to its last bit; some lie just between two values."""
+    i = F.col("vec_id")
+    more = F.array(1 + (2 * (i % 1000) + 1) / 2048, 1 + (2 * (i % 100) + 1) / 256, -(i % 50) / F.lit(2.0**25), F.lit(0.0))
+    e = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", F.concat(F.col("embedding").cast("array<double>"), more).cast("array<float>").alias("v"))
+    bits = lambda c: F.aggregate(F.transform(c, lambda x, i: F.rint(x.cast("double") * 2.0**40).cast("long") * ((i + 1) % 7 + 1)), F.lit(0).cast("long"), lambda s, x: s + x)
+    return e.select("vec_id", bits(v.round_trip("fp16")("v")).alias("fp16"), bits(v.round_trip("bf16")("v")).alias("bf16"))

@@ -115,6 +115,21 @@ def map_items(spark, d):
     return encode.map_items(table(spark, d, "documents"), fn, "long", "doc_id").select("item", "seq", "error")
 
 
+@query("""SELECT doc_id, unnest(range(doc_id % 4)) AS seq, (doc_id % 4) * 10 + unnest(range(doc_id % 4)) AS output, NULL::VARCHAR AS error FROM documents
+UNION ALL SELECT doc_id, doc_id % 4, NULL, 'ValueError(' || chr(39) || 'item ' || doc_id || chr(39) || ')' FROM documents WHERE doc_id % 10 = 7""")
+def map_items_sql(spark, d):
+    """The same from SQL, as a table function beside the table it is applied to."""
+
+    def fn(x):
+        yield from (x % 4 * 10 + k for k in range(x % 4))
+        if x % 10 == 7:
+            raise ValueError(f"item {x}")
+
+    encode.register_mapper(spark, "clipfeat_map_items", fn, "long")
+    table(spark, d, "documents").select("doc_id").createOrReplaceTempView("clipfeat_items")
+    return spark.sql("SELECT t.doc_id, m.seq, m.output, m.error FROM clipfeat_items t, LATERAL clipfeat_map_items(t.doc_id) m")
+
+
 _HEAD = [[((c * 7 + i * 3) % 11 - 5) / 10 for i in range(64)] for c in range(12)]
 
 

@@ -202,18 +202,36 @@ def pcm_to_mono(spark, d):
 BESSEL = "list_sum(list_transform(range(60), lambda k: exp(2 * (k * ln({0} / 2) - lgamma(k + 1)))))"
 
 
-@query(f"""WITH {FRAMES}, f AS (SELECT 0.9475937167399596e0 * 2 / 3 AS cut, 14.769656459379492e0 AS beta), h AS (SELECT *, CAST(ceil(64 / cut) AS BIGINT) AS half FROM f),
-g AS (SELECT phase, tap_at, tap_at - phase / 2e0 AS x, h.* FROM h, (SELECT unnest([0, 1]) AS phase), (SELECT unnest(range(-200, 201)) AS tap_at) WHERE abs(tap_at) <= half),
-taps AS (SELECT phase, tap_at, CASE WHEN abs(x * cut) > 64 THEN 0e0 ELSE cut * (CASE WHEN x = 0 THEN 1e0 ELSE sin(pi() * cut * x) / (pi() * cut * x) END)
-  * {BESSEL.format('greatest(1e-9, beta * sqrt(greatest(0, 1 - (x * cut / 64) * (x * cut / 64))))')} / {BESSEL.format('beta')} END AS tap FROM g),
-o AS (SELECT video_id, unnest(range(CAST(ceil(count(*) * 2 / 3.0) AS BIGINT))) AS j FROM frames GROUP BY video_id),
-y AS (SELECT o.video_id, j, CAST(sum(CAST(value AS FLOAT)::DOUBLE * tap) AS FLOAT)::DOUBLE AS y FROM o JOIN frames USING (video_id) JOIN taps ON phase = (j * 3) % 2 AND tap_at = frame_idx - (j * 3) // 2 GROUP BY o.video_id, j)
-SELECT video_id, count(*) AS n, round(sum(y * (j % 7 + 1)), 2) AS weighted FROM y GROUP BY video_id""")
+def _resampled_sql(up: int, down: int, zeros: int, beta: float, rolloff: float) -> str:
+    return f"""WITH {FRAMES}, f AS (SELECT {rolloff!r}e0 * least(1e0, {up} / {down}e0) AS cut, {beta!r}e0 AS beta), h AS (SELECT *, CAST(ceil({zeros} / cut) AS BIGINT) AS half FROM f),
+g AS (SELECT phase, tap_at, tap_at - phase / {up}e0 AS x, h.* FROM h, (SELECT unnest(range({up})) AS phase), (SELECT unnest(range(-300, 301)) AS tap_at) WHERE abs(tap_at) <= half),
+taps AS (SELECT phase, tap_at, CASE WHEN abs(x * cut) > {zeros} THEN 0e0 ELSE cut * (CASE WHEN x = 0 THEN 1e0 ELSE sin(pi() * cut * x) / (pi() * cut * x) END)
+  * {BESSEL.format(f'greatest(1e-9, beta * sqrt(greatest(0, 1 - (x * cut / {zeros}) * (x * cut / {zeros}))))')} / {BESSEL.format('beta')} END AS tap FROM g),
+o AS (SELECT video_id, unnest(range(CAST(ceil(count(*) * {up} / {down}.0) AS BIGINT))) AS j FROM frames GROUP BY video_id),
+y AS (SELECT o.video_id, j, CAST(sum(CAST(value AS FLOAT)::DOUBLE * tap) AS FLOAT)::DOUBLE AS y FROM o JOIN frames USING (video_id) JOIN taps ON phase = (j * {down}) % {up} AND tap_at = frame_idx - (j * {down}) // {up} GROUP BY o.video_id, j)
+SELECT video_id, count(*) AS n, round(sum(y * (j % 7 + 1)), 2) AS weighted FROM y GROUP BY video_id"""
+
+
+def _resampled(blocks):
+    each = F.transform("samples", lambda x, i: x.cast("double") * ((F.col("sample_offset") + i) % 7 + 1))
+    return blocks.groupBy("video_id").agg(F.sum(F.size("samples").cast("long")).alias("n"), F.round(F.sum(F.aggregate(each, F.lit(0.0), lambda a, x: a + x)), 2).alias("weighted"))
+
+
+@query(_resampled_sql(2, 3, *audio.FILTERS["kaiser_best"]))
 def resample_audio(spark, d):
     """Each user's values resampled from 24 kHz to 16 kHz; every output sample counts in the sum."""
-    out = audio.resample_blocks(_waves(spark, d), 24_000, 16_000)
-    each = F.transform("samples", lambda x, i: x.cast("double") * ((F.col("sample_offset") + i) % 7 + 1))
-    return out.groupBy("video_id").agg(F.sum(F.size("samples").cast("long")).alias("n"), F.round(F.sum(F.aggregate(each, F.lit(0.0), lambda a, x: a + x)), 2).alias("weighted"))
+    return _resampled(audio.resample_blocks(_waves(spark, d), 24_000, 16_000))
+
+
+@query(_resampled_sql(160, 441, *audio.FILTERS["kaiser_best"]))
+def resample_audio_cd(spark, d):
+    """From 44.1 kHz, whose ratio to 16 kHz has 160 phases."""
+    return _resampled(audio.resample_blocks(_waves(spark, d), 44_100, 16_000))
+
+
+@query(_resampled_sql(160, 441, *audio.FILTERS["kaiser_fast"]))
+def resample_audio_fast(spark, d):
+    return _resampled(audio.resample_blocks(_waves(spark, d), 44_100, 16_000, res_type="kaiser_fast"))
 
 
 @query("""WITH i AS (SELECT doc_id, regexp_extract_all(list_aggregate(list_transform(range(36), lambda k: md5(text || k)), 'string_agg', ''), '..') AS p FROM documents),
