@@ -1,7 +1,8 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-A window of an item's number of words that is similar to it shares a word shingle with it, so only windows around shared
-shingles are looked at, and only for the items that share one there; that loses nothing. Each such window gets a SimHash by
+A window of an item's number of words that is similar to it shares word shingles with it, of a weight that follows from the
+similarity. So only texts and items that share as much are looked at, and of a text only windows around those shingles; that loses
+nothing. Each such window gets a SimHash by
 running sums over the shingles' bits. A multi-index over blocks of the items' fingerprints finds every one of those items
 within the radius: with eight blocks of eight bits, two fingerprints that differ in at most 23 bits have a block in which
 they differ in at most two. The exact similarity of the weighted shingles (a shingle's weight is how often it comes) then
@@ -92,21 +93,48 @@ class BenchmarkIndex:
         prints = np.array([_pack((_bits(s).sum(axis=0, dtype=np.int64) * 2 > len(s))[None])[0] for s in self.shingles], np.uint64)
         #: By number of words: the items and the index of their fingerprints.
         self.by_words = {n: (k := np.flatnonzero(self.words == n), BlockIndex(prints[k])) for n in sorted(set(self.words.tolist()))}
-        #: By size of shingle: sorted hashes, and for each an item that holds it, by its place among those of its number of words.
+        #: By size of shingle: sorted hashes, and for each an item that holds it and how often.
         self.known = {}
-        place = np.zeros(len(rows), np.int64)
+        #: Of each item its place among those of its number of words.
+        self.place = np.zeros(len(rows), np.int64)
         for k, _ in self.by_words.values():
-            place[k] = np.arange(len(k))
+            self.place[k] = np.arange(len(k))
         for size in sorted(set(self.sizes.tolist())):
             of = np.flatnonzero(self.sizes == size)
-            held = [np.unique(self.shingles[k]) for k in of]
-            item = np.repeat(of, [len(h) for h in held])
-            h = np.concatenate(held)
+            held = [np.unique(self.shingles[k], return_counts=True) for k in of]
+            item = np.repeat(of, [len(h) for h, _ in held])
+            h, weight = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(h, kind="stable")
-            h, item = h[order], item[order]
+            h, item, weight = h[order], item[order], weight[order]
             bloom = np.zeros(1 << 20, bool)
             bloom[h >> np.uint64(44)] = True
-            self.known[size] = (h, self.words[item], place[item], bloom)
+            self.known[size] = (h, item, weight, bloom)
+
+    def _shared(self, text: np.ndarray, s: np.ndarray, size: int, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, item): of the places whose texts and shingles are given, which may lie in a window that is similar to an item.
+
+        A text and an item go on only if the weights, in the item, of all the shingles that they share reach what a similar window
+        must have in common with it; a phrase that very many items hold is counted once for a text, however often it comes there."""
+        keys, items, weights, _ = self.known[size]
+        order = np.lexsort((s, text))
+        new = np.concatenate([[True], (np.diff(text[order]) != 0) | (np.diff(s[order]) != 0)]) if len(s) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        low, high = np.searchsorted(keys, s[order][first], "left"), np.searchsorted(keys, s[order][first], "right")
+        each = high - low
+        pair = np.repeat(high - np.cumsum(each), each) + np.arange(each.sum())
+        distinct, item = np.repeat(np.arange(len(first)), each), items[pair]
+        of = text[order][first][distinct]
+        both, back = np.unique(np.stack([of, item]), axis=1, return_inverse=True)
+        common = np.bincount(back.reshape(-1), weights[pair], both.shape[1])
+        m = np.minimum(self.words[both[1]], lens[both[0]]) - size + 1
+        enough = common * (1 + SIMILARITY) >= SIMILARITY * (m + self.words[both[1]] - size + 1) - 1e-6
+        kept = enough[back.reshape(-1)]
+        distinct, item = distinct[kept], item[kept]
+        # every place of those shingles, for those items
+        times = np.diff(np.append(first, len(order)))
+        n = times[distinct]
+        at = np.repeat(first[distinct] + n - np.cumsum(n), n) + np.arange(n.sum())
+        return order[at], np.repeat(item, n)
 
     def leaks(self, texts, table: WordTable) -> list[tuple[int, int, int, int, int, float]]:
         """(place of the text, item_id, first word, words, differing bits, similarity): the best window of each text and item."""
@@ -116,15 +144,12 @@ class BenchmarkIndex:
         at = np.repeat(np.arange(len(lists)), lens)
         first = np.cumsum(lens) - lens
         best: dict[tuple[int, int], tuple] = {}
-        for size, (keys, words, items, bloom) in self.known.items():
+        for size, (keys, _, _, bloom) in self.known.items():
             s = chain(h, tuple(range(size)))
             place = np.flatnonzero(bloom[s >> np.uint64(44)] & (at[: len(s)] == at[size - 1 : size - 1 + len(s)]))
-            low, high = np.searchsorted(keys, s[place], "left"), np.searchsorted(keys, s[place], "right")
-            hit = high > low
-            place, low, high = place[hit], low[hit], high[hit]
-            each = high - low
-            pair = np.repeat(high - np.cumsum(each), each) + np.arange(each.sum())
-            place, n, item = np.repeat(place, each), words[pair], items[pair]
+            place = place[keys[np.minimum(np.searchsorted(keys, s[place]), len(keys) - 1)] == s[place]]
+            row, item = self._shared(at[place], s[place], size, lens)
+            place, n, item = place[row], self.words[item], self.place[item]
             order = np.lexsort((place, n, at[place]))
             place, n, item = place[order], n[order], item[order]
             cuts = np.flatnonzero((np.diff(at[place]) != 0) | (np.diff(n) != 0)) + 1

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -112,3 +113,28 @@ def test_op2_finds_every_passage_word_for_word(spark, sf_dir):
     want = {(i, k) for i, t in docs.items() for k, x in items.items() if f" {x} " in f" {t} "}
     got = {(r.doc_id, r.item_id) for r in d.op2_decontaminate(spark, sf_dir).collect()}
     assert want and want <= got
+
+
+def test_a_phrase_of_many_items_that_a_text_repeats():
+    """40,000 words of one phrase, which 800 items hold: counted once, and whole items in the same text are found."""
+    rng = random.Random(1)
+    phrase = "alpha beta gamma delta epsilon"
+    items = [(k, " ".join(f"{rng.choice('abcdefghij')}{rng.randrange(5000)}" for _ in range(20)) + f" {phrase} " + " ".join(f"z{rng.randrange(5000)}" for _ in range(15 + k % 30))) for k in range(800)]
+    items += [(900, " ".join([phrase] * 4))]
+    index = d.BenchmarkIndex(items)
+    began = time.process_time()
+    found = index.leaks([" ".join([phrase] * 4000 + [items[7][1]] + [phrase] * 4000)], WordTable(lambda w: w))
+    assert {r[1] for r in found} == {7, 900} and all(r[5] == 1.0 for r in found)
+    assert time.process_time() - began < 5
+
+
+def test_recall_of_the_radius(spark, sf_dir):
+    """Of all windows of the tables that are similar to an item none lies beyond the radius of its fingerprint."""
+    docs, items = ([tuple(r) for r in spark.read.parquet(f"{sf_dir}/{t}.parquet").select(i, "text").collect()] for t, i in (("documents", "doc_id"), ("benchmark", "item_id")))
+    radius, d.RADIUS = d.RADIUS, 64
+    try:
+        every = {(t, r[1]) for t, (_, text) in enumerate(docs) for r in d.BenchmarkIndex(items).leaks([text], WordTable(lambda w: w))}
+    finally:
+        d.RADIUS = radius
+    near = {(t, r[1]) for t, (_, text) in enumerate(docs) for r in d.BenchmarkIndex(items).leaks([text], WordTable(lambda w: w))}
+    assert every == near and every
