@@ -4,9 +4,11 @@ Emails, addresses of machines, card and phone numbers are found by pattern; they
 of their documents are weighed by what they disclose: with the documents that hold the word, the entity, or both counted
 over the whole corpus, wherever in a document they are, the pointwise mutual information of word and entity divided by the
 entity's information says which part of the entity the word gives away. From ``generalise`` on a word is replaced by a mark
-of its kind, from ``remove`` on it goes, at every place in the documents that hold the entity; a pair counts only if
-``support`` different texts hold it, since what one text says of itself discloses nothing about others. Words are the runs
-of ``term``, by default of letters and digits, of any length; counts and thresholds weed them out, no distance does.
+of its kind, from ``remove`` on it goes, at every place in the documents that hold the entity. All pairs of a word and an
+entity are assessed. A pair counts if ``support`` different texts hold it, or if so many would hardly do by chance: the chance (a
+Poisson tail, bounded by Chernoff), times the number of pairs, is at most ``doubt``. One text that holds both is no evidence where
+pairs are many, since what it says of itself is true of every word in it. Words are the runs of ``term``, by default of letters
+and digits, of any length; counts and thresholds weed them out, no distance does.
 
 The places of matches are running sums of the lengths between and of them, taken in blocks, and texts are cut by blocks of
 characters, so the work on a text grows with its length also where it holds very many spans.
@@ -18,6 +20,7 @@ ignored; a null doc_id is a document like any other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -147,22 +150,32 @@ def _words(text: Column, term: str) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(term), F.lit(0)), F.lower))
 
 
-def disclosures(docs: DataFrame, found: DataFrame, held: DataFrame, generalise: float, remove: float, support: int, term: str) -> DataFrame:
+def disclosures(docs: DataFrame, found: DataFrame, held: DataFrame, generalise: float, remove: float, support: int, term: str, doubt: float) -> DataFrame:
     """(entity, term, disclosed, action) of the words that give away too much, from counts over all documents.
 
-    An entity of fewer than ``support`` texts has no pair that counts, so its words are not looked at."""
+    The pairs of an entity of one text are held by one text each, whatever the word. How likely that is by chance is known before
+    they are formed: at least one in the number of documents. Where that is too likely, none of them can count and they are
+    not formed; where pairs are so few that one text is evidence, they are."""
     n = docs.count()
     entities = held.groupBy("entity").agg(F.sum("docs").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
-    often = held.join(entities.filter(F.col("texts") >= support).select("entity"), "entity")
+    sizes = found.filter("masked is not null").select("text_key", "masked").dropDuplicates(["text_key"]).select("text_key", F.size(_words(F.col("masked"), term)).alias("words"))
+    n_pairs = float(held.join(sizes, "text_key").agg(F.sum("words")).first()[0] or 1)
+    bound = math.log(doubt) - math.log(max(n_pairs, 1.0))
+    least = 1 if 1 - 1 / max(n, 1) - math.log(max(n, 1)) <= bound else min(2, support)
+    often = held.join(entities.filter(F.col("texts") >= least).select("entity"), "entity")
     texts = found.filter("masked is not null").select("text_key", "masked").dropDuplicates(["text_key"]).select("text_key", _words(F.col("masked"), term).alias("words"))
     pairs = often.join(texts, "text_key").select("entity", "docs", F.explode("words").alias("term"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("docs").alias("n_pair"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("docs").alias("n_pair"), F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= least)
     pairs = staged(pairs, "pii-pairs")
     words = docs.select(F.explode(_words(F.col("text"), term)).alias("term"))
     words = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     known = F.log2(F.lit(float(max(n, 2))) / F.col("n_entity"))
     mutual = F.log2(F.col("n_pair") * F.lit(float(max(n, 2))) / (F.col("n_term") * F.col("n_entity")))
-    out = pairs.join(entities.select("entity", "n_entity"), "entity").join(words, "term").withColumn("disclosed", F.when(known > 0, mutual / known).otherwise(F.lit(0.0)))
+    out = pairs.join(entities.select("entity", "n_entity", F.col("texts").alias("of_entity")), "entity").join(words, "term").withColumn("disclosed", F.when(known > 0, mutual / known).otherwise(F.lit(0.0)))
+    # texts of the pair that chance alone would give, and a bound on the logarithm of the chance of as many as there are
+    chance = F.col("of_entity") * F.col("n_term") / F.lit(float(max(n, 1)))
+    unlikely = (F.col("texts") > chance) & (F.col("texts") - chance + F.col("texts") * F.ln(chance / F.col("texts")) <= bound)
+    out = out.filter((F.col("texts") >= support) | unlikely)
     return out.filter(F.col("disclosed") >= generalise).select("entity", "term", "disclosed", F.when(F.col("disclosed") >= remove, "remove").otherwise("generalise").alias("action"))
 
 
@@ -178,7 +191,7 @@ def term_spans(found: DataFrame, actions: DataFrame, term: str) -> DataFrame:
     return words.groupBy("text_key").agg(F.array_sort(F.collect_list(span)).cast(_SPAN).alias("terms"))
 
 
-def find_personal_data(docs: DataFrame, generalise: float = 0.7, remove: float = 0.9, support: int = 3, term: str = TERM) -> DataFrame:
+def find_personal_data(docs: DataFrame, generalise: float = 0.7, remove: float = 0.9, support: int = 3, term: str = TERM, doubt: float = 0.01) -> DataFrame:
     """(doc_id, text_key, base, terms): the spans by pattern, and those of words that disclose too much of an entity of their text.
 
     One pass over the texts finds the spans and masks them in the texts that have any, one more counts words. Counts are
@@ -189,7 +202,7 @@ def find_personal_data(docs: DataFrame, generalise: float = 0.7, remove: float =
     found = staged(base.select("doc_id", "text_key", "base", masked.alias("masked")), "pii-spans")
     held = found.select("text_key", F.explode(F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))).alias("entity"))
     held = staged(held.groupBy("entity", "text_key").agg(F.count(F.lit(1)).alias("docs")), "pii-entities")
-    risky = staged(disclosures(docs, found, held, generalise, remove, support, term), "pii-terms")
+    risky = staged(disclosures(docs, found, held, generalise, remove, support, term, doubt), "pii-terms")
     actions = staged(held.join(risky, "entity").groupBy("text_key", "term").agg(F.max("action").alias("action")), "pii-actions")
     terms = term_spans(found, actions, term)
     none = F.array().cast(_SPAN)

@@ -1,7 +1,7 @@
 import hashlib
 import re
 from collections import Counter, defaultdict
-from math import log2
+from math import exp, log2
 
 import pytest
 from hypothesis import given, settings
@@ -123,7 +123,7 @@ def replaced(text, spans):
     return "".join(out) + text[at:]
 
 
-def naive_terms(docs, generalise=0.7, remove=0.9, support=3):
+def naive_terms(docs, generalise=0.7, remove=0.9, support=3, doubt=0.01):
     """Spans of terms by document, from counts over all documents; ``docs``: (doc_id, text)."""
     words = lambda t: {w.lower() for w in re.findall(r"[^\W_]+", t)}
     masked, entities = {}, {}
@@ -144,10 +144,15 @@ def naive_terms(docs, generalise=0.7, remove=0.9, support=3):
                 n_pair[e, w] += 1
                 of_text[e, w].add(t)
     n, action = len(docs), {}
+    held = {(e, t): len(words(masked[i])) for i, t in docs for e in entities[i]}
+    texts = Counter(e for e, _ in held)
+    pairs = max(1, sum(held.values()))
     for (e, w), k in n_pair.items():
         known = log2(n / n_entity[e])
         share = log2(k * n / (n_term[w] * n_entity[e])) / known if known > 0 else 0
-        if len(of_text[e, w]) >= support and share >= generalise:
+        there, chance = len(of_text[e, w]), texts[e] * n_term[w] / n
+        unlikely = there > chance and pairs * exp(there - chance) * (chance / there) ** there <= doubt
+        if (there >= support or unlikely) and share >= generalise:
             action[e, w] = "remove" if share >= remove else "generalise"
     out = {}
     for i, _ in docs:
@@ -168,6 +173,20 @@ def test_terms_of_a_whole_table(spark, sf_dir):
     assert sum(map(len, got.values())) > 1000
 
 
+def test_entities_of_few_texts(spark):
+    """Two texts are enough where that is no chance; one text is where pairs are very few against the documents."""
+    many = [(100 + i, f"filler words of text {i}") for i in range(3000)]
+    two = [(1, "Zyx met ann@x.org"), (2, "zyx again ann@x.org"), *many[:700]]
+    one = [(1, "Qwe ann@x.org"), *many]
+    for docs, want in ((two, {1: {"Zyx"}, 2: {"zyx"}}), (one, {1: {"Qwe"}})):
+        rows = pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+        got = {r.doc_id: {dict(docs)[r.doc_id][s.start : s.end] for s in r.terms} for r in rows if r.terms}
+        assert got == want
+        assert {r.doc_id: [(s.start, s.end, s.value) for s in r.terms] for r in rows} == naive_terms(docs)
+    rows = pii.find_personal_data(spark.createDataFrame(two[:40], "doc_id long, text string")).collect()
+    assert not any(r.terms for r in rows)
+
+
 def test_sanitised(spark):
     span = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
     rows = spark.createDataFrame([("write bob at a@b.co now", [(6, 4, 9, "term", "remove"), (13, 0, 19, "email", ""), (14, 3, 16, "phone", "")]), ("none", [])], f"text string, spans {span}")
