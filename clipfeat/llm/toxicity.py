@@ -6,8 +6,8 @@ rates and an L1 term leave few weights other than zero; those are small enough t
 their number is bounded by the width of the hash space.
 
 Cases: a null or empty text gets the score of the bias alone; ties and repeated rows get equal scores; with no
-labelled rows every score is 0 and predicted is 0, and the filter keeps all rows; of labelled rows that share a doc_id the one
-of the fewest and smallest coordinates is learned; extra columns are ignored.
+labelled rows every score is 0 and predicted is 0, and the filter keeps all rows; of labelled rows that share a doc_id one
+is learned, that of the smallest hash of its text; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -102,8 +102,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, e
     known = label_sample(labels, "toxic", max_rows)
 
     def hashed(batches):
-        words = word_table()
+        words, seen = word_table(), set()
         for pdf in batches:
+            fresh = [i not in seen and not seen.add(i) for i in pdf["doc_id"].tolist()]
+            pdf = pdf[fresh]
             for at in range(0, len(pdf), 500):
                 part = pdf.iloc[at : at + 500]
                 yield pd.DataFrame({"doc_id": part["doc_id"], "y": part["y"], "x": [coordinates(t, words).astype(np.int32) for t in part["text"]]})
@@ -122,10 +124,14 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, e
             yield pa.RecordBatch.from_arrays([pa.array(np.append(kept, WIDTH)), pa.array(np.append(w, bias))], ["k", "w"])
 
     # at most max_rows small rows (some 16 bytes each) go to every task, so the texts stay where they are
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").mapInPandas(hashed, "doc_id long, y int, x array<int>")
-    # one row for each doc_id, so the task that learns gets no more rows than were asked for
-    sample = sample.groupBy("doc_id", "y").agg(F.min(F.struct(F.size("x").alias("n"), "x")).alias("first")).select("doc_id", "y", "first.x")
-    sample = staged(sample, "toxicity-sample").withColumn("order", F.xxhash64("doc_id", F.lit(7)))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(known), "doc_id")
+    # one row for each doc_id, so the task that learns gets no more rows than were asked for: of different texts that of the smallest
+    # hash, of equal ones one a task and then that of the first task; only ids and hashes move for it, no more than max_rows
+    first = staged(rows.groupBy("doc_id").agg(F.min("h").alias("h")), "toxicity-texts")
+    rows = rows.join(F.broadcast(first), ["doc_id", "h"]).select("doc_id", "y", "text")
+    sample = staged(rows.mapInPandas(hashed, "doc_id long, y int, x array<int>").withColumn("task", F.spark_partition_id()), "toxicity-sample")
+    sample = sample.join(F.broadcast(sample.groupBy("doc_id").agg(F.min("task").alias("task"))), ["doc_id", "task"]).drop("task")
+    sample = sample.withColumn("order", F.xxhash64("doc_id", F.lit(7)))
     rows = sample.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).repartition(1)
     found = rows.sortWithinPartitions("epoch", "order", "doc_id", F.size("x")).select("x", "y").mapInArrow(learn, "k long, w double").toPandas()
     if not len(found):
