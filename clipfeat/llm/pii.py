@@ -67,16 +67,17 @@ def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _running(values: Column, zero: Column, op: Callable[[Column, Column], Column]) -> Column:
-    """``op`` over each element and those before it, for an ``op`` that may be grouped at will. Blocks first, then over the
-    blocks: no array grows by one element at a time beyond the number of blocks."""
+def _running(values: Column, zero: Column, op: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """``op`` over each element and those before it, for an ``op`` that may be grouped at will. Blocks first, then blocks of blocks,
+    then over those: no array grows by one element at a time beyond their number, a 4096th of the elements."""
 
     def along(part):
         grown = F.aggregate(part, F.array(zero), lambda a, v: F.concat(a, F.array(op(F.element_at(a, -1), v))))
         return F.slice(grown, F.lit(2), F.size(part))
 
     def joined(inner):
-        before = along(F.transform(inner, lambda p: F.coalesce(F.try_element_at(p, F.lit(-1)), zero)))
+        totals = F.transform(inner, lambda p: F.coalesce(F.try_element_at(p, F.lit(-1)), zero))
+        before = along(totals) if levels == 1 else F.slice(_running(totals, zero, op, levels - 1), F.lit(1), F.size(totals))
         return _bound(F.concat(F.array(zero), before), lambda z: F.flatten(F.transform(inner, lambda p, i: F.transform(p, lambda v: op(z[i], v)))))
 
     def blocks(x):
