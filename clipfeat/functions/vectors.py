@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def _col(c: Column | str) -> Column:
@@ -68,15 +68,27 @@ def round_trip(kind: str):
     return stored
 
 
-@F.pandas_udf(DoubleType())
-def arrow_cosine(a: pd.Series, b: pd.Series) -> pd.Series:
+@F.pandas_udf(StructType([StructField(c, DoubleType()) for c in ("ab", "aa", "bb", "gap")]))
+def pair_sums(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """For wide vectors: their dot product, sums of squares, and the sum of squares of their difference; null where one is null or their
+    lengths differ. Pairs of one length are taken together."""
+    out = np.full((len(a), 4), np.nan)
+    sizes: dict[int, list[int]] = {}
+    for k, (x, y) in enumerate(zip(a, b, strict=True)):
+        if x is not None and y is not None and len(x) == len(y):
+            sizes.setdefault(len(x), []).append(k)
+    for these in sizes.values():
+        for at in range(0, len(these), 512):
+            part = these[at : at + 512]
+            x, y = (np.stack([np.asarray(v.iloc[k], np.float64) for k in part]) for v in (a, b))
+            out[part] = np.stack([np.einsum("ij,ij->i", p, q) for p, q in ((x, y), (x, x), (y, y), (x - y, x - y))], axis=1)
+    known = np.zeros(len(a), bool)
+    known[[k for these in sizes.values() for k in these]] = True
+    frame = pd.DataFrame(out, columns=["ab", "aa", "bb", "gap"])
+    return frame if known.all() else frame.astype(object).where(known[:, None], None)
+
+
+def arrow_cosine(a, b) -> Column:
     """``cosine`` for wide vectors."""
-
-    def one(x, y):
-        if x is None or y is None:
-            return None
-        x, y = np.asarray(x, np.float64), np.asarray(y, np.float64)
-        norm = np.sqrt(x @ x) * np.sqrt(y @ y)
-        return float(x @ y / norm) if norm > 0 else None
-
-    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="object").astype("float64")
+    s = pair_sums(_col(a), _col(b))
+    return F.try_divide(s["ab"], F.sqrt(s["aa"]) * F.sqrt(s["bb"]))

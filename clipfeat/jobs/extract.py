@@ -38,16 +38,16 @@ def _of(rows: DataFrame, work: DataFrame) -> DataFrame:
 
 
 def _store(features: DataFrame, planned: DataFrame, path: str, ledger: str, modality: str, shard_id: int) -> DataFrame:
-    """Write what the encoder gave once, below a name of this run; then judge each video by it, store the vectors of good ones and
-    record all. The ledger comes last: a run that ends before is not read by anyone, and its videos are still pending.
+    """Write what the encoder gave once, below a name of this run; then judge each video by it and record all. The ledger comes last and
+    says which of a run's videos readers see: a run that ends before is not read by anyone, and its videos are still pending.
 
     A video is good if each of its vectors is finite, if its steps count from 0 without a gap or a repeat, and if they are as
     many as planned. ``planned``: (video_id, silent, steps, problem); steps is null where the number isn't known beforehand, and a
     problem is what already speaks against a video."""
     name = f"{time.time_ns():020d}-{shard_id}-{uuid.uuid4().hex[:8]}"
-    staging = f"{path}/staging/{name}"
-    features.write.parquet(staging)
-    found = features.sparkSession.read.schema(features.schema).parquet(staging)
+    target = f"{path}/store/run={name}"
+    write_features(features, target)
+    found = features.sparkSession.read.schema(features.schema).parquet(target)
     good = F.col("error").isNull() & is_finite("feature")
     error = F.min(F.when(F.col("error").isNotNull(), F.struct("step", "error")))["error"]
     count = F.count(F.lit(1))
@@ -65,10 +65,9 @@ def _store(features: DataFrame, planned: DataFrame, path: str, ledger: str, moda
         F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("status"), "error",
         F.when(F.col("error").isNull(), F.col("windows")).otherwise(F.lit(0)).alias("windows"), "silent",
     )
-    rows.write.parquet(f"{staging}-status")
-    rows = features.sparkSession.read.schema(rows.schema).parquet(f"{staging}-status")
-    kept = _of(found.drop("error"), rows.filter("status = 'ok'"))
-    write_features(kept, f"{path}/store/run={name}")
+    status = f"{path}/staging/{name}-status"
+    rows.write.parquet(status)
+    rows = features.sparkSession.read.schema(rows.schema).parquet(status)
     silent = rows.filter("silent").withColumn("status", F.lit("silent")).withColumn("error", F.lit(None).cast("string")).withColumn("windows", F.lit(0).cast("long"))
     lines = rows.unionByName(silent).drop("silent")
     append_ledger(lines.drop("run"), f"{ledger}/run={name}")

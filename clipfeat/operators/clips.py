@@ -69,6 +69,15 @@ def cut_range(frames: DataFrame, start_sec: float, length_sec: float, fps: int)
     return trim_frames(frames.filter(F.col("frame_idx") < int((start_sec + length_sec) * fps)), start_sec, fps)
 
 
+def cut_seconds(frames: DataFrame, start_sec: float, length_sec: float, pts: str = "pts", id_col: str = "video_id") -> DataFrame:
+    """Frames shown in [start, start + length) seconds after the first one by their time stamps, whatever the rate, numbered anew from
+    the first of them; stamps need not be even. Frames without a stamp are left out."""
+    begin = frames.groupBy(id_col).agg(F.min(pts).alias("_t0"))
+    rows = frames.join(begin, id_col).filter((F.col(pts) >= F.col("_t0") + start_sec) & (F.col(pts) < F.col("_t0") + start_sec + length_sec)).drop("_t0")
+    first = rows.groupBy(id_col).agg(F.min("frame_idx").alias("_first"))
+    return rows.join(first, id_col).withColumn("frame_idx", F.col("frame_idx") - F.col("_first")).drop("_first")
+
+
 def resample_fps(frames: DataFrame, fps: float, pts: str = "pts", id_col: str = "video_id", index: str = "frame_idx") -> DataFrame:
     """Frames at a constant rate: (id, tick, <the other columns>).
 

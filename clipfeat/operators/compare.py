@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..functions.vectors import cosine, l2_normalize, sum_squares
+from ..functions.vectors import arrow_cosine, cosine, l2_normalize, pair_sums, sum_squares
 from .select import exact_medians
 
 
@@ -48,16 +48,22 @@ def repeated_rows(features: DataFrame) -> DataFrame:
     return features.groupBy("video_id", "modality", "step").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def feature_diff(pairs: DataFrame) -> DataFrame:
-    """(n, min_cosine, relative_error) of pairs (a, b): relative error is the norm of all differences over that of all b."""
+def feature_diff(pairs: DataFrame, wide: bool = False) -> DataFrame:
+    """(n, min_cosine, relative_error) of pairs (a, b): relative error is the norm of all differences over that of all b. ``wide`` takes
+    whole batches of vectors with NumPy."""
+    if wide:
+        sums = pairs.select(pair_sums("a", "b").alias("s")).select("s.*")
+        cos = F.try_divide("ab", F.sqrt("aa") * F.sqrt("bb"))
+        return sums.agg(F.count(F.lit(1)).alias("n"), F.min(cos).alias("min_cosine"), F.sqrt(F.try_divide(F.sum("gap"), F.sum("bb"))).alias("relative_error"))
     gap = F.zip_with("a", "b", lambda x, y: x.cast("double") - y.cast("double"))
     return pairs.agg(F.count(F.lit(1)).alias("n"), F.min(cosine("a", "b")).alias("min_cosine"), F.sqrt(F.try_divide(F.sum(sum_squares(gap)), F.sum(sum_squares("b")))).alias("relative_error"))
 
 
-def cosine_summary(pairs: DataFrame, above: float = 0.9) -> DataFrame:
+def cosine_summary(pairs: DataFrame, above: float = 0.9, wide: bool = False) -> DataFrame:
     """By variant, from (variant, video_id, a, b): mean, median, least mean cosine of a video, and how many lie above ``above``. The
-    median is selected by counts, so a variant of any number of videos is never one task."""
-    per = pairs.groupBy("variant", "video_id").agg(F.avg(cosine("a", "b")).alias("c")).persist()
+    median is selected by counts, so a variant of any number of videos is never one task. ``wide`` as for ``feature_diff``."""
+    pairs = pairs.withColumn("c", (arrow_cosine if wide else cosine)("a", "b"))
+    per = pairs.groupBy("variant", "video_id").agg(F.avg("c").alias("c")).persist()
     sums = per.groupBy("variant").agg(F.count(F.lit(1)).alias("n"), F.avg("c").alias("mean"), F.min("c").alias("min"), F.count_if(F.col("c") > above).alias("above"))
     medians = exact_medians(per, "variant", "c").withColumnRenamed("variant", "_variant")
     return sums.join(medians, F.col("variant").eqNullSafe(F.col("_variant")), "left").select("variant", "n", "mean", "median", "min", "above")

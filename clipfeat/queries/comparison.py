@@ -99,23 +99,47 @@ def unpaired_steps(spark, d):
     return compare.unpaired(audio_features(spark, d), visual_features(spark, d).withColumn("modality", F.lit("audio")))
 
 
-@query(f"""WITH {OTHER} SELECT count(*) AS n, round(min({COS.format('a.feature', 'o.feature')}), 6) AS min_cosine,
-  round(sqrt(sum(list_sum(list_transform(list_zip(a.feature, o.feature), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) / sum(list_dot_product(o.feature, o.feature))), 6) AS relative_error FROM audio a JOIN other o USING (video_id, step)""")
-def feature_diff(spark, d):
-    r = compare.feature_diff(compare.pair_features(audio_features(spark, d), _other(spark, d)))
+DIFF = f"""WITH {OTHER} SELECT count(*) AS n, round(min({COS.format('a.feature', 'o.feature')}), 6) AS min_cosine,
+  round(sqrt(sum(list_sum(list_transform(list_zip(a.feature, o.feature), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) / sum(list_dot_product(o.feature, o.feature))), 6) AS relative_error FROM audio a JOIN other o USING (video_id, step)"""
+
+
+def _diff(spark, d, wide=False):
+    r = compare.feature_diff(compare.pair_features(audio_features(spark, d), _other(spark, d)), wide)
     return r.select("n", r6("min_cosine").alias("min_cosine"), r6("relative_error").alias("relative_error"))
 
 
-@query(f"""WITH {OTHER}, c AS (SELECT 'shifted' AS variant, video_id, avg({COS.format('a.feature', 'o.feature')}) AS c FROM audio a JOIN other o USING (video_id, step) GROUP BY video_id
+@query(DIFF)
+def feature_diff(spark, d):
+    return _diff(spark, d)
+
+
+@query(DIFF)
+def feature_diff_wide(spark, d):
+    return _diff(spark, d, True)
+
+
+SUMMARY = f"""WITH {OTHER}, c AS (SELECT 'shifted' AS variant, video_id, avg({COS.format('a.feature', 'o.feature')}) AS c FROM audio a JOIN other o USING (video_id, step) GROUP BY video_id
   UNION ALL SELECT 'visual', video_id, avg({COS.format('a.feature', 'w.feature')}) FROM audio a JOIN visual w USING (video_id, step) GROUP BY video_id)
-SELECT variant, count(*) AS n, round(avg(c), 6) AS mean, round(median(c), 6) AS median, round(min(c), 6) AS min, CAST(count(*) FILTER (c > 0.9) AS BIGINT) AS above FROM c GROUP BY variant""")
-def cosine_summary(spark, d):
+SELECT variant, count(*) AS n, round(avg(c), 6) AS mean, round(median(c), 6) AS median, round(min(c), 6) AS min, CAST(count(*) FILTER (c > 0.9) AS BIGINT) AS above FROM c GROUP BY variant"""
+
+
+def _summary(spark, d, wide=False):
     a = audio_features(spark, d)
     pairs = compare.pair_features(a, _other(spark, d)).withColumn("variant", F.lit("shifted")).unionByName(compare.pair_features(a, visual_features(spark, d).withColumn("modality", F.lit("audio"))).withColumn("variant", F.lit("visual")))
-    s = compare.cosine_summary(pairs)
+    s = compare.cosine_summary(pairs, wide=wide)
     return s.select("variant", "n", *[r6(c).alias(c) for c in ("mean", "median", "min")], "above")
 
 
+@query(SUMMARY)
+def cosine_summary(spark, d):
+    return _summary(spark, d)
+
+
+@query(SUMMARY)
+def cosine_summary_wide(spark, d):
+    return _summary(spark, d, True)
+
+
 @query(f"""WITH {FEATURES}, e AS (SELECT modality, unnest(range(64)) AS i, feature, {NORM.format('feature')} AS norm FROM features),
 m AS (SELECT modality, i, avg(feature[i + 1]) AS m, avg(feature[i + 1] / norm) AS u FROM e GROUP BY ALL)
 SELECT a.modality AS "left", b.modality AS "right", round(sum(a.m * b.m) / (sqrt(sum(a.m * a.m)) * sqrt(sum(b.m * b.m))), 6) AS mean_vector_cosine, round(sum(a.u * b.u), 6) AS mean_pairwise_cosine

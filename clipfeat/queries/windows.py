@@ -45,6 +45,13 @@ def resize_geometry(spark, d):
     return g.select("w", "h", F.col("a.new_width").alias("nw"), F.col("a.new_height").alias("nh"), F.col("a.left").alias("crop_left"), F.col("a.top").alias("crop_top"), F.col("b.new_width").alias("ew"), F.col("b.new_height").alias("eh"), "n")
 
 
+@query(f"""WITH {FRAMES}, t AS (SELECT *, pts - min(pts) OVER (PARTITION BY video_id) AS since FROM frames), c AS (SELECT * FROM t WHERE since >= 86400 AND since < 604800)
+SELECT video_id, frame_idx - min(frame_idx) OVER (PARTITION BY video_id) AS frame_idx, value FROM c""")
+def cut_seconds(spark, d):
+    """From one day to seven days after each user's first event."""
+    return clips.cut_seconds(frames(spark, d), 86_400, 518_400).select("video_id", "frame_idx", "value")
+
+
 @query(f"WITH {FRAMES} SELECT video_id, frame_idx - 32 AS frame_idx, value FROM frames WHERE frame_idx >= 32 AND frame_idx < 48")
 def trim_time(spark, d):
     return clips.cut_range(frames(spark, d), 2.0, 1.0, 16).select("video_id", "frame_idx", "value")

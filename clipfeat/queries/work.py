@@ -8,7 +8,8 @@ from ..functions import names
 from ..operators import worklist
 from ..sources import store, text
 from . import query
-from .standins import media, table
+from .sources import _touch
+from .standins import media, scratch, table
 
 
 def _ids(spark, d):
@@ -49,6 +50,24 @@ def done_ids(spark, d):
     return worklist.done_ids(stored, _lines(spark, d).filter("doc_id % 3 = 0 or doc_id % 5 = 0").select("value"), "audio")
 
 
+@query(f"SELECT DISTINCT {ID} AS video_id FROM documents WHERE doc_id % 7 = 0 OR doc_id % 3 = 0 OR doc_id % 5 = 0 OR doc_id % 11 = 1 OR (doc_id % 13 = 2 AND doc_id < 500)")
+def done_set(spark, d):
+    """Feature files of a folder and the lines of its ledgers of one prefix, each with the lines of 500 documents, of a further folder and of a text file; other ledgers, other
+    modalities, temporary files and what isn't there don't count."""
+    here, there = scratch(spark, "done-here"), scratch(spark, "done-there")
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("v_"), F.col("doc_id").cast("string")).alias("id"))
+    file = lambda rule, tail: docs.filter(rule).select(F.concat("id", F.lit(tail)).alias("name"), F.lit(b"x").alias("data"))
+    audio, visual = names.SUFFIXES["audio"], names.SUFFIXES["visual"]
+    _touch(file("doc_id % 7 = 0", audio).unionByName(file("doc_id % 2 = 0", visual)).unionByName(file("doc_id % 2 = 1", audio.removesuffix(".npy") + ".tmp.npy")), here)
+    _touch(file("doc_id % 11 = 1", audio), there)
+    lines = lambda rule: F.array_join(F.collect_list(F.when(F.expr(rule), F.col("value"))), "\n")
+    ledgers = _lines(spark, d).groupBy(F.floor(F.col("doc_id") / 500).alias("k")).agg(lines("doc_id % 3 = 0 or doc_id % 5 = 0").alias("done"), lines("true").alias("other"), lines("doc_id % 13 = 2").alias("more"))
+    named = lambda head, column: ledgers.select(F.concat(F.lit(head), F.col("k").cast("string"), F.lit(".txt")).alias("name"), F.encode(column, "UTF-8").alias("data"))
+    _touch(named("done_audio_", "done").unionByName(named("failed_audio_", "other")), here)
+    _touch(named("more_", "more"), where := scratch(spark, "done-more"))
+    return store.done_set(spark, [here], "audio", "done_audio", [there, f"{where}/more_0.txt", f"{where}/nowhere.txt"])
+
+
 @query(f"SELECT {ID} AS video_id FROM documents WHERE doc_id % 4 <> 1")
 def existing_ids(spark, d):
     return worklist.existing_ids(_ids(spark, d), _have(spark, d))

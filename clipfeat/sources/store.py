@@ -34,16 +34,20 @@ def write_features(features: DataFrame, path: str, mode: str = "append") -> None
 def read_features(spark: SparkSession, path: str, ledger: DataFrame | None = None) -> DataFrame:
     """All vectors below ``path``; with a ledger (of ``read_ledger``) those of each video's last ok run alone.
 
-    A run that the ledger does not name was cut off before its end and is left out. Only what was replaced, which is little, and
-    the names of runs are joined to the vectors."""
+    A run that the ledger does not name was cut off before its end and is left out; so is what a run holds of videos that failed in
+    it. Only these and what was replaced, which is little, and the names of runs are joined to the vectors."""
     rows = spark.read.parquet(path)
+    if "error" in rows.columns:
+        rows = rows.filter("error is null").drop("error")
     if ledger is None:
         return rows
     ok = ledger.filter("status = 'ok'").select("video_id", "modality", "run").distinct()
     last = ok.groupBy("video_id", "modality").agg(F.max("run").alias("last"))
     replaced = ok.join(last, ["video_id", "modality"]).filter("run < last").drop("last")
+    failed = ledger.filter("status = 'failed'").select("video_id", "modality", "run").distinct()
     rows = rows.withColumn("run", F.col("run").cast("string"))
-    return rows.join(ok.select("run").distinct(), "run", "left_semi").join(replaced, ["video_id", "modality", "run"], "left_anti")
+    named = ledger.select("run").distinct()
+    return rows.join(named, "run", "left_semi").join(replaced.unionByName(failed), ["video_id", "modality", "run"], "left_anti")
 
 
 def read_features_npy(files: DataFrame, tasks: int = 64) -> DataFrame:
