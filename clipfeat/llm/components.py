@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,13 +12,39 @@ from pyspark.sql import functions as F
 from .shared import staged
 
 
+#: Links that one task may join up; more of them take rounds of joins.
+FEW_LINKS = 200_000
+
+
+def _joined_up(batches):
+    """(id, comp) of some links, by trees whose roots are their smallest ids."""
+    up: dict = {}
+
+    def root(x):
+        top = x
+        while (above := up.setdefault(top, top)) != top:
+            top = above
+        while up[x] != top:
+            up[x], x = top, up[x]
+        return top
+
+    for pdf in batches:
+        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist(), strict=True):
+            a, b = root(a), root(b)
+            up[max(a, b)] = min(a, b)
+    ids = list(up)
+    yield pd.DataFrame({"id": ids, "comp": [root(x) for x in ids]}, dtype="int64")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, comp) for every id in ``links`` (a, b); comp is the smallest id that it reaches.
 
-    Each round takes the smallest label among the neighbours and then the label of that label, so the rounds grow with
+    Up to ``FEW_LINKS`` links are joined up by one task, which holds no more than these. For more, each round takes the smallest label among the neighbours and then the label of that label, so the rounds grow with
     the logarithm of a component's width. Every round is a written table; only a count comes back. Hubs are joined,
     never gathered: the sums are partial before the shuffle and Spark splits a skewed side of a join."""
     both = staged(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), "links")
+    if both.count() <= 2 * FEW_LINKS:
+        return staged(both.filter("a < b").coalesce(1).mapInPandas(_joined_up, "id long, comp long"), "labels")
     labels = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("comp")), "labels")
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))

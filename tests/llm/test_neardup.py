@@ -32,12 +32,15 @@ def classes(ids, links):
     return {i: find(i) for i in ids}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [-1, 200_000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr("clipfeat.llm.components.FEW_LINKS", few)
     random.seed(1)
     links = [(random.randrange(300), random.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1080)] + [(2000, i) for i in range(2001, 2400)]
     ids = {x for p in links for x in p if p[0] != p[1]}
     got = {r.id: r.comp for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == classes(ids, [p for p in links if p[0] != p[1]])
+    assert components(spark.createDataFrame([(3, 3)], "a long, b long")).count() == 0
 
 
 @pytest.mark.parametrize("step", [10, 40])
