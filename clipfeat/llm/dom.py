@@ -53,6 +53,7 @@ class Node:
     aside: bool = False
     main: bool = False
     hidden: bool = False
+    head: bool = False
     children: list = field(default_factory=list)
 
 
@@ -67,8 +68,8 @@ class Page:
 
 
 @lru_cache(4096)
-def _described(tag: str, attrs: str) -> tuple[str, bool, bool, bool]:
-    """(label, is it beside the article, does it say that it is the article, is it hidden) of a start tag."""
+def _described(tag: str, attrs: str) -> tuple[str, bool, bool, bool, bool]:
+    """(label, is it beside the article, does it say that it is the article, is it hidden, is it a header) of a start tag."""
     found = {}
     for m in _ATTR.finditer(attrs):
         found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
@@ -78,11 +79,10 @@ def _described(tag: str, attrs: str) -> tuple[str, bool, bool, bool]:
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I) is not None
     known = COMMENT_WORDS if tag == "article" else frozenset() if tag in ("html", "body", "main") else ASIDE_WORDS
     aside = tag in ASIDE_TAGS or role in ASIDE_ROLES or any(known.intersection(w) and not NOT_OWN.intersection(w) for w in words)
-    if tag not in ("html", "body", "main", "article"):
-        aside |= any("header" in w and not NOT_OWN.intersection(w) for w in words)
+    head = tag == "header" or tag not in ("html", "body", "main", "article") and any("header" in w and not NOT_OWN.intersection(w) for w in words)
     main = tag in ("article", "main") or role in ("main", "article") or found.get("itemprop", "").lower() == "articlebody"
     label = ".".join([tag, *("-".join(w)[:40] for w in words if w)])
-    return label, aside, main and not aside, hidden
+    return label, aside, main and not aside, hidden, head
 
 
 def parse(html: str) -> Page:
@@ -174,8 +174,8 @@ def parse(html: str) -> Page:
                 if name not in through:
                     break
         if len(stack) < MOST_LEVELS:
-            label, aside, main, hidden = _described(tag, attrs.strip()) if attrs else (tag, tag in ASIDE_TAGS, tag in ("article", "main"), False)
-            nodes.append(Node(tag, stack[-1], label, aside, main, hidden or muted is not None))
+            label, aside, main, hidden, head = _described(tag, attrs.strip()) if attrs else (tag, tag in ASIDE_TAGS, tag in ("article", "main"), False, tag == "header")
+            nodes.append(Node(tag, stack[-1], label, aside, main, hidden or muted is not None, head))
             nodes[stack[-1]].children.append(len(nodes) - 1)
             stack.append(len(nodes) - 1)
     say(html[at:])

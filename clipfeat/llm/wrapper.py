@@ -50,16 +50,24 @@ def _html(batch) -> list:
 
 
 def open_blocks(page: Page) -> list[int]:
-    """The blocks that are not beside the article by their elements' own words. An element that holds the article is not beside it."""
+    """The blocks that are not beside the article by their elements' own words. An element that holds the article is not beside it,
+    a header inside the article belongs to it, and where nothing says what the article is, a form that holds most of a page's text is the page."""
     nodes = page.nodes
     holds = [n.main for n in nodes]
     for i in range(len(nodes) - 1, 0, -1):
         holds[nodes[i].parent] |= holds[i]
+    if not holds[0] and any(n.tag in ("form", "fieldset") for n in nodes):
+        mass, total = [0] * len(nodes), sum(len(text) for _, text, _ in page.blocks)
+        for node, text, _ in page.blocks:
+            mass[node] += len(text)
+        for i in range(len(nodes) - 1, 0, -1):
+            mass[nodes[i].parent] += mass[i]
+            holds[i] |= nodes[i].tag in ("form", "fieldset") and mass[i] * 2 > total
     inside, aside = [n.main for n in nodes], [False] * len(nodes)
     for i, n in enumerate(nodes):
         up = n.parent
         inside[i] |= up >= 0 and inside[up]
-        own = n.hidden or n.aside and not (holds[i] and not n.tag == "aside") or n.tag == "header" and not (holds[i] or inside[i])
+        own = n.hidden or n.aside and not (holds[i] and not n.tag == "aside") or n.head and not (holds[i] or inside[i])
         aside[i] = own or up >= 0 and aside[up]
     return [k for k, (node, _, _) in enumerate(page.blocks) if not aside[node]]
 

@@ -35,6 +35,12 @@ def test_one_page():
     assert alone(html) == ["Title & more é", "one two three four", "five six", "i", "j", "a", "b", "<p> &amp;"]
 
 
+def test_headers_and_forms():
+    assert alone('<div class="site-header">Site</div><article><div class="article-header"><h1>Title</h1></div><p>text') == ["Title", "text"]
+    assert alone('<form><div class="header">Top</div><p>' + "text " * 30 + '</p><div class="menu">m</div></form><form>name <input></form>') == ["text " * 29 + "text"]
+    assert alone('<article><p>text</p><form><p>sign up</p></form></article>') == ["text"]
+
+
 @pytest.mark.parametrize("html", ["", "<", "<p", "hello", "<a <b", "</p></div>", "<script>x", "<!--", "&", "<p>a<table><tr>b", "<svg><p>x", "<b>" * 5000 + "x", "<div>" * 5000 + "x", "<p>" * 5000 + "x", "<a '" * 3000, "<ul><li>" * 3000 + "x"])
 def test_any_markup_ends(html):
     got = alone(html)
