@@ -15,16 +15,25 @@ from .standins import FEATURES, features, scratch, table
 from .windows import pcm_digest, weighted_samples
 
 
+#: Folders that many small files are dealt to, so that as many tasks list them.
+FOLDERS = 64
+
+
 def _touch(rows, directory: str):
-    """Write a small file for each row (name, data) and return how many there are."""
+    """Write a small file for each row (name, data) and return how many there are; a name may begin with a folder."""
 
     def run(batches):
         from pyarrow import fs as pafs
 
         fs, base = pafs.FileSystem.from_uri(directory)
         fs.create_dir(base, recursive=True)
+        there = set()
         for pdf in batches:
             for name, raw in pdf.itertuples(index=False, name=None):
+                folder = name.rpartition("/")[0]
+                if folder and folder not in there:
+                    fs.create_dir(f"{base}/{folder}", recursive=True)
+                    there.add(folder)
                 with fs.open_output_stream(f"{base}/{name}", compression=None) as f:
                     f.write(bytes(raw))
             yield pd.DataFrame({"n": [len(pdf)]})
@@ -109,9 +118,11 @@ FROM (SELECT doc_id, text, hex(encode(text)) AS h FROM documents) WHERE octet_le
 def read_wav(spark, d):
     """The bytes of each text as a stereo WAV file, read back in blocks."""
     raw = F.encode("text", "UTF-8")
-    rows = table(spark, d, "documents").select(F.concat(F.lit("Yw"), F.col("doc_id").cast("string"), F.lit(".wav")).alias("name"), raw.alias("raw"))
+    name = F.concat(F.pmod("doc_id", F.lit(FOLDERS)).cast("string"), F.lit("/Yw"), F.col("doc_id").cast("string"), F.lit(".wav"))
+    rows = table(spark, d, "documents").select(name.alias("name"), raw.alias("raw"))
 
     where = scratch(spark, "wav")
     _touch(rows.select("name", wav_file()("raw").alias("data")), where)
-    blocks = store.read_wav(media.list_files(spark, where).select("name", "path"), block=1000, prefix="Y", tasks=8)
+    files = media.list_files(spark, *[f"{where}/{k}" for k in range(FOLDERS)]).select("name", "path")
+    blocks = store.read_wav(files, block=1000, prefix="Y")
     return blocks.groupBy("video_id").agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.size("samples").cast("long")).alias("n"), F.max("sample_rate").alias("sample_rate"), F.sum(weighted_samples(F.col("samples"), F.col("sample_offset"))).alias("weighted"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import windows as fw
@@ -195,8 +197,18 @@ def pcm_digest() -> str:
 
 def weighted_samples(samples, first, scale: int = 1 << 16):
     """The sum of samples, as whole numbers of 1/scale, times 1 to 7 in turn from the place ``first`` on."""
-    each = F.transform(samples, lambda x, i: (x.cast("double") * scale).cast("long") * ((first + i) % 7 + 1))
-    return F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    @F.pandas_udf("long")
+    def weighted(x: pd.Series, at: pd.Series) -> pd.Series:
+        def one(v, a):
+            if v is None or a is None:
+                return None
+            whole = np.trunc(np.asarray(v, np.float64) * scale).astype(np.int64)
+            return int(whole @ ((int(a) + np.arange(len(whole))) % 7 + 1))
+
+        return pd.Series([one(*r) for r in zip(x, at, strict=True)], dtype="Int64")
+
+    return weighted(samples, first)
 
 
 @query(f"SELECT doc_id AS video_id, octet_length(encode(text)) // 4 AS n, {pcm_digest()} AS weighted FROM (SELECT doc_id, text, hex(encode(text)) AS h FROM documents)")

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.names import SUFFIXES, parse_feature_name, stem
 
+#: Samples and rows of sound that a reading task holds before it sends them on.
+_HELD_SAMPLES, _HELD_ROWS = 1 << 18, 2048
 FEATURES = "video_id string, modality string, step long, feature array<float>"
 
 
@@ -161,33 +163,46 @@ def probe_wav(files: DataFrame, prefix: str = "", tasks: int = 64) -> DataFrame:
     return _wav_files(files, prefix, tasks).mapInPandas(run, "video_id string, path string, sample_rate int, frames long, error string")
 
 
+def _wav_blocks(batches, block: int):
+    """Blocks of the files in frames of (video_id, path), many short ones in a frame: building a frame costs more than reading a short
+    file. What a frame holds is bounded by its samples."""
+    names = ["video_id", "block_id", "sample_offset", "sample_rate", "samples", "error"]
+
+    def rows(video, path):
+        k, rate = 0, None
+        try:
+            fs, p = _filesystem(path)
+            with fs.open_input_file(p) as f, wave.open(f) as w:
+                if w.getsampwidth() != 2:
+                    raise ValueError(f"{8 * w.getsampwidth()} bits a sample instead of 16")
+                rate, frames = w.getframerate(), w.getnframes()
+                while raw := w.readframes(block):
+                    x = np.frombuffer(raw[: len(raw) // (2 * w.getnchannels()) * 2 * w.getnchannels()], "<i2").astype(np.float32) / np.float32(32768)
+                    x = x.reshape(-1, w.getnchannels()).mean(axis=1, dtype=np.float32)
+                    frames -= len(x)
+                    yield video, k, k * block, rate, x, None
+                    k += 1
+                if frames > 0:
+                    raise EOFError(f"{frames} frames are missing at the end")
+        except (OSError, ValueError, EOFError, wave.Error) as e:
+            yield video, k, k * block, rate, None, repr(e)
+
+    for pdf in batches:
+        held, n = [], 0
+        for video, path in pdf.itertuples(index=False, name=None):
+            for row in rows(video, path):
+                held.append(row)
+                n += 0 if row[4] is None else len(row[4])
+                if n >= _HELD_SAMPLES or len(held) >= _HELD_ROWS:
+                    yield pd.DataFrame(held, columns=names).astype({"sample_rate": "Int32"})
+                    held, n = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=names).astype({"sample_rate": "Int32"})
+
+
 def read_wav(files: DataFrame, block: int = 1 << 16, prefix: str = "", tasks: int = 64) -> DataFrame:
     """(video_id, block_id, sample_offset, sample_rate, samples, error) of 16-bit PCM files (name, path) or (video_id, path), channels
     averaged; a file is read a block at a time. An empty file gives no row; where a file can't be read on, a last row has the
     error and no samples."""
-
-    def run(batches):
-        def row(video, k, rate, x, error):
-            return pd.DataFrame({"video_id": [video], "block_id": [k], "sample_offset": [k * block], "sample_rate": [rate], "samples": [x], "error": [error]}).astype({"sample_rate": "Int32"})
-
-        for pdf in batches:
-            for video, path in pdf.itertuples(index=False, name=None):
-                k, rate = 0, None
-                try:
-                    fs, p = _filesystem(path)
-                    with fs.open_input_file(p) as f, wave.open(f) as w:
-                        if w.getsampwidth() != 2:
-                            raise ValueError(f"{8 * w.getsampwidth()} bits a sample instead of 16")
-                        rate, frames = w.getframerate(), w.getnframes()
-                        while raw := w.readframes(block):
-                            x = np.frombuffer(raw[: len(raw) // (2 * w.getnchannels()) * 2 * w.getnchannels()], "<i2").astype(np.float32) / np.float32(32768)
-                            x = x.reshape(-1, w.getnchannels()).mean(axis=1, dtype=np.float32)
-                            frames -= len(x)
-                            yield row(video, k, rate, x, None)
-                            k += 1
-                        if frames > 0:
-                            raise EOFError(f"{frames} frames are missing at the end")
-                except (OSError, ValueError, EOFError, wave.Error) as e:
-                    yield row(video, k, rate, None, repr(e))
-
-    return _wav_files(files, prefix, tasks).mapInPandas(run, "video_id string, block_id int, sample_offset long, sample_rate int, samples array<float>, error string")
+    schema = "video_id string, block_id int, sample_offset long, sample_rate int, samples array<float>, error string"
+    return _wav_files(files, prefix, tasks).mapInPandas(lambda batches: _wav_blocks(batches, block), schema)
