@@ -89,12 +89,12 @@ def _with_error(blocks: DataFrame) -> DataFrame:
     return rows.filter(F.col("video_id").isNotNull() & ((F.size("samples") > 0) | F.col("error").isNotNull()))
 
 
-def _wave(rows: pd.DataFrame, kind) -> tuple[int, np.ndarray]:
+def _wave(rows: dict[str, np.ndarray], kind) -> tuple[int, np.ndarray]:
     """(offset, samples) of neighbouring blocks in order; raises what one of them could not be read for, or if some are missing."""
-    if len(bad := rows["error"].dropna()):
-        raise ValueError(bad.iloc[0])
+    if bad := [e for e in rows["error"] if e is not None and e == e]:
+        raise ValueError(bad[0])
     parts = [np.asarray(v, kind) for v in rows["samples"]]
-    starts = rows["sample_offset"].to_numpy()
+    starts = rows["sample_offset"]
     if not np.array_equal(starts[1:], starts[0] + np.cumsum([len(p) for p in parts[:-1]], dtype=np.int64)):
         raise ValueError("blocks are missing or repeated")
     return int(starts[0]), np.concatenate(parts)
@@ -119,7 +119,7 @@ def resample_blocks(blocks: DataFrame, orig_rate: int | str, rate: int = SAMPLE_
     def run(batches):
         def each():
             for (video, k), group in sorted_groups(batches, ["video_id", "out_block"]):
-                begin, orig = int(k) * block, int(group["_rate"].iloc[0])
+                begin, orig = int(k) * block, int(group["_rate"][0])
                 g = gcd(orig, rate)
                 up, down = rate // g, orig // g
                 try:
@@ -129,9 +129,9 @@ def resample_blocks(blocks: DataFrame, orig_rate: int | str, rate: int = SAMPLE_
                 except ValueError as e:
                     y, error = None, str(e)
                 if error or len(y):
-                    yield pd.DataFrame({"video_id": [video], "block_id": [int(k)], "sample_offset": [begin], "samples": [y], "error": [error]})
+                    yield [video], [int(k)], [begin], [y], [error]
 
-        yield from gathered(each(), 16)
+        yield from gathered(each(), ["video_id", "block_id", "sample_offset", "samples", "error"], 16 if block > 1 << 14 else 256)
 
     kind = blocks.schema["video_id"].dataType.simpleString()
     ordered = sent.repartition("video_id", "out_block").sortWithinPartitions("video_id", "out_block", "sample_offset")
@@ -181,12 +181,12 @@ def audio_windows(blocks: DataFrame, window: int, hop: int, normalize: bool = Tr
                     else:
                         steps = list(range(begin, min(begin + per_group, max(0, (end - window) // hop + 1))))
                         w = np.stack([x[k * hop - first : k * hop - first + window] for k in steps]) if steps else np.zeros((0, window), np.float32)
-                    if steps:
-                        yield pd.DataFrame({"video_id": video, "step": steps, "samples": list(layer_norm(w) if normalize else w), "error": None})
+                    out = [video] * len(steps), steps, list(layer_norm(w) if normalize else w), [None] * len(steps)
                 except ValueError as e:
-                    yield pd.DataFrame({"video_id": [video], "step": [begin], "samples": [None], "error": [str(e)]})
+                    out = [video], [begin], [None], [str(e)]
+                yield out
 
-        yield from gathered(each(), 256)
+        yield from gathered(each(), ["video_id", "step", "samples", "error"], 256)
 
     kind = blocks.schema["video_id"].dataType.simpleString()
     ordered = rows.repartition("video_id", "part").sortWithinPartitions("video_id", "part", "sample_offset")

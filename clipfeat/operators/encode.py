@@ -27,11 +27,16 @@ def projection_encoder(dim: int = 64, seed: int = 0) -> Factory:
     """A deterministic stand-in: means over cells of the input, times fixed cosines. The result doesn't depend on the batch."""
 
     def factory() -> Encoder:
+        cosines = np.cos(np.arange(32)[:, None] * (np.arange(dim) + 1)[None] + seed)
+
         def encode(batch: np.ndarray) -> np.ndarray:
             flat = batch.reshape(len(batch), -1).astype(np.float64)
-            cells = np.stack([c.mean(axis=1) if c.shape[1] else np.zeros(len(batch)) for c in np.array_split(flat, 32, axis=1)], axis=1)
-            k = np.arange(32)[:, None] * (np.arange(dim) + 1)[None] + seed
-            return (cells @ np.cos(k)).astype(np.float32)
+            n = flat.shape[1]
+            sizes = n // 32 + (np.arange(32) < n % 32)
+            cells, there = np.zeros((len(batch), 32)), int((sizes > 0).sum())
+            if there:
+                cells[:, :there] = np.add.reduceat(flat, (np.cumsum(sizes) - sizes)[:there], axis=1) / sizes[:there]
+            return (cells @ cosines).astype(np.float32)
 
         return encode
 
@@ -64,14 +69,15 @@ def gather_chunks(frames: DataFrame, num_frames: int, stride: int, clips_per_chu
     return rows.select("video_id", "chunk_id", "frame_idx", "height", "width", "pixels").repartition("video_id", "chunk_id").sortWithinPartitions("video_id", "chunk_id", "frame_idx")
 
 
-def _block(rows: pd.DataFrame, first: int) -> np.ndarray:
+def _block(rows: dict[str, np.ndarray], first: int) -> np.ndarray:
     """The normalized frames of a chunk, which must be numbered from ``first`` without a gap and be of one size."""
-    if not np.array_equal(rows["frame_idx"].to_numpy(), np.arange(first, first + len(rows))):
+    pixels = rows["pixels"]
+    if not np.array_equal(rows["frame_idx"], np.arange(first, first + len(pixels))):
         raise ValueError("frames are missing or repeated")
-    h, w = int(rows["height"].iloc[0]), int(rows["width"].iloc[0])
-    if any(p is None or len(p) != h * w * 3 for p in rows["pixels"]):
+    h, w = int(rows["height"][0]), int(rows["width"][0])
+    if any(p is None or len(p) != h * w * 3 for p in pixels):
         raise ValueError(f"a frame does not have {h * w * 3} bytes")
-    return normalize_block(np.stack([np.frombuffer(bytes(p), np.uint8).reshape(h, w, 3) for p in rows["pixels"]]))
+    return normalize_block(np.frombuffer(b"".join(pixels), np.uint8).reshape(len(pixels), h, w, 3))
 
 
 def encode_clips(chunks: DataFrame, factory: Factory, num_frames: int, stride: int, clips_per_chunk: int, modality: str = "visual") -> DataFrame:
@@ -84,16 +90,18 @@ def encode_clips(chunks: DataFrame, factory: Factory, num_frames: int, stride: i
         def each():
             for (video, chunk), rows in sorted_groups(batches, ["video_id", "chunk_id"]):
                 first = int(chunk) * clips_per_chunk
-                m = min(clips_per_chunk, max(0, (len(rows) - num_frames) // stride + 1)) or int(chunk == 0)
+                m = min(clips_per_chunk, max(0, (len(rows["frame_idx"]) - num_frames) // stride + 1)) or int(chunk == 0)
                 if not m:  # the frames after the last complete clip
                     continue
                 try:
                     vectors = np.asarray(encode(unfold(_block(rows, first * stride), m, num_frames, stride)), np.float32)[:m]
-                    yield pd.DataFrame({"video_id": video, "modality": modality, "step": np.arange(first, first + len(vectors)), "feature": list(vectors), "error": None})
+                    n = len(vectors)
+                    out = [video] * n, [modality] * n, range(first, first + n), list(vectors), [None] * n
                 except Exception as e:  # whatever a chunk does to the encoder belongs to its video
-                    yield pd.DataFrame({"video_id": [video], "modality": [modality], "step": [first], "feature": [None], "error": [repr(e)]})
+                    out = [video], [modality], [first], [None], [repr(e)]
+                yield out
 
-        yield from gathered(each())
+        yield from gathered(each(), ["video_id", "modality", "step", "feature", "error"])
 
     kind = chunks.schema["video_id"].dataType.simpleString()
     return chunks.mapInPandas(run, f"video_id {kind}, modality string, step long, feature array<float>, error string")

@@ -39,24 +39,30 @@ def resize_crop(image: np.ndarray, size: int = CROP, mode: str = "round") -> np.
     return np.clip(np.floor(out + 0.5), 0, 255).astype(np.uint8)
 
 
-def resize_frames(frames: DataFrame, size: int = CROP, mode: str = "round") -> DataFrame:
-    """Frames of ``size`` by ``size`` RGB pixels, a few at a time; columns other than the pixels' stay. A frame that does not have
-    the bytes of its size gets null pixels, for the encoder to report."""
+#: Bytes of resized pixels that a task holds before it sends them on.
+_HELD = 4 << 20
+
 
+def _resized(batches, size: int, mode: str):
     def one(p, h, w):
         if p is None or pd.isna(h) or pd.isna(w) or h <= 0 or w <= 0 or len(p) != h * w * 3:
             return None
+        if h == size and w == size:  # the crop is the frame
+            return p
         return resize_crop(np.frombuffer(bytes(p), np.uint8).reshape(int(h), int(w), 3), size, mode).tobytes()
 
-    def run(batches):
-        for pdf in batches:
-            for at in range(0, len(pdf), 16):
-                part = pdf.iloc[at : at + 16].copy()
-                part["pixels"] = [one(*x) for x in zip(part["pixels"], part["height"], part["width"], strict=True)]
-                part["height"] = part["width"] = size
-                yield part
+    few = max(1, _HELD // (size * size * 3))
+    for pdf in batches:
+        for at in range(0, len(pdf), few):
+            part = pdf.iloc[at : at + few]
+            pixels = [one(*x) for x in zip(part["pixels"].tolist(), part["height"].tolist(), part["width"].tolist(), strict=True)]
+            yield part.assign(pixels=pd.Series(pixels, index=part.index, dtype=object), height=size, width=size)
 
-    return frames.mapInPandas(run, frames.schema)
+
+def resize_frames(frames: DataFrame, size: int = CROP, mode: str = "round") -> DataFrame:
+    """Frames of ``size`` by ``size`` RGB pixels, some megabytes at a time; columns other than the pixels' stay. A frame that does not
+    have the bytes of its size gets null pixels, for the encoder to report."""
+    return frames.mapInPandas(lambda batches: _resized(batches, size, mode), frames.schema)
 
 
 def normalize_block(block: np.ndarray) -> np.ndarray:

@@ -45,13 +45,20 @@ def encode_audio(spark, d):
     return e.select("video_id", "step", F.size("feature").cast("long").alias("dim"), F.round(F.aggregate(each, F.lit(0.0), lambda a, x: a + x), 4).alias("weighted"), "error")
 
 
+def _staged(spark, rows):
+    """``rows`` as a written table: a job reads its frames several times, and numbering them anew each time would sort them all."""
+    where = scratch(spark, "frames")
+    rows.write.parquet(where)
+    return spark.read.schema(rows.schema).parquet(where)
+
+
 @query(f"""WITH {FRAMES}, t AS (SELECT video_id, CAST(greatest(0, floor((count(*) - 16) / 8.0)) + 1 AS BIGINT) AS n, video_id % 17 = 3 AND count(*) > 5 AS broken FROM frames GROUP BY video_id)
 SELECT CAST(video_id AS VARCHAR) AS video_id, 'visual' AS modality, CASE WHEN broken THEN 'failed' ELSE 'ok' END AS status, CASE WHEN broken THEN 0 ELSE n END AS windows, CASE WHEN broken THEN 0 ELSE n END AS stored FROM t""")
 def extract_visual_job(spark, d):
     """The whole visual job over all events as frames, of which some videos have a damaged one; the ledger and the store, read back."""
     f = _pixel_frames(spark, d).withColumn("video_id", F.col("video_id").cast("string"))
     damaged = (F.col("video_id").cast("long") % 17 == 3) & (F.col("frame_idx") == 5)
-    f = f.withColumn("pixels", F.when(damaged, F.substring("pixels", 1, 5)).otherwise(F.col("pixels")))
+    f = _staged(spark, f.withColumn("pixels", F.when(damaged, F.substring("pixels", 1, 5)).otherwise(F.col("pixels"))))
     return _recorded(spark, lambda out, ledger: extract.extract_visual(f.select("video_id").distinct(), f, encode.projection_encoder(8), out, ledger, size=2))
 
 
@@ -68,7 +75,7 @@ def extract_visual_gaps(spark, d):
     """The visual job where videos have lost frames: whole chunks, and a frame that lies between two clips at a stride of 20."""
     f = _pixel_frames(spark, d)
     lost = (F.col("video_id") % 5 == 2) & F.col("frame_idx").between(32, 63) | (F.col("video_id") % 7 == 3) & (F.col("frame_idx") == 17)
-    f = f.filter(~lost).withColumn("video_id", F.col("video_id").cast("string"))
+    f = _staged(spark, f.filter(~lost).withColumn("video_id", F.col("video_id").cast("string")))
     parts = []
     for stride in (4, 16, 20):
         job = lambda out, ledger: extract.extract_visual(f.select("video_id").distinct(), f, encode.projection_encoder(8), out, ledger, size=2, stride=stride, clips_per_chunk=2)  # noqa: B023, E731
