@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import is_finite
 from ..functions.windows import CLIP_FRAMES, CLIP_STRIDE, SAMPLE_RATE
-from ..operators.audio import audio_windows, resample_blocks, silence_fallback
-from ..operators.encode import Factory, encode_audio, encode_clips, gather_chunks
+from ..operators.audio import silence_length
+from ..operators.encode import Factory, encode_clips, encode_sound, gather_chunks
 from ..operators.frames import resize_frames
 from ..operators.qa import frame_spans
 from ..operators.worklist import existing_ids, first_pending, pending_ids, shard_ids
@@ -94,7 +94,8 @@ def extract_audio(work: DataFrame, files: DataFrame, factory: Factory, path: str
 
     ``files``: (video_id, path, duration), with a null path where a video has no audio track. Headers are read first: videos
     without a track or without samples get silence of their duration, so that their steps match the visual side, and a line
-    of status silent besides ok or failed. The other files are read in blocks, resampled from their own rate and cut."""
+    of status silent besides ok or failed. The other files are read in blocks, and sent once, to the tasks that resample, cut and
+    encode them."""
     mine = _of(files.select(F.col("video_id").cast("string").alias("video_id"), "path", "duration"), work.select(F.col("video_id").cast("string")))
     probed = probe_wav(mine.filter("path is not null").select("video_id", "path"))
     staged = f"{path}/staging/{uuid.uuid4().hex}-headers"
@@ -102,10 +103,9 @@ def extract_audio(work: DataFrame, files: DataFrame, factory: Factory, path: str
     headers = files.sparkSession.read.parquet(staged)
     empty = F.col("error").isNull() & (F.coalesce("frames", F.lit(0)) == 0)
     sound = read_wav(headers.filter(~empty & F.col("error").isNull()).select("video_id", "path"), block)
-    silence = silence_fallback(headers.select("video_id", "duration", (~empty).alias("has_audio")), rate, block)
-    blocks = resample_blocks(sound, "sample_rate", rate, block, res_type=res_type).unionByName(silence.drop("silent").withColumn("error", F.lit(None).cast("string")))
+    silent = headers.filter(empty).select("video_id", silence_length("duration", rate).alias("total"))
     unread = headers.filter("error is not null").select("video_id", F.lit("audio").alias("modality"), F.lit(0).cast("long").alias("step"), F.lit(None).cast("array<float>").alias("feature"), "error")
-    features = encode_audio(audio_windows(blocks, window, hop), factory).unionByName(unread)
+    features = encode_sound(sound, factory, window, hop, "sample_rate", rate, silent, res_type).unionByName(unread)
     planned = work.select(F.col("video_id").cast("string")).join(headers.filter(empty).select("video_id", F.lit(True).alias("silent")), "video_id", "left")
     nothing = [F.lit(None).cast("long").alias("steps"), F.lit(None).cast("string").alias("problem")]
     return _store(features, planned.select("video_id", F.coalesce("silent", F.lit(False)).alias("silent"), *nothing), path, ledger, "audio", shard_id)

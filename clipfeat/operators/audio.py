@@ -2,10 +2,12 @@
 
 Waves are blocks (video_id, block_id, sample_offset, samples), in any order; a block that could not be read may have null samples
 and an ``error``, which goes along to the output blocks and windows that would need it. What an output block or a group of
-windows needs follows from offsets alone, so samples are shuffled once in each step and never joined."""
+windows needs follows from offsets alone, so samples are shuffled once in each step and never joined; ``map_windows`` is resampling
+and windows in one step."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import gcd
 
@@ -78,7 +80,11 @@ def resample(samples: np.ndarray, first: int, up: int, down: int, begin: int, en
     # outputs that lie up apart have the same taps, and their inputs lie down apart: one product of a strided view for each phase
     for j in range(begin, min(end, begin + up)):
         n = -(-(end - j) // up)
-        view = np.lib.stride_tricks.as_strided(x[j * down // up - place :], (n, 2 * half + 1), (down * x.itemsize, x.itemsize))
+        there = x[j * down // up - place :]
+        if down == 1:  # neighbouring inputs: the same products without a view of many overlapping rows
+            out[j - begin :: up] = np.correlate(there[: n + 2 * half], taps[j * down % up], "valid")
+            continue
+        view = np.lib.stride_tricks.as_strided(there, (n, 2 * half + 1), (down * x.itemsize, x.itemsize))
         out[j - begin :: up] = view @ taps[j * down % up]
     return out
 
@@ -139,10 +145,15 @@ def resample_blocks(blocks: DataFrame, orig_rate: int | str, rate: int = SAMPLE_
     return out if isinstance(orig_rate, int) else out.unionByName(rows.filter(stay).select(*names))
 
 
+def silence_length(duration: str, rate: int = SAMPLE_RATE):
+    """Samples of silence that a duration holds; none without one."""
+    return F.coalesce((F.col(duration) * rate).cast("long"), F.lit(0).cast("long"))
+
+
 def silence_fallback(videos: DataFrame, rate: int = SAMPLE_RATE, block: int = 1 << 16) -> DataFrame:
     """(video_id, block_id, sample_offset, samples, silent) of zeros for the videos (video_id, duration, has_audio) that have no
     audio: as many as the duration holds, in blocks. Without a duration there are none, and the video fails later."""
-    rows = videos.filter(~F.col("has_audio")).withColumn("total", F.coalesce((F.col("duration") * rate).cast("long"), F.lit(0).cast("long"))).filter("total > 0")
+    rows = videos.filter(~F.col("has_audio")).withColumn("total", silence_length("duration", rate)).filter("total > 0")
     rows = rows.withColumn("sample_offset", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(block).cast("long"))))
     n = F.least(F.lit(block).cast("long"), F.col("total") - F.col("sample_offset")).cast("int")
     return rows.select("video_id", (F.col("sample_offset") / block).cast("int").alias("block_id"), "sample_offset", F.array_repeat(F.lit(0.0).cast("float"), n).alias("samples"), F.lit(True).alias("silent"))
@@ -155,42 +166,97 @@ def layer_norm(windows: np.ndarray) -> np.ndarray:
     return ((x - mean) / np.sqrt(x.var(axis=1, keepdims=True) + LAYER_NORM_EPS)).astype(np.float32)
 
 
+def _groups(blocks: DataFrame, window: int, hop: int, per_group: int, orig_rate: int | str | None, rate: int, zeros: int | None, res_type: str, silent: DataFrame | None) -> DataFrame:
+    """(video_id, part, sample_offset, samples, error, rate, silence): what each group of ``per_group`` windows needs of a wave's blocks, at
+    their own rate and no more than it needs, groups whole in a task and in order. A silent video sends a length for each group and
+    no samples."""
+    own, _, rolloff = FILTERS[res_type]
+    span = hop * per_group
+    reach = span - hop + window  # output samples from a group's first to its last
+    rows = _with_error(blocks).withColumn("rate", F.lit(orig_rate).cast("int") if orig_rate is None or isinstance(orig_rate, int) else F.col(orig_rate).cast("int"))
+    stay = F.col("rate").isNull() | (F.col("rate") == rate)
+    ratio = F.when(stay, 1.0).otherwise(F.lit(float(rate)) / F.col("rate"))
+    beside = F.when(stay, 0).otherwise(F.ceil((zeros or own) / (rolloff * F.least(F.lit(1.0), ratio))) + 1).cast("long")
+    rows = rows.withColumn("_ratio", ratio).withColumn("_beside", beside).withColumn("_end", F.col("sample_offset") + F.greatest(F.size("samples"), F.lit(1)))
+    lo = F.greatest(F.lit(0), F.ceil((F.floor((F.col("sample_offset") - F.col("_beside")) * F.col("_ratio")) - reach + 1) / span)).cast("long")
+    hi = F.greatest(lo, F.floor((F.col("_end") - 1 + F.col("_beside")) * F.col("_ratio") / span)).cast("long")
+    rows = rows.withColumn("part", F.explode(F.sequence(lo, hi)))
+    start = F.greatest(F.col("sample_offset"), F.floor(F.col("part") * span / F.col("_ratio")) - F.col("_beside")).cast("long")
+    stop = F.least(F.col("_end"), F.ceil((F.col("part") * span + reach) / F.col("_ratio")) + F.col("_beside")).cast("long")
+    rows = rows.withColumn("_start", start).withColumn("_n", (stop - start).cast("int")).filter("_n > 0 or error is not null")
+    cut = F.when(F.col("error").isNull(), F.slice("samples", (F.col("_start") - F.col("sample_offset") + 1).cast("int"), F.greatest(F.col("_n"), F.lit(0))))
+    rows = rows.select("video_id", "part", F.when(F.col("error").isNull(), F.col("_start")).otherwise(F.col("sample_offset")).alias("sample_offset"), cut.alias("samples"), "error", "rate", F.lit(0).cast("long").alias("silence"))
+    if silent is not None:
+        parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((num_windows("total", window, hop) - 1) / per_group).cast("long")))
+        still = silent.filter("total > 0").select("video_id", "total", parts.alias("part"))
+        rows = rows.unionByName(still.select(
+            "video_id", "part", (F.col("part") * span).alias("sample_offset"), F.lit(None).cast("array<float>").alias("samples"), F.lit(None).cast("string").alias("error"),
+            F.lit(None).cast("int").alias("rate"), F.least(F.lit(reach), F.col("total") - F.col("part") * span).cast("long").alias("silence"),
+        ))
+    return rows.repartition("video_id", "part").sortWithinPartitions("video_id", "part", "sample_offset")
+
+
+def _group_windows(batches, window: int, hop: int, per_group: int, rate: int, zeros: int | None, res_type: str, normalize: bool):
+    """Frames of (video_id, step, samples, error) from rows of ``_groups``."""
+
+    def wave(part: int, group):
+        """(first output index, samples at ``rate``) of a group."""
+        begin = part * per_group * hop
+        if n := int(group["silence"][0]):
+            return begin, np.zeros(n, np.float32)
+        orig = group["rate"][0]
+        if orig is None or orig != orig or orig == rate:
+            first, x = _wave(group, np.float32)
+            if first > begin:
+                raise ValueError("blocks are missing or repeated")
+            return first, x
+        first, x = _wave(group, np.float64)
+        g = gcd(int(orig), rate)
+        up, down = rate // g, int(orig) // g
+        taps, half = resample_filter(up, down, zeros, res_type)
+        if first > max(0, begin * down // up - half):
+            raise ValueError("blocks are missing or repeated")
+        end = min(begin + (per_group - 1) * hop + window, -(-(first + len(x)) * up // down))  # the group ends with the wave, or beyond what it needs
+        return begin, resample(x, first, up, down, begin, end, taps, half)
+
+    def each():
+        for (video, part), group in sorted_groups(batches, ["video_id", "part"]):
+            begin = int(part) * per_group
+            try:
+                first, x = wave(int(part), group)
+                end = first + len(x)
+                if end < window and not part:
+                    w, steps = np.tile(x, -(-window // end))[None, :window], [0]
+                else:
+                    steps = list(range(begin, min(begin + per_group, max(0, (end - window) // hop + 1))))
+                    w = np.stack([x[k * hop - first : k * hop - first + window] for k in steps]) if steps else np.zeros((0, window), np.float32)
+                out = [video] * len(steps), steps, list(layer_norm(w) if normalize else w), [None] * len(steps)
+            except ValueError as e:
+                out = [video], [begin], [None], [str(e)]
+            yield out
+
+    yield from gathered(each(), ["video_id", "step", "samples", "error"], 256)
+
+
 def audio_windows(blocks: DataFrame, window: int, hop: int, normalize: bool = True, per_group: int = 64) -> DataFrame:
     """(video_id, step, samples, error): hopping windows over a wave's blocks; null samples where a block is missing or has an error.
 
     Windows are made in groups of some neighbours; a block goes to each group that it overlaps, so a group, not a wave, is what a
     task holds. A wave shorter than a window is repeated to fill one. Rows without a video_id are left out."""
-    span = hop * per_group
-    rows = _with_error(blocks)
-    size = F.greatest(F.size("samples"), F.lit(1))
-    lo = F.greatest(F.lit(0), F.ceil((F.col("sample_offset") - (span - hop + window) + 1) / span)).cast("long")
-    hi = F.greatest(lo, F.floor((F.col("sample_offset") + size - 1) / span)).cast("long")
-    rows = rows.withColumn("part", F.explode(F.sequence(lo, hi))).select("video_id", "part", "sample_offset", "samples", "error")
+    run = lambda batches: _group_windows(batches, window, hop, per_group, SAMPLE_RATE, None, "kaiser_best", normalize)
+    kind = blocks.schema["video_id"].dataType.simpleString()
+    return _groups(blocks, window, hop, per_group, None, SAMPLE_RATE, None, "kaiser_best", None).mapInPandas(run, f"video_id {kind}, step long, samples array<float>, error string")
 
-    def run(batches):
-        def each():
-            for (video, part), group in sorted_groups(batches, ["video_id", "part"]):
-                begin = int(part) * per_group
-                try:
-                    first, x = _wave(group, np.float32)
-                    if first > begin * hop:
-                        raise ValueError("blocks are missing or repeated")
-                    end = first + len(x)  # the group ends with the wave, or beyond what it needs
-                    if end < window and not part:
-                        w, steps = np.tile(x, -(-window // end))[None, :window], [0]
-                    else:
-                        steps = list(range(begin, min(begin + per_group, max(0, (end - window) // hop + 1))))
-                        w = np.stack([x[k * hop - first : k * hop - first + window] for k in steps]) if steps else np.zeros((0, window), np.float32)
-                    out = [video] * len(steps), steps, list(layer_norm(w) if normalize else w), [None] * len(steps)
-                except ValueError as e:
-                    out = [video], [begin], [None], [str(e)]
-                yield out
 
-        yield from gathered(each(), ["video_id", "step", "samples", "error"], 256)
+def map_windows(blocks: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, window: int, hop: int, orig_rate: int | str | None = None, rate: int = SAMPLE_RATE, silent: DataFrame | None = None, zeros: int | None = None, res_type: str = "kaiser_best", normalize: bool = True, per_group: int = 64) -> DataFrame:
+    """Rows of ``schema`` that ``fn`` makes of frames of windows (video_id, step, samples, error), in the task that makes the windows: windows
+    are far more bytes than the samples they overlap on, so they are neither shuffled nor sent between processes.
 
-    kind = blocks.schema["video_id"].dataType.simpleString()
-    ordered = rows.repartition("video_id", "part").sortWithinPartitions("video_id", "part", "sample_offset")
-    return ordered.mapInPandas(run, f"video_id {kind}, step long, samples array<float>, error string")
+    ``audio_windows`` of ``resample_blocks`` in one shuffle, of samples at their own rate: what a group of windows needs follows from
+    offsets alone. ``orig_rate`` is a number, the name of a column, or None for waves at ``rate`` already; a null rate is ``rate``. ``silent``: (video_id, total)
+    of videos that are so many zeros."""
+    run = lambda batches: fn(_group_windows(batches, window, hop, per_group, rate, zeros, res_type, normalize))
+    return _groups(blocks, window, hop, per_group, orig_rate, rate, zeros, res_type, silent).mapInPandas(run, schema)
 
 
 def layer_norm_long(rows: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql.types import StructType
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..functions.vectors import l2_norm
+from ..functions.windows import SAMPLE_RATE
+from .audio import map_windows
 from .frames import normalize_block
 from .groups import gathered, sorted_groups
 
@@ -107,47 +109,58 @@ def encode_clips(chunks: DataFrame, factory: Factory, num_frames: int, stride: i
     return chunks.mapInPandas(run, f"video_id {kind}, modality string, step long, feature array<float>, error string")
 
 
-def encode_audio(windows: DataFrame, factory: Factory, batch_size: int = 64, modality: str = "audio") -> DataFrame:
-    """(video_id, modality, step, feature, error) of each window, of unit length. If a batch fails its windows are tried one by
-    one, and those that fail alone have an error."""
+def _encode_windows(batches, factory: Factory, batch_size: int, modality: str):
+    """Frames of (video_id, modality, step, feature, error) from frames of windows."""
+    encode = factory()
+
+    def vectors(samples):
+        if any(x is None for x in samples):
+            raise ValueError("samples are missing")
+        v = np.asarray(encode(np.stack([np.asarray(x, np.float32) for x in samples])), np.float64)
+        norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
+        return list(np.divide(v, norm, out=v, where=norm > 0).astype(np.float32))
+
+    def one(x):
+        try:
+            return vectors([x])[0], None
+        except Exception as e:  # whatever a window does to the encoder belongs to its video
+            return None, repr(e)
+
+    for pdf in batches:
+        out, errors = [], []
+        if "error" in pdf:
+            known = pdf["error"].notna()
+            if known.any():
+                bad = pdf[known]
+                yield pd.DataFrame({"video_id": bad["video_id"].to_numpy(), "modality": modality, "step": bad["step"].to_numpy(), "feature": pd.Series([None] * len(bad), dtype=object), "error": bad["error"].to_numpy()})
+                pdf = pdf[~known]
+        for at in range(0, len(pdf), batch_size):
+            part = pdf["samples"].iloc[at : at + batch_size]
+            try:
+                out += vectors(part)
+                errors += [None] * len(part)
+            except Exception:
+                for v, e in map(one, part):
+                    out.append(v)
+                    errors.append(e)
+        yield pd.DataFrame({"video_id": pdf["video_id"].to_numpy(), "modality": modality, "step": pdf["step"].to_numpy(), "feature": pd.Series(out, dtype=object), "error": pd.Series(errors, dtype=object)})
 
-    def run(batches):
-        encode = factory()
 
-        def vectors(samples):
-            if any(x is None for x in samples):
-                raise ValueError("samples are missing")
-            v = np.asarray(encode(np.stack([np.asarray(x, np.float32) for x in samples])), np.float64)
-            norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
-            return list(np.divide(v, norm, out=v, where=norm > 0).astype(np.float32))
+_VECTORS = "video_id {kind}, modality string, step long, feature array<float>, error string"
 
-        def one(x):
-            try:
-                return vectors([x])[0], None
-            except Exception as e:  # whatever a window does to the encoder belongs to its video
-                return None, repr(e)
-
-        for pdf in batches:
-            out, errors = [], []
-            if "error" in pdf:
-                known = pdf["error"].notna()
-                if known.any():
-                    bad = pdf[known]
-                    yield pd.DataFrame({"video_id": bad["video_id"].to_numpy(), "modality": modality, "step": bad["step"].to_numpy(), "feature": pd.Series([None] * len(bad), dtype=object), "error": bad["error"].to_numpy()})
-                    pdf = pdf[~known]
-            for at in range(0, len(pdf), batch_size):
-                part = pdf["samples"].iloc[at : at + batch_size]
-                try:
-                    out += vectors(part)
-                    errors += [None] * len(part)
-                except Exception:
-                    for v, e in map(one, part):
-                        out.append(v)
-                        errors.append(e)
-            yield pd.DataFrame({"video_id": pdf["video_id"].to_numpy(), "modality": modality, "step": pdf["step"].to_numpy(), "feature": pd.Series(out, dtype=object), "error": pd.Series(errors, dtype=object)})
 
+def encode_audio(windows: DataFrame, factory: Factory, batch_size: int = 64, modality: str = "audio") -> DataFrame:
+    """(video_id, modality, step, feature, error) of each window, of unit length. If a batch fails its windows are tried one by
+    one, and those that fail alone have an error."""
     kind = windows.schema["video_id"].dataType.simpleString()
-    return windows.mapInPandas(run, f"video_id {kind}, modality string, step long, feature array<float>, error string")
+    return windows.mapInPandas(lambda batches: _encode_windows(batches, factory, batch_size, modality), _VECTORS.format(kind=kind))
+
+
+def encode_sound(blocks: DataFrame, factory: Factory, window: int, hop: int, orig_rate: int | str | None = None, rate: int = SAMPLE_RATE, silent: DataFrame | None = None, res_type: str = "kaiser_best", batch_size: int = 64, modality: str = "audio") -> DataFrame:
+    """``encode_audio`` of the windows over blocks at their own rate and over silent videos, of which ``map_windows`` tells more."""
+    kind = blocks.schema["video_id"].dataType.simpleString()
+    encode = lambda frames: _encode_windows(frames, factory, batch_size, modality)
+    return map_windows(blocks, encode, _VECTORS.format(kind=kind), window, hop, orig_rate, rate, silent, res_type=res_type)
 
 
 def _outputs(fn: Callable[[object], Iterable[object]], x):

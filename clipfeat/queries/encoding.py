@@ -6,10 +6,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..jobs import extract
-from ..operators import audio, encode
+from ..operators import encode
 from ..sources import store
 from . import query
-from .sources import _touch, wav_file
+from .sources import FOLDERS, _touch, wav_file
 from .standins import FRAMES, frames, r6, scratch, table
 from .windows import WINDOWS, _waves
 
@@ -39,8 +39,7 @@ u AS (SELECT video_id, step, d, CAST(CASE WHEN sum(v * v) OVER w > 0 THEN v / sq
 SELECT video_id, step, count(*) AS dim, round(sum(u * (d % 7 + 1)), 4) AS weighted, NULL::VARCHAR AS error FROM u GROUP BY ALL""")
 def encode_audio(spark, d):
     """Audio windows through the projection encoder; every element of the unit vectors counts in the sum."""
-    w = audio.audio_windows(_waves(spark, d), 16, 8)
-    e = encode.encode_audio(w, encode.projection_encoder(64))
+    e = encode.encode_sound(_waves(spark, d), encode.projection_encoder(64), 16, 8)
     each = F.transform("feature", lambda x, i: x.cast("double") * (i % 7 + 1))
     return e.select("video_id", "step", F.size("feature").cast("long").alias("dim"), F.round(F.aggregate(each, F.lit(0.0), lambda a, x: a + x), 4).alias("weighted"), "error")
 
@@ -101,8 +100,8 @@ UNION ALL SELECT CAST(doc_id AS VARCHAR), 'audio', 'silent', 0, 0 FROM w WHERE s
 def extract_audio_job(spark, d):
     """The whole audio job: a WAV file of each text's bytes at 8 kHz, some videos without a track, some files that are no sound."""
     i, raw, where = F.col("doc_id"), F.encode("text", "UTF-8"), scratch(spark, "sound")
-    rows = table(spark, d, "documents").select(i.cast("string").alias("video_id"), "n_chars", raw.alias("raw"), (i % 10).alias("k"))
-    name = F.concat("video_id", F.lit(".wav"))
+    rows = table(spark, d, "documents").select(i.cast("string").alias("video_id"), "n_chars", raw.alias("raw"), (i % 10).alias("k"), F.pmod(i, F.lit(FOLDERS)).cast("string").alias("folder"))
+    name = F.concat("folder", F.lit("/"), "video_id", F.lit(".wav"))
     _touch(rows.filter("k <> 3").select(name.alias("name"), F.when(F.col("k") == 7, F.lit(b"no sound")).otherwise(wav_file()("raw")).alias("data")), where)
     files = rows.select("video_id", F.when(F.col("k") != 3, F.concat(F.lit(where + "/"), name)).alias("path"), (F.col("n_chars") / 1000.0).alias("duration"))
     return _recorded(spark, lambda out, ledger: extract.extract_audio(files.select("video_id"), files, encode.projection_encoder(8), out, ledger, 1600, 800))
