@@ -16,6 +16,8 @@ STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 #: Batches of a stream, and files that a batch reads, each in a task of its own.
 BATCHES, FILES = 3, 4
+#: Buckets that share the state of videos of some events each.
+BUCKETS = 1024
 
 
 def _stream(spark, rows, key: str, order):
@@ -43,7 +45,7 @@ def stream_clip_windows(spark, d):
     rows = frames(spark, d)
     last = F.col("frame_idx") == F.max("frame_idx").over(W.partitionBy("video_id"))
     rows = rows.select("video_id", "frame_idx", "value", last.alias("last"))
-    out = _run(spark, windows.stream_clips(_stream(spark, rows, "video_id", F.floor(F.col("frame_idx") / 24)), 16, 8)).filter("error is null")
+    out = _run(spark, windows.stream_clips(_stream(spark, rows, "video_id", F.floor(F.col("frame_idx") / 24)), 16, 8, buckets=BUCKETS)).filter("error is null")
     return out.groupBy("video_id", "clip_idx").agg(F.count(F.lit(1)).alias("n"), F.min("frame_idx").alias("first_frame"), F.max("frame_idx").alias("last_frame"), F.sum(F.col("pos") * F.col("frame_idx")).alias("mix"), r6(F.avg("value")).alias("mean"))
 
 
