@@ -6,64 +6,65 @@ for a given time; vectors are not kept in it, they are written as they come."""
 
 from __future__ import annotations
 
+import pickle
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
 
+class Assembly:
+    """The function of ``applyInPandasWithState`` for the videos of a bucket, which share calls, frames and one value of the state.
 
-class Assembly(StatefulProcessor):
-    """``idle_ms``: how long a video may send nothing before it fails with "no end" and its state goes; None: for ever."""
+    ``idle_ms``: how long a video may send nothing before it fails with "no end" and its state goes; None: for ever."""
 
     def __init__(self, idle_ms: int | None = None):
         self.idle_ms = idle_ms
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", "started boolean, windows long, error string")
-
-    def handleInputRows(self, key, rows, timerValues):
-        started, windows, error = tuple(self.state.get()) if self.state.exists() else (False, 0, None)
-        out = []
-        for kind, n, err in pd.concat(list(rows)).sort_values("seq")[["kind", "n", "error"]].itertuples(index=False, name=None):
-            err = err if isinstance(err, str) else None
-            if kind == "start":
-                started, windows, error = True, 0, None
-            elif kind == "chunk":
-                if error is None and err is None:
-                    windows += int(n)
-                error = error or err
-            elif kind == "end":
-                error = error or err or (None if started else "end without start") or (None if windows else "no windows")
-                out.append((key[0], "failed" if error else "ok", 0 if error else windows, error))
-                started, windows, error = False, 0, None
-        open_ = bool(started or windows or error)
-        if open_:
-            self.state.update((started, windows, error))
+    def __call__(self, key, rows, group: GroupState):
+        now, idle, out = group.getCurrentProcessingTimeMs(), self.idle_ms, []
+        held = pickle.loads(group.get[0]) if group.exists else {}  # by video: started, windows, error, when it last sent something
+        if not group.hasTimedOut:
+            for video, kind, n, err in pd.concat(list(rows)).sort_values("seq")[["video_id", "kind", "n", "error"]].itertuples(index=False, name=None):
+                video, err = None if video != video else video, err if isinstance(err, str) else None
+                started, windows, error, _ = held.get(video, (False, 0, None, now))
+                if kind == "start":
+                    started, windows, error = True, 0, None
+                elif kind == "chunk":
+                    if error is None and err is None:
+                        windows += int(n)
+                    error = error or err
+                elif kind == "end":
+                    error = error or err or (None if started else "end without start") or (None if windows else "no windows")
+                    out.append((video, "failed" if error else "ok", 0 if error else windows, error))
+                    started, windows, error = False, 0, None
+                held[video] = (started, windows, error, now)
+        for video, (started, windows, error, seen) in list(held.items()):
+            if not (started or windows or error):
+                del held[video]
+            elif idle is not None and seen + idle <= now:
+                out.append((video, "failed", 0, "no end"))
+                del held[video]
+        if held:
+            group.update((pickle.dumps(held),))
+            if idle is not None:
+                group.setTimeoutDuration(max(1, min(h[3] for h in held.values()) + idle - now))
         else:
-            self.state.clear()
-        if self.idle_ms is not None:
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            if open_:
-                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        yield pd.DataFrame(out, columns=["video_id", "status", "windows", "error"])
+            group.remove()
+        yield pd.DataFrame(out, columns=["video_id", "status", "windows", "error"], dtype=object)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.state.clear()
-        yield pd.DataFrame([(key[0], "failed", 0, "no end")], columns=["video_id", "status", "windows", "error"])
 
-    def close(self) -> None:
-        pass
-
-
-def stream_assemble(messages: DataFrame, idle_ms: int | None = None) -> DataFrame:
-    """(video_id, status, windows, error), a row for each end, and one for each video that sent nothing for ``idle_ms``."""
+def stream_assemble(messages: DataFrame, idle_ms: int | None = None, buckets: int = 1024) -> DataFrame:
+    """(video_id, status, windows, error), a row for each end, and one for each video that sent nothing for ``idle_ms``. The counters of
+    videos are kept in so many buckets; a bucket's messages of one batch must fit in a task."""
     kind = messages.schema["video_id"].dataType.simpleString()
-    return messages.groupBy("video_id").transformWithStateInPandas(
-        statefulProcessor=Assembly(idle_ms), outputStructType=f"video_id {kind}, status string, windows long, error string", outputMode="Append", timeMode="None" if idle_ms is None else "ProcessingTime"
-    )
+    rows = messages.withColumn("_bucket", F.when(F.col("video_id").isNull(), -1).otherwise(F.pmod(F.xxhash64("video_id"), F.lit(buckets))))
+    return rows.groupBy("_bucket").applyInPandasWithState(
+        Assembly(idle_ms), outputStructType=f"video_id {kind}, status string, windows long, error string", stateStructType="videos binary", outputMode="append",
+        timeoutConf=GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout,
+    )
 
 
 def assemble(messages: DataFrame) -> DataFrame:
