@@ -146,14 +146,16 @@ def resample_blocks(blocks: DataFrame, orig_rate: int | str, rate: int = SAMPLE_
 
 
 def silence_length(duration: str, rate: int = SAMPLE_RATE):
-    """Samples of silence that a duration holds; none without one."""
-    return F.coalesce((F.col(duration) * rate).cast("long"), F.lit(0).cast("long"))
+    """Whole samples of silence that a duration holds; none without one. Durations are decimal numbers: as binary fractions 16.15 seconds
+    of 16,000 would be 258,399.99... samples, one less than there are, which can cost a window."""
+    return F.coalesce((F.col(duration).try_cast("decimal(20, 9)") * rate).cast("long"), F.lit(0).cast("long"))
 
 
 def silence_fallback(videos: DataFrame, rate: int = SAMPLE_RATE, block: int = 1 << 16) -> DataFrame:
     """(video_id, block_id, sample_offset, samples, silent) of zeros for the videos (video_id, duration, has_audio) that have no
-    audio: as many as the duration holds, in blocks. Without a duration there are none, and the video fails later."""
-    rows = videos.filter(~F.col("has_audio")).withColumn("total", silence_length("duration", rate)).filter("total > 0")
+    audio: the duration times the rate as binary numbers, cut to a whole one, in blocks. Without a duration there are none, and the
+    video fails later."""
+    rows = videos.filter(~F.col("has_audio")).withColumn("total", (F.col("duration") * rate).cast("long")).filter("total > 0")
     rows = rows.withColumn("sample_offset", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(block).cast("long"))))
     n = F.least(F.lit(block).cast("long"), F.col("total") - F.col("sample_offset")).cast("int")
     return rows.select("video_id", (F.col("sample_offset") / block).cast("int").alias("block_id"), "sample_offset", F.array_repeat(F.lit(0.0).cast("float"), n).alias("samples"), F.lit(True).alias("silent"))
