@@ -56,6 +56,13 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("id", "comp")
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """``rows`` as a side of a join that is sorted and merged, and never sent to all tasks by way of the driver. Spark takes rows that Python made
+    for as many as it was given, and a written table for as small as its compressed files: fifty keys for each record, or long runs of
+    one key, are then far more in memory than it thinks."""
+    return rows.hint("merge")
+
+
 #: Buckets of fewer records are compared pair by pair: a bounded number of pairs each. It and the number of rounds of stars only
 #: decide how links are found, not which.
 BIG, ROUNDS = 16, 8
@@ -73,16 +80,16 @@ def linked(keys: DataFrame, near: Column, verify: Callable[[DataFrame], DataFram
     columns = [c for c in keys.columns if c != "key"]
     side = lambda df, s, more=(): df.select("key", *[F.col(c).alias(f"{c}_{s}") for c in (*columns, *more)])
     spans = keys.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).filter("first < last")
-    shared = staged(keys.join(spans.select("key", "first", "n"), "key"), "buckets")
+    shared = staged(merged(keys).join(merged(spans.select("key", "first", "n")), "key"), "buckets")
     small, big = shared.filter(F.col("n") < BIG), shared.filter(F.col("n") >= BIG)
-    pairs = side(small, "a").join(side(small, "b"), "key").filter((F.col("id_a") < F.col("id_b")) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    pairs = merged(side(small, "a")).join(merged(side(small, "b")), "key").filter((F.col("id_a") < F.col("id_b")) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     stars = big.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     found = components(verify(pairs.union(stars).distinct()))
 
     def mixed(found: DataFrame, name: str) -> DataFrame:
-        rest = staged(big.select("key", *columns).join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "rest")
+        rest = staged(merged(big.select("key", *columns)).join(merged(found), "id", "left").withColumn("comp", F.coalesce("comp", "id")), "rest")
         keys = rest.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
-        return staged(rest.join(keys, "key"), name)
+        return staged(merged(rest).join(merged(keys), "key"), name)
 
     rest = mixed(found, "mixed")
     for k in range(ROUNDS):
@@ -90,14 +97,14 @@ def linked(keys: DataFrame, near: Column, verify: Callable[[DataFrame], DataFram
             return found
         pivots = rest.groupBy("key").agg(F.min_by(F.struct(*columns, "comp"), F.xxhash64("id", F.lit(k))).alias("p"))
         pivots = pivots.select("key", *[F.col(f"p.{c}").alias(f"{c}_b") for c in (*columns, "comp")])
-        tries = side(rest, "a", ("comp",)).join(pivots, "key").filter((F.col("comp_a") != F.col("comp_b")) & near)
+        tries = merged(side(rest, "a", ("comp",))).join(merged(pivots), "key").filter((F.col("comp_a") != F.col("comp_b")) & near)
         links = staged(verify(tries.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()), "star-links")
         if links.isEmpty():
             break
         found = components(found.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(links.select("a", "b")))
         rest = mixed(found, f"mixed-{k}")
     x, y = side(rest, "a", ("comp",)), side(rest, "b", ("comp",))
-    links = staged(verify(x.join(y, "key").filter((F.col("comp_a") < F.col("comp_b")) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()), "more-links")
+    links = staged(verify(merged(x).join(merged(y), "key").filter((F.col("comp_a") < F.col("comp_b")) & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()), "more-links")
     return components(found.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(links.select("a", "b")))
 
 

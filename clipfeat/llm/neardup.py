@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .components import linked, linked_throughout
+from .components import linked, linked_throughout, merged
 from .golay import keys_of_pairs, keys_within_three
 from .shared import map_frames, staged, table
 from .words import mix, shingle_hashes, word_lists
@@ -81,9 +81,10 @@ def fingerprint_classes(rows: DataFrame) -> DataFrame:
     distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "distinct-fingerprints")
     close = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 3
     comp = linked(_keyed(distinct, "fp", keys_within_three), close("id_a", "id_b"), lambda pairs: pairs.filter(close("a", "b")))
-    comp = distinct.join(comp, distinct["fp"] == comp["id"], "left").select("fp", "smallest", F.coalesce("comp", "fp").alias("comp"))
+    comp = merged(distinct).join(merged(comp), F.col("fp") == F.col("id"), "left").select("fp", "smallest", F.coalesce("comp", "fp").alias("comp"))
     named = comp.groupBy("comp").agg(F.min("smallest").alias("component_id"))
-    return rows.join(comp.select("fp", "comp").join(named, "comp").select("fp", "component_id"), "fp")
+    classes = merged(comp.select("fp", "comp")).join(merged(named), "comp").select("fp", "component_id")
+    return merged(rows).join(merged(classes), "fp")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
